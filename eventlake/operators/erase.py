@@ -1,11 +1,11 @@
-"""Rows of given users, and all rows but theirs."""
+"""Rows of given users, and all rows but theirs; ``users`` has each user_id once."""
 
 from pyspark.sql import DataFrame
 
 
 def events_of(silver: DataFrame, users: DataFrame) -> DataFrame:
-    return silver.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    return silver.join(users, "user_id", "left_semi")
 
 
 def without_users(silver: DataFrame, users: DataFrame) -> DataFrame:
-    return silver.join(users.select("user_id").distinct(), "user_id", "left_anti")
+    return silver.join(users, "user_id", "left_anti")

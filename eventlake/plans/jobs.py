@@ -228,6 +228,8 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
     """
     prepare(spark)
     publish.recover(spark, lake.silver)
+    batch = workarea.batch_folder(spark, lake.silver, "erase")
+    users = publish.written_distinct(users.select("user_id"), f"{batch}/users")
     hit = events_of(read_silver(spark, lake.silver), users)
     keys = [F.col(c).cast("string").alias(c) for c in SILVER_PARTITIONS]
     touched = {tuple(row) for row in hit.select(*keys).distinct().collect()}
@@ -238,11 +240,10 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
         if tuple(partition_values(path)[c] for c in SILVER_PARTITIONS) in touched
     ]
     if folders:
-        batch = workarea.batch_folder(spark, lake.silver, "erase")
         current = read_silver(spark, lake.silver, folders)
         publish.set_aside(spark, batch, folders, without_users(current, users))
         publish.replace(spark, lake.silver, batch, folders)
-        workarea.clear(spark, batch)
+    workarea.clear(spark, batch)
     return dates
 
 

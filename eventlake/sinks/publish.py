@@ -26,7 +26,7 @@ def upsert(spark: SparkSession, silver: str, batch: str) -> list[str]:
     dates = sorted(row[0] for row in incoming.select(_text("event_date")).distinct().collect())
     replaced = partitions_of(spark, silver, dates)
     if replaced:
-        ids = incoming.select("event_id").distinct()
+        ids = written_distinct(incoming.select("event_id"), f"{batch}/ids")
         current = read_silver(spark, silver, replaced)
         set_aside(spark, batch, replaced, current.join(ids, "event_id", "left_anti"))
     replace(spark, silver, batch, replaced)
@@ -40,6 +40,16 @@ def partitions_of(spark: SparkSession, silver: str, dates: list[str]) -> list[st
     return matching(spark, f"{silver}/event_date={{{','.join(dates)}}}/event_type=*")
 
 
+def written_distinct(keys: DataFrame, path: str) -> DataFrame:
+    """Distinct keys as a written table, to be joined against.
+
+    Copies of a hot key are gone before the join, and both of its sides come
+    straight from a shuffle, which is what AQE needs to split the hot key's rows.
+    """
+    keys.distinct().write.mode("overwrite").parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def set_aside(
     spark: SparkSession, batch: str, replaced: list[str], survivors: DataFrame
 ) -> None:

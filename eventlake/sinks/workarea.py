@@ -6,6 +6,7 @@ Layout, below the shared folder, one area per silver table::
     batch=<label>/outcome=rejected    the raw text of the others, in struct ``raw``
     batch=<label>/replaced            silver partitions about to be replaced
     batch=<label>/survivors           rows of these that must stay
+    batch=<label>/ids, users          distinct keys of a join
 
 ``survivors/_SUCCESS`` says that everything needed to redo the replacement is here.
 """

@@ -18,6 +18,8 @@ def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     return (
         spark.read.schema(REJECTED_SCHEMA)
         .option("timestampFormat", TIMESTAMP_FORMAT)
+        # Here _corrupt_record is a written field, not this reader's own.
+        .option("columnNameOfCorruptRecord", "_unreadable")
         .json(root)
     )
 

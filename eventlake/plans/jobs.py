@@ -196,22 +196,27 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
     """
     prepare(spark)
     if dates is None:
+        # Silver files hold one date each, so staging is written without a shuffle.
         write_by_date(stg_events(read_silver(spark, lake.silver)), lake.staging, False)
-        write_by_date(daily_event_summary(read_staging(spark, lake.staging)), lake.summary, False)
+        _write_summary(read_staging(spark, lake.staging), lake, False)
         return
     folders = publish.partitions_of(spark, lake.silver, dates)
     filled = {partition_values(path)["event_date"] for path in folders}
     if folders:
-        silver = read_silver(spark, lake.silver, folders)
-        write_by_date(stg_events(silver), lake.staging, True)
+        write_by_date(stg_events(read_silver(spark, lake.silver, folders)), lake.staging, True)
         staged = [f"{lake.staging}/event_date={value}" for value in sorted(filled)]
-        staging = read_staging(spark, lake.staging, staged)
-        write_by_date(daily_event_summary(staging), lake.summary, True)
+        _write_summary(read_staging(spark, lake.staging, staged), lake, True)
     gone = [value for value in dates if value not in filled]
     drop_dates(spark, lake.staging, gone)
     drop_dates(spark, lake.summary, gone)
 
 
+def _write_summary(staging: DataFrame, lake: Lake, only_dates: bool) -> None:
+    # Groups come out spread by all four keys; a date's few rows belong in one file.
+    rows = daily_event_summary(staging).hint("rebalance", "event_date")
+    write_by_date(rows, lake.summary, only_dates)
+
+
 def read_staging(spark: SparkSession, path: str, partitions: list[str] | None = None) -> DataFrame:
     reader = spark.read.schema(STAGING_SCHEMA).option("basePath", path)
     return reader.parquet(*(partitions or [path]))

@@ -54,8 +54,8 @@ def set_aside(
     spark: SparkSession, batch: str, replaced: list[str], survivors: DataFrame
 ) -> None:
     """Write what a repeated replacement needs; the survivors' marker comes last."""
-    names = spark.createDataFrame([(path,) for path in replaced], "folder string")
-    names.coalesce(1).write.mode("overwrite").text(f"{batch}/replaced")
+    names = spark.range(0, 1, 1, 1).select(F.lit("\n".join(replaced)))
+    names.write.mode("overwrite").text(f"{batch}/replaced")
     survivors.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(f"{batch}/survivors")
 
 

@@ -9,8 +9,7 @@ from eventlake.sources.folders import exists, remove
 def write_by_date(rows: DataFrame, path: str, only_dates: bool) -> None:
     """Rebuild a table, or only the event dates the rows have."""
     (
-        rows.hint("rebalance", "event_date")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if only_dates else "static")
         .option("compression", "snappy")
         .partitionBy("event_date")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from checks import fixture
 from checks.fixture import RUN_TS
-from eventlake.contract import ERROR, EVENT_COLUMNS, SILVER_COLUMNS, STAGING_COLUMNS
+from eventlake.contract import ERROR, EVENT_COLUMNS, STAGING_COLUMNS
 from eventlake.operators import enrich, monitor, quality
 from eventlake.operators.transform import event_date_range, raw_events
 from eventlake.operators.validate import bad, good

@@ -3,6 +3,7 @@
 One job at a time may write a lake.
 """
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -78,7 +79,7 @@ def run_daily(
     prepare(spark)
     publish.recover(spark, lake.silver)
     rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date))
-    return _load(spark, lake, rows, F.lit(str(run_date)), [str(run_date)], "daily", run_ts)
+    return _load(spark, lake, [rows], F.lit(str(run_date)), [str(run_date)], "daily", run_ts)
 
 
 def run_backfill(
@@ -97,22 +98,22 @@ def run_backfill(
 
     ``slack_days`` says how far from its event date a row may be filed. When it is
     known, each batch reads only its own folders. When it is not (None), rows may
-    be filed anywhere: all of bronze is read, once, and published by batch.
+    be filed anywhere: all of bronze is read, once, and then published by batch.
     """
     prepare(spark)
     publish.recover(spark, lake.silver)
     starts = batch_starts(start, end, batch)
-    total = RunReport()
     if slack_days is None:
-        rows = _dated(_scan_all(spark, lake.bronze), start, end)
+        parts = bronze_source.scan_in_parts(spark, lake.bronze)
+        rows = (_dated(part, start, end) for part in parts)
         label = _batch_label("filed", start, batch)
-        total.add(_load(spark, lake, rows, label, [str(s) for s in starts], "backfill", run_ts))
-        return total
+        return _load(spark, lake, rows, label, [str(s) for s in starts], "backfill", run_ts)
+    total = RunReport()
     slack = timedelta(days=slack_days)
     for first, following in zip(starts, [*starts[1:], end + timedelta(days=1)]):
         last = following - timedelta(days=1)
         folders = bronze_source.scan_days(spark, lake.bronze, first - slack, last + slack)
-        rows = _dated(folders, first, last)
+        rows = [_dated(folders, first, last)]
         total.add(_load(spark, lake, rows, F.lit(str(first)), [str(first)], "backfill", run_ts))
     return total
 
@@ -134,12 +135,6 @@ def _batch_label(column: str, start: date, batch: str | None) -> Column:
     return first.cast("string")
 
 
-def _scan_all(spark: SparkSession, root: str) -> DataFrame:
-    if bronze_source.day_folders(spark, root):
-        return bronze_source.scan(spark, root)
-    return bronze_source.scan_recursive(spark, root)
-
-
 def _dated(bronze: DataFrame, start: date, end: date) -> DataFrame:
     """Classified rows of a date range, with the date they are ``filed`` under.
 
@@ -153,18 +148,33 @@ def _dated(bronze: DataFrame, start: date, end: date) -> DataFrame:
 def _load(
     spark: SparkSession,
     lake: Lake,
-    classified: DataFrame,
+    parts: Iterable[DataFrame],
     label: Column,
     labels: list[str],
     run: str,
     run_ts: datetime | None,
 ) -> RunReport:
-    """Cut classified rows into a written table, then feed both sinks from it.
+    """Write classified rows to the work area by batch, then publish batch after batch."""
+    run_ts = run_ts or datetime.now(timezone.utc)
+    done = RunReport()
+    for part in parts:
+        done.add(_stage(spark, lake, part, label, run_ts))
+    for name in labels:
+        batch = workarea.batch_folder(spark, lake.silver, name)
+        write_rejected(spark, batch, lake.rejected, run, name, run_ts)
+        done.add(RunReport(dates=publish.upsert(spark, lake.silver, batch)))
+        workarea.clear(spark, batch)
+    return done
+
+
+def _stage(
+    spark: SparkSession, lake: Lake, classified: DataFrame, label: Column, run_ts: datetime
+) -> RunReport:
+    """Cut classified rows into a written table that feeds both sinks.
 
     This is the only pass over bronze text. The write has no shuffle, so its
     Observation counts each row once even when tasks are repeated elsewhere.
     """
-    run_ts = run_ts or datetime.now(timezone.utc)
     counts = Observation()
     rejected = F.isnotnull(ERROR)
     (
@@ -175,17 +185,11 @@ def _load(
             label.alias("batch"),
             F.when(rejected, "rejected").otherwise("accepted").alias("outcome"),
         )
-        .write.mode("overwrite")
+        .write.mode("append")
         .partitionBy("batch", "outcome")
         .parquet(workarea.area(spark, lake.silver))
     )
-    dates = set()
-    for name in labels:
-        batch = workarea.batch_folder(spark, lake.silver, name)
-        write_rejected(spark, batch, lake.rejected, run, name, run_ts)
-        dates.update(publish.upsert(spark, lake.silver, batch))
-        workarea.clear(spark, batch)
-    return RunReport(**counts.get, dates=sorted(dates))
+    return RunReport(**counts.get)
 
 
 def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> None:

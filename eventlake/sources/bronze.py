@@ -1,5 +1,6 @@
 """Bronze: one JSON object per line under year=/month=/day= folders, read as text."""
 
+from collections.abc import Iterator
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -37,6 +38,21 @@ def scan_days(spark: SparkSession, root: str, start: date, end: date) -> DataFra
     return empty.select("*", *(F.lit(None).cast("int").alias(c) for c in ("year", "month", "day")))
 
 
+def scan_in_parts(spark: SparkSession, root: str) -> Iterator[DataFrame]:
+    """All of bronze, one DataFrame per month of folders to keep jobs to a size.
+
+    Where files lie outside of day folders too, it is one recursive scan instead.
+    """
+    if not _only_day_folders(spark, root):
+        yield scan_recursive(spark, root)
+        return
+    months = {}
+    for path, filed in day_folders(spark, root):
+        months.setdefault((filed.year, filed.month), []).append(path)
+    for _, paths in sorted(months.items()):
+        yield _reader(spark).option("basePath", root).json(paths)
+
+
 def day_folders(spark: SparkSession, root: str) -> list[tuple[str, date]]:
     found = []
     for path in matching(spark, f"{root}/year=*/month=*/day=*"):
@@ -45,6 +61,18 @@ def day_folders(spark: SparkSession, root: str) -> list[tuple[str, date]]:
     return found
 
 
+def _only_day_folders(spark: SparkSession, root: str) -> bool:
+    levels = {"*": "year=", "year=*/*": "month=", "year=*/month=*/*": "day="}
+    names = {
+        folder: [path.rsplit("/", 1)[1] for path in matching(spark, f"{root}/{level}")]
+        for level, folder in levels.items()
+    }
+    # Spark does not read names that begin with _ or . either.
+    return any(names["day="]) and all(
+        name.startswith((folder, "_", ".")) for folder in names for name in names[folder]
+    )
+
+
 def folder_date(bronze: DataFrame) -> Column:
     """The day a row is filed under; NULL where the tree has no day folders."""
     if "day" in bronze.columns:

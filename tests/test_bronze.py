@@ -82,3 +82,21 @@ def test_any_folder_naming(spark, tmp_path):
     rows = bronze.scan_recursive(spark, str(tmp_path / "tree"))
     assert sorted(r.event_id for r in rows.collect()) == ["2026/06/01", "late export", "x/y/z"]
     assert "day" not in rows.columns
+
+
+def test_parts_are_the_months_of_folders(spark, lake):
+    for day in ("2026-05-30", "2026-05-31", "2026-06-01"):
+        file_events(lake, day, event(day))
+    (Path(lake.bronze) / "_SUCCESS").touch()
+    parts = list(bronze.scan_in_parts(spark, lake.bronze))
+    assert [part.count() for part in parts] == [2, 1]
+    assert "day" in parts[0].columns
+
+
+def test_files_outside_of_day_folders_are_read_too(spark, lake):
+    file = file_events(lake, "2026-05-30", event("a"))
+    for place in (file.parents[3], file.parents[2], file.parents[1], file.parent / "late"):
+        place.mkdir(exist_ok=True)
+        (place / "stray.json").write_text('{"event_id": "stray"}\n')
+    parts = list(bronze.scan_in_parts(spark, lake.bronze))
+    assert sum(part.count() for part in parts) == 5

@@ -25,7 +25,8 @@ def ids(spark, lake):
 
 
 def partitions(lake):
-    return sorted(str(p.relative_to(lake.silver)) for p in Path(lake.silver).glob("*/*") if p.is_dir())
+    folders = (p for p in Path(lake.silver).glob("*/*") if p.is_dir())
+    return sorted(str(p.relative_to(lake.silver)) for p in folders)
 
 
 def daily(spark, lake, day):

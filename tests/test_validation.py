@@ -1,6 +1,6 @@
 """Rules, parsing and silver rows on hand-made values."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 
@@ -48,14 +48,12 @@ def test_timestamps(spark):
         if expected is None:
             assert errors[str(i)] == "bad_timestamp", text
         else:
-            text_form = silver[str(i)].event_timestamp
-            assert text_form == to_local(expected), text
+            assert silver[str(i)].event_timestamp == to_local(expected), text
             assert silver[str(i)].event_date == expected.date(), text
 
 
 def to_local(utc: datetime) -> datetime:
-    from datetime import timezone
-
+    """collect() gives timestamps in the time zone of the machine."""
     return utc.replace(tzinfo=timezone.utc).astimezone().replace(tzinfo=None)
 
 

@@ -178,6 +178,8 @@ ORACLES = {
     "daily_event_summary_table": SUMMARY,
     "catalog_refresh": f"{CHAIN} select strftime(s.event_date, '%Y-%m-%d') as event_date, "
     "count(*) as events from silver s group by s.event_date",
+    "rejected_table": f"{CHAIN} select 'backfill' as run, validation_error, count(*) as rows from v "
+    "where validation_error is not null group by validation_error",
     "run_counts": f"{CHAIN} select count(*) as bronze_rows, "
     "count(*) - count(validation_error) as good_rows, count(validation_error) as bad_rows from v",
     "rejection_rate": f"{CHAIN} select round(cast(100.0 as double) * count(validation_error) "

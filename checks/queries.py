@@ -161,6 +161,14 @@ def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rejected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _registered(spark, sf_dir, build=False)
+    return spark.sql(
+        f"select run, validation_error, count(*) as rows from {database}.rejected "
+        "group by run, validation_error"
+    )
+
+
 # Models
 
 
@@ -305,6 +313,7 @@ QUERIES = {
     "daily_event_summary": daily_event_summary,
     "daily_event_summary_table": daily_event_summary_table,
     "catalog_refresh": catalog_refresh,
+    "rejected_table": rejected_table,
     "run_counts": run_counts,
     "rejection_rate": rejection_rate,
     "dq_not_null": dq_not_null,

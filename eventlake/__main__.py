@@ -1,62 +1,90 @@
-"""Command line: ``spark-submit -m`` style entry to the jobs.
-
-    python -m eventlake daily    --source_path B --silver_path S --rejected_path R --date D
-    python -m eventlake backfill --source_path B --silver_path S --rejected_path R \\
-                                 --start_date A --end_date Z
-    python -m eventlake models   --silver_path S --gold_path G
-"""
+"""Command line of the jobs; ``python -m eventlake <job> --help`` lists the arguments."""
 
 import argparse
+import sys
 from datetime import date
 
 from pyspark.sql import SparkSession
 
-from eventlake.plans.jobs import Lake, build_models, run_backfill, run_daily
+from eventlake.operators.quality import QualityError
+from eventlake.plans import jobs
 
 
 def arguments(argv=None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="eventlake")
-    jobs = parser.add_subparsers(dest="job", required=True)
-    loads = argparse.ArgumentParser(add_help=False)
-    for name in ("source", "silver", "rejected"):
-        loads.add_argument(f"--{name}_path", required=True)
+    commands = parser.add_subparsers(dest="job", required=True)
+
+    def command(name: str, help: str, *paths: str) -> argparse.ArgumentParser:
+        added = commands.add_parser(name, help=help)
+        for path in paths:
+            added.add_argument(f"--{path}_path", required=True)
+        return added
 
-    daily = jobs.add_parser("daily", parents=[loads])
+    loads = ("source", "silver", "rejected")
+    daily = command("daily", "load the bronze folder of one day", *loads)
     daily.add_argument("--date", type=date.fromisoformat, required=True)
 
-    backfill = jobs.add_parser("backfill", parents=[loads])
+    backfill = command("backfill", "load all events of a date range", *loads)
     backfill.add_argument("--start_date", type=date.fromisoformat, required=True)
     backfill.add_argument("--end_date", type=date.fromisoformat, required=True)
     backfill.add_argument("--batch", choices=("week", "month", "year", "all"), default="month")
     backfill.add_argument("--slack_days", type=int)
 
-    models = jobs.add_parser("models")
-    models.add_argument("--silver_path", required=True)
-    models.add_argument("--gold_path", required=True)
-    models.add_argument("--dates", nargs="*")
+    models = command("models", "build staging and summary", "silver", "gold")
+    models.add_argument("--dates", nargs="*", help="only these event dates")
+
+    command("checks", "run all quality checks; exit code 1 on failures", "silver", "gold")
+
+    whole = command("day", "load, catalog, checks and models of one day", *loads, "gold")
+    whole.add_argument("--date", type=date.fromisoformat, required=True)
+    whole.add_argument("--database", required=True)
+
+    erase = command("erase", "remove all events of some users", "silver")
+    erase.add_argument("--users_path", required=True, help="Parquet with a user_id column")
     return parser.parse_args(argv)
 
 
-def main(argv=None) -> None:
-    args = arguments(argv)
-    spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
-    if args.job == "models":
-        lake = Lake("", args.silver_path, "", args.gold_path)
-        build_models(spark, lake, args.dates)
-        return
-    lake = Lake(args.source_path, args.silver_path, args.rejected_path)
+def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
+    given = vars(args)
+    paths = (given.get(f"{layer}_path") or "" for layer in ("source", "silver", "rejected", "gold"))
+    lake = jobs.Lake(*paths)
     if args.job == "daily":
-        done = run_daily(spark, lake, args.date)
-    else:
+        return [_loaded(jobs.run_daily(spark, lake, args.date))]
+    if args.job == "backfill":
         batch = None if args.batch == "all" else args.batch
-        done = run_backfill(
-            spark, lake, args.start_date, args.end_date, batch, args.slack_days
-        )
-    print(
+        dates = args.start_date, args.end_date
+        return [_loaded(jobs.run_backfill(spark, lake, *dates, batch, args.slack_days))]
+    if args.job == "models":
+        jobs.build_models(spark, lake, args.dates)
+        return []
+    if args.job == "checks":
+        return _checked(jobs.check_source(spark, lake) + jobs.check_models(spark, lake))
+    if args.job == "day":
+        loaded, checks = jobs.run_day(spark, lake, args.date, args.database)
+        return [_loaded(loaded), *_checked(checks)]
+    dates = jobs.erase_users(spark, lake, spark.read.parquet(args.users_path))
+    return [f"changed dates: {' '.join(dates) or 'none'}"]
+
+
+def _loaded(done: jobs.RunReport) -> str:
+    return (
         f"bronze {done.bronze_rows}, good {done.good_rows}, bad {done.bad_rows}, "
         f"rejection rate {done.rejection_rate} %, dates {len(done.dates)}"
     )
 
 
+def _checked(rows) -> list[str]:
+    return [f"{r.table}.{r.column} {r.check}: {r.failures}" for r in rows]
+
+
+def main(argv=None) -> None:
+    args = arguments(argv)
+    spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
+    try:
+        print("\n".join(run(spark, args)))
+    except QualityError as failed:
+        sys.exit(f"quality checks failed: {failed}")
+
+
 if __name__ == "__main__":
     main()

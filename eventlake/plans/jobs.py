@@ -6,6 +6,7 @@ One job at a time may write a lake.
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from eventlake.contract import (
     ERROR,
     RAW_REJECT_SCHEMA,
-    SILVER_PARTITIONS,
+    REJECTED_SCHEMA,
     SILVER_SCHEMA,
     STAGING_SCHEMA,
     SUMMARY_SCHEMA,
@@ -31,7 +32,7 @@ from eventlake.sinks.quarantine import write_rejected
 from eventlake.sinks.tables import drop_dates, refresh_catalog, write_by_date
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import partition_values
-from eventlake.sources.silver import read_silver
+from eventlake.sources.silver import REJECTED_OPTIONS, read_silver
 
 
 @dataclass(frozen=True)
@@ -233,36 +234,50 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
     """Remove all silver events of the given ``user_id``s; return the dates that changed.
 
-    Only partitions that hold such events are rewritten.
+    Only partitions that hold such events are rewritten, month after month, so the
+    work area never holds more than a month of survivors.
     """
     prepare(spark)
     publish.recover(spark, lake.silver)
-    batch = workarea.batch_folder(spark, lake.silver, "erase")
-    users = publish.written_distinct(users.select("user_id"), f"{batch}/users")
+    request = workarea.batch_folder(spark, lake.silver, "erase")
+    users = publish.written_distinct(users.select("user_id"), f"{request}/users")
     hit = events_of(read_silver(spark, lake.silver), users)
-    keys = [F.col(c).cast("string").alias(c) for c in SILVER_PARTITIONS]
-    touched = {tuple(row) for row in hit.select(*keys).distinct().collect()}
+    touched = publish.keys_of(hit)
     dates = sorted({event_day for event_day, _ in touched})
-    folders = [
-        path
-        for path in publish.partitions_of(spark, lake.silver, dates)
-        if tuple(partition_values(path)[c] for c in SILVER_PARTITIONS) in touched
-    ]
-    if folders:
-        current = read_silver(spark, lake.silver, folders)
-        publish.set_aside(spark, batch, folders, without_users(current, users))
-        publish.replace(spark, lake.silver, batch, folders)
-    workarea.clear(spark, batch)
+    folders = publish.partitions_of(spark, lake.silver, dates)
+    folders = [path for path in folders if publish.key_of(path) in touched]
+    for month, group in groupby(folders, lambda path: publish.key_of(path)[0].rsplit("-", 1)[0]):
+        group = list(group)
+        batch = workarea.batch_folder(spark, lake.silver, f"erase-{month}")
+        current = read_silver(spark, lake.silver, group)
+        publish.set_aside(spark, batch, group, without_users(current, users))
+        publish.replace(spark, lake.silver, batch, group)
+        workarea.clear(spark, batch)
+    workarea.clear(spark, request)
     return dates
 
 
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
-    """Show silver, staging and summary, with their new partitions, to SQL users."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    refresh_catalog(spark, f"{database}.silver", lake.silver, SILVER_SCHEMA, SILVER_PARTITIONS)
+    """Show silver, rejected, staging and summary, with their partitions, to SQL users."""
+    prepare(spark).sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    by_date = {"event_date": "date"}
+    silver = {**by_date, "event_type": "string"}
+    rejected = {"run": "string", "ingest_date": "date"}
+    refresh_catalog(spark, f"{database}.silver", lake.silver, SILVER_SCHEMA, silver)
+    refresh_catalog(
+        spark,
+        f"{database}.rejected",
+        lake.rejected,
+        REJECTED_SCHEMA,
+        rejected,
+        "json",
+        REJECTED_OPTIONS,
+    )
     if lake.gold:
-        refresh_catalog(spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA)
-        refresh_catalog(spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA)
+        refresh_catalog(spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA, by_date)
+        refresh_catalog(
+            spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA, by_date
+        )
 
 
 def run_day(
@@ -278,12 +293,20 @@ def run_day(
     """
     loaded = run_daily(spark, lake, run_date, run_ts)
     register_tables(spark, lake, database)
-    checked = enforce(report({"silver": read_silver(spark, lake.silver)}, SOURCE_CHECKS))
+    checked = check_source(spark, lake)
     build_models(spark, lake, loaded.dates)
     register_tables(spark, lake, database)
-    models = {
-        "stg_events": read_staging(spark, lake.staging),
+    return loaded, checked + check_models(spark, lake)
+
+
+def check_source(spark: SparkSession, lake: Lake) -> list:
+    """Report rows of the checks on silver; raises QualityError when one fails."""
+    return enforce(report({"silver": read_silver(prepare(spark), lake.silver)}, SOURCE_CHECKS))
+
+
+def check_models(spark: SparkSession, lake: Lake) -> list:
+    tables = {
+        "stg_events": read_staging(prepare(spark), lake.staging),
         "daily_event_summary": read_summary(spark, lake.summary),
     }
-    checked += enforce(report(models, MODEL_CHECKS))
-    return loaded, checked
+    return enforce(report(tables, MODEL_CHECKS))

@@ -23,7 +23,8 @@ def upsert(spark: SparkSession, silver: str, batch: str) -> list[str]:
     incoming = workarea.replacement(spark, batch)
     if incoming is None:
         return []
-    dates = sorted(row[0] for row in incoming.select(_text("event_date")).distinct().collect())
+    found = incoming.select(_text("event_date")).distinct().collect()
+    dates = sorted(row.event_date for row in found)
     replaced = partitions_of(spark, silver, dates)
     if replaced:
         ids = written_distinct(incoming.select("event_id"), f"{batch}/ids")
@@ -64,15 +65,24 @@ def replace(spark: SparkSession, silver: str, batch: str, replaced: list[str]) -
     write_partitions(rows, silver)
     if not replaced:
         return
-    keys = rows.select(*map(_text, SILVER_PARTITIONS)).distinct().collect()
-    filled = {tuple(key) for key in keys}
+    filled = keys_of(rows)
     for path in replaced:
         # Dynamic overwrite leaves a partition nobody writes to as it was.
-        values = partition_values(path)
-        if tuple(values[c] for c in SILVER_PARTITIONS) not in filled:
+        if key_of(path) not in filled:
             remove(spark, path)
 
 
+def keys_of(rows: DataFrame) -> set[tuple[str, str]]:
+    """The (date, type) partitions the rows fall in, as folder names spell them."""
+    found = rows.select(*map(_text, SILVER_PARTITIONS)).distinct().collect()
+    return {tuple(key) for key in found}
+
+
+def key_of(path: str) -> tuple[str, str]:
+    values = partition_values(path)
+    return tuple(values[column] for column in SILVER_PARTITIONS)
+
+
 def write_partitions(rows: DataFrame, silver: str) -> None:
     """Replace exactly the partitions the rows fall in, few files each.
 

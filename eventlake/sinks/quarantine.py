@@ -8,7 +8,7 @@ from eventlake.contract import RAW_REJECT_SCHEMA
 from eventlake.functions.parsing import stamp
 from eventlake.sinks.workarea import REJECTED
 from eventlake.sources.folders import exists, remove
-from eventlake.sources.silver import TIMESTAMP_FORMAT
+from eventlake.sources.silver import REJECTED_OPTIONS
 
 
 def write_rejected(
@@ -25,6 +25,6 @@ def write_rejected(
         staged.select("raw.*", stamp(run_ts).alias("rejected_at"))
         .hint("rebalance")
         .write.mode("overwrite")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .options(**REJECTED_OPTIONS)
         .json(target)
     )

@@ -27,16 +27,20 @@ def refresh_catalog(
     name: str,
     path: str,
     schema: T.StructType,
-    partitions: tuple[str, ...] = ("event_date",),
+    partitions: dict[str, str],
+    source: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Make the table and every partition folder below ``path`` visible to SQL."""
     if not exists(spark, path):
         return
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    keys = ", ".join(partitions)
+    data = {f.name: f.dataType.simpleString() for f in schema.fields}
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in {**data, **partitions}.items())
+    settings = ", ".join(f"'{key}' = \"{value}\"" for key, value in (options or {}).items())
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({keys}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} "
+        + (f"OPTIONS ({settings}) " if settings else "")
+        + f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)

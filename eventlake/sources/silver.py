@@ -4,6 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.contract import REJECTED_SCHEMA, SILVER_SCHEMA
 
+REJECTED_OPTIONS = {
+    # JSON would otherwise cut timestamps to milliseconds.
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    # Here _corrupt_record is a written field, not this reader's own.
+    "columnNameOfCorruptRecord": "_unreadable",
+}
+
 
 def read_silver(spark: SparkSession, root: str, partitions: list[str] | None = None) -> DataFrame:
     """The silver table, or only the given partition folders of it."""
@@ -15,14 +22,4 @@ def read_silver(spark: SparkSession, root: str, partitions: list[str] | None = N
 
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     """Quarantined rows with the ``run`` and ``ingest_date`` that put them there."""
-    return (
-        spark.read.schema(REJECTED_SCHEMA)
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        # Here _corrupt_record is a written field, not this reader's own.
-        .option("columnNameOfCorruptRecord", "_unreadable")
-        .json(root)
-    )
-
-
-# JSON would otherwise cut timestamps to milliseconds.
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    return spark.read.schema(REJECTED_SCHEMA).options(**REJECTED_OPTIONS).json(root)

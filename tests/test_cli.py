@@ -22,8 +22,32 @@ def test_daily_backfill_and_models(spark, lake, capsys):
     assert "bronze 2, good 1, bad 1, rejection rate 50.0 %" in capsys.readouterr().out
     main(["backfill", *paths(lake), "--start_date", "2026-06-01", "--end_date", "2026-06-30"])
     assert read_silver(spark, lake.silver).count() == 2
-    main(["models", "--silver_path", lake.silver, "--gold_path", lake.gold])
+    tables = ["--silver_path", lake.silver, "--gold_path", lake.gold]
+    main(["models", *tables])
     assert jobs.read_summary(spark, lake.summary).count() == 2
+    capsys.readouterr()
+    main(["checks", *tables])
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 11 and all(line.endswith(": 0") for line in printed)
+
+
+def test_day_and_erase(spark, lake, tmp_path, capsys):
+    file_events(lake, "2026-06-01", event("a"), event("b", user_id="gone"))
+    day = ["--date", "2026-06-01", "--gold_path", lake.gold, "--database", "cli_day"]
+    main(["day", *paths(lake), *day])
+    assert spark.table("cli_day.daily_event_summary").first().event_count == 2
+    spark.createDataFrame([("gone",)], "user_id string").write.parquet(str(tmp_path / "users"))
+    capsys.readouterr()
+    main(["erase", "--silver_path", lake.silver, "--users_path", str(tmp_path / "users")])
+    assert capsys.readouterr().out == "changed dates: 2026-06-01\n"
+    assert [r.event_id for r in read_silver(spark, lake.silver).collect()] == ["a"]
+
+
+def test_failed_checks_end_with_an_error(spark, lake):
+    file_events(lake, "2026-06-01", event("a"), event("a"))
+    day = ["--date", "2026-06-01", "--gold_path", lake.gold, "--database", "cli_bad"]
+    with pytest.raises(SystemExit, match="silver.event_id unique: 1"):
+        main(["day", *paths(lake), *day])
 
 
 def test_arguments():

@@ -212,6 +212,27 @@ def test_batches_equal_one_run(spark, tmp_path, lake, how):
     assert not {"next5", "own5", "own0", "next0"} & set(good)
 
 
+def test_day_by_day_equals_a_backfill(spark, tmp_path, lake):
+    days = scattered(lake)
+    wide = date(2026, 4, 1), date(2026, 7, 31)
+    jobs.run_backfill(spark, lake, *wide, run_ts=RUN_TS)
+    other = Lake(lake.bronze, str(tmp_path / "s2"), str(tmp_path / "r2"))
+    for day in [*days, *days[:2]]:
+        daily(spark, other, day)
+    assert state(spark, other) == state(spark, lake)
+
+
+def test_a_date_far_off_is_published_like_any_other(spark, lake):
+    # A bare number reads as a year, beyond what Python's dates can hold.
+    file_events(lake, "2026-06-01", event("a"), event("far", "12345"))
+    for _ in range(2):
+        done = daily(spark, lake, "2026-06-01")
+        assert done.dates == ["+12345-01-01", "2026-06-01"]
+    assert read_silver(spark, lake.silver).select("event_id").count() == 2
+    jobs.build_models(spark, lake, done.dates)
+    assert jobs.read_summary(spark, lake.summary).count() == 2
+
+
 def test_without_known_slack_rows_filed_anywhere_are_found(spark, lake):
     file_events(lake, "2026-06-01", event("a"))
     file_events(lake, "2026-09-30", event("late"))
@@ -295,6 +316,7 @@ def test_rebuilding_changed_dates_equals_a_full_build(spark, tmp_path, lake):
 
 def test_whole_day(spark, lake):
     spill(lake)
+    file_events(lake, "2026-06-02", event(None), name="late.json")
     for day in ("2026-06-01", "2026-06-02", "2026-06-02"):
         loaded, checks = jobs.run_day(
             spark, lake, date.fromisoformat(day), "whole_day", RUN_TS
@@ -303,9 +325,9 @@ def test_whole_day(spark, lake):
     assert len(checks) == 11 and not any(row.failures for row in checks)
     counts = {
         name: spark.table(f"whole_day.{name}").count()
-        for name in ("silver", "stg_events", "daily_event_summary")
+        for name in ("silver", "rejected", "stg_events", "daily_event_summary")
     }
-    assert counts == {"silver": 5, "stg_events": 5, "daily_event_summary": 2}
+    assert counts == {"silver": 5, "rejected": 1, "stg_events": 5, "daily_event_summary": 2}
     by_date = spark.sql(
         "select event_date, sum(event_count) n from whole_day.daily_event_summary group by 1"
     )
@@ -367,6 +389,23 @@ def test_erased_users_leave_silver_and_models(spark, lake):
     assert sorted(str(r.event_date) for r in counted) == ["2026-06-01", "2026-06-03"]
 
 
+def test_erasing_goes_month_by_month(spark, lake, monkeypatch):
+    scattered(lake)
+    jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    seen = []
+    whole = publish.replace
+
+    def noted(spark, silver, batch, replaced):
+        seen.append(batch.rsplit("=", 1)[1])
+        whole(spark, silver, batch, replaced)
+
+    monkeypatch.setattr(publish, "replace", noted)
+    users = spark.createDataFrame([("user_1",)], "user_id string")
+    jobs.erase_users(spark, lake, users)
+    assert seen == ["erase-2026-05", "erase-2026-06"]
+    assert ids(spark, lake) == []
+
+
 def test_erasing_nobody_and_everybody(spark, lake):
     spill(lake)
     daily(spark, lake, "2026-06-01")

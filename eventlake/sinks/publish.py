@@ -54,10 +54,10 @@ def written_distinct(keys: DataFrame, path: str) -> DataFrame:
 def set_aside(
     spark: SparkSession, batch: str, replaced: list[str], survivors: DataFrame
 ) -> None:
-    """Write what a repeated replacement needs; the survivors' marker comes last."""
+    """Write what a repeated replacement needs; the list of partitions comes last."""
+    survivors.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(f"{batch}/survivors")
     names = spark.range(0, 1, 1, 1).select(F.lit("\n".join(replaced)))
     names.write.mode("overwrite").text(f"{batch}/replaced")
-    survivors.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(f"{batch}/survivors")
 
 
 def replace(spark: SparkSession, silver: str, batch: str, replaced: list[str]) -> None:

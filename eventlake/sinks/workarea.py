@@ -4,11 +4,11 @@ Layout, below the shared folder, one area per silver table::
 
     batch=<label>/outcome=accepted    silver rows of the batch
     batch=<label>/outcome=rejected    the raw text of the others, in struct ``raw``
-    batch=<label>/replaced            silver partitions about to be replaced
-    batch=<label>/survivors           rows of these that must stay
+    batch=<label>/survivors           rows that must stay of partitions about to be replaced
+    batch=<label>/replaced            names of these partitions, one file
     batch=<label>/ids, users          distinct keys of a join
 
-``survivors/_SUCCESS`` says that everything needed to redo the replacement is here.
+The file in ``replaced`` is written last: with it, all a replacement needs is here.
 """
 
 import hashlib
@@ -50,10 +50,10 @@ def _both(spark: SparkSession, parts: list[str]) -> DataFrame | None:
 
 
 def ready(spark: SparkSession, batch: str) -> bool:
-    return exists(spark, f"{batch}/survivors/_SUCCESS")
+    return bool(matching(spark, f"{batch}/replaced/part-*"))
 
 
 def clear(spark: SparkSession, batch: str) -> None:
     # The marker goes first: half a batch must never look ready.
-    remove(spark, f"{batch}/survivors/_SUCCESS")
+    remove(spark, f"{batch}/replaced")
     remove(spark, batch)

@@ -166,6 +166,16 @@ def test_an_unfinished_preparation_is_dropped(spark, lake, monkeypatch):
     assert workarea.batches(spark, lake.silver) == []
 
 
+def test_survivors_without_their_partition_list_are_dropped(spark, lake):
+    spill(lake)
+    daily(spark, lake, "2026-06-01")
+    batch = workarea.batch_folder(spark, lake.silver, "2026-06-02")
+    read_silver(spark, lake.silver).limit(0).write.parquet(f"{batch}/survivors")
+    daily(spark, lake, "2026-07-01")
+    assert ids(spark, lake) == ["a", "b", "x"]
+    assert workarea.batches(spark, lake.silver) == []
+
+
 def scattered(lake):
     """Rows filed near and far from their date, with unreadable times, over months."""
     days = ["2026-04-29", "2026-05-01", "2026-05-31", "2026-06-01", "2026-06-20", "2026-07-01"]

@@ -36,17 +36,17 @@ silver as (
     university_id, country_code, device_type, page_url, referrer,
     try_cast(duration_seconds as int) as duration_seconds,
     try_cast(is_premium_user as boolean) as is_premium_user,
-    cast(instant as date) as event_date
+    cast(instant as date) as event_date, folder_date
   from v where validation_error is null)
 """
 
-SUMMARY = f"""{CHAIN}
+SUMMARY = CHAIN + """
 select country_code, event_type, device_type, count(*) as event_count,
   count(distinct user_id) as unique_users, count(distinct session_id) as unique_sessions,
   count(distinct document_id) as unique_documents,
   cast(sum(case when is_premium_user then 1 else 0 end) as bigint) as premium_user_events,
   avg(duration_seconds) as avg_duration_seconds, strftime(g.event_date, '%Y-%m-%d') as event_date
-from silver g group by country_code, event_type, device_type, g.event_date
+from silver g {where} group by country_code, event_type, device_type, g.event_date
 """
 
 DIRTY = f"""{CHAIN},
@@ -174,8 +174,10 @@ ORACLES = {
     "group by s.event_date, event_type",
     "rejected_roundtrip": REJECTED,
     "stg_events": f"{CHAIN} select {STAGED} from silver",
-    "daily_event_summary": SUMMARY,
-    "daily_event_summary_table": SUMMARY,
+    "daily_event_summary": SUMMARY.format(where=""),
+    "daily_event_summary_table": SUMMARY.format(where=""),
+    "daily_load": f"{PUBLISHED} where folder_date between date '2024-01-05' and date '2024-01-06'",
+    "whole_day": SUMMARY.format(where="where folder_date = date '2024-01-05'"),
     "catalog_refresh": f"{CHAIN} select strftime(s.event_date, '%Y-%m-%d') as event_date, "
     "count(*) as events from silver s group by s.event_date",
     "rejected_table": f"{CHAIN} select 'backfill' as run, validation_error, count(*) as rows from v "

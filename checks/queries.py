@@ -18,7 +18,7 @@ from eventlake.sinks import publish
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.silver import read_rejected, read_silver
 
-SLICE_DAY = date(2024, 1, 5)
+SLICE_DAY, NEXT_DAY = date(2024, 1, 5), date(2024, 1, 6)
 RANGE = (date(2024, 1, 10), date(2024, 1, 20))
 SCAN_DATES = (date(2024, 1, 10), date(2024, 1, 19))
 DRIFT_CONTRACT = (*(c for c in EVENT_COLUMNS if c != "referrer"), "campaign")
@@ -169,6 +169,25 @@ def rejected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Jobs of a day
+
+
+def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, each loaded twice; the second day's folder holds rows of the third."""
+    lake = fixture.empty_lake(spark, sf_dir)
+    for day in 2 * (SLICE_DAY, NEXT_DAY):
+        jobs.run_daily(spark, lake, day, RUN_TS)
+    return unstamped(read_silver(spark, lake.silver))
+
+
+def whole_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load, catalog, checks and models of one day; the mart as SQL users see it."""
+    lake = fixture.own_gold(spark, fixture.empty_lake(spark, sf_dir))
+    database = f"lake_{uuid.uuid4().hex}"
+    jobs.run_day(spark, lake, SLICE_DAY, database, RUN_TS)
+    return shown(spark.table(f"{database}.daily_event_summary"))
+
+
 # Models
 
 
@@ -314,6 +333,8 @@ QUERIES = {
     "daily_event_summary_table": daily_event_summary_table,
     "catalog_refresh": catalog_refresh,
     "rejected_table": rejected_table,
+    "daily_load": daily_load,
+    "whole_day": whole_day,
     "run_counts": run_counts,
     "rejection_rate": rejection_rate,
     "dq_not_null": dq_not_null,

@@ -6,7 +6,6 @@ One job at a time may write a lake.
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +28,8 @@ from eventlake.plans.models import daily_event_summary, stg_events
 from eventlake.session import prepare
 from eventlake.sinks import publish, workarea
 from eventlake.sinks.quarantine import write_rejected
-from eventlake.sinks.tables import drop_dates, refresh_catalog, write_by_date
+from eventlake.sinks.tables import keep_dates, refresh_catalog, write_dates
 from eventlake.sources import bronze as bronze_source
-from eventlake.sources.folders import partition_values
 from eventlake.sources.silver import REJECTED_OPTIONS, read_silver
 
 
@@ -197,29 +195,23 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
     """Build staging from silver and the summary from staging.
 
     All of it, or only some event dates: a date is a group key, so rebuilding the
-    dates that changed gives the same tables.
+    dates that changed gives the same tables. Either way it goes month after month,
+    which bounds the summary's shuffle.
     """
     prepare(spark)
-    if dates is None:
+    partitions = publish.partitions_of(spark, lake.silver, dates)
+    for _, month in publish.by_month(partitions):
         # Silver files hold one date each, so staging is written without a shuffle.
-        write_by_date(stg_events(read_silver(spark, lake.silver)), lake.staging, False)
-        _write_summary(read_staging(spark, lake.staging), lake, False)
-        return
-    folders = publish.partitions_of(spark, lake.silver, dates)
-    filled = {partition_values(path)["event_date"] for path in folders}
-    if folders:
-        write_by_date(stg_events(read_silver(spark, lake.silver, folders)), lake.staging, True)
-        staged = [f"{lake.staging}/event_date={value}" for value in sorted(filled)]
-        _write_summary(read_staging(spark, lake.staging, staged), lake, True)
-    gone = [value for value in dates if value not in filled]
-    drop_dates(spark, lake.staging, gone)
-    drop_dates(spark, lake.summary, gone)
-
-
-def _write_summary(staging: DataFrame, lake: Lake, only_dates: bool) -> None:
-    # Groups come out spread by all four keys; a date's few rows belong in one file.
-    rows = daily_event_summary(staging).hint("rebalance", "event_date")
-    write_by_date(rows, lake.summary, only_dates)
+        folders = publish.date_folders(month)
+        write_dates(stg_events(read_silver(spark, lake.silver, folders)), lake.staging)
+        staged = [f"{lake.staging}/{folder.rsplit('/', 1)[1]}" for folder in folders]
+        # Groups come out spread by all four keys; a date's few rows belong in one file.
+        summary = daily_event_summary(read_staging(spark, lake.staging, staged))
+        write_dates(summary.hint("rebalance", "event_date"), lake.summary)
+    among = None if dates is None else set(dates)
+    filled = {publish.key_of(path)[0] for path in partitions}
+    keep_dates(spark, lake.staging, among, filled)
+    keep_dates(spark, lake.summary, among, filled)
 
 
 def read_staging(spark: SparkSession, path: str, partitions: list[str] | None = None) -> DataFrame:
@@ -246,8 +238,7 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
     dates = sorted({event_day for event_day, _ in touched})
     folders = publish.partitions_of(spark, lake.silver, dates)
     folders = [path for path in folders if publish.key_of(path) in touched]
-    for month, group in groupby(folders, lambda path: publish.key_of(path)[0].rsplit("-", 1)[0]):
-        group = list(group)
+    for month, group in publish.by_month(folders):
         batch = workarea.batch_folder(spark, lake.silver, f"erase-{month}")
         current = read_silver(spark, lake.silver, group)
         publish.set_aside(spark, batch, group, without_users(current, users))

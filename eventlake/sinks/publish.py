@@ -5,6 +5,9 @@ does not carry, the survivors, are written aside first. Should the replacement
 break off half way, ``recover`` repeats it from there before any other work.
 """
 
+from collections.abc import Iterator
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +31,29 @@ def upsert(spark: SparkSession, silver: str, batch: str) -> list[str]:
     replaced = partitions_of(spark, silver, dates)
     if replaced:
         ids = written_distinct(incoming.select("event_id"), f"{batch}/ids")
-        current = read_silver(spark, silver, replaced)
+        current = read_silver(spark, silver, date_folders(replaced))
         set_aside(spark, batch, replaced, current.join(ids, "event_id", "left_anti"))
     replace(spark, silver, batch, replaced)
     return dates
 
 
-def partitions_of(spark: SparkSession, silver: str, dates: list[str]) -> list[str]:
-    """The existing partition folders of some event dates."""
-    if not dates:
+def partitions_of(spark: SparkSession, silver: str, dates: list[str] | None) -> list[str]:
+    """The existing partition folders of some event dates, or of all."""
+    if dates == []:
         return []
-    return matching(spark, f"{silver}/event_date={{{','.join(dates)}}}/event_type=*")
+    wanted = "*" if dates is None else f"{{{','.join(dates)}}}"
+    return matching(spark, f"{silver}/event_date={wanted}/event_type=*")
+
+
+def date_folders(partitions: list[str]) -> list[str]:
+    """The folders of whole dates: fewer to list than those of date and type."""
+    return sorted({path.rsplit("/", 1)[0] for path in partitions})
+
+
+def by_month(partitions: list[str]) -> Iterator[tuple[str, list[str]]]:
+    """Partition folders in groups of a month each, to keep jobs to a size."""
+    for month, group in groupby(partitions, lambda path: key_of(path)[0].rsplit("-", 1)[0]):
+        yield month, list(group)
 
 
 def written_distinct(keys: DataFrame, path: str) -> DataFrame:

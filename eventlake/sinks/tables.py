@@ -3,23 +3,26 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from eventlake.sources.folders import exists, remove
+from eventlake.sources.folders import exists, matching, partition_values, remove
 
 
-def write_by_date(rows: DataFrame, path: str, only_dates: bool) -> None:
-    """Rebuild a table, or only the event dates the rows have."""
+def write_dates(rows: DataFrame, path: str) -> None:
+    """Replace the event dates the rows have, and no others."""
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_dates else "static")
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("event_date")
         .parquet(path)
     )
 
 
-def drop_dates(spark: SparkSession, path: str, dates: list[str]) -> None:
-    for value in dates:
-        remove(spark, f"{path}/event_date={value}")
+def keep_dates(spark: SparkSession, path: str, among: set[str] | None, filled: set[str]) -> None:
+    """Remove dates of a table that its source has lost: all, or those ``among`` some."""
+    for folder in matching(spark, f"{path}/event_date=*"):
+        value = partition_values(folder)["event_date"]
+        if value not in filled and (among is None or value in among):
+            remove(spark, folder)
 
 
 def refresh_catalog(

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 def enrich(events: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Every event with its dimension row; events without one keep NULLs.
 
-    No broadcast hint: Spark broadcasts a dimension it knows to be small, and
-    AQE splits a hot key of a sort-merge join otherwise.
+    The dimension has each key once. No broadcast hint: Spark broadcasts a dimension
+    it knows to be small, and AQE splits a hot key of a sort-merge join otherwise, if
+    the dimension is read from a table rather than aggregated on the way.
     """
     return events.join(dimension, key, "left")
 

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import json
 import sys
 from datetime import datetime, timezone
@@ -75,3 +77,11 @@ def frame(spark, *events):
 
     rows = [tuple(text(e.get(c)) for c in (*EVENT_COLUMNS, "_corrupt_record")) for e in events]
     return spark.createDataFrame(rows, BRONZE_SCHEMA)
+
+
+def plan(rows):
+    """The physical plan as explain prints it."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        rows.explain("formatted")
+    return text.getvalue()

@@ -1,5 +1,7 @@
 """Reading NDJSON: broken lines, folders, and the files a read touches."""
 
+import gzip
+import json
 from datetime import date
 from pathlib import Path
 
@@ -100,3 +102,11 @@ def test_files_outside_of_day_folders_are_read_too(spark, lake):
         (place / "stray.json").write_text('{"event_id": "stray"}\n')
     parts = list(bronze.scan_in_parts(spark, lake.bronze))
     assert sum(part.count() for part in parts) == 5
+
+
+def test_compressed_files(spark, lake):
+    plain = file_events(lake, "2026-06-01", event("a"))
+    packed = gzip.compress(json.dumps(event("b")).encode())
+    (plain.parent / "more.json.gz").write_bytes(packed)
+    rows = bronze.scan(spark, lake.bronze)
+    assert sorted(r.event_id for r in rows.collect()) == ["a", "b"]

@@ -1,37 +1,39 @@
-"""What Spark makes of the plans: passes, pruning, shuffles, no Python."""
+"""What Spark makes of the plans: passes, pruning, shuffles."""
 
-import contextlib
-import io
 from datetime import date
 
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import fixture
-from checks.queries import QUERIES
-from conftest import RUN_TS, event, file_events
+from conftest import RUN_TS, event, file_events, plan
+from eventlake.operators.enrich import enrich
 from eventlake.operators.transform import event_date_range
 from eventlake.plans import jobs
 from eventlake.plans.models import daily_event_summary, stg_events
 from eventlake.sinks import publish
+from eventlake.sources import bronze
 from eventlake.sources.silver import read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def plan(rows: DataFrame) -> str:
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        rows.explain("formatted")
-    return text.getvalue()
-
-
-@pytest.mark.parametrize("name", QUERIES)
-def test_no_query_runs_python_per_row(spark, name):
-    shape = plan(QUERIES[name](spark, SF_DIR))
-    assert "EvalPython" not in shape and "InPandas" not in shape
-    assert "CartesianProduct" not in shape and "BroadcastNestedLoopJoin" not in shape
+@pytest.fixture
+def tight(spark):
+    """Limits scaled down so that small tables are joined like large ones."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+    }
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_a_date_range_prunes_silver_partitions(spark):
@@ -43,6 +45,28 @@ def test_a_date_range_prunes_silver_partitions(spark):
     assert len(read) <= 3
 
 
+def test_a_filter_on_the_folder_date_prunes_bronze_folders(spark):
+    rows = bronze.scan(spark, fixture.bronze_tree(spark, SF_DIR))
+    some = rows.where(bronze.folder_date(rows) == F.lit("2024-01-05").cast("date"))
+    assert "PartitionFilters: [" in plan(some) and "make_date(year" in plan(some)
+    assert some.select(F.col("_metadata.file_path")).distinct().count() == 1
+
+
+def test_a_hot_user_is_split_in_a_row_by_row_join(spark, tmp_path, tight):
+    number = F.col("id").cast("string")
+    events = spark.range(0, 300_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha2(number, 256)).alias("user_id"),
+        F.sha2(F.concat(number, F.lit("x")), 256).alias("page_url"),
+    )
+    events.write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))
+    users = events.select("user_id").distinct().withColumn("plan", F.lit("pro"))
+    users.write.parquet(str(tmp_path / "users"))
+    joined = enrich(events, spark.read.parquet(str(tmp_path / "users")), "user_id")
+    assert len(joined.collect()) == 300_000
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+
+
 def test_the_mart_reads_only_its_columns(spark):
     staging = stg_events(read_silver(spark, fixture.full_lake(spark, SF_DIR).silver))
     shape = plan(daily_event_summary(staging))
@@ -87,30 +111,16 @@ def test_a_hot_partition_is_split_on_write(spark, tmp_path):
     assert read_silver(spark, str(tmp_path / "silver")).count() == rows.count()
 
 
-def test_a_hot_id_is_split_in_the_upsert_join(spark, tmp_path):
-    tight = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "64",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
-    }
-    before = {name: spark.conf.get(name, None) for name in tight}
-    for name, value in tight.items():
-        spark.conf.set(name, value)
-    try:
-        number = F.col("id").cast("string")
-        silver = spark.range(0, 300_000, 1, 16).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha2(number, 256)).alias("event_id"),
-            F.sha2(F.concat(number, F.lit("x")), 256).alias("page_url"),
-        )
-        silver.write.parquet(str(tmp_path / "silver"))
-        silver = spark.read.parquet(str(tmp_path / "silver"))
-        incoming = silver.select("event_id").where("event_id < '5'")
-        ids = publish.written_distinct(incoming, str(tmp_path / "ids"))
-        survivors = silver.join(ids, "event_id", "left_anti")
-        assert len(survivors.collect()) > 100_000
-        assert "SortMergeJoin(skew=true)" in plan(survivors)
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+def test_a_hot_id_is_split_in_the_upsert_join(spark, tmp_path, tight):
+    number = F.col("id").cast("string")
+    silver = spark.range(0, 300_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha2(number, 256)).alias("event_id"),
+        F.sha2(F.concat(number, F.lit("x")), 256).alias("page_url"),
+    )
+    silver.write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    incoming = silver.select("event_id").where("event_id < '5'")
+    ids = publish.written_distinct(incoming, str(tmp_path / "ids"))
+    survivors = silver.join(ids, "event_id", "left_anti")
+    assert len(survivors.collect()) > 100_000
+    assert "SortMergeJoin(skew=true)" in plan(survivors)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from conftest import plan
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -32,6 +33,9 @@ def test_query(spark, duck, name):
     rows = ordered(tuple(row) for row in found.select(*columns).collect())
     assert rows == ordered(expected.select(quoted).fetchall())
     assert rows
+    shape = plan(found)
+    assert "EvalPython" not in shape and "InPandas" not in shape
+    assert "CartesianProduct" not in shape and "BroadcastNestedLoopJoin" not in shape
 
 
 def test_entry(spark):

@@ -76,9 +76,10 @@ def run_daily(
 ) -> RunReport:
     """Load the folder of one day, whatever dates its events carry."""
     prepare(spark)
-    publish.recover(spark, lake.silver)
+    done = RunReport(dates=publish.recover(spark, lake.silver))
     rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date))
-    return _load(spark, lake, [rows], F.lit(str(run_date)), [str(run_date)], "daily", run_ts)
+    done.add(_load(spark, lake, [rows], F.lit(str(run_date)), [str(run_date)], "daily", run_ts))
+    return done
 
 
 def run_backfill(
@@ -100,21 +101,21 @@ def run_backfill(
     be filed anywhere: all of bronze is read, once, and then published by batch.
     """
     prepare(spark)
-    publish.recover(spark, lake.silver)
+    done = RunReport(dates=publish.recover(spark, lake.silver))
     starts = batch_starts(start, end, batch)
     if slack_days is None:
         parts = bronze_source.scan_in_parts(spark, lake.bronze)
         rows = (_dated(part, start, end) for part in parts)
         label = _batch_label("filed", start, batch)
-        return _load(spark, lake, rows, label, [str(s) for s in starts], "backfill", run_ts)
-    total = RunReport()
+        done.add(_load(spark, lake, rows, label, [str(s) for s in starts], "backfill", run_ts))
+        return done
     slack = timedelta(days=slack_days)
     for first, following in zip(starts, [*starts[1:], end + timedelta(days=1)]):
         last = following - timedelta(days=1)
         folders = bronze_source.scan_days(spark, lake.bronze, first - slack, last + slack)
         rows = [_dated(folders, first, last)]
-        total.add(_load(spark, lake, rows, F.lit(str(first)), [str(first)], "backfill", run_ts))
-    return total
+        done.add(_load(spark, lake, rows, F.lit(str(first)), [str(first)], "backfill", run_ts))
+    return done
 
 
 def batch_starts(start: date, end: date, batch: str | None) -> list[date]:
@@ -199,6 +200,10 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
     which bounds the summary's shuffle.
     """
     prepare(spark)
+    # Models must not see a silver partition some run left half replaced.
+    recovered = publish.recover(spark, lake.silver)
+    if dates is not None:
+        dates = sorted({*dates, *recovered})
     partitions = publish.partitions_of(spark, lake.silver, dates)
     for _, month in publish.by_month(partitions):
         # Silver files hold one date each, so staging is written without a shuffle.
@@ -230,7 +235,7 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
     work area never holds more than a month of survivors.
     """
     prepare(spark)
-    publish.recover(spark, lake.silver)
+    recovered = publish.recover(spark, lake.silver)
     request = workarea.batch_folder(spark, lake.silver, "erase")
     users = publish.written_distinct(users.select("user_id"), f"{request}/users")
     hit = events_of(read_silver(spark, lake.silver), users)
@@ -245,7 +250,7 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
         publish.replace(spark, lake.silver, batch, group)
         workarea.clear(spark, batch)
     workarea.clear(spark, request)
-    return dates
+    return sorted({*dates, *recovered})
 
 
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:

@@ -113,13 +113,22 @@ def write_partitions(rows: DataFrame, silver: str) -> None:
     )
 
 
-def recover(spark: SparkSession, silver: str) -> None:
-    """Finish replacements an earlier run broke off, drop what it only prepared."""
+def recover(spark: SparkSession, silver: str) -> list[str]:
+    """Finish replacements an earlier run broke off, drop what it only prepared.
+
+    Returns the event dates this changed.
+    """
+    dates = set()
     for batch in workarea.batches(spark, silver):
         if workarea.ready(spark, batch):
             names = spark.read.text(f"{batch}/replaced").collect()
-            replace(spark, silver, batch, [row[0] for row in names])
+            replaced = [row.value for row in names]
+            replace(spark, silver, batch, replaced)
+            keys = {key_of(path) for path in replaced}
+            keys |= keys_of(workarea.replacement(spark, batch))
+            dates.update(event_date for event_date, _ in keys)
         workarea.clear(spark, batch)
+    return sorted(dates)
 
 
 def _text(column: str):

@@ -147,12 +147,31 @@ def test_a_broken_replacement_is_finished_by_the_next_run(spark, lake, monkeypat
     with pytest.raises(RuntimeError, match="lost"):
         daily(spark, lake, "2026-06-02")
     monkeypatch.setattr(publish, "write_partitions", whole)
-    # Any later run repairs silver first, also one that loads nothing.
-    daily(spark, lake, "2026-07-01")
+    # Any later run repairs silver first, also one that loads nothing, and reports it.
+    assert daily(spark, lake, "2026-07-01").dates == ["2026-06-02"]
     assert ids(spark, lake) == ["a", "b", "c", "d", "x"]
     assert workarea.batches(spark, lake.silver) == []
 
 
+def test_models_repair_silver_first(spark, lake, monkeypatch):
+    spill(lake)
+    jobs.build_models(spark, lake, daily(spark, lake, "2026-06-01").dates)
+    whole = publish.write_partitions
+
+    def broken(rows, silver):
+        for path in Path(silver).rglob("event_date=2026-06-02/*/*"):
+            path.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(publish, "write_partitions", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        daily(spark, lake, "2026-06-02")
+    monkeypatch.setattr(publish, "write_partitions", whole)
+    jobs.build_models(spark, lake, [])
+    staged = jobs.read_staging(spark, lake.staging).collect()
+    assert sorted(r.event_id for r in staged) == ["a", "b", "c", "d", "x"]
+
+
 def test_an_unfinished_preparation_is_dropped(spark, lake, monkeypatch):
     spill(lake)
     daily(spark, lake, "2026-06-01")

@@ -32,9 +32,9 @@ from eventlake.llm.words import mix, shingle_sets
 #: Counters of the sketch and of one of its blocks; the sketch is 4 MB whatever the input.
 SKETCH, BLOCK = 1 << 20, 1 << 14
 #: 64-bit words of a signature.
-SIGNATURE = 8
+SIGNATURE = 32
 #: Nodes in a tile of signatures, and pairs compared at once in one.
-TILE, PAIRS = 4096, 1 << 19
+TILE, PAIRS = 4096, 1 << 16
 #: Shingles in a chunk of a tile of sets.
 CHUNK_SHINGLES = 1 << 20
 

@@ -23,10 +23,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark then deletes what an execution has shuffled when it ends; results are in written tables.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(rows: DataFrame, name: str = "table") -> DataFrame:
     """Writes rows as Parquet and reads them back: lineage ends here, a lost executor loses nothing."""
     spark = rows.sparkSession
     path = new_path(spark, name)
+    spark.conf.set(CLEANUP, "true")
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

@@ -14,6 +14,7 @@ from eventlake.llm import (
     language_id,
     mixing,
     packed_ids,
+    pii,
     quality_model,
     sentence_pieces,
     warc,
@@ -50,9 +51,23 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op5_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(documents, pii.fitted(documents))
+    base = F.filter("spans", lambda x: x["base"])
+    counts = (
+        F.size(F.filter(base, pii.of_kind(k))).cast("long").alias(f"n_{k}")
+        for k in pii.BASE
+    )
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    found = language_id.identified(documents, language_id.trained(documents, PIECES))
+    model = language_id.trained(documents, PIECES)
+    found = language_id.identified(documents.select("doc_id", "text"), model)
     return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
@@ -67,7 +82,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sentence_pieces.encode_decode(_table(spark, sf_dir, "documents"), PIECES)
+    found = sentence_pieces.encode_decode(_table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
     return found.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -91,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_embedding_near_dedup,
         op3_packed_token_ids,
         op4_ngram_jaccard_join,
+        op5_pii_weak_supervision,
         op6_language_id,
         op7_warc_capture_index,
         op8_source_mixing,

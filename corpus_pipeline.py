@@ -1,27 +1,76 @@
-"""A corpus in stages: each reads what the one before has kept and writes what it keeps."""
+"""A corpus in five stages: each reads what the one before has kept and writes what it keeps."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm.jaccard_join import jaccard_components
+from eventlake.llm import jaccard_join, language_id, mixing, pii, sentence_pieces
 from eventlake.llm.tables import stored
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: Lowest probability of the language found.
+SURE = 0.5
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is one of the corpus and clear; their lang is what was found.
+    Documents without letters have none and go."""
+    model = language_id.trained(docs, PIECES)
+    found = language_id.identified(docs, model, lang_pred="_found", score="_score")
+    sure = found.where((F.col("_found") != language_id.UNDETERMINED) & (F.col("_score") >= SURE))
+    return sure.withColumn("lang", F.col("_found")).select(docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links connect the document with the smallest id stays."""
-    groups = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
-    return kept.select(docs.columns)
+    """Of each group that links connect, the document with the smallest id stays; documents
+    without an id stay."""
+    groups = jaccard_join.jaccard_components(docs)
+    surplus = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(stored(surplus, "surplus"), "doc_id", "left_anti").select(docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with each span of personal data replaced by its kind in brackets."""
+    found = pii.with_spans(docs, pii.fitted(docs), name="_spans")
+    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("_spans")))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it. Rows that repeat a doc_id share its copies."""
+    copies = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    copies = stored(copies.withColumnRenamed("doc_id", "_id"), "copies")
+    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as token ids: doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit
+    integers) and whether they decode to the text."""
+    found = sentence_pieces.encode_decode(docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), PIECES)
+    return found.select(
+        "doc_id",
+        "lang",
+        "source",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("_text")).alias("decodes"),
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", known_language),
     ("near_duplicates", near_duplicates),
+    ("personal_data", without_personal_data),
+    ("source_mix", mixed_sources),
+    ("sentencepiece", encoded),
 ]
 
-#: Hashes, models and connected components are not for SQL: tests/llm compares the stages.
+#: Models and tokenizers are not for SQL: tests/llm compares the stages with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from eventlake.llm.words import BASE, mix
 
@@ -243,21 +244,23 @@ def trained(
     return model
 
 
-def identified(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) for every row: the likeliest language and its probability among
-    the learned ones; `und` and 0 for a null text, one without letters, or if none was learned.
-    Repeated rows and null ids are kept; other columns are not looked at."""
+def identified(
+    documents: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """Every row with two more columns: the likeliest language and its probability among the
+    learned ones; `und` and 0 for a null text, one without letters, or if none was learned.
+    Other columns and repeated rows stay as they are; columns of the new names are replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column(text).to_pylist()
             found = [x for at in range(0, len(texts), 256) for x in scorer(texts[at : at + 256])]
             columns = list(zip(*found, strict=True)) if found else [(), ()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            )
+            added = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64())]
+            kept = [batch.column(c) for c in rows.columns]
+            yield pa.RecordBatch.from_arrays([*kept, *added], [*rows.columns, lang_pred, score])
 
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    rows = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c not in (lang_pred, score)))
+    schema = StructType(rows.schema.fields + [StructField(lang_pred, StringType()), StructField(score, DoubleType())])
+    return rows.mapInArrow(run, schema)

@@ -15,12 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from eventlake.llm.chunks import ChunkTable, marked_chunks, slices
 
-SCHEMA = "doc_id long, ids binary, decoded string"
-
-
 def splits_at_markers(model: str) -> bool:
     """Whether words can be segmented one by one with the same result."""
     from sentencepiece import sentencepiece_model_pb2
@@ -61,30 +59,31 @@ class Encoder:
         return self.library.decode(ids.tolist())
 
 
-def encode_decode(documents: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, decoded) for every row; ids are little-endian unsigned 32-bit integers with
-    the begin and end ids, decoded is the library's decode of them.
+def encode_decode(
+    documents: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """Every row with two more columns in place of its text: the ids, little-endian unsigned
+    32-bit integers with the begin and end ids, and the library's decode of them.
 
-    A null or empty text has the begin and end ids only and decodes to the empty text. Rows are
-    kept as they are, repeated or with a null doc_id; other columns are not looked at. model is
+    A null or empty text has the begin and end ids only and decodes to the empty text. Other
+    columns and repeated rows stay as they are; columns of the new names are replaced. model is
     a path that every machine has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             done = 0
-            for group in slices(texts):
+            for group in slices(batch.column(text).to_pylist()):
                 found = list(encoder.encode(group))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(done, len(group)),
-                        pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()),
-                        pa.array([encoder.decode(x) for x in found], pa.string()),
-                    ],
-                    ["doc_id", "ids", "decoded"],
-                )
+                added = [
+                    pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()),
+                    pa.array([encoder.decode(x) for x in found], pa.string()),
+                ]
+                part = [batch.column(c).slice(done, len(group)) for c in others]
+                yield pa.RecordBatch.from_arrays([*part, *added], [*others, ids, decoded])
                 done += len(group)
 
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    others = [c for c in documents.columns if c not in (text, ids, decoded)]
+    fields = [documents.schema[c] for c in others]
+    schema = StructType(fields + [StructField(ids, BinaryType()), StructField(decoded, StringType())])
+    return documents.select(*(F.col(f"`{c}`") for c in [*others, text])).mapInArrow(run, schema)

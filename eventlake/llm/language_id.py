@@ -258,9 +258,10 @@ def identified(
             found = [x for at in range(0, len(texts), 256) for x in scorer(texts[at : at + 256])]
             columns = list(zip(*found, strict=True)) if found else [(), ()]
             added = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64())]
-            kept = [batch.column(c) for c in rows.columns]
-            yield pa.RecordBatch.from_arrays([*kept, *added], [*rows.columns, lang_pred, score])
+            kept = [batch.column(c) for c in others]
+            yield pa.RecordBatch.from_arrays([*kept, *added], [*others, lang_pred, score])
 
-    rows = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c not in (lang_pred, score)))
+    others = [c for c in documents.columns if c not in (lang_pred, score)]
+    rows = documents.select(*(F.col(f"`{c}`") for c in others))
     schema = StructType(rows.schema.fields + [StructField(lang_pred, StringType()), StructField(score, DoubleType())])
     return rows.mapInArrow(run, schema)

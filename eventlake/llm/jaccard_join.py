@@ -31,10 +31,10 @@ from eventlake.llm.words import mix, shingle_sets
 
 #: Counters of the sketch and of one of its blocks; the sketch is 4 MB whatever the input.
 SKETCH, BLOCK = 1 << 20, 1 << 14
-#: 64-bit words of a signature.
-SIGNATURE = 32
-#: Nodes in a tile of signatures, and pairs compared at once in one.
-TILE, PAIRS = 4096, 1 << 16
+#: 64-bit words of the narrowest and the widest signature.
+NARROW, WIDE = 8, 1 << 14
+#: Nodes in a tile of signatures, pairs listed and 64-bit words compared at once in one.
+TILE, PAIRS, WORDS = 4096, 1 << 18, 1 << 21
 #: Shingles in a chunk of a tile of sets.
 CHUNK_SHINGLES = 1 << 20
 
@@ -79,10 +79,53 @@ def shingle_sketch(texts: DataFrame, k: int) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """Bits set at hashed positions."""
-    bits = np.zeros(SIGNATURE * 64, dtype=np.uint8)
-    bits[(hashes >> np.uint64(33)) % np.uint64(SIGNATURE * 64)] = 1
-    return np.packbits(bits, bitorder="little")
+    """64-bit words with bits set at hashed positions. The width, a power of two, goes with the
+    size band of the set: two to four bits for each element."""
+    words = min(max(NARROW, 1 << (len(hashes) // 32).bit_length()), WIDE)
+    bits = np.zeros(words * 64, dtype=np.uint8)
+    bits[hashes >> np.uint64(33) & np.uint64(words * 64 - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Signatures, one per row, as those of a lesser width: halves laid over each other."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+class Signatures:
+    """Signatures of different widths, compared pair by pair at the lesser width of both."""
+
+    def __init__(self, rows: list[bytes]) -> None:
+        self.words = np.array([len(x) // 8 for x in rows])
+        self.own = {}
+        self.at = np.zeros(len(rows), dtype=np.int64)
+        for words in np.unique(self.words).tolist():
+            where = np.flatnonzero(self.words == words)
+            self.own[words] = np.frombuffer(b"".join(rows[i] for i in where), dtype=np.uint64).reshape(-1, words)
+            self.at[where] = np.arange(len(where))
+
+    def _of(self, rows: np.ndarray, words: int) -> np.ndarray:
+        out = np.empty((len(rows), words), dtype=np.uint64)
+        width = self.words[rows]
+        for own in np.unique(width).tolist():
+            here = width == own
+            out[here] = folded(self.own[own][self.at[rows[here]]], words)
+        return out
+
+    def lacking(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many bits of a are not in b, and of b not in a, for every pair."""
+        out = np.empty((2, len(a)), dtype=np.int64)
+        least = np.minimum(self.words[a], self.words[b])
+        for words in np.unique(least).tolist():
+            pairs = np.flatnonzero(least == words)
+            for part in np.array_split(pairs, -(-len(pairs) * words // WORDS)):
+                x, y = self._of(a[part], words), self._of(b[part], words)
+                out[0, part] = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+                out[1, part] = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+        return out[0], out[1]
 
 
 def digest(own: np.ndarray) -> int | None:
@@ -177,7 +220,7 @@ def _close_pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np
     pivot, low, high, chunk, n = (
         table.column(c).to_numpy().astype(np.int64) for c in ("pivot", "low", "high", "chunk", "n")
     )
-    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, SIGNATURE)
+    bits = Signatures(table.column("bits").to_pylist())
     new = np.flatnonzero(
         np.r_[True, (pivot[1:] != pivot[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
     )
@@ -198,8 +241,7 @@ def _close_pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np
         a, b = a[meet], b[meet]
         both = n[a] + n[b]
         need = -(-percent * both // (100 + percent))
-        lacking_a = np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1, dtype=np.int64)
-        lacking_b = np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1, dtype=np.int64)
+        lacking_a, lacking_b = bits.lacking(a, b)
         close = np.minimum(n[a] - lacking_a, n[b] - lacking_b) >= need
         if close.any():
             yield a[close], b[close]
@@ -270,7 +312,8 @@ def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             rows = pa.RecordBatch.from_arrays([batch.column("node"), arrays], ["node", "shingles"])
             yield rows.filter(pa.array(right, pa.bool_()))
 
-    rows = texts.join(wanted, texts.doc_id == wanted.doc).select("node", "text")
+    # the same plan at every size: a broadcast would only do for small tables
+    rows = texts.hint("merge").join(wanted, texts.doc_id == wanted.doc).select("node", "text")
     return rows.mapInArrow(build, "node long, shingles binary")
 
 

@@ -1,0 +1,88 @@
+import math
+
+import numpy as np
+import pytest
+
+from eventlake.llm import embedding_join
+from eventlake.llm.embedding_join import near_duplicates
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, threshold=0.9):
+    good = {}
+    for at, (_, v, *_) in enumerate(rows):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v) and rows[at][0] is not None:
+            x = np.array(v, dtype=np.float32).astype(np.float64)
+            good[at] = x / np.linalg.norm(x / np.abs(x).max()) / np.abs(x).max()
+    links = {at: set() for at in range(len(rows))}
+    for a in good:
+        for b in good:
+            if a != b and len(good[a]) == len(good[b]) and float(good[a] @ good[b]) >= threshold:
+                links[a].add(b)
+    out = []
+    for at, (i, *_) in enumerate(rows):
+        seen, open_ = {at}, [at]
+        while open_:
+            for b in links[open_.pop()] - seen:
+                seen.add(b)
+                open_.append(b)
+        out.append((i, len(links[at]), min((rows[x][0] for x in seen if rows[x][0] is not None), default=None)))
+    return sorted(out, key=str)
+
+
+def made(n, dims=64, seed=0, spread=0.25):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n // 8 + 1, dims))
+    rows = []
+    for i in range(n):
+        v = rng.standard_normal(dims) if rng.random() < 0.4 else centres[rng.integers(len(centres))]
+        v = v + rng.standard_normal(dims) * spread * rng.random()
+        rows.append((i * 3 + 1, [float(x) for x in v * rng.uniform(0.1, 9)], int(i % 4)))
+    return rows
+
+
+def found(table):
+    rows = near_duplicates(table).collect()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in rows if r.vec_id is not None)
+    return sorted(((r.vec_id, r.n_links, r.component_id) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("tile", [16384, 40])
+def test_agrees_with_brute_force(spark, monkeypatch, tile):
+    # with small tiles there are many cells, visits, and cells cut into chunks
+    monkeypatch.setattr(embedding_join, "TILE", tile)
+    rows = made(500)
+    rows += [(i + 5000, rows[3][1], 9) for i in range(60)]
+    want = plain(rows)
+    assert found(spark.createDataFrame(rows, SCHEMA).repartition(6)) == want
+    assert max(x[1] for x in want) >= 60
+
+
+def test_odd_vectors_link_with_nothing(spark):
+    v = [1.0] + [0.5] * 7
+    rows = [
+        (1, v, 0), (2, v, 0), (2, v, 0), (3, None, 0), (4, [], 0), (5, [0.0] * 8, 0), (6, [*v[:7], None], 0),
+        (7, [*v[:7], float("nan")], 0), (8, [*v[:7], float("inf")], 0), (9, v[:4], 0), (None, v, 0),
+        (11, [x * 1e-30 for x in v], None), (12, [x * 1e30 for x in v], None), (13, [-x for x in v], 1),
+    ]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+
+
+def test_an_empty_table(spark):
+    assert found(spark.createDataFrame([], SCHEMA)) == []
+    assert found(spark.createDataFrame([(1, None, 0)], SCHEMA)) == [(1, 0, 1)]
+
+
+def test_other_widths_and_clashing_columns(spark):
+    rows = [(a, b, str(a)) for a, b, _ in made(80, dims=24, seed=4)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string")
+    got = sorted(((r.vec_id, r.n_links) for r in near_duplicates(table).collect()))
+    assert got == sorted((i, n) for i, n, _ in plain([(a, [float(np.float64(x)) for x in b]) for a, b, _ in rows]))
+
+
+def test_rotation_keeps_lengths_and_does_not_depend_on_the_batch():
+    x = np.random.default_rng(2).standard_normal((9, 40))
+    turned = embedding_join.rotated(x)
+    assert np.allclose(np.linalg.norm(turned, axis=1), np.linalg.norm(x, axis=1))
+    assert np.array_equal(turned[3], embedding_join.rotated(x[3:4])[0])

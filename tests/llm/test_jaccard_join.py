@@ -1,0 +1,142 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from eventlake.llm import jaccard_join
+from eventlake.llm.components import components
+from eventlake.llm.jaccard_join import jaccard_components, jaccard_links
+from eventlake.llm.words import shingle_sets
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_set(text, k=5):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+    k = min(k, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def plain_links(rows, percent=75):
+    sets = [(i, plain_set(t)) for i, t in rows]
+    links = []
+    for x, (i, a) in enumerate(sets):
+        for j, b in sets[x + 1 :]:
+            both = len(a & b)
+            if a and b and 100 * both >= percent * (len(a) + len(b) - both):
+                links.append((i, j))
+    return links
+
+
+def plain_components(rows):
+    least = {i: i for i, _ in rows}
+
+    def find(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, j in plain_links(rows):
+        a, b = find(i), find(j)
+        least[max(a, b)] = min(a, b)
+    return {i: find(i) for i, _ in rows}
+
+
+def texts(seed, n):
+    """Documents of all sizes with exact and near copies, shared passages and odd blanks."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)] + ["É", "Ünder", "ABC", "a b"]
+    passage = " ".join(rng.choices(words, k=30))
+    made = []
+    for _ in range(n):
+        kind = rng.random()
+        if made and kind < 0.2:
+            text = rng.choice(made)
+        elif made and kind < 0.6:
+            parts = rng.choice(made).split(" ")
+            for _ in range(rng.randint(1, 4)):
+                parts[rng.randrange(len(parts))] = rng.choice(words)
+            text = " ".join(parts)
+        else:
+            text = rng.choice([" ", "\n", "  "]).join(rng.choices(words, k=rng.choice([0, 1, 3, 5, 6, 20, 80, 300])))
+        if kind > 0.8:
+            text += " " + passage
+        made.append(text)
+    return made
+
+
+def odd_rows():
+    made = texts(5, 400)
+    return [(7 * i + 3, x) for i, x in enumerate(made)] + [(5000, None), (5001, ""), (5002, " \t\n")]
+
+
+def test_components_agree_with_brute_force(spark):
+    rows = odd_rows()
+    # columns that clash with names used inside
+    table = spark.createDataFrame([(i, t, i, "x", 0) for i, t in rows], "doc_id long, text string, node long, n string, pivot int")
+    got = {r.doc_id: r for r in jaccard_components(table.repartition(5)).collect()}
+    want = plain_components(rows)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert {i: r.n_shingles for i, r in got.items()} == {i: len(plain_set(t)) for i, t in rows}
+    assert any(i != c for i, c in want.items())
+
+
+def test_every_link_is_found_between_representatives(spark, monkeypatch):
+    rows = odd_rows()
+    # small bounds: groups are cut into chunks that meet pairwise
+    monkeypatch.setattr(jaccard_join, "TILE", 10)
+    monkeypatch.setattr(jaccard_join, "CHUNK_SHINGLES", 500)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    links, members = jaccard_links(table, every_link=True)
+    doc = {r.doc_id: r.doc for r in members.collect()}
+    got = {(min(r.u, r.v), max(r.u, r.v)) for r in links.collect()}
+    want = {(min(doc[i], doc[j]), max(doc[i], doc[j])) for i, j in plain_links(rows) if doc[i] != doc[j]}
+    assert got == want and want
+    same = {}
+    for i, t in rows:
+        if plain_set(t):
+            same.setdefault(frozenset(plain_set(t)), []).append(i)
+    assert all(doc[i] == min(ids) for ids in same.values() for i in ids)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(4, text), (4, text), (9, text + " more"), (None, text), (None, "other words altogether in here"), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(table).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(4, 36, 4), (4, 36, 4), (9, 37, 4), (None, 36, 4), (None, 1, None), (None, 0, None)], key=str
+    )
+
+
+def test_empty_table(spark):
+    assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_a_very_long_text_and_slices():
+    text = " ".join(f"x{i % 70000}" for i in range(900_000))
+    found = list(shingle_sets(pa.array(["a b", text, None, "a b"]), 5))
+    assert [len(x) for x in found] == [1, 70000, 0, 1]
+    assert found[0] == found[3]
+
+
+@pytest.mark.parametrize("n", [0, 1, 30])
+def test_components_of_chains(spark, n):
+    edges = [(i, i + 1) for i in range(n)] + [(100, 100), (200, 201), (201, 200), (300, None)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    want = {i: 0 for i in range(n + 1)} if n else {}
+    assert got == want | {200: 200, 201: 200}
+
+
+def test_signature_bounds_overlap():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        pool = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)
+        sets = [np.unique(rng.choice(pool, rng.integers(1, n))) for n in (200, 200, 900, 3000)]
+        bits = jaccard_join.Signatures([jaccard_join.signature(x).tobytes() for x in sets])
+        a, b = np.array([0, 0, 1, 2, 0]), np.array([1, 2, 3, 3, 0])
+        for x, y, less_x, less_y in zip(a, b, *bits.lacking(a, b), strict=True):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            assert both <= min(len(sets[x]) - less_x, len(sets[y]) - less_y)

@@ -1,0 +1,102 @@
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from eventlake.llm import chunks, packed_ids
+from eventlake.llm.chunks import blank_lists, slices
+from eventlake.llm.packed_ids import Reader, bits_for, pack, read_packed, unpack, write_packed
+
+MODEL = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [None, "", " ", "  a", "a  b ", "x \n y", "tab\t\ttab", "it's don't", "<|endoftext|> a <|endoftext|>", "é ü 𝔘",
+       "  a  b  c", "\x1c a \x85 b", "a" * 5000, " \r\n \r\n x", "１２ ३४ ²½", "日本 語 テスト"]
+
+
+@given(st.integers(1, 32), st.data())
+@settings(max_examples=60, deadline=None)
+def test_packing(width, data):
+    ids = np.array(data.draw(st.lists(st.integers(0, (1 << width) - 1), max_size=300)), dtype=np.uint32)
+    packed = pack(ids, width)
+    assert len(packed) == -(-len(ids) // 64) * 8 * width
+    assert np.array_equal(unpack(packed, width)[: len(ids)], ids)
+
+
+def test_an_id_that_does_not_fit():
+    with pytest.raises(ValueError):
+        pack(np.array([8], dtype=np.uint32), 3)
+    assert [bits_for(n) for n in (1, 2, 3, 256, 257, 50257)] == [1, 1, 2, 8, 9, 16]
+
+
+LIBRARY, ENCODER = Tokenizer.from_file(MODEL), packed_ids.Encoder(MODEL)
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("abs1éλ \n\t'  \x1c.\x01#日ª"), max_size=30), max_size=4))
+@settings(max_examples=500, deadline=None)
+def test_chunks_do_not_change_ids(texts):
+    column = pa.array(texts, pa.string())
+    assert ["".join(x) for x in blank_lists(column).to_pylist()] == texts
+    want = [LIBRARY.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [x.tolist() for x in ENCODER.encode(column)] == want
+
+
+def test_real_texts_and_slices(monkeypatch):
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    texts = [x for (x,) in texts] + ODD
+    monkeypatch.setattr(chunks, "SLICE", 5000)
+    monkeypatch.setattr(chunks, "KEPT", 700)
+    encoder = packed_ids.Encoder(MODEL)
+    got = [x.tolist() for part in slices(pa.array(texts)) for x in encoder.encode(part)]
+    assert got == [LIBRARY.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert len(encoder.table.codes) == 700
+
+
+def rows():
+    return [(i * 5 - 20, t, "x") for i, t in enumerate(ODD * 3)]
+
+
+def plain(table):
+    start, out = 0, []
+    for name, text in sorted(table, key=lambda r: (r[0], r[1] is not None, r[1] or "")):
+        ids = LIBRARY.encode(text or "", add_special_tokens=False).ids + [0]
+        out.append((name, start, zlib.crc32(np.array(ids, dtype="<u4").tobytes()), ids))
+        start += len(ids)
+    return out
+
+
+def test_files_hold_all_ids_in_order(spark, tmp_path):
+    table = [*rows(), (3, "repeated", ""), (3, "repeated", ""), (None, "left out", "")]
+    frame = spark.createDataFrame(table, "doc_id long, text string, part string").repartition(5)
+    files = write_packed(frame, f"file://{tmp_path}/ids", MODEL, 50257, 0)
+    got = sorted(
+        (r.doc_id, r.start, zlib.crc32(r.ids), np.frombuffer(r.ids, "<u4").tolist()) for r in read_packed(spark, files).collect()
+    )
+    assert got == sorted(plain([(a, b) for a, b, _ in table if a is not None]))
+    # random access to a document and to any range
+    reader = Reader(files.orderBy("part").first().path)
+    whole = reader.ids(0, reader.n_ids)
+    assert np.array_equal(reader.ids(5, 17), whole[5:17]) and len(reader.ids(9, 9)) == 0
+    assert np.array_equal(np.concatenate([reader.document(i) for i in range(len(reader.documents))]), whole)
+
+
+def test_empty_table(spark, tmp_path):
+    files = write_packed(spark.createDataFrame([], "doc_id long, text string"), f"{tmp_path}/none", MODEL, 50257, 0)
+    assert read_packed(spark, files).collect() == []
+
+
+def test_many_blocks(tmp_path):
+    ids = np.random.default_rng(0).integers(0, 1 << 11, 3_000_000).astype(np.uint32)
+    path = str(tmp_path / "x.ids")
+    writer = packed_ids.Writer(open(path, "wb"), 11)
+    for i, part in enumerate(np.array_split(ids, 7)):
+        writer.add(i, part)
+    writer.close()
+    reader = Reader(path)
+    assert np.array_equal(np.concatenate([x for _, _, x in reader]), ids)
+    for start, stop in ((0, 1), (4095, 4097), (1_234_567, 1_300_001), (2_999_999, 3_000_000)):
+        assert np.array_equal(reader.ids(start, stop), ids[start:stop])

@@ -1,0 +1,150 @@
+import hashlib
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from eventlake.llm import language_id, pii
+from eventlake.llm.queries import ORACLES, QUERIES
+from eventlake.llm.tables import stored
+
+from .test_jaccard_join import plain_components
+from .test_mixing import plain as plain_mix
+from .test_pii import plain as plain_spans
+from .test_winnowing import plain_rows
+
+SF = "/root/testdata/sf0.001"
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return duckdb.sql(f"SELECT * FROM '{SF}/documents.parquet'").fetchall()
+
+
+def collected(spark, name):
+    return QUERIES[name](spark, SF).collect()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql_agrees(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.sql(ORACLES[name])
+    rows = QUERIES[name](spark, SF).select(*want.columns)
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_op1(spark, documents):
+    rows = [(r[0], r[1], 0) for r in documents]
+    assert sorted(map(tuple, collected(spark, "op1_winnowing_fingerprints")), key=str) == plain_rows(rows)
+
+
+def test_op3(spark, documents):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    start, want = 0, []
+    for i, text, *_ in sorted(documents):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, collected(spark, "op3_packed_token_ids"))) == want
+
+
+def test_op5(spark, documents):
+    got = {r.doc_id: r for r in collected(spark, "op5_pii_weak_supervision")}
+    assert len(got) == len(documents)
+    for i, text, *_ in documents:
+        want = plain_spans(text)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(got[i].spans.split(",")) | {""}
+        for kind in ("email", "ip", "card", "phone"):
+            assert got[i][f"n_{kind}"] == sum(x.startswith(kind + ":") for x in want)
+
+
+def test_op6(spark, documents):
+    got = {r.doc_id: r for r in collected(spark, "op6_language_id")}
+    assert all(got[r[0]].held_out == (zlib.crc32(str(r[0]).encode()) % 5 == 0) for r in documents)
+    out = [r for r in documents if got[r[0]].held_out]
+    assert sum(got[r[0]].lang_pred == r[2] for r in out) >= 0.97 * len(out)
+
+
+def test_op9(spark, documents):
+    got = {r.doc_id: tuple(r)[1:] for r in collected(spark, "op9_sentencepiece")}
+    for i, text, *_ in documents:
+        ids = [1, *LIBRARY.encode(text or ""), 2]
+        digests = [hashlib.sha256(x).hexdigest() for x in (np.array(ids, "<u4").tobytes(), LIBRARY.decode(ids).encode())]
+        assert got[i] == (len(ids), *digests)
+
+
+def test_op10(spark):
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{SF}/labels.parquet'").fetchall())
+    got = {r.doc_id: r for r in collected(spark, "op10_quality_classifier")}
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in got.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
+    assert np.mean([got[i].predicted == q for i, q in labels.items()]) > 0.9
+
+
+def test_stages_one_by_one(spark):
+    """Each stage against a plain version of it on the rows that the stage before has kept."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(9001, None, "en", "src1", 0), (9002, "", None, None, 0), (9003, "123 !!", "xx", "src1", 6)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    names, columns = [n for n, _ in corpus_pipeline.STAGES], docs.columns
+    assert names == ["language_id", "near_duplicates", "personal_data", "source_mix", "sentencepiece"]
+    steps = dict(corpus_pipeline.STAGES)
+
+    def after(name, docs):
+        out = stored(steps[name](spark, docs, SF), name)
+        return out, [tuple(r) for r in out.collect()]
+
+    before = [tuple(r) for r in docs.collect()]
+    model = language_id.trained(docs, corpus_pipeline.PIECES)
+    found = {r.doc_id: r for r in language_id.identified(docs, model).collect()}
+    docs, rows = after("language_id", docs)
+    want = [r for r in before if re.search(r"[^\W\d_]", r[1] or "") and found[r[0]].score >= 0.5]
+    assert sorted(rows) == sorted((r[0], r[1], found[r[0]].lang_pred, *r[3:]) for r in want) and docs.columns == columns
+    assert not {9001, 9002, 9003} & {r[0] for r in rows}
+
+    least = plain_components([r[:2] for r in rows])
+    kept = sorted(r for r in rows if least[r[0]] == r[0])
+    docs, rows = after("near_duplicates", docs)
+    assert sorted(rows) == kept and docs.columns == columns
+
+    spans = pii.with_spans(docs, pii.fitted(docs)).select("doc_id", "spans").collect()
+    spans = {r.doc_id: sorted((s.start, s.end, s.kind) for s in r.spans) for r in spans}
+    assert all({f"{k}:{a}:{b}" for a, b, k in spans[r[0]]} >= set(plain_spans(r[1])) for r in kept)
+    docs, rows = after("personal_data", docs)
+
+    def redacted(text, own):
+        out, at = "", 0
+        for start, end, kind in own:
+            if start >= at:
+                out += text[at:start] + f"[{kind.upper()}]"
+            at = max(at, end)
+        return out + text[at:]
+
+    clean = [(r[0], redacted(r[1], spans[r[0]]), r[2], r[3]) for r in kept]
+    clean = sorted((*r, len(r[1])) for r in clean)
+    assert sorted(rows) == clean and not any(plain_spans(r[1]) for r in rows) and docs.columns == columns
+
+    taken = {r[0]: r[4] // r[1] if r[1] else 0 for r in plain_mix([(r[0], r[1], r[3]) for r in clean])}
+    docs, rows = after("source_mix", docs)
+    assert sorted(rows) == sorted(r for r in clean for _ in range(taken[r[0]])) and docs.columns == columns
+
+    docs, rows = after("sentencepiece", docs)
+    ids = {r[0]: np.array([1, *LIBRARY.encode(r[1]), 2], "<u4").tobytes() for r in clean}
+    want = sorted((r[0], r[2], r[3], len(ids[r[0]]) // 4, ids[r[0]], True) for r in clean for _ in range(taken[r[0]]))
+    assert sorted((*r[:4], bytes(r[4]), r[5]) for r in rows) == want
+
+
+def test_run_is_the_stages_in_a_row(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.where(F.col("decodes")).count() == out.count() > 0

@@ -17,9 +17,12 @@ the files written says which count, so that a task that ran twice leaves an unus
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.chunks import ChunkTable, blank_chunks, slices
+from eventlake.llm.chunks import ChunkTable, Ids, blank_lists, slices
 from eventlake.llm.tables import parts, stored
 
 BLOCK = 4096
@@ -158,6 +161,72 @@ class Reader:
             done = upto
 
 
+#: Chunks encoded in one call.
+CALL = 2000
+#: ASCII signs but the apostrophe, which can start a contraction; letters up to here are Latin,
+#: and letters by any version of Unicode.
+SIGNS, LATIN_END = string.punctuation.replace("'", ""), "\u0250"
+
+
+class Encoder:
+    """Encodes chunks of text, many in a call, and keeps a table of them."""
+
+    def __init__(self, tokenizer: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(tokenizer)
+        mark = self.library.encode("\n", add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        if any(len(x.split()) != 1 or x.strip() != x for x in self.special):
+            raise ValueError("added tokens with white space cannot be found in chunks of text")
+        self.table = ChunkTable(self._chunks)
+
+    def _alone(self, chunks: list[str]) -> Ids:
+        return Ids.of([x.ids for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)])
+
+    def _chunks(self, chunks: list[str]) -> Ids:
+        """A word and the signs behind it are always tokens apart, so they are encoded apart,
+        and each only once; but for the added tokens, which may be made of both."""
+        stems = [x if any(t in x for t in self.special) else x.rstrip(SIGNS) for x in chunks]
+        stems = [s if s and s[-1].isalpha() and s[-1] < LATIN_END else x for s, x in zip(stems, chunks, strict=True)]
+        tails = [x[len(s) :] for s, x in zip(stems, chunks, strict=True)]
+        numbers = {x: i for i, x in enumerate(dict.fromkeys(chain(stems, tails)))}
+        pieces = self._pieces(list(numbers))
+        code = np.array([[numbers[s] for s in stems], [numbers[t] for t in tails]]).T
+        return Ids(pieces.gather(code.reshape(-1)), pieces.lengths[code].sum(axis=1))
+
+    def _pieces(self, pieces: list[str]) -> Ids:
+        """Words go to the library in lines, which costs half: a line end before a word, or before
+        a blank and a word, is a token of its own, so ids between two line ends are one word's."""
+        word = np.array([(x[1:] if x[:1] == " " else x).isalpha() for x in pieces], dtype=bool)
+        order, found = [], []
+        for kind, encode in ((True, self._lines), (False, self._alone)):
+            rows = np.flatnonzero(word == kind)
+            order.append(rows)
+            for first in range(0, len(rows), CALL):
+                found.append(encode([pieces[i] for i in rows[first : first + CALL]]))
+        return Ids.joined(found).reordered(np.argsort(np.concatenate(order)))
+
+    def _lines(self, words: list[str]) -> Ids:
+        text = "\n".join(words) + "\n"
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        end = ids == self.mark
+        if self.mark is None or end.sum() != len(words):
+            return self._alone(words)
+        return Ids(ids[~end], np.diff(np.flatnonzero(end), prepend=-1) - 1)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        return self.table.ids(blank_lists(texts))
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str) -> Encoder:
+    """One for each Python worker: its table serves all tasks that the worker runs."""
+    return Encoder(tokenizer)
+
+
 def write_packed(
     documents: DataFrame,
     folder: str,
@@ -176,13 +245,7 @@ def write_packed(
     width = bits_for(vocabulary)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        table = ChunkTable(
-            lambda chunks: [x.ids for x in library.encode_batch_fast(chunks, add_special_tokens=False)]
-        )
+        encoder = encoder_of(tokenizer)
         end = np.array([end_id], dtype=np.uint32)
         part = TaskContext.get().partitionId()
         writer = None
@@ -194,8 +257,8 @@ def write_packed(
                 system.create_dir(os.path.dirname(place), recursive=True)
                 writer = Writer(system.open_output_stream(place), width)
             done = 0
-            for group in slices(batch.column("text").to_pylist()):
-                for ids in table.ids([blank_chunks(x) for x in group]):
+            for group in slices(batch.column("text")):
+                for ids in encoder.encode(group):
                     writer.add(names[done], np.concatenate([ids, end]))
                     done += 1
         if writer:

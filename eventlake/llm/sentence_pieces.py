@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from eventlake.llm.chunks import ChunkTable, marked_chunks, slices
+from eventlake.llm.chunks import ChunkTable, Ids, marked_lists, slices
 
 def splits_at_markers(model: str) -> bool:
     """Whether words can be segmented one by one with the same result."""
@@ -32,6 +33,12 @@ def splits_at_markers(model: str) -> bool:
     return bool(plain and own and not any(re.search("[^▁]▁", x.piece) for x in proto.pieces))
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: str) -> Encoder:
+    """One for each Python worker: its table serves all tasks that the worker runs."""
+    return Encoder(model)
+
+
 class Encoder:
     def __init__(self, model: str) -> None:
         import sentencepiece
@@ -42,16 +49,16 @@ class Encoder:
         self.ends = [np.array([x], dtype=np.uint32) for x in (self.library.bos_id(), self.library.eos_id())]
         self.table = ChunkTable(self._words)
 
-    def _words(self, words: list[str]) -> list[list[int]]:
+    def _words(self, words: list[str]) -> Ids:
         found = self.library.encode(words, num_threads=1)
-        return [ids if word else self.marker for word, ids in zip(words, found, strict=True)]
+        return Ids.of([ids if word else self.marker for word, ids in zip(words, found, strict=True)])
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids with the begin and end ids."""
         if self.by_word:
-            found = self.table.ids([marked_chunks(x) for x in texts])
+            found = self.table.ids(marked_lists(texts))
         else:
-            found = (np.array(x, dtype=np.uint32) for x in self.library.encode(texts, num_threads=1))
+            found = (np.array(x, dtype=np.uint32) for x in self.library.encode(texts.to_pylist(), num_threads=1))
         for ids in found:
             yield np.concatenate([self.ends[0], ids, self.ends[1]])
 
@@ -70,10 +77,10 @@ def encode_decode(
     a path that every machine has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = encoder_of(model)
         for batch in batches:
             done = 0
-            for group in slices(batch.column(text).to_pylist()):
+            for group in slices(batch.column(text)):
                 found = list(encoder.encode(group))
                 added = [
                     pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()),

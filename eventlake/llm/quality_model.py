@@ -167,9 +167,10 @@ def trained(
     share = F.lit(0.0)
     for c, n in counts.items():
         share = F.when(F.col("label") == c, min(1.0, PER_CLASS / n)).otherwise(share)
-    picked = known.where(draw < share).withColumn("draw", draw)
+    # a sample of bounded size, so it may be broadcast: documents are not shuffled for it
+    picked = known.where(draw < share).withColumn("draw", draw).orderBy("draw", "id").limit(3 * PER_CLASS)
     rows = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    sample = rows.join(picked, "id").orderBy("draw", "id").limit(3 * PER_CLASS).collect()
+    sample = rows.join(F.broadcast(picked), "id").orderBy("draw", "id").limit(3 * PER_CLASS).collect()
     model = Network()
     model.train([r.text.encode() for r in sample], np.array([r.label for r in sample], dtype=np.int64))
     if len(counts) == 2 and sample:

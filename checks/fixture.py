@@ -7,59 +7,81 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.contract import EVENT_COLUMNS
+from eventlake.contract import CORRUPT, EVENT_COLUMNS
 from eventlake.operators.transform import to_silver
 from eventlake.operators.validate import classify, good
 from eventlake.plans.jobs import Lake, build_models, run_backfill
 from eventlake.session import prepare, shared_folder
 
+CUT_LINE = '{"event_id": "e0000'
 RUN_TS = datetime(2024, 2, 1, 2, 0, tzinfo=timezone.utc)
 
+_SPARK_TS = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+_DUCKDB_TS = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
 SPARK_SLOTS = {
-    "ts": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")",
+    "ts": _SPARK_TS.format("ts"),
+    "east": _SPARK_TS.format("ts + interval 2 hours"),
+    "west": _SPARK_TS.format("ts - interval 330 minutes"),
     "day": "date_format(ts, 'yyyyMMdd')",
     "k": "cast(get_json_object(props, '$.k') as int)",
 }
 DUCKDB_SLOTS = {
-    "ts": "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')",
+    "ts": _DUCKDB_TS.format("ts"),
+    "east": _DUCKDB_TS.format("ts + interval 2 hours"),
+    "west": _DUCKDB_TS.format("ts - interval 330 minutes"),
     "day": "strftime(ts, '%Y%m%d')",
     "k": "cast(json_extract_string(props, '$.k') as int)",
 }
 
-# One text for both engines. One event in 16 is bad, by one rule each; one in 500
-# is filed under the day before its own, like an export that runs past midnight.
-BRONZE_SQL = """
+# One text for both engines. One event in 16 is bad, by one rule each; one in 500 is filed under
+# the day before its own, like an export that runs past midnight. One in 1000 is a line that was
+# cut off, one in 1000 comes twice (but for a few days, kept clean for jobs that refuse copies),
+# some carry another offset, a missing duration or flag, or a duration as an integral decimal.
+FIELDS_SQL = """
 select
   case when event_id % 80 = 3 then null
-       else concat('evt_', lpad(cast(event_id as varchar(20)), 12, '0')) end as event_id,
-  case when event_id % 80 = 43 then 'this is not a timestamp'
+       else concat('e', lpad(cast(event_id as varchar(20)), 10, '0')) end as event_id,
+  case when event_id % 80 = 43 then 'around noon'
+       when event_id % 7 = 1 then concat({east}, '+02:00')
+       when event_id % 7 = 2 then concat({west}, '-05:30')
+       when event_id % 7 = 3 then concat({ts}, 'Z')
        else concat({ts}, '+00:00') end as event_timestamp,
   case when event_id % 160 = 150 then null
-       when event_id % 160 = 151 then 'unknown_type'
+       when event_id % 160 = 151 then concat('x-', event_type)
        when event_type = 'view' then 'document_view'
        when event_type = 'click' then 'document_download'
        when event_type = 'purchase' then 'quiz_attempt'
        when event_type = 'signup' then 'signup'
        when {k} % 2 = 0 then 'search' else 'login' end as event_type,
   case when event_id % 80 = 63 then null
-       else concat('user_', cast(user_id as varchar(20))) end as user_id,
-  concat('sess_', cast(user_id as varchar(20)), '_', {day}) as session_id,
-  concat('doc_', cast((event_id * 7919) % 1000 as varchar(20))) as document_id,
-  concat('uni_', cast(user_id % 5 as varchar(20))) as university_id,
-  case user_id % 10 when 0 then 'NL' when 1 then 'DE' when 2 then 'US' when 3 then 'IN'
-       when 4 then 'BR' when 5 then 'ES' when 6 then 'FR' when 7 then 'GB'
-       when 8 then 'IT' else 'MX' end as country_code,
-  case event_id % 3 when 0 then 'desktop' when 1 then 'mobile' else 'tablet' end as device_type,
-  concat('/document/', cast((event_id * 7919) % 1000 as varchar(20)), '/summary') as page_url,
-  case event_id % 6 when 0 then 'google' when 1 then 'direct' when 2 then 'facebook'
-       when 3 then 'twitter' when 4 then 'instagram' else null end as referrer,
-  case when event_id % 80 = 23 then 'not_a_number'
-       else cast(5 + cast(floor(value) as int) % 596 as varchar(20)) end as duration_seconds,
-  case when user_id % 5 = 0 then 'true' else 'false' end as is_premium_user,
+       else concat('u', cast(user_id as varchar(20))) end as user_id,
+  concat('s', cast(user_id as varchar(20)), '/', {day}) as session_id,
+  concat('d', cast((event_id * 31) % 977 as varchar(20))) as document_id,
+  concat('n', cast(user_id % 25 as varchar(20))) as university_id,
+  concat('C', cast(user_id % 25 as varchar(20))) as country_code,
+  concat('kind-', cast(event_id % 3 as varchar(20))) as device_type,
+  concat('/d/', cast((event_id * 31) % 977 as varchar(20)), '?k=', cast({k} as varchar(20)))
+    as page_url,
+  case when event_id % 6 = 5 then null
+       else concat('r', cast(event_id % 6 as varchar(20))) end as referrer,
+  case when event_id % 80 = 23 then 'a while'
+       when event_id % 11 = 4 then null
+       when event_id % 13 = 5 then concat(cast(cast(floor(value) as int) as varchar(20)), '.0')
+       else cast(cast(floor(value) as int) as varchar(20)) end as duration_seconds,
+  case when event_id % 17 = 6 then null when user_id % 5 = 0 then 'true' else 'false' end
+    as is_premium_user,
   case when event_id % 500 = 7 then cast(ts as date) - 1
-       else cast(ts as date) end as folder_date
+       else cast(ts as date) end as folder_date,
+  event_id % 1000 = 33 as cut,
+  event_id % 1000 = 17
+    and cast(ts as date) not between date '2024-01-04' and date '2024-01-08' as twice
 from events
 """
+_LINE = ", ".join(f"case when cut then null else {c} end as {c}" for c in EVENT_COLUMNS)
+BRONZE_SQL = f"""
+select {_LINE}, folder_date, cut from (
+  select * from ({FIELDS_SQL}) f union all select * from ({FIELDS_SQL}) f where twice) g
+"""
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +93,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 13 raw text fields and the date of the folder each event lies in."""
+    """The 13 raw text fields, whether the line is cut off, and the date of the folder it is in."""
     sql = BRONZE_SQL.format(**SPARK_SLOTS).replace("from events", "from {events}")
-    return spark.sql(sql, events=events(spark, sf_dir))
+    rows = spark.sql(sql, events=events(spark, sf_dir))
+    return rows.withColumn(CORRUPT, F.when(F.col("cut"), CUT_LINE))
+
+
+def first_state(rows: DataFrame) -> DataFrame:
+    """The events as an export had them before corrections: some a day earlier, of another type,
+    or with the fault still to come."""
+    number = F.substring("event_id", 2, 20).try_cast("long")
+    earlier = F.try_to_timestamp("event_timestamp") - F.expr("interval 1 day")
+    text = F.concat(F.date_format(earlier, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    whole = F.col("event_type").isin("search", "login") & (number % 9 == 5)
+    return rows.withColumns(
+        {
+            "event_timestamp": F.when((number % 9 == 2) & text.isNotNull(), text).otherwise(
+                F.col("event_timestamp")
+            ),
+            "event_type": F.when(whole, "signup").otherwise(F.col("event_type")),
+            "user_id": F.coalesce("user_id", F.lit("u0")),
+        }
+    )
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,12 +129,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(prepare(spark))}/{name}-{uuid.uuid4().hex}"
 
 
-def write_bronze(spark: SparkSession, sf_dir: str, root: str, day_folders: bool = True) -> str:
+def write_bronze(
+    spark: SparkSession, sf_dir: str, root: str, day_folders: bool = True, change=lambda rows: rows
+) -> str:
     """The events as NDJSON; NULL fields are left out of a line.
 
-    Without ``day_folders`` the folders have plain names: ``<root>/<date>``.
+    Without ``day_folders`` all lines lie in one folder with a plain name.
     """
-    rows = bronze(spark, sf_dir)
+    rows = change(bronze(spark, sf_dir))
     filed = F.col("folder_date")
     parts = {
         "year": F.date_format(filed, "yyyy"),
@@ -101,7 +144,7 @@ def write_bronze(spark: SparkSession, sf_dir: str, root: str, day_folders: bool
         "day": F.date_format(filed, "dd"),
     }
     lines = rows.select(
-        F.to_json(F.struct(*EVENT_COLUMNS)).alias("value"),
+        F.coalesce(CORRUPT, F.to_json(F.struct(*EVENT_COLUMNS))).alias("value"),
         *(value.alias(name) for name, value in parts.items()),
     )
     if day_folders:
@@ -138,6 +181,13 @@ def empty_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(bronze_tree(spark, sf_dir), f"{root}/silver", f"{root}/rejected", f"{root}/gold")
 
 
+def own_bronze(spark: SparkSession, sf_dir: str, change=lambda rows: rows) -> Lake:
+    """An empty lake over a bronze tree of its own, with changed rows."""
+    root = new_folder(spark, "lake")
+    write_bronze(spark, sf_dir, f"{root}/bronze", change=change)
+    return Lake(*(f"{root}/{layer}" for layer in ("bronze", "silver", "rejected", "gold")))
+
+
 def backfill(spark: SparkSession, sf_dir: str, lake: Lake, **how) -> Lake:
     run_backfill(spark, lake, *date_bounds(spark, sf_dir), run_ts=RUN_TS, **how)
     return lake

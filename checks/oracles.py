@@ -2,9 +2,17 @@
 
 from checks.fixture import BRONZE_SQL, DUCKDB_SLOTS
 from checks.queries import DRIFT_CONTRACT
-from eventlake.contract import EVENT_COLUMNS, EVENT_TYPES, SILVER_COLUMNS, STAGING_COLUMNS
 
-TYPES = ", ".join(f"'{value}'" for value in EVENT_TYPES)
+# Lists of its own, so that a value or column lost in the engine shows as a difference.
+# The fields of an event, the types it may have, the columns of the tables.
+EVENT_COLUMNS = (
+    "event_id event_timestamp event_type user_id session_id document_id university_id country_code"
+    " device_type page_url referrer duration_seconds is_premium_user"
+).split()
+TYPES = "'document_view', 'document_download', 'search', 'signup', 'login', 'quiz_attempt'"
+SILVER_COLUMNS = [c for c in EVENT_COLUMNS if c != "event_type"]
+SILVER_COLUMNS += ["ingestion_timestamp", "event_date", "event_type"]
+STAGING_COLUMNS = [*EVENT_COLUMNS, "ingestion_timestamp", "event_date"]
 RAW = ", ".join(EVENT_COLUMNS)
 SHOWN = {
     "event_timestamp": "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') as event_timestamp",
@@ -17,36 +25,41 @@ UNSTAMPED = ", ".join(
 STAMPED = ", ".join(SHOWN.get(c, c) for c in SILVER_COLUMNS)
 STAGED = ", ".join(SHOWN.get(c, c) for c in STAGING_COLUMNS)
 
+# Whole seconds may carry an integral decimal; an instant is written in UTC.
+DURATION = "try_cast(regexp_replace(duration_seconds, '[.]0$', '') as int)"
+INSTANT = "try_cast(event_timestamp as timestamptz) at time zone 'UTC'"
+
 CHAIN = f"""
 with bronze as ({BRONZE_SQL.format(**DUCKDB_SLOTS)}),
 v as (
-  select *, try_cast(event_timestamp as timestamp) as instant,
+  select *, {INSTANT} as instant,
     case
       when event_id is null then 'missing_event_id'
       when user_id is null then 'missing_user_id'
       when event_type is null then 'missing_event_type'
       when event_type not in ({TYPES}) then 'invalid_event_type'
-      when try_cast(event_timestamp as timestamp) is null then 'bad_timestamp'
-      when try_cast(duration_seconds as int) is null and duration_seconds is not null
-        then 'duration_not_integer'
+      when {INSTANT} is null then 'bad_timestamp'
+      when {DURATION} is null and duration_seconds is not null then 'duration_not_integer'
     end as validation_error
   from bronze),
 silver as (
   select event_id, instant as event_timestamp, event_type, user_id, session_id, document_id,
-    university_id, country_code, device_type, page_url, referrer,
-    try_cast(duration_seconds as int) as duration_seconds,
+    university_id, country_code, device_type, page_url, referrer, {DURATION} as duration_seconds,
     try_cast(is_premium_user as boolean) as is_premium_user,
     cast(instant as date) as event_date, folder_date
   from v where validation_error is null)
 """
 
 SUMMARY = CHAIN + """
-select country_code, event_type, device_type, count(*) as event_count,
-  count(distinct user_id) as unique_users, count(distinct session_id) as unique_sessions,
-  count(distinct document_id) as unique_documents,
-  cast(sum(case when is_premium_user then 1 else 0 end) as bigint) as premium_user_events,
-  avg(duration_seconds) as avg_duration_seconds, strftime(g.event_date, '%Y-%m-%d') as event_date
-from silver g {where} group by country_code, event_type, device_type, g.event_date
+select strftime(day, '%Y-%m-%d') as event_date, event_type, device_type, country_code,
+  mean as avg_duration_seconds, premium as premium_user_events, docs as unique_documents,
+  sessions as unique_sessions, users as unique_users, n as event_count
+from (
+  select g.event_date as day, event_type, device_type, country_code, count(*) as n,
+    count(*) filter (where is_premium_user) as premium, count(distinct document_id) as docs,
+    count(distinct session_id) as sessions, count(distinct user_id) as users,
+    sum(duration_seconds)::double / count(duration_seconds) as mean
+  from silver g {where} group by all) daily
 """
 
 DIRTY = f"""{CHAIN},
@@ -121,14 +134,14 @@ from rated where validation_error is not null
 
 ENRICHED = f"""{CHAIN}
 select n_name, c_mktsegment, count(*) as events, count(distinct user_id) as users
-from silver left join customer on user_id = concat('user_', cast(c_custkey as varchar))
+from silver left join customer on user_id = concat('u', cast(c_custkey as varchar))
 left join nation on c_nationkey = n_nationkey
 group by n_name, c_mktsegment
 """
 
 WITH_CUSTOMER = f"""{CHAIN}
 select event_id, strftime(event_date, '%Y-%m-%d') as event_date, user_id, n_name, c_mktsegment
-from silver left join customer on user_id = concat('user_', cast(c_custkey as varchar))
+from silver left join customer on user_id = concat('u', cast(c_custkey as varchar))
 left join nation on c_nationkey = n_nationkey
 """
 
@@ -142,12 +155,11 @@ DRIFT = (
     + " union all select 'campaign', cast(0 as bigint), 'missing'"
 )
 
-REJECTED = f"""{CHAIN},
-bounds as (select cast(min(ts) as date) as start from events)
+REJECTED = f"""{CHAIN}
 select {RAW}, validation_error, '2024-02-01 02:00:00.000000' as rejected_at, 'backfill' as run,
-  strftime(greatest(start, cast(date_trunc('week', coalesce(cast(instant as date), folder_date))
-    as date)), '%Y-%m-%d') as ingest_date
-from v, bounds where validation_error is not null
+  '2024-02-01' as ingest_date, strftime(folder_date, '%Y-%m-%d') as folder_date,
+  strftime(coalesce(cast(instant as date), folder_date), '%Y-%m-%d') as filed_date
+from v where validation_error is not null
 """
 
 PUBLISHED = f"{CHAIN} select {UNSTAMPED} from silver"
@@ -207,7 +219,36 @@ ORACLES = {
     "dynamic_fields": "select event_id, json_extract_string(props, '$.k') as k from events",
     "backfill_batches": PUBLISHED,
     "backfill_single_scan": PUBLISHED,
+    "backfill_beside_daily": PUBLISHED,
+    "backfill_resumed": f"{CHAIN} select {UNSTAMPED}, "
+    "cast(1 as bigint) as passes_over_bronze from silver",
+    "backfill_with_stray_file": f"{CHAIN} select {RAW}, validation_error from v "
+    "where validation_error is not null "
+    "and coalesce(cast(instant as date), folder_date) between date '2024-01-10' "
+    "and date '2024-01-20'",
+    "silver_corrections": PUBLISHED,
+    "silver_compacted": f"{CHAIN}, per as (select s.event_date, event_type, count(*) as n "
+    "from silver s group by s.event_date, event_type) select strftime(p.event_date, '%Y-%m-%d') "
+    "as event_date, event_type, n as rows, cast(1 as bigint) as files from per p",
+    "anomaly_rate_stored": ANOMALIES,
+    "dq_report_incremental": """select * from (values
+      ('none', 'silver', 'event_id', 'unique', 0), ('none', 'stg_events', 'event_id', 'unique', 0),
+      ('inside', 'silver', 'event_id', 'unique', 1),
+      ('inside', 'stg_events', 'event_id', 'unique', 1),
+      ('across', 'silver', 'event_id', 'unique', 1),
+      ('across', 'stg_events', 'event_id', 'unique', 1)) t("lake", "table", "column", "check", f)
+      """,
+    "erase_users_lasting": f"""{CHAIN},
+      gone as (select concat('u', cast(c_custkey as varchar)) as g from customer
+        where c_mktsegment = 'BUILDING'),
+      stays as (select * from silver where user_id not in (select g from gone)),
+      bad as (select * from v where validation_error is not null
+        and (user_id is null or user_id not in (select g from gone)))
+      select 'silver' as layer, count(*) as rows, cast(0 as bigint) as rows_of_erased from stays
+      union all select 'rejected', count(*), 0 from bad
+      union all select 'stg_events', count(*), 0 from stays
+      union all select 'daily_event_summary', count(*), 0 from stays""",
     "erase_users": f"{CHAIN} select {UNSTAMPED} from silver where user_id not in "
-    "(select concat('user_', cast(c_custkey as varchar)) from customer "
+    "(select concat('u', cast(c_custkey as varchar)) from customer "
     "where c_mktsegment = 'BUILDING')",
 }

@@ -1,7 +1,9 @@
 """One query per operator; each takes the session and the folder of the given tables."""
 
 import uuid
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from eventlake.operators.validate import bad, good
 from eventlake.plans import jobs, models
 from eventlake.sinks import publish
 from eventlake.sources import bronze as bronze_source
-from eventlake.sources.silver import read_rejected, read_silver
+from eventlake.sources.silver import SLICES, read_rejected, read_silver
 
 SLICE_DAY, NEXT_DAY = date(2024, 1, 5), date(2024, 1, 6)
 RANGE = (date(2024, 1, 10), date(2024, 1, 20))
@@ -117,6 +119,10 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fixture.new_folder(spark, "silver")
     publish.write_partitions(fixture.silver(spark, sf_dir), path)
+    return _files_per_partition(spark, path)
+
+
+def _files_per_partition(spark: SparkSession, path: str) -> DataFrame:
     per_partition = (
         read_silver(spark, path)
         .select("event_date", "event_type", F.col("_metadata.file_path").alias("file"))
@@ -127,11 +133,14 @@ def silver_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded by week, by month and from another start: one row per bad event."""
     lake = fixture.empty_lake(spark, sf_dir)
-    for _ in range(2):
-        fixture.backfill(spark, sf_dir, lake, batch="week")
+    for batch in ("week", "month"):
+        fixture.backfill(spark, sf_dir, lake, batch=batch)
+    jobs.run_backfill(spark, lake, RANGE[0], fixture.date_bounds(spark, sf_dir)[1], run_ts=RUN_TS)
     rejected = read_rejected(spark, lake.rejected)
-    return shown(rejected.select(*EVENT_COLUMNS, ERROR, "rejected_at", "run", "ingest_date"))
+    columns = (*EVENT_COLUMNS, ERROR, "rejected_at", "run", "ingest_date", *SLICES)
+    return shown(rejected.select(*columns))
 
 
 def _registered(spark: SparkSession, sf_dir: str, build: bool) -> str:
@@ -272,7 +281,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         fixture.table(spark, sf_dir, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(F.concat(F.lit("user_"), "c_custkey").alias("user_id"), "n_name", "c_mktsegment")
+        .select(F.concat(F.lit("u"), "c_custkey").alias("user_id"), "n_name", "c_mktsegment")
     )
 
 
@@ -314,6 +323,143 @@ def erase_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unstamped(read_silver(spark, lake.silver))
 
 
+# Jobs that meet, break off, or come twice
+
+
+def _between_staging_and_publishing(work):
+    """Runs ``work`` at the moment a load has staged its rows and has not published them."""
+    whole = jobs.workarea.mark_staged
+
+    def marked(spark, folder, request):
+        whole(spark, folder, request)
+        jobs.workarea.mark_staged = whole
+        work()
+
+    jobs.workarea.mark_staged = marked
+
+
+def backfill_beside_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily run starts and ends while a backfill is between its two steps."""
+    lake = fixture.empty_lake(spark, sf_dir)
+    _between_staging_and_publishing(lambda: jobs.run_daily(spark, lake, SLICE_DAY, RUN_TS))
+    fixture.backfill(spark, sf_dir, lake)
+    return unstamped(read_silver(spark, lake.silver))
+
+
+class _BrokenOff(RuntimeError):
+    pass
+
+
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken off after staging; the next run publishes what was staged and reads no bronze."""
+    lake, passes = fixture.empty_lake(spark, sf_dir), []
+    scan = bronze_source.scan_in_parts
+
+    def broken():
+        raise _BrokenOff
+
+    def counted(*args):
+        for part in scan(*args):
+            passes.append(1)
+            yield part
+
+    months = len(list(scan(spark, lake.bronze)))
+    bronze_source.scan_in_parts = counted
+    try:
+        _between_staging_and_publishing(broken)
+        try:
+            fixture.backfill(spark, sf_dir, lake)
+        except _BrokenOff:
+            fixture.backfill(spark, sf_dir, lake)
+    finally:
+        bronze_source.scan_in_parts = scan
+    done = F.lit(len(passes) / months).cast("bigint").alias("passes_over_bronze")
+    return unstamped(read_silver(spark, lake.silver)).select("*", done)
+
+
+def backfill_with_stray_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One empty file outside of the day folders changes no rejected row."""
+    lake = fixture.own_bronze(spark, sf_dir)
+    spark.range(1).select(F.lit("").alias("value")).write.text(f"{lake.bronze}/late/export")
+    jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    return read_rejected(spark, lake.rejected).select(*EVENT_COLUMNS, ERROR)
+
+
+def silver_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded in a first state, then again after dates, types and users were corrected, some of
+    which turns good events bad; silver is that of the second state."""
+    lake = fixture.own_bronze(spark, sf_dir, fixture.first_state)
+    fixture.backfill(spark, sf_dir, lake, batch="week")
+    fixture.backfill(spark, sf_dir, replace(lake, bronze=fixture.bronze_tree(spark, sf_dir)))
+    return unstamped(read_silver(spark, lake.silver))
+
+
+def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by 40 tasks with their own file each, then compacted."""
+    lake = fixture.empty_lake(spark, sf_dir)
+    rows = fixture.silver(spark, sf_dir).repartition(40)
+    rows.write.partitionBy(*publish.SILVER_PARTITIONS).parquet(lake.silver)
+    jobs.compact(spark, lake)
+    return _files_per_partition(spark, lake.silver)
+
+
+def anomaly_rate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(jobs.stored_anomalies(spark, fixture.full_lake(spark, sf_dir)))
+
+
+def dq_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unique checks of one day over lakes with an id twice inside the day, on two days, and
+    with none; the full suite finds the same."""
+    day = fixture.silver(spark, sf_dir).where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date"))
+    silver = event_date_range(fixture.silver(spark, sf_dir), date(2024, 1, 4), date(2024, 1, 8))
+    one = day.orderBy("event_id").limit(1)
+    copies = {
+        "none": silver.limit(0),
+        "inside": one,
+        "across": one.withColumn("event_date", F.lit(str(NEXT_DAY)).cast("date")),
+    }
+    parts = []
+    for name, extra in copies.items():
+        rows = silver.unionByName(extra)
+        tables = {"silver": rows, "stg_events": models.stg_events(rows)}
+        checks = tuple(
+            c for c in quality.SOURCE_CHECKS + quality.MODEL_CHECKS if c.table in tables
+        )
+        full = quality.report(tables, checks).withColumnRenamed("failures", "full")
+        dated = quality.report_dates(tables, checks, [str(SLICE_DAY)])
+        both = dated.join(full, ["table", "column", "check"]).where("check = 'unique' or failures <> full")
+        found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
+        parts.append(both.select(F.lit(name).alias("lake"), "table", "column", "check", found.cast("int").alias("f")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def erase_users_lasting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of one market segment are erased and one day is loaded again: rows by layer,
+    and how many of them are still theirs."""
+    lake = fixture.backfill(spark, sf_dir, fixture.empty_lake(spark, sf_dir))
+    jobs.build_models(spark, lake)
+    users = _customers(spark, sf_dir).where(F.col("c_mktsegment") == "BUILDING").select("user_id")
+    jobs.erase_users(spark, lake, users)
+    jobs.build_models(spark, lake, jobs.run_daily(spark, lake, SLICE_DAY, RUN_TS).dates)
+    layers = {
+        "silver": read_silver(spark, lake.silver),
+        "rejected": read_rejected(spark, lake.rejected),
+        "stg_events": jobs.read_staging(spark, lake.staging),
+    }
+    theirs = users.distinct().withColumnRenamed("user_id", "erased")
+    counts = [
+        rows.join(theirs, F.col("user_id") == F.col("erased"), "left").agg(
+            F.lit(name).alias("layer"), F.count("*").alias("rows"), F.count("erased").alias("rows_of_erased")
+        )
+        for name, rows in layers.items()
+    ]
+    events = F.sum("event_count").alias("rows")
+    nobody = F.lit(0).cast("bigint").alias("rows_of_erased")
+    summary = jobs.read_summary(spark, lake.summary).agg(events)
+    counts.append(summary.select(F.lit("daily_event_summary").alias("layer"), "rows", nobody))
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES = {
     "bronze_scan": bronze_scan,
     "bronze_daily_slice": bronze_daily_slice,
@@ -349,4 +495,12 @@ QUERIES = {
     "backfill_batches": backfill_batches,
     "backfill_single_scan": backfill_single_scan,
     "erase_users": erase_users,
+    "backfill_beside_daily": backfill_beside_daily,
+    "backfill_resumed": backfill_resumed,
+    "backfill_with_stray_file": backfill_with_stray_file,
+    "silver_corrections": silver_corrections,
+    "silver_compacted": silver_compacted,
+    "anomaly_rate_stored": anomaly_rate_stored,
+    "dq_report_incremental": dq_report_incremental,
+    "erase_users_lasting": erase_users_lasting,
 }

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from eventlake.contract import ERROR, EVENT_COLUMNS
 from eventlake.operators.quality import QualityError
 from eventlake.plans import jobs
 
@@ -28,7 +29,12 @@ def arguments(argv=None) -> argparse.Namespace:
     backfill.add_argument("--start_date", type=date.fromisoformat, required=True)
     backfill.add_argument("--end_date", type=date.fromisoformat, required=True)
     backfill.add_argument("--batch", choices=("week", "month", "year", "all"), default="month")
-    backfill.add_argument("--slack_days", type=int)
+    backfill.add_argument(
+        "--slack_days",
+        type=int,
+        help="how many days from its event date a row may be filed; without it all of bronze is "
+        "read, whatever the range",
+    )
 
     models = command("models", "build staging and summary", "silver", "gold")
     models.add_argument("--dates", nargs="*", help="only these event dates")
@@ -39,15 +45,33 @@ def arguments(argv=None) -> argparse.Namespace:
     whole.add_argument("--date", type=date.fromisoformat, required=True)
     whole.add_argument("--database", required=True)
 
-    erase = command("erase", "remove all events of some users", "silver")
+    erase = command("erase", "remove all rows of some users for good", "silver", "rejected")
+    erase.add_argument("--gold_path", help="rebuild the models of the dates that changed")
     erase.add_argument("--users_path", required=True, help="Parquet with a user_id column")
+
+    compact = command("compact", "rewrite silver partitions of many small files", "silver")
+    compact.add_argument("--target_mb", type=int, default=jobs.TARGET_FILE >> 20)
+    compact.add_argument("--dates", nargs="*", help="only these event dates")
+
+    catalog = command("catalog", "register all tables and partitions", "silver", "rejected")
+    catalog.add_argument("--gold_path")
+    catalog.add_argument("--database", required=True)
+
+    command("anomalies", "rejected rows by day and rule, from the tables", "silver", "rejected")
+
+    drift = command("drift", "fields of some days' files against the contract", "source")
+    drift.add_argument("--start_date", type=date.fromisoformat, required=True)
+    drift.add_argument("--end_date", type=date.fromisoformat, required=True)
+
+    for added in commands.choices.values():
+        added.add_argument("--work_path", help="work area; beside silver if not given")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     given = vars(args)
     paths = (given.get(f"{layer}_path") or "" for layer in ("source", "silver", "rejected", "gold"))
-    lake = jobs.Lake(*paths)
+    lake = jobs.Lake(*paths, given.get("work_path") or "")
     if args.job == "daily":
         return [_loaded(jobs.run_daily(spark, lake, args.date))]
     if args.job == "backfill":
@@ -62,14 +86,37 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     if args.job == "day":
         loaded, checks = jobs.run_day(spark, lake, args.date, args.database)
         return [_loaded(loaded), *_checked(checks)]
+    if args.job == "compact":
+        dates = jobs.compact(spark, lake, args.target_mb << 20, args.dates)
+        return [f"compacted dates: {' '.join(dates) or 'none'}"]
+    if args.job == "catalog":
+        jobs.register_tables(spark, lake, args.database)
+        return []
+    if args.job == "anomalies":
+        rows = jobs.stored_anomalies(spark, lake).orderBy("event_date", ERROR).collect()
+        return [f"{r.event_date} {r[ERROR]}: {r['rows']} rows, {r.rate} %" for r in rows]
+    if args.job == "drift":
+        rows = jobs.drift(spark, lake, EVENT_COLUMNS, args.start_date, args.end_date)
+        return [f"{r.field} {r.status}: {r['rows']}" for r in rows.orderBy("field").collect()]
     dates = jobs.erase_users(spark, lake, spark.read.parquet(args.users_path))
     return [f"changed dates: {' '.join(dates) or 'none'}"]
 
 
+def lasting(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Tables in an in-memory catalog would vanish with the command: refuse it."""
+    kind = spark.conf.get("spark.sql.catalogImplementation", "in-memory")
+    if getattr(args, "database", None) and kind == "in-memory":
+        sys.exit(
+            "the session's catalog is in-memory, so tables would be gone when the command ends; "
+            "submit with --conf spark.sql.catalogImplementation=hive and a metastore"
+        )
+
+
 def _loaded(done: jobs.RunReport) -> str:
+    strays = f", outside of day folders: {' '.join(done.strays)}" if done.strays else ""
     return (
         f"bronze {done.bronze_rows}, good {done.good_rows}, bad {done.bad_rows}, "
-        f"rejection rate {done.rejection_rate} %, dates {len(done.dates)}"
+        f"rejection rate {done.rejection_rate} %, dates {len(done.dates)}{strays}"
     )
 
 
@@ -80,6 +127,7 @@ def _checked(rows) -> list[str]:
 def main(argv=None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
+    lasting(spark, args)
     try:
         print("\n".join(run(spark, args)))
     except QualityError as failed:

@@ -58,7 +58,15 @@ def _text(columns):
 # the rules and the quarantine, so types come after validation.
 BRONZE_SCHEMA = _text((*EVENT_COLUMNS, CORRUPT))
 RAW_REJECT_SCHEMA = _text((*EVENT_COLUMNS, CORRUPT, ERROR))
-REJECTED_SCHEMA = _text((*EVENT_COLUMNS, CORRUPT, ERROR)).add("rejected_at", T.TimestampType())
+REJECTED_COLUMNS = (*EVENT_COLUMNS, CORRUPT, ERROR, "rejected_at", "run", "ingest_date")
+
+
+def rejected_schema() -> T.StructType:
+    """A new one each time: adding a field changes a StructType."""
+    schema = _text((*EVENT_COLUMNS, CORRUPT, ERROR)).add("rejected_at", T.TimestampType())
+    return schema.add("run", T.StringType()).add("ingest_date", T.DateType())
+
+
 SILVER_SCHEMA = _table(SILVER_COLUMNS)
 STAGING_SCHEMA = _table(STAGING_COLUMNS)
 SUMMARY_SCHEMA = T.StructType(

@@ -14,7 +14,9 @@ def instant(text: str) -> Column:
 
 
 def whole_number(text: str) -> Column:
-    return F.col(text).try_cast("int")
+    """Integers, also written as integral decimals: exporters write 45.0 for a nullable 45."""
+    integral = F.regexp_replace(F.col(text), r"^\s*([+-]?[0-9]+)\.0+\s*$", "$1")
+    return integral.try_cast("int")
 
 
 def flag(text: str) -> Column:

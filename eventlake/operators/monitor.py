@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.contract import CORRUPT, ERROR
-from eventlake.functions.parsing import event_date
+from eventlake.functions.parsing import event_date, instant
 
 
 def count_metrics() -> list[Column]:
@@ -39,6 +39,10 @@ def anomalies(classified: DataFrame) -> DataFrame:
     per_rule = classified.groupBy(event_date().alias("event_date"), ERROR).agg(
         F.count("*").alias("rows")
     )
+    return _rates(per_rule)
+
+
+def _rates(per_rule: DataFrame) -> DataFrame:
     # The window runs over the few (day, rule) totals, not over events.
     all_rows = F.sum("rows").over(Window.partitionBy("event_date"))
     return (
@@ -48,6 +52,19 @@ def anomalies(classified: DataFrame) -> DataFrame:
     )
 
 
+def stored_anomalies(rejected: DataFrame, silver: DataFrame) -> DataFrame:
+    """The same rates from the tables: rejected rows by day and rule, silver rows by day.
+
+    Silver is only counted by partition, which reads no column of it.
+    """
+    bad = rejected.groupBy(F.to_date(instant("event_timestamp")).alias("event_date"), ERROR).agg(
+        F.count("*").alias("rows")
+    )
+    good = silver.groupBy("event_date").agg(F.count("*").alias("rows"))
+    per_rule = bad.unionByName(good.withColumn(ERROR, F.lit(None).cast("string")))
+    return _rates(per_rule)
+
+
 def schema_drift(lines: DataFrame, text: str, contract: tuple[str, ...]) -> DataFrame:
     """Top-level JSON keys against a contract: ``ok``, ``unexpected`` or ``missing``.
 

@@ -48,32 +48,67 @@ class QualityError(RuntimeError):
 def report(tables: dict[str, DataFrame], checks: tuple[Check, ...]) -> DataFrame:
     """One row ``table, column, check, failures`` per check.
 
-    All not_null checks of a table share one scan; the others group their own column.
+    All not_null and accepted_values checks of a table share one scan; unique groups its column.
     """
+    return _report(tables, checks, lambda table, check: _unique(table, check))
+
+
+def report_dates(
+    tables: dict[str, DataFrame], checks: tuple[Check, ...], dates: list[str]
+) -> DataFrame:
+    """The report on some event dates, exact as long as the rest was checked before.
+
+    Values that must be unique are grouped within these dates and looked up in the others: the
+    few ids of the dates filter that column of the rest, which is not grouped.
+    """
+    inside = F.col("event_date").cast("string").isin(*dates)
+    touched = {name: table.where(inside) for name, table in tables.items()}
+
+    def unique(table: DataFrame, check: Check) -> DataFrame:
+        others = tables[check.table].where(~inside)
+        return _unique_against(table, others, check)
+
+    return _report(touched, checks, unique)
+
+
+def _report(tables: dict[str, DataFrame], checks: tuple[Check, ...], unique) -> DataFrame:
     parts = []
     for name in dict.fromkeys(check.table for check in checks):
         mine = [check for check in checks if check.table == name]
-        nulls = [check for check in mine if check.kind == NOT_NULL]
-        if nulls:
-            parts.append(_not_null(tables[name], nulls))
-        parts += [_values(tables[name], check) for check in mine if check.kind != NOT_NULL]
+        by_row = [check for check in mine if check.kind != UNIQUE]
+        if by_row:
+            parts.append(_one_scan(tables[name], by_row))
+        parts += [unique(tables[name], check) for check in mine if check.kind == UNIQUE]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _not_null(table: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = [F.count_if(F.isnull(check.column)) for check in checks]
+def _one_scan(table: DataFrame, checks: list[Check]) -> DataFrame:
+    """Failures are rows for not_null, and distinct values for accepted_values."""
+    counts = []
+    for check in checks:
+        column = F.col(check.column)
+        if check.kind == NOT_NULL:
+            counts.append(F.count_if(F.isnull(column)))
+        else:
+            # accepted values are NULL here, so only the others are grouped and shuffled
+            counts.append(F.count_distinct(F.when(~column.isin(*check.values), column)))
     rows = F.array(*(_row(check, count) for check, count in zip(checks, counts)))
     return table.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
-def _values(table: DataFrame, check: Check) -> DataFrame:
+def _unique(table: DataFrame, check: Check) -> DataFrame:
     """Failures are values, not rows; NULL is left to not_null."""
     counted = table.where(F.isnotnull(check.column)).groupBy(check.column).count()
-    if check.kind == UNIQUE:
-        failing = counted.where("count > 1")
-    else:
-        failing = counted.where(~F.col(check.column).isin(*check.values))
-    return failing.agg(_row(check, F.count("*")).alias("row")).select("row.*")
+    return counted.where("count > 1").agg(_row(check, F.count("*")).alias("row")).select("row.*")
+
+
+def _unique_against(table: DataFrame, others: DataFrame, check: Check) -> DataFrame:
+    counted = table.where(F.isnotnull(check.column)).groupBy(check.column).agg(F.count("*").alias("n"))
+    ids = counted.select(F.col(check.column).alias("_id"))
+    seen = others.select(check.column).join(ids, F.col(check.column) == F.col("_id"), "left_semi")
+    seen = seen.groupBy(check.column).agg(F.count("*").alias("n"))
+    total = counted.unionByName(seen).groupBy(check.column).agg(F.sum("n").alias("n"))
+    return total.where("n > 1").agg(_row(check, F.count("*")).alias("row")).select("row.*")
 
 
 def _row(check: Check, failures: Column) -> Column:

@@ -1,64 +1,93 @@
-"""The jobs: daily load, backfill, model build, erasure, and a whole day in order.
+"""The jobs: daily load, backfill, model build, erasure, compaction, and a whole day in order.
 
-One job at a time may write a lake.
+Jobs may run side by side. Each stages its rows in a folder of its own; tables are changed by
+one job at a time. A job that was broken off after staging is finished by the next one that
+changes tables, one that was broken off before is dropped. Jobs set the session's time zone and
+adaptive execution as they need them and put the caller's settings back.
 """
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass, field
 from datetime import date, datetime, timedelta, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.contract import (
+    CORRUPT,
     ERROR,
     RAW_REJECT_SCHEMA,
-    REJECTED_SCHEMA,
     SILVER_SCHEMA,
     STAGING_SCHEMA,
     SUMMARY_SCHEMA,
+    rejected_schema,
 )
-from eventlake.functions.parsing import day, event_date
+from eventlake.functions.parsing import day, event_date, stamp
+from eventlake.operators import monitor, quality
 from eventlake.operators.erase import events_of, without_users
-from eventlake.operators.monitor import count_metrics
-from eventlake.operators.quality import MODEL_CHECKS, SOURCE_CHECKS, enforce, report
+from eventlake.operators.quality import MODEL_CHECKS, SOURCE_CHECKS, enforce
 from eventlake.operators.transform import silver_columns
 from eventlake.operators.validate import classify
 from eventlake.plans.models import daily_event_summary, stg_events
-from eventlake.session import prepare
-from eventlake.sinks import publish, workarea
-from eventlake.sinks.quarantine import write_rejected
+from eventlake.session import prepare, prepared
+from eventlake.sinks import publish, quarantine, workarea
 from eventlake.sinks.tables import keep_dates, refresh_catalog, write_dates
 from eventlake.sources import bronze as bronze_source
-from eventlake.sources.silver import REJECTED_OPTIONS, read_silver
+from eventlake.sources.folders import exists, matching, remove, sizes
+from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, read_rejected, read_silver
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the lake keeps its layers; any path Hadoop can open."""
+    """Where the lake keeps its layers; any path Hadoop can open.
+
+    The work area and the list of erased users lie beside silver unless ``work`` says where,
+    so that every job on a lake finds them, whatever its session's settings.
+    """
 
     bronze: str
     silver: str
     rejected: str
     gold: str = ""
+    work: str = ""
+
+    @property
+    def area(self) -> str:
+        return self.work or f"{self.silver.rstrip('/')}_work"
+
+    @property
+    def erased(self) -> str:
+        return f"{self.silver.rstrip('/')}_erased_users"
 
     @property
     def staging(self) -> str:
-        return f"{self.gold}/stg_events"
+        return self._gold("stg_events")
 
     @property
     def summary(self) -> str:
-        return f"{self.gold}/daily_event_summary"
+        return self._gold("daily_event_summary")
+
+    def _gold(self, table: str) -> str:
+        if not self.gold:
+            raise ValueError("the lake has no gold path, so it has no models")
+        return f"{self.gold}/{table}"
+
+
+class StagingLost(RuntimeError):
+    """Staged rows are not those that were written; nothing was published from them."""
 
 
 @dataclass
 class RunReport:
-    """Rows read, published and rejected, and the event dates that changed."""
+    """Rows read, published and rejected, the event dates that changed, and what was read from
+    places that are no day's folder."""
 
     bronze_rows: int = 0
     good_rows: int = 0
     bad_rows: int = 0
     dates: list[str] = field(default_factory=list)
+    strays: list[str] = field(default_factory=list)
 
     @property
     def rejection_rate(self) -> float | None:
@@ -69,19 +98,34 @@ class RunReport:
         self.good_rows += other.good_rows
         self.bad_rows += other.bad_rows
         self.dates = sorted({*self.dates, *other.dates})
+        self.strays = sorted({*self.strays, *other.strays})
+
+
+def _job(work: Callable) -> Callable:
+    @wraps(work)
+    def run(spark: SparkSession, *args, **named):
+        with prepared(spark):
+            return work(spark, *args, **named)
+
+    return run
 
 
+# Loads
+
+
+@_job
 def run_daily(
     spark: SparkSession, lake: Lake, run_date: date, run_ts: datetime | None = None
 ) -> RunReport:
     """Load the folder of one day, whatever dates its events carry."""
-    prepare(spark)
-    done = RunReport(dates=publish.recover(spark, lake.silver))
-    rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date))
-    done.add(_load(spark, lake, [rows], F.lit(str(run_date)), [str(run_date)], "daily", run_ts))
-    return done
+    tree = bronze_source.folders(spark, lake.bronze)
+    rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date, tree))
+    scope = {"folders": [str(run_date)] * 2, "dates": None}
+    request = {"run": "daily", "scope": scope, "batch": None}
+    return _load(spark, lake, [rows.withColumn("filed", _filed())], request, run_ts)
 
 
+@_job
 def run_backfill(
     spark: SparkSession,
     lake: Lake,
@@ -91,107 +135,170 @@ def run_backfill(
     slack_days: int | None = None,
     run_ts: datetime | None = None,
 ) -> RunReport:
-    """Load all events dated start to end, both included, batch after batch.
+    """Load all events dated start to end, both included, and publish them batch after batch.
 
-    A row belongs to the batch of its event date, or of its folder's date if its
-    timestamp is unreadable, so every row is in exactly one batch.
+    A row is filed under its event date, or its folder's date if its timestamp is unreadable,
+    or no date at all; rows without one belong to every backfill that reads all of bronze.
 
-    ``slack_days`` says how far from its event date a row may be filed. When it is
-    known, each batch reads only its own folders. When it is not (None), rows may
-    be filed anywhere: all of bronze is read, once, and then published by batch.
+    ``slack_days`` says how far from its event date a row may be filed. When it is known, only
+    folders that near the range are read. When it is not (None), rows may be filed anywhere:
+    all of bronze is read, once.
+
+    If an equal backfill was broken off after it had staged its rows, this finishes it instead
+    of reading bronze again.
     """
-    prepare(spark)
-    done = RunReport(dates=publish.recover(spark, lake.silver))
-    starts = batch_starts(start, end, batch)
+    if end < start:
+        raise ValueError(f"the range ends on {end}, before it starts on {start}")
+    dates = [str(start), str(end)]
+    tree = bronze_source.folders(spark, lake.bronze)
+    folders = None
+    if slack_days is not None:
+        slack = timedelta(days=slack_days)
+        folders = [str(start - slack), str(end + slack)]
+        parts = [bronze_source.scan_days(spark, lake.bronze, start - slack, end + slack, tree)]
+    else:
+        parts = bronze_source.scan_in_parts(spark, lake.bronze, tree)
+    scope = {"folders": folders, "dates": dates}
+    request = {"run": "backfill", "scope": scope, "batch": batch}
+    rows = (_dated(part, start, end) for part in parts)
+    done = _load(spark, lake, rows, request, run_ts)
     if slack_days is None:
-        parts = bronze_source.scan_in_parts(spark, lake.bronze)
-        rows = (_dated(part, start, end) for part in parts)
-        label = _batch_label("filed", start, batch)
-        done.add(_load(spark, lake, rows, label, [str(s) for s in starts], "backfill", run_ts))
-        return done
-    slack = timedelta(days=slack_days)
-    for first, following in zip(starts, [*starts[1:], end + timedelta(days=1)]):
-        last = following - timedelta(days=1)
-        folders = bronze_source.scan_days(spark, lake.bronze, first - slack, last + slack)
-        rows = [_dated(folders, first, last)]
-        done.add(_load(spark, lake, rows, F.lit(str(first)), [str(first)], "backfill", run_ts))
+        done.strays = sorted(tree[1])
     return done
 
 
-def batch_starts(start: date, end: date, batch: str | None) -> list[date]:
-    """First day of each batch; the first may begin inside its week, month or year."""
-    opens = {
-        "week": lambda d: d.weekday() == 0,
-        "month": lambda d: d.day == 1,
-        "year": lambda d: (d.month, d.day) == (1, 1),
-        None: lambda d: False,
-    }
-    days = (start + timedelta(days=n) for n in range(1, (end - start).days + 1))
-    return [start, *filter(opens[batch], days)]
-
-
-def _batch_label(column: str, start: date, batch: str | None) -> Column:
-    first = F.greatest(day(start), F.trunc(column, batch)) if batch else day(start)
-    return first.cast("string")
+def _filed() -> Column:
+    return F.coalesce(event_date(), F.col(bronze_source.FOLDER_DATE))
 
 
 def _dated(bronze: DataFrame, start: date, end: date) -> DataFrame:
-    """Classified rows of a date range, with the date they are ``filed`` under.
-
-    Without day folders the unreadable rows have no date at all: first batch.
-    """
-    rows = classify(bronze)
-    filed = F.coalesce(event_date(), bronze_source.folder_date(bronze), day(start))
-    return rows.withColumn("filed", filed).where(F.col("filed").between(day(start), day(end)))
+    """Classified rows of a date range, and those that have no date."""
+    rows = classify(bronze).withColumn("filed", _filed())
+    return rows.where(F.isnull("filed") | F.col("filed").between(day(start), day(end)))
 
 
 def _load(
     spark: SparkSession,
     lake: Lake,
     parts: Iterable[DataFrame],
-    label: Column,
-    labels: list[str],
-    run: str,
+    request: dict,
     run_ts: datetime | None,
 ) -> RunReport:
-    """Write classified rows to the work area by batch, then publish batch after batch."""
+    """Stage classified rows, then publish them."""
+    with workarea.exclusive(spark, lake.area):
+        done = RunReport()
+        for finished, report in _recover(spark, lake):
+            if all(finished.get(name) == value for name, value in request.items()):
+                return report
+            done.dates = sorted({*done.dates, *report.dates})
     run_ts = run_ts or datetime.now(timezone.utc)
-    done = RunReport()
-    for part in parts:
-        done.add(_stage(spark, lake, part, label, run_ts))
-    for name in labels:
-        batch = workarea.batch_folder(spark, lake.silver, name)
-        write_rejected(spark, batch, lake.rejected, run, name, run_ts)
-        done.add(RunReport(dates=publish.upsert(spark, lake.silver, batch)))
-        workarea.clear(spark, batch)
+    with workarea.run_folder(spark, lake.area) as folder:
+        erased = _erased(spark, lake)
+        for part in parts:
+            done.add(_stage(spark, part, erased, request, folder, run_ts))
+        counts = {name: asdict(done)[name] for name in ("bronze_rows", "good_rows", "bad_rows")}
+        marked = {**request, **counts, "run_ts": run_ts.isoformat()}
+        workarea.mark_staged(spark, folder, marked)
+        with workarea.exclusive(spark, lake.area):
+            for _, report in _recover(spark, lake):
+                done.dates = sorted({*done.dates, *report.dates})
+            done.dates = sorted({*done.dates, *_publish(spark, lake, folder, marked).dates})
     return done
 
 
 def _stage(
-    spark: SparkSession, lake: Lake, classified: DataFrame, label: Column, run_ts: datetime
+    spark: SparkSession,
+    classified: DataFrame,
+    erased: DataFrame | None,
+    request: dict,
+    folder: str,
+    run_ts: datetime,
 ) -> RunReport:
     """Cut classified rows into a written table that feeds both sinks.
 
-    This is the only pass over bronze text. The write has no shuffle, so its
-    Observation counts each row once even when tasks are repeated elsewhere.
+    This is the only pass over bronze text. Rows of erased users are left out before they are
+    counted. The write has no shuffle, so its Observation counts each row once even when tasks
+    are repeated elsewhere.
     """
     counts = Observation()
     rejected = F.isnotnull(ERROR)
+    if erased is not None:
+        classified = without_users(classified.withColumn("_user", _user_of()), erased, "_user")
+    kept = F.struct(
+        *RAW_REJECT_SCHEMA.names,
+        stamp(run_ts).alias("rejected_at"),
+        F.lit(request["run"]).alias("run"),
+        F.to_date(stamp(run_ts)).alias("ingest_date"),
+        F.col(bronze_source.FOLDER_DATE),
+        F.col("filed").alias(SLICES[1]),
+    )
     (
-        classified.observe(counts, *count_metrics())
+        classified.observe(counts, *monitor.count_metrics())
         .select(
             *silver_columns(run_ts),
-            F.when(rejected, F.struct(*RAW_REJECT_SCHEMA.names)).alias("raw"),
-            label.alias("batch"),
+            F.when(rejected, kept).alias("raw"),
             F.when(rejected, "rejected").otherwise("accepted").alias("outcome"),
+            F.when(rejected, "none")
+            .otherwise(publish.label_of(event_date(), request["batch"]))
+            .alias("batch"),
         )
         .write.mode("append")
-        .partitionBy("batch", "outcome")
-        .parquet(workarea.area(spark, lake.silver))
+        .partitionBy("outcome", "batch")
+        .parquet(f"{folder}/{workarea.ROWS}")
     )
     return RunReport(**counts.get)
 
 
+def _user_of() -> Column:
+    """The user of a row; of an unreadable line, what its text says."""
+    broken = F.regexp_extract(F.col(CORRUPT), r'"user_id"\s*:\s*"([^"]*)"', 1)
+    return F.coalesce("user_id", F.nullif(broken, F.lit("")))
+
+
+def _publish(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
+    """Bring a staged run into the tables; may be repeated until it is through."""
+    counts = RunReport(*(request[name] for name in ("bronze_rows", "good_rows", "bad_rows")))
+    accepted, raw = workarea.accepted(spark, folder), _staged_rejects(spark, folder)
+    found = [0 if rows is None else rows.count() for rows in (accepted, raw)]
+    if found != [counts.good_rows, counts.bad_rows]:
+        raise StagingLost(f"{folder}: {found} rows instead of {counts.good_rows}, {counts.bad_rows}")
+    slices = quarantine.slices(spark, lake.rejected)
+    stale = [x for x, *dates in slices if quarantine.in_scope(request["scope"], *dates)]
+    quarantine.replace_slices(spark, lake.rejected, raw, stale)
+    counts.dates = publish.upsert(spark, lake.silver, folder, request["batch"])
+    return counts
+
+
+def _staged_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
+    path = f"{folder}/{workarea.REJECTED}"
+    if not exists(spark, path):
+        return None
+    fields = rejected_schema()
+    for column in SLICES:
+        fields = fields.add(column, "date")
+    return spark.read.schema(f"raw {fields.simpleString()}").parquet(path).select("raw.*")
+
+
+def _recover(spark: SparkSession, lake: Lake) -> list[tuple[dict, RunReport]]:
+    """Finish runs that were broken off after staging, drop those that were before."""
+    finished = []
+    for folder in workarea.broken_off(spark, lake.area):
+        request = workarea.staged(spark, folder)
+        if request is not None:
+            work = {"erase": _erase, "compact": _compacted}.get(request["run"], _publish)
+            finished.append((request, work(spark, lake, folder, request)))
+        remove(spark, folder)
+    return finished
+
+
+def _recovered_dates(spark: SparkSession, lake: Lake) -> list[str]:
+    return sorted({d for _, report in _recover(spark, lake) for d in report.dates})
+
+
+# Models
+
+
+@_job
 def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> None:
     """Build staging from silver and the summary from staging.
 
@@ -199,11 +306,14 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
     dates that changed gives the same tables. Either way it goes month after month,
     which bounds the summary's shuffle.
     """
-    prepare(spark)
-    # Models must not see a silver partition some run left half replaced.
-    recovered = publish.recover(spark, lake.silver)
-    if dates is not None:
-        dates = sorted({*dates, *recovered})
+    _ = lake.staging
+    with workarea.exclusive(spark, lake.area):
+        # Models must not see a silver partition some run left half replaced.
+        recovered = _recovered_dates(spark, lake)
+        _build(spark, lake, None if dates is None else sorted({*dates, *recovered}))
+
+
+def _build(spark: SparkSession, lake: Lake, dates: list[str] | None) -> None:
     partitions = publish.partitions_of(spark, lake.silver, dates)
     for _, month in publish.by_month(partitions):
         # Silver files hold one date each, so staging is written without a shuffle.
@@ -228,54 +338,168 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
 
 
+# Erasure and compaction
+
+
+@_job
 def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
-    """Remove all silver events of the given ``user_id``s; return the dates that changed.
+    """Remove all rows of the given ``user_id``s for good; return the dates that changed.
 
-    Only partitions that hold such events are rewritten, month after month, so the
-    work area never holds more than a month of survivors.
+    The users are first added to the lake's list of erased users, which every load leaves out,
+    so bronze need not be rewritten. Then they leave silver, month after month, the rejected
+    rows, and, if the lake has them, the models of the dates that changed. A request that is
+    broken off is finished by the next job.
     """
-    prepare(spark)
-    recovered = publish.recover(spark, lake.silver)
-    request = workarea.batch_folder(spark, lake.silver, "erase")
-    users = publish.written_distinct(users.select("user_id"), f"{request}/users")
-    hit = events_of(read_silver(spark, lake.silver), users)
-    touched = publish.keys_of(hit)
-    dates = sorted({event_day for event_day, _ in touched})
-    folders = publish.partitions_of(spark, lake.silver, dates)
-    folders = [path for path in folders if publish.key_of(path) in touched]
-    for month, group in publish.by_month(folders):
-        batch = workarea.batch_folder(spark, lake.silver, f"erase-{month}")
+    with workarea.run_folder(spark, lake.area) as folder:
+        wanted = users.select(F.col("user_id").cast("string")).where("user_id is not null")
+        publish.written_distinct(wanted, f"{folder}/users")
+        request = {"run": "erase"}
+        workarea.mark_staged(spark, folder, request)
+        with workarea.exclusive(spark, lake.area):
+            recovered = _recovered_dates(spark, lake)
+            return sorted({*recovered, *_erase(spark, lake, folder, request).dates})
+
+
+def _erased(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    if not matching(spark, f"{lake.erased}/part-*"):
+        return None
+    return spark.read.schema("user_id string").parquet(lake.erased)
+
+
+def _erase(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
+    users = spark.read.schema("user_id string").parquet(f"{folder}/users")
+    known = _erased(spark, lake)
+    new = users if known is None else without_users(users, known)
+    new.write.mode("append").parquet(lake.erased)
+    dates = _erase_rejected(spark, lake, folder, users)
+    dates |= _erase_silver(spark, lake, folder, users)
+    if lake.gold and dates:
+        _build(spark, lake, sorted(dates))
+    return RunReport(dates=sorted(dates))
+
+
+def _erase_silver(spark: SparkSession, lake: Lake, folder: str, users: DataFrame) -> set[str]:
+    # What an earlier attempt had begun comes first: silver is whole after it.
+    dates = _finish_groups(spark, lake, folder)
+    if not publish.partitions_of(spark, lake.silver, None):
+        return dates
+    touched = publish.keys_of(events_of(read_silver(spark, lake.silver), users))
+    found = publish.partitions_of(spark, lake.silver, sorted({d for d, _ in touched}))
+    found = [path for path in found if publish.key_of(path) in touched]
+    for month, group in publish.by_month(found):
         current = read_silver(spark, lake.silver, group)
-        publish.set_aside(spark, batch, group, without_users(current, users))
-        publish.replace(spark, lake.silver, batch, group)
-        workarea.clear(spark, batch)
-    workarea.clear(spark, request)
-    return sorted({*dates, *recovered})
+        publish.set_aside(spark, folder, month, group, without_users(current, users))
+        publish.replace(spark, lake.silver, folder, month)
+    return dates | {event_day for event_day, _ in touched}
+
+
+def _finish_groups(spark: SparkSession, lake: Lake, folder: str) -> set[str]:
+    """Complete the replacements that a run has prepared; the dates of all it prepared."""
+    dates = set()
+    for path in matching(spark, f"{folder}/group=*"):
+        label = path.rsplit("=", 1)[1]
+        if workarea.ready(spark, folder, label):
+            dates |= {publish.key_of(x)[0] for x in publish.replaced_by(spark, folder, label)}
+            if not workarea.done(spark, folder, label):
+                publish.replace(spark, lake.silver, folder, label)
+    return dates
+
+
+def _erase_rejected(spark: SparkSession, lake: Lake, folder: str, users: DataFrame) -> set[str]:
+    """Rewrite the slices that hold rows of the users; changes no event dates."""
+    kept, marker = f"{folder}/rejected", f"{folder}/slices"
+    slices = quarantine.slices(spark, lake.rejected)
+    if not workarea.complete(spark, marker):
+        if not slices:
+            return set()
+        rows = read_rejected(spark, lake.rejected).withColumn("_user", _user_of())
+        file = F.col("_metadata.file_path")
+        slice_ = F.regexp_extract(file, rf"({SLICES[0]}=[^/]+/{SLICES[1]}=[^/]+)/[^/]+$", 1)
+        rows = rows.withColumn("_slice", slice_)
+        hit = events_of(rows, users, "_user").select("_slice").distinct()
+        names = [r._slice for r in hit.collect()]
+        touched = rows.where(F.col("_slice").isin(names))
+        without_users(touched, users, "_user").drop("_user", "_slice").write.mode("overwrite").parquet(kept)
+        found = spark.createDataFrame([(name,) for name in names], "name string")
+        found.write.mode("overwrite").parquet(marker)
+    names = {r.name for r in spark.read.schema("name string").parquet(marker).collect()}
+    paths = [path for path, *_ in slices if "/".join(path.rsplit("/", 2)[1:]) in names]
+    quarantine.replace_slices(spark, lake.rejected, spark.read.parquet(kept) if names else None, paths)
+    return set()
+
+
+#: Bytes of a silver file that compaction aims at, and how many files too many a partition may have.
+TARGET_FILE, SPARE_FILES = 128 << 20, 1
+
+
+@_job
+def compact(
+    spark: SparkSession, lake: Lake, target: int = TARGET_FILE, dates: list[str] | None = None
+) -> list[str]:
+    """Rewrite silver partitions with more files than their bytes need; return their dates.
+
+    Rows stay as they are, so models need no rebuild. It goes month after month through the same
+    replacement as a load. ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` bounds the rows
+    of one file (before compression), ``spark.sql.files.maxPartitionBytes`` the splits read.
+    """
+    with workarea.run_folder(spark, lake.area) as folder, workarea.exclusive(spark, lake.area):
+        _recover(spark, lake)
+        found = publish.partitions_of(spark, lake.silver, dates)
+        small = [path for path in found if _too_many(sizes(spark, path), target)]
+        for month, group in publish.by_month(small):
+            # No staged.json: broken off before a replacement, there is nothing to finish.
+            publish.set_aside(spark, folder, month, group, read_silver(spark, lake.silver, group))
+            workarea.mark_staged(spark, folder, {"run": "compact"})
+            publish.replace(spark, lake.silver, folder, month)
+        return sorted({publish.key_of(path)[0] for path in small})
+
+
+def _compacted(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
+    """Finish a compaction; no rows and no dates change by it."""
+    _finish_groups(spark, lake, folder)
+    return RunReport()
+
+
+def _too_many(files: list[int], target: int) -> bool:
+    return len(files) > max(1, -(-sum(files) // target)) + SPARE_FILES - 1
 
 
-def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
-    """Show silver, rejected, staging and summary, with their partitions, to SQL users."""
-    prepare(spark).sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+# Catalog, checks, and the whole day
+
+
+@_job
+def register_tables(
+    spark: SparkSession, lake: Lake, database: str, dates: list[str] | None = None
+) -> None:
+    """Show silver, rejected, staging and summary, with their partitions, to SQL users.
+
+    With ``dates`` only partitions of these event dates are brought up to date in tables the
+    catalog has already. Whether the tables outlive the session is up to its catalog.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_date = {"event_date": "date"}
     silver = {**by_date, "event_type": "string"}
-    rejected = {"run": "string", "ingest_date": "date"}
-    refresh_catalog(spark, f"{database}.silver", lake.silver, SILVER_SCHEMA, silver)
+    rejected = {column: "date" for column in SLICES}
+    refresh_catalog(spark, f"{database}.silver", lake.silver, SILVER_SCHEMA, silver, dates=dates)
     refresh_catalog(
         spark,
         f"{database}.rejected",
         lake.rejected,
-        REJECTED_SCHEMA,
+        rejected_schema(),
         rejected,
         "json",
         REJECTED_OPTIONS,
     )
     if lake.gold:
-        refresh_catalog(spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA, by_date)
         refresh_catalog(
-            spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA, by_date
+            spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA, by_date, dates=dates
+        )
+        refresh_catalog(
+            spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA, by_date, dates=dates
         )
 
 
+@_job
 def run_day(
     spark: SparkSession,
     lake: Lake,
@@ -285,24 +509,51 @@ def run_day(
 ) -> tuple[RunReport, list]:
     """A whole day: load, catalog, source checks, models, model checks.
 
-    Source checks come before the models, so bad silver never reaches the mart.
+    Source checks come before the models, so bad silver never reaches the mart. Only the dates
+    that changed are checked, against all others where a check spans dates.
     """
     loaded = run_daily(spark, lake, run_date, run_ts)
-    register_tables(spark, lake, database)
-    checked = check_source(spark, lake)
+    register_tables(spark, lake, database, loaded.dates)
+    checked = check_source(spark, lake, loaded.dates)
     build_models(spark, lake, loaded.dates)
-    register_tables(spark, lake, database)
-    return loaded, checked + check_models(spark, lake)
+    register_tables(spark, lake, database, loaded.dates)
+    return loaded, checked + check_models(spark, lake, loaded.dates)
 
 
-def check_source(spark: SparkSession, lake: Lake) -> list:
+def check_source(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> list:
     """Report rows of the checks on silver; raises QualityError when one fails."""
-    return enforce(report({"silver": read_silver(prepare(spark), lake.silver)}, SOURCE_CHECKS))
+    return enforce(_report(spark, {"silver": _silver(spark, lake)}, SOURCE_CHECKS, dates))
 
 
-def check_models(spark: SparkSession, lake: Lake) -> list:
+def check_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> list:
     tables = {
-        "stg_events": read_staging(prepare(spark), lake.staging),
+        "stg_events": read_staging(spark, lake.staging),
         "daily_event_summary": read_summary(spark, lake.summary),
     }
-    return enforce(report(tables, MODEL_CHECKS))
+    return enforce(_report(spark, tables, MODEL_CHECKS, dates))
+
+
+def _report(spark: SparkSession, tables: dict, checks: tuple, dates: list[str] | None) -> DataFrame:
+    if dates is None:
+        return quality.report(tables, checks)
+    return quality.report_dates(tables, checks, dates)
+
+
+def _silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    if not matching(spark, f"{lake.silver}/event_date=*"):
+        return spark.createDataFrame([], SILVER_SCHEMA)
+    return read_silver(spark, lake.silver)
+
+
+def stored_anomalies(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Anomaly rates from the quarantine and silver; bronze is not read."""
+    prepare(spark)
+    return monitor.stored_anomalies(read_rejected(spark, lake.rejected), _silver(spark, lake))
+
+
+def drift(spark: SparkSession, lake: Lake, contract: tuple[str, ...], start: date, end: date) -> DataFrame:
+    """Fields seen in some days' folders against the contract."""
+    days, _ = bronze_source.folders(prepare(spark), lake.bronze)
+    paths = [path for path, filed in days if start <= filed <= end]
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    return monitor.schema_drift(lines, "value", contract)

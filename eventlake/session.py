@@ -1,6 +1,8 @@
 """Session settings the jobs rely on, and the shared folder for scratch tables."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def prepared(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings for as long as a job runs; the caller's own come back after it."""
+    before = {name: spark.conf.get(name, None) for name in (*SETTINGS, *DEFAULTS)}
+    try:
+        yield prepare(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

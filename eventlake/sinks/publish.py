@@ -1,40 +1,99 @@
-"""Publishing into silver: an upsert by event_id over the dates a batch touches.
+"""Publishing into silver: an upsert by event_id, wherever silver holds the ids.
 
-A partition is replaced as a whole, so the rows it already holds and the batch
-does not carry, the survivors, are written aside first. Should the replacement
-break off half way, ``recover`` repeats it from there before any other work.
+A partition is replaced as a whole, once per run, so the rows it holds and the run does not
+replace, the survivors, are written aside first. A replacement that is broken off can be
+repeated from there.
 """
 
 from collections.abc import Iterator
 from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.contract import SILVER_COLUMNS, SILVER_PARTITIONS
 from eventlake.sinks import workarea
-from eventlake.sources.folders import matching, partition_values, remove
+from eventlake.sources.folders import exists, matching, partition_values, read_text, remove, write_text
 from eventlake.sources.silver import read_silver
 
+UNDATED = "none"
 
-def upsert(spark: SparkSession, silver: str, batch: str) -> list[str]:
-    """Publish the accepted rows of a batch; return the event dates it touched.
 
-    A row replaces the silver rows of its event_id on the touched dates. Copies
-    of an event_id inside the batch are kept for the uniqueness check to report.
+def label_of(column: str | Column, batch: str | None) -> Column:
+    """The group a date is published in: the first day of its week, month or year."""
+    if batch is None:
+        return F.lit("all")
+    return F.coalesce(F.trunc(column, batch).cast("string"), F.lit(UNDATED))
+
+
+def upsert(spark: SparkSession, silver: str, folder: str, batch: str | None) -> list[str]:
+    """Publish the accepted rows of a run; return the event dates that change.
+
+    A row replaces the silver rows of its event_id on any date, and a rejected row removes
+    them. Copies of an event_id inside a run are kept for the uniqueness check to report.
     """
-    incoming = workarea.replacement(spark, batch)
-    if incoming is None:
-        return []
-    found = incoming.select(_text("event_date")).distinct().collect()
-    dates = sorted(row.event_date for row in found)
-    replaced = partitions_of(spark, silver, dates)
-    if replaced:
-        ids = written_distinct(incoming.select("event_id"), f"{batch}/ids")
-        current = read_silver(spark, silver, date_folders(replaced))
-        set_aside(spark, batch, replaced, current.join(ids, "event_id", "left_anti"))
-    replace(spark, silver, batch, replaced)
-    return dates
+    label = label_of("event_date", batch).alias("label")
+    rows, old = workarea.accepted(spark, folder), _old_copies(spark, silver, folder, label)
+    touched: dict[str, set] = {}
+    for table in (rows, old):
+        if table is not None:
+            for row in table.select(label, *map(_text, SILVER_PARTITIONS)).distinct().collect():
+                touched.setdefault(row.label, set()).add(tuple(row)[1:])
+    for name, keys in sorted(touched.items()):
+        if workarea.done(spark, folder, name):
+            continue
+        if not workarea.ready(spark, folder, name):
+            replaced = _among(spark, silver, keys)
+            if replaced:
+                gone = old.where(label == F.lit(name)).select("event_id").distinct()
+                gone = written_distinct(gone, f"{folder}/group={name}/gone")
+                current = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
+                set_aside(spark, folder, name, replaced, current.join(gone, "event_id", "left_anti"))
+        replace(spark, silver, folder, name)
+    return sorted({event_date for keys in touched.values() for event_date, _ in keys})
+
+
+def _old_copies(spark: SparkSession, silver: str, folder: str, label: Column) -> DataFrame:
+    """Where silver holds the ids of a run: event_id, event_date and event_type, before anything
+    of the run is published. One pass over three columns of silver."""
+    ids, old = f"{folder}/ids", f"{folder}/old"
+    if not workarea.complete(spark, old):
+        parts = []
+        if exists(spark, f"{folder}/{workarea.ACCEPTED}"):
+            parts.append(spark.read.schema("event_id string").parquet(f"{folder}/{workarea.ACCEPTED}"))
+        if exists(spark, f"{folder}/{workarea.REJECTED}"):
+            raw = spark.read.schema("raw struct<event_id:string>").parquet(f"{folder}/{workarea.REJECTED}")
+            parts.append(raw.select("raw.event_id"))
+        keys = spark.createDataFrame([], "event_id string")
+        for part in parts:
+            keys = keys.union(part.select("event_id"))
+        columns = ["event_id", *SILVER_PARTITIONS]
+        if matching(spark, f"{silver}/event_date=*"):
+            keys = written_distinct(keys.where("event_id is not null"), ids)
+            found = read_silver(spark, silver).select(*columns).join(keys, "event_id", "left_semi")
+        else:
+            found = spark.createDataFrame([], "event_id string, event_date date, event_type string")
+        found.write.mode("overwrite").parquet(old)
+    return spark.read.schema("event_id string, event_date date, event_type string").parquet(old)
+
+
+def _among(spark: SparkSession, silver: str, keys: set) -> list[str]:
+    """The existing partition folders among (date, type) pairs."""
+    dates = sorted({event_date for event_date, _ in keys})
+    return [path for path in partitions_of(spark, silver, dates) if key_of(path) in keys]
+
+
+def _in(partitions: list[str]) -> Column:
+    """A condition that rows lie in one of the partitions; it prunes folders."""
+    by_date: dict[str, list[str]] = {}
+    for path in partitions:
+        event_date, event_type = key_of(path)
+        by_date.setdefault(event_date, []).append(event_type)
+    found = F.lit(False)
+    for types in sorted({tuple(sorted(x)) for x in by_date.values()}):
+        dates = [d for d, x in by_date.items() if tuple(sorted(x)) == types]
+        found = found | (_text("event_date").isin(*dates) & F.col("event_type").isin(*types))
+    return found
 
 
 def partitions_of(spark: SparkSession, silver: str, dates: list[str] | None) -> list[str]:
@@ -67,24 +126,32 @@ def written_distinct(keys: DataFrame, path: str) -> DataFrame:
 
 
 def set_aside(
-    spark: SparkSession, batch: str, replaced: list[str], survivors: DataFrame
+    spark: SparkSession, folder: str, label: str, replaced: list[str], survivors: DataFrame
 ) -> None:
     """Write what a repeated replacement needs; the list of partitions comes last."""
-    survivors.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(f"{batch}/survivors")
-    names = spark.range(0, 1, 1, 1).select(F.lit("\n".join(replaced)))
-    names.write.mode("overwrite").text(f"{batch}/replaced")
-
-
-def replace(spark: SparkSession, silver: str, batch: str, replaced: list[str]) -> None:
-    rows = workarea.replacement(spark, batch)
-    write_partitions(rows, silver)
-    if not replaced:
-        return
-    filled = keys_of(rows)
+    group = f"{folder}/group={label}"
+    survivors.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(f"{group}/survivors")
+    write_text(spark, f"{group}/replaced", "\n".join(replaced))
+
+
+def replace(spark: SparkSession, silver: str, folder: str, label: str) -> None:
+    """Put a group's rows in place of the partitions it lists, once."""
+    replaced = replaced_by(spark, folder, label)
+    rows = workarea.replacement(spark, folder, label)
+    if rows is not None:
+        write_partitions(rows, silver)
+    filled = keys_of(rows) if rows is not None and replaced else set()
     for path in replaced:
         # Dynamic overwrite leaves a partition nobody writes to as it was.
         if key_of(path) not in filled:
             remove(spark, path)
+    workarea.mark_done(spark, folder, label)
+
+
+def replaced_by(spark: SparkSession, folder: str, label: str) -> list[str]:
+    """The partitions a group lists."""
+    path = f"{folder}/group={label}/replaced"
+    return read_text(spark, path).splitlines() if exists(spark, path) else []
 
 
 def keys_of(rows: DataFrame) -> set[tuple[str, str]]:
@@ -113,23 +180,5 @@ def write_partitions(rows: DataFrame, silver: str) -> None:
     )
 
 
-def recover(spark: SparkSession, silver: str) -> list[str]:
-    """Finish replacements an earlier run broke off, drop what it only prepared.
-
-    Returns the event dates this changed.
-    """
-    dates = set()
-    for batch in workarea.batches(spark, silver):
-        if workarea.ready(spark, batch):
-            names = spark.read.text(f"{batch}/replaced").collect()
-            replaced = [row.value for row in names]
-            replace(spark, silver, batch, replaced)
-            keys = {key_of(path) for path in replaced}
-            keys |= keys_of(workarea.replacement(spark, batch))
-            dates.update(event_date for event_date, _ in keys)
-        workarea.clear(spark, batch)
-    return sorted(dates)
-
-
 def _text(column: str):
     return F.col(column).cast("string").alias(column)

@@ -33,17 +33,46 @@ def refresh_catalog(
     partitions: dict[str, str],
     source: str = "parquet",
     options: dict[str, str] | None = None,
+    dates: list[str] | None = None,
 ) -> None:
-    """Make the table and every partition folder below ``path`` visible to SQL."""
+    """Make the table and every partition folder below ``path`` visible to SQL; in a table that
+    is there already, with ``dates``, only the partitions of these event dates."""
     if not exists(spark, path):
         return
-    data = {f.name: f.dataType.simpleString() for f in schema.fields}
-    columns = ", ".join(f"`{column}` {kind}" for column, kind in {**data, **partitions}.items())
-    settings = ", ".join(f"'{key}' = \"{value}\"" for key, value in (options or {}).items())
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} "
-        + (f"OPTIONS ({settings}) " if settings else "")
-        + f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    if dates is not None and spark.catalog.tableExists(name):
+        _refresh_dates(spark, name, path, dates)
+    else:
+        data = {f.name: f.dataType.simpleString() for f in schema.fields}
+        columns = ", ".join(f"`{column}` {kind}" for column, kind in {**data, **partitions}.items())
+        settings = ", ".join(f"'{key}' = \"{value}\"" for key, value in (options or {}).items())
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} "
+            + (f"OPTIONS ({settings}) " if settings else "")
+            + f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
+        )
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
+
+
+def _refresh_dates(spark: SparkSession, name: str, path: str, dates: list[str]) -> None:
+    """Add partitions that have come and drop those that have gone, on some event dates."""
+    known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    known = {x for x in known if x.split("/")[0].split("=", 1)[1] in dates}
+    below = "/event_type=*" if _nested(spark, path) else ""
+    found = set()
+    for value in dates:
+        for folder in matching(spark, f"{path}/event_date={value}{below}"):
+            found.add("/".join(folder.rsplit("/", 2 if below else 1)[1:]))
+
+    def spec(partition: str) -> str:
+        values = (x.split("=", 1) for x in partition.split("/"))
+        return ", ".join(f"{column}='{value}'" for column, value in values)
+
+    for partition in sorted(found - known):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec(partition)})")
+    for partition in sorted(known - found):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec(partition)})")
+
+
+def _nested(spark: SparkSession, path: str) -> bool:
+    return bool(matching(spark, f"{path}/event_date=*/event_type=*"))

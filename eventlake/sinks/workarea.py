@@ -1,59 +1,94 @@
 """Written tables between the one pass over bronze and the tables it feeds.
 
-Layout, below the shared folder, one area per silver table::
-
-    batch=<label>/outcome=accepted    silver rows of the batch
-    batch=<label>/outcome=rejected    the raw text of the others, in struct ``raw``
-    batch=<label>/survivors           rows that must stay of partitions about to be replaced
-    batch=<label>/replaced            names of these partitions, one file
-    batch=<label>/ids, users          distinct keys of a join
-
-The file in ``replaced`` is written last: with it, all a replacement needs is here.
+Layout, beside silver, one folder per run, so that runs do not touch each other's::
+
+    publishing                        lease of the one job that is changing tables
+    run=<id>/lease                    lease of the run
+    run=<id>/rows/outcome=accepted/batch=<label>    silver rows to publish
+    run=<id>/rows/outcome=rejected    the raw text of the others, in struct ``raw``
+    run=<id>/staged.json              the request and the rows written: staging is complete
+    run=<id>/ids, old, users          keys of joins, and where silver holds them
+    run=<id>/group=<label>/survivors  rows that must stay of partitions about to be replaced
+    run=<id>/group=<label>/replaced   names of these partitions: the replacement may begin
+    run=<id>/group=<label>/done       the replacement is complete
+
+A run that ends well removes its folder. One that was broken off leaves it: the next job that
+changes tables finishes it if it was staged, and drops it if it was not.
 """
 
-import hashlib
+import json
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.session import shared_folder
-from eventlake.sources.folders import exists, matching, remove
+from eventlake.sinks.lease import Lease, alive
+from eventlake.sources.folders import create, exists, matching, read_text, remove, write_text
 from eventlake.sources.silver import read_silver
 
-ACCEPTED = "outcome=accepted"
-REJECTED = "outcome=rejected"
+ROWS, ACCEPTED, REJECTED = "rows", "rows/outcome=accepted", "rows/outcome=rejected"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, area: str) -> Iterator[str]:
+    began = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
+    folder = f"{area}/run={began}-{uuid.uuid4().hex[:8]}"
+    with Lease(spark, f"{folder}/lease"):
+        yield folder
+        remove(spark, folder)
+
+
+@contextmanager
+def exclusive(spark: SparkSession, area: str) -> Iterator[None]:
+    """Waits until no other job is changing the lake's tables."""
+    with Lease(spark, f"{area}/publishing"):
+        yield
+
+
+def broken_off(spark: SparkSession, area: str) -> list[str]:
+    """Folders of runs that no job is working on, in the order they began."""
+    found = matching(spark, f"{area}/run=*")
+    return [folder for folder in found if not alive(spark, f"{folder}/lease")]
+
+
+def mark_staged(spark: SparkSession, folder: str, request: dict) -> None:
+    write_text(spark, f"{folder}/staged.json", json.dumps(request))
 
 
-def area(spark: SparkSession, silver: str) -> str:
-    name = hashlib.sha256(silver.rstrip("/").encode()).hexdigest()[:16]
-    return f"{shared_folder(spark)}/eventlake/{name}"
+def staged(spark: SparkSession, folder: str) -> dict | None:
+    """The request of a run whose staging is complete."""
+    path = f"{folder}/staged.json"
+    return json.loads(read_text(spark, path)) if exists(spark, path) else None
 
 
-def batch_folder(spark: SparkSession, silver: str, label: str) -> str:
-    return f"{area(spark, silver)}/batch={label}"
+def accepted(spark: SparkSession, folder: str, label: str | None = None) -> DataFrame | None:
+    path = f"{folder}/{ACCEPTED}" + (f"/batch={label}" if label else "")
+    return read_silver(spark, path) if exists(spark, path) else None
 
 
-def batches(spark: SparkSession, silver: str) -> list[str]:
-    return matching(spark, f"{area(spark, silver)}/batch=*")
+def replacement(spark: SparkSession, folder: str, label: str) -> DataFrame | None:
+    """Silver rows a group publishes: the run's accepted rows and the survivors."""
+    rows, kept = accepted(spark, folder, label), f"{folder}/group={label}/survivors"
+    if not exists(spark, kept):
+        return rows
+    survivors = read_silver(spark, kept)
+    return survivors if rows is None else survivors.unionByName(rows)
 
 
-def replacement(spark: SparkSession, batch: str) -> DataFrame | None:
-    """Silver rows the batch publishes: its accepted rows and the survivors."""
-    parts = [p for p in (f"{batch}/{ACCEPTED}", f"{batch}/survivors") if exists(spark, p)]
-    return read_silver(spark, parts[0]) if len(parts) == 1 else _both(spark, parts)
+def ready(spark: SparkSession, folder: str, label: str) -> bool:
+    return exists(spark, f"{folder}/group={label}/replaced")
 
 
-def _both(spark: SparkSession, parts: list[str]) -> DataFrame | None:
-    if not parts:
-        return None
-    accepted, survivors = (read_silver(spark, part) for part in parts)
-    return survivors.unionByName(accepted)
+def done(spark: SparkSession, folder: str, label: str) -> bool:
+    return exists(spark, f"{folder}/group={label}/done")
 
 
-def ready(spark: SparkSession, batch: str) -> bool:
-    return bool(matching(spark, f"{batch}/replaced/part-*"))
+def mark_done(spark: SparkSession, folder: str, label: str) -> None:
+    create(spark, f"{folder}/group={label}/done", "")
 
 
-def clear(spark: SparkSession, batch: str) -> None:
-    # The marker goes first: half a batch must never look ready.
-    remove(spark, f"{batch}/replaced")
-    remove(spark, batch)
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    return exists(spark, f"{path}/_SUCCESS")

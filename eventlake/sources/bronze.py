@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.contract import BRONZE_SCHEMA, CORRUPT
-from eventlake.sources.folders import matching, partition_values
+from eventlake.sources.folders import names, partition_values
+
+#: The column that says under which day's folder a row lies.
+FOLDER_DATE = "folder_date"
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
@@ -25,56 +28,72 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_recursive(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``, whatever its folders are called; no folder columns."""
-    return _reader(spark).option("recursiveFileLookup", "true").json(root)
+    """Every file below ``root``, whatever its folders are called, with ``folder_date``."""
+    return _filed(spark, [root])
 
 
-def scan_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Events filed under the days start to end; other folders are not even listed."""
-    inside = [path for path, filed in day_folders(spark, root) if start <= filed <= end]
-    if inside:
-        return _reader(spark).option("basePath", root).json(inside)
-    empty = spark.createDataFrame([], BRONZE_SCHEMA)
-    return empty.select("*", *(F.lit(None).cast("int").alias(c) for c in ("year", "month", "day")))
+def scan_days(spark: SparkSession, root: str, start: date, end: date, tree=None) -> DataFrame:
+    """Events filed under the days start to end, with ``folder_date``.
 
+    Of a tree that has been listed before nothing is listed again.
+    """
+    days, _ = tree or folders(spark, root)
+    return _filed(spark, [path for path, filed in days if start <= filed <= end])
 
-def scan_in_parts(spark: SparkSession, root: str) -> Iterator[DataFrame]:
-    """All of bronze, one DataFrame per month of folders to keep jobs to a size.
 
-    Where files lie outside of day folders too, it is one recursive scan instead.
-    """
-    if not _only_day_folders(spark, root):
-        yield scan_recursive(spark, root)
-        return
+def scan_in_parts(spark: SparkSession, root: str, tree=None) -> Iterator[DataFrame]:
+    """All of bronze, one DataFrame per month of folders to keep jobs to a size, and one of what
+    lies outside of day folders."""
+    days, strays = tree or folders(spark, root)
     months = {}
-    for path, filed in day_folders(spark, root):
+    for path, filed in days:
         months.setdefault((filed.year, filed.month), []).append(path)
     for _, paths in sorted(months.items()):
-        yield _reader(spark).option("basePath", root).json(paths)
-
-
-def day_folders(spark: SparkSession, root: str) -> list[tuple[str, date]]:
-    found = []
-    for path in matching(spark, f"{root}/year=*/month=*/day=*"):
-        values = partition_values(path)
-        found.append((path, date(*(int(values[part]) for part in ("year", "month", "day")))))
-    return found
-
-
-def _only_day_folders(spark: SparkSession, root: str) -> bool:
-    levels = {"*": "year=", "year=*/*": "month=", "year=*/month=*/*": "day="}
-    names = {
-        folder: [path.rsplit("/", 1)[1] for path in matching(spark, f"{root}/{level}")]
-        for level, folder in levels.items()
-    }
-    # Spark does not read names that begin with _ or . either.
-    return any(names["day="]) and all(
-        name.startswith((folder, "_", ".")) for folder in names for name in names[folder]
-    )
-
-
-def folder_date(bronze: DataFrame) -> Column:
-    """The day a row is filed under; NULL where the tree has no day folders."""
-    if "day" in bronze.columns:
-        return F.make_date("year", "month", "day")
-    return F.lit(None).cast("date")
+        yield _filed(spark, paths)
+    if strays:
+        yield _filed(spark, strays)
+
+
+def folders(spark: SparkSession, root: str) -> tuple[list[tuple[str, date]], list[str]]:
+    """Day folders with their dates, and everything else below ``root``: files and folders that
+    lie elsewhere, or whose names are no date."""
+    days, strays = [], []
+
+    def walk(path: str, levels: tuple[str, ...]) -> None:
+        for below, is_folder in names(spark, path):
+            if is_folder and below.rsplit("/", 1)[1].startswith(f"{levels[0]}="):
+                if len(levels) > 1:
+                    walk(below, levels[1:])
+                    continue
+                filed = _date_of(below)
+                if filed:
+                    days.append((below, filed))
+                    continue
+            strays.append(below)
+
+    walk(root, ("year", "month", "day"))
+    return days, strays
+
+
+def _date_of(path: str) -> date | None:
+    values = partition_values(path)
+    try:
+        return date(*(int(values[part]) for part in ("year", "month", "day")))
+    except (KeyError, ValueError):
+        return None
+
+
+def _filed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows with the date in the name of the day folder they lie in, whatever else is read."""
+    if not paths:
+        return spark.createDataFrame([], BRONZE_SCHEMA).withColumn(FOLDER_DATE, F.lit(None).cast("date"))
+    rows = _reader(spark).option("recursiveFileLookup", "true").json(paths)
+    return rows.select("*", folder_date(F.col("_metadata.file_path")).alias(FOLDER_DATE))
+
+
+def folder_date(file: Column) -> Column:
+    """The date in year=/month=/day= of a file's path; NULL if there is none or it is no date."""
+    pattern = r"/year=(\d{1,4})/month=(\d{1,2})/day=(\d{1,2})/"
+    parts = [F.regexp_extract(file, pattern, i) for i in (1, 2, 3)]
+    text = F.concat_ws("-", F.lpad(parts[0], 4, "0"), F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0"))
+    return F.when(parts[0] != "", F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))))

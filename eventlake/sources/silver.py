@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.contract import REJECTED_SCHEMA, SILVER_SCHEMA
+from eventlake.contract import SILVER_SCHEMA, rejected_schema
 
 REJECTED_OPTIONS = {
     # JSON would otherwise cut timestamps to milliseconds.
@@ -11,6 +11,9 @@ REJECTED_OPTIONS = {
     "columnNameOfCorruptRecord": "_unreadable",
 }
 
+#: Partition columns of the rejected rows.
+SLICES = ("folder_date", "filed_date")
+
 
 def read_silver(spark: SparkSession, root: str, partitions: list[str] | None = None) -> DataFrame:
     """The silver table, or only the given partition folders of it."""
@@ -21,5 +24,9 @@ def read_silver(spark: SparkSession, root: str, partitions: list[str] | None = N
 
 
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
-    """Quarantined rows with the ``run`` and ``ingest_date`` that put them there."""
-    return spark.read.schema(REJECTED_SCHEMA).options(**REJECTED_OPTIONS).json(root)
+    """Quarantined rows with the ``run`` and ``ingest_date`` that put them there, the date of
+    the bronze folder they came from and the date they are filed under."""
+    schema = rejected_schema()
+    for column in SLICES:
+        schema = schema.add(column, "date")
+    return spark.read.schema(schema).options(**REJECTED_OPTIONS).json(root)

@@ -51,7 +51,7 @@ def event(event_id="a", timestamp="2026-06-01T10:00:00+00:00", **fields):
         "university_id": "uni_1",
         "country_code": "NL",
         "device_type": "mobile",
-        "page_url": "/document/1/summary",
+        "page_url": "/d/1",
         "referrer": None,
         "duration_seconds": 30,
         "is_premium_user": True,

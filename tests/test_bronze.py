@@ -55,7 +55,7 @@ def test_a_day_reads_only_its_folder(spark, lake):
     rows = bronze.scan_days(spark, lake.bronze, date(2026, 6, 2), date(2026, 6, 2))
     assert [Path(p).parent.name for p in rows.inputFiles()] == ["day=02"]
     assert [r.event_id for r in rows.collect()] == ["2026-06-02"]
-    assert rows.first().day == 2
+    assert str(rows.first().folder_date) == "2026-06-02"
 
 
 def test_a_range_of_days_crosses_months(spark, lake):
@@ -69,7 +69,7 @@ def test_a_missing_day_is_empty(spark, lake):
     file_events(lake, "2026-06-01", event())
     rows = bronze.scan_days(spark, lake.bronze, date(2030, 1, 1), date(2030, 1, 1))
     assert rows.count() == 0
-    assert {*EVENT_COLUMNS, "year", "month", "day"} <= set(rows.columns)
+    assert {*EVENT_COLUMNS, "folder_date"} <= set(rows.columns)
 
 
 def test_an_empty_folder_is_no_error(spark, lake):
@@ -83,7 +83,7 @@ def test_any_folder_naming(spark, tmp_path):
         (tmp_path / "tree" / folder / "f.json").write_text(f'{{"event_id": "{folder}"}}\n')
     rows = bronze.scan_recursive(spark, str(tmp_path / "tree"))
     assert sorted(r.event_id for r in rows.collect()) == ["2026/06/01", "late export", "x/y/z"]
-    assert "day" not in rows.columns
+    assert {r.folder_date for r in rows.collect()} == {None}
 
 
 def test_parts_are_the_months_of_folders(spark, lake):
@@ -92,7 +92,7 @@ def test_parts_are_the_months_of_folders(spark, lake):
     (Path(lake.bronze) / "_SUCCESS").touch()
     parts = list(bronze.scan_in_parts(spark, lake.bronze))
     assert [part.count() for part in parts] == [2, 1]
-    assert "day" in parts[0].columns
+    assert {str(r.folder_date) for r in parts[0].collect()} == {"2026-05-30", "2026-05-31"}
 
 
 def test_files_outside_of_day_folders_are_read_too(spark, lake):
@@ -100,8 +100,30 @@ def test_files_outside_of_day_folders_are_read_too(spark, lake):
     for place in (file.parents[3], file.parents[2], file.parents[1], file.parent / "late"):
         place.mkdir(exist_ok=True)
         (place / "stray.json").write_text('{"event_id": "stray"}\n')
-    parts = list(bronze.scan_in_parts(spark, lake.bronze))
-    assert sum(part.count() for part in parts) == 5
+    days, strays = bronze.folders(spark, lake.bronze)
+    assert [str(day) for _, day in days] == ["2026-05-30"]
+    assert len(strays) == 3
+    rows = [r for part in bronze.scan_in_parts(spark, lake.bronze) for r in part.collect()]
+    # A folder within a day's folder belongs to the day.
+    assert sorted((r.event_id, str(r.folder_date)) for r in rows) == [
+        ("a", "2026-05-30"), ("stray", "2026-05-30"), *3 * [("stray", "None")],
+    ]
+
+
+def test_folder_names_that_are_no_date(spark, lake):
+    file_events(lake, "2026-06-30", event("a"))
+    for name in ("day=31", "day=__HIVE_DEFAULT_PARTITION__", "day=x"):
+        folder = Path(lake.bronze) / "year=2026" / "month=06" / name
+        folder.mkdir()
+        (folder / "f.json").write_text('{"event_id": "odd"}\n')
+    day = bronze.scan_days(spark, lake.bronze, date(2026, 1, 1), date(2026, 12, 31))
+    assert [r.event_id for r in day.collect()] == ["a"]
+    days, strays = bronze.folders(spark, lake.bronze)
+    assert len(days) == 1 and len(strays) == 3
+    rows = [r for part in bronze.scan_in_parts(spark, lake.bronze) for r in part.collect()]
+    assert sorted((r.event_id, str(r.folder_date)) for r in rows) == [
+        ("a", "2026-06-30"), *3 * [("odd", "None")],
+    ]
 
 
 def test_compressed_files(spark, lake):

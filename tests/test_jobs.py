@@ -1,6 +1,7 @@
 """Jobs end to end on small lakes: reruns, spill, crashes, batches."""
 
 import json
+import time
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from eventlake.contract import EVENT_TYPES
 from eventlake.operators.quality import QualityError
 from eventlake.plans import jobs
 from eventlake.plans.jobs import Lake
-from eventlake.sinks import publish, workarea
+from eventlake.sinks import lease, publish, quarantine, workarea
 from eventlake.sources.silver import read_rejected, read_silver
 
 JUNE = date(2026, 6, 1), date(2026, 6, 30)
@@ -97,7 +98,8 @@ def test_counts_and_rejected_slices(spark, lake):
     assert sorted(r.validation_error for r in rows) == [
         "bad_timestamp", "missing_event_id", "missing_event_id",
     ]
-    assert {(r.run, str(r.ingest_date)) for r in rows} == {("daily", "2026-06-01")}
+    assert {(r.run, str(r.ingest_date)) for r in rows} == {("daily", "2026-06-10")}
+    assert {str(r.folder_date) for r in rows} == {str(r.filed_date) for r in rows} == {"2026-06-01"}
     assert [r._corrupt_record for r in rows if r._corrupt_record] == ["{broken"]
     assert [r.event_timestamp for r in rows if r.validation_error == "bad_timestamp"] == ["soon"]
     assert len({r.rejected_at for r in rows}) == 1
@@ -111,12 +113,63 @@ def test_a_rerun_without_rejects_clears_its_slice(spark, lake):
     assert not list(Path(lake.rejected).rglob("*.json"))
 
 
-def test_daily_and_backfill_keep_their_own_rejects(spark, lake):
+def rejects(spark, lake):
+    rows = read_rejected(spark, lake.rejected).collect()
+    return sorted((r.event_id or "", r.run) for r in rows)
+
+
+def test_a_rejected_row_is_in_quarantine_once_whatever_run_wrote_it(spark, lake):
+    file_events(lake, "2026-06-01", event("a"), event("x", user_id=None))
+    file_events(lake, "2026-06-02", event("y", "2026-06-02T00:00:00Z", user_id=None), event("z", "soon"))
+    # Filed a day early: of the second day, in the first day's folder.
+    file_events(lake, "2026-06-01", event("w", "2026-06-02T01:00:00Z", user_id=None), name="late.json")
+    every = ["w", "x", "y", "z"]
+    for day in ("2026-06-01", "2026-06-02", "2026-06-01"):
+        daily(spark, lake, day)
+    assert rejects(spark, lake) == [(i, "daily") for i in every]
+    for how in ({"batch": "month"}, {"batch": "week"}, {"batch": None, "slack_days": 1}):
+        jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS, **how)
+        assert rejects(spark, lake) == [(i, "backfill") for i in every]
+    jobs.run_backfill(spark, lake, date(2026, 6, 2), JUNE[1], run_ts=RUN_TS)
+    assert rejects(spark, lake) == [(i, "backfill") for i in every]
+    daily(spark, lake, "2026-06-02")
+    assert rejects(spark, lake) == [("w", "backfill"), ("x", "backfill"), ("y", "daily"), ("z", "daily")]
+
+
+def test_a_reversed_range_is_refused(spark, lake):
     file_events(lake, "2026-06-01", event("a"), event(None))
     daily(spark, lake, "2026-06-01")
-    jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS)
-    rows = read_rejected(spark, lake.rejected).collect()
-    assert sorted(r.run for r in rows) == ["backfill", "daily"]
+    with pytest.raises(ValueError, match="before it starts"):
+        jobs.run_backfill(spark, lake, date(2026, 6, 1), date(2026, 5, 1), run_ts=RUN_TS)
+    assert len(rejects(spark, lake)) == 1
+
+
+def test_a_lake_without_gold_has_no_models(spark, lake):
+    with pytest.raises(ValueError, match="no gold"):
+        jobs.build_models(spark, Lake(lake.bronze, lake.silver, lake.rejected))
+
+
+def test_an_event_is_followed_to_another_date_and_into_quarantine(spark, lake):
+    file_events(lake, "2026-06-01", event("a"), event("g"), event("k", "2026-05-20T00:00:00Z"))
+    file_events(lake, "2026-06-03", event("o", "2026-06-03T00:00:00Z"))
+    jobs.run_backfill(spark, lake, date(2026, 5, 1), JUNE[1], run_ts=RUN_TS)
+    moved = event("a", "2026-06-02T10:00:00Z"), event("k", "2026-06-30T00:00:00Z")
+    file_events(lake, "2026-06-01", *moved, event("g", user_id=None))
+    done = daily(spark, lake, "2026-06-01")
+    assert done.dates == ["2026-05-20", "2026-06-01", "2026-06-02", "2026-06-30"]
+    assert ids(spark, lake) == ["a", "k", "o"]
+    assert rejects(spark, lake) == [("g", "daily")]
+    assert partitions(lake) == [f"event_date=2026-06-{d}/event_type=search" for d in ("02", "03", "30")]
+
+
+def test_settings_are_the_callers_again_after_a_job(spark, lake):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        spill(lake)
+        daily(spark, lake, "2026-06-01")
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_nothing_to_load(spark, lake):
@@ -128,6 +181,10 @@ def test_nothing_to_load(spark, lake):
     assert not Path(lake.silver).exists()
 
 
+def left_over(lake):
+    return sorted(p.name for p in Path(lake.area).glob("*"))
+
+
 @pytest.mark.parametrize("at", ["before", "half way", "after"])
 def test_a_broken_replacement_is_finished_by_the_next_run(spark, lake, monkeypatch, at):
     spill(lake)
@@ -150,7 +207,7 @@ def test_a_broken_replacement_is_finished_by_the_next_run(spark, lake, monkeypat
     # Any later run repairs silver first, also one that loads nothing, and reports it.
     assert daily(spark, lake, "2026-07-01").dates == ["2026-06-02"]
     assert ids(spark, lake) == ["a", "b", "c", "d", "x"]
-    assert workarea.batches(spark, lake.silver) == []
+    assert left_over(lake) == []
 
 
 def test_models_repair_silver_first(spark, lake, monkeypatch):
@@ -172,27 +229,99 @@ def test_models_repair_silver_first(spark, lake, monkeypatch):
     assert sorted(r.event_id for r in staged) == ["a", "b", "c", "d", "x"]
 
 
-def test_an_unfinished_preparation_is_dropped(spark, lake, monkeypatch):
+@pytest.mark.parametrize("step", ["replace_slices", "written_distinct", "set_aside", "mark_done"])
+def test_a_publication_that_breaks_off_anywhere_is_finished(spark, lake, monkeypatch, step):
     spill(lake)
+    file_events(lake, "2026-06-02", event("bad", user_id=None), name="bad.json")
     daily(spark, lake, "2026-06-01")
-    monkeypatch.setattr(publish, "set_aside", lambda *_: 1 / 0)
+    place = {"replace_slices": quarantine, "mark_done": workarea}.get(step, publish)
+    monkeypatch.setattr(place, step, lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily(spark, lake, "2026-06-02")
+    monkeypatch.undo()
+    assert daily(spark, lake, "2026-07-01").dates == ["2026-06-02"]
+    assert ids(spark, lake) == ["a", "b", "c", "d", "x"]
+    assert rejects(spark, lake) == [("bad", "daily")]
+    assert left_over(lake) == []
+
+
+def test_staging_that_breaks_off_is_dropped(spark, lake, monkeypatch):
+    spill(lake)
+    monkeypatch.setattr(workarea, "mark_staged", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         daily(spark, lake, "2026-06-02")
     monkeypatch.undo()
-    assert workarea.batches(spark, lake.silver)
-    daily(spark, lake, "2026-07-01")
+    assert len(left_over(lake)) == 1
+    assert daily(spark, lake, "2026-06-01").dates == ["2026-06-01", "2026-06-02"]
     assert ids(spark, lake) == ["a", "b", "x"]
-    assert workarea.batches(spark, lake.silver) == []
+    assert left_over(lake) == []
+
+
+def between(monkeypatch, work):
+    """Runs ``work`` when a load has staged its rows and not yet published them."""
+    whole = workarea.mark_staged
+
+    def marked(*args):
+        whole(*args)
+        monkeypatch.setattr(workarea, "mark_staged", whole)
+        work()
+
+    monkeypatch.setattr(workarea, "mark_staged", marked)
+
+
+def test_another_job_leaves_a_running_one_alone(spark, lake, monkeypatch):
+    file_events(lake, "2026-06-01", event("a"), event(None))
+    file_events(lake, "2026-06-02", event("b", "2026-06-02T00:00:00Z"))
+    between(monkeypatch, lambda: daily(spark, lake, "2026-06-02"))
+    done = jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS)
+    assert (done.bronze_rows, done.good_rows, done.bad_rows) == (3, 2, 1)
+    assert ids(spark, lake) == ["a", "b"] and len(rejects(spark, lake)) == 1
+
+
+def test_lost_staging_is_an_error(spark, lake, monkeypatch):
+    file_events(lake, "2026-06-01", event("a"), event(None))
+
+    def lose():
+        for path in Path(lake.area).rglob("outcome=accepted/*/*.parquet"):
+            path.unlink()
+
+    between(monkeypatch, lose)
+    with pytest.raises(jobs.StagingLost):
+        jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS)
+    assert rejects(spark, lake) == [] if Path(lake.rejected).exists() else True
+
+
+def test_a_staged_backfill_is_not_read_again(spark, lake, monkeypatch):
+    scattered(lake)
+    between(monkeypatch, lambda: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    monkeypatch.setattr(jobs, "_stage", lambda *_: pytest.fail("read again"))
+    done = jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    assert done.bronze_rows == done.good_rows + done.bad_rows > 0
+    assert len(ids(spark, lake)) == done.good_rows
 
 
-def test_survivors_without_their_partition_list_are_dropped(spark, lake):
+def test_the_lease_of_a_killed_job_runs_out(spark, lake, monkeypatch):
     spill(lake)
+    Path(lake.area).mkdir()
+    (Path(lake.area) / "publishing").write_text("gone")
+    monkeypatch.setattr(lease, "PATIENCE", 0.0)
+    with pytest.raises(lease.LeaseTaken):
+        daily(spark, lake, "2026-06-01")
+    monkeypatch.undo()
+    monkeypatch.setattr(lease, "TTL", 0.5)
     daily(spark, lake, "2026-06-01")
-    batch = workarea.batch_folder(spark, lake.silver, "2026-06-02")
-    read_silver(spark, lake.silver).limit(0).write.parquet(f"{batch}/survivors")
-    daily(spark, lake, "2026-07-01")
     assert ids(spark, lake) == ["a", "b", "x"]
-    assert workarea.batches(spark, lake.silver) == []
+
+
+def test_a_lease_is_renewed_while_its_job_runs(spark, lake, monkeypatch):
+    monkeypatch.setattr(lease, "TTL", 1.0)
+    Path(lake.area).mkdir()
+    with lease.Lease(spark, f"{lake.area}/publishing"):
+        time.sleep(2.5)
+        assert lease.alive(spark, f"{lake.area}/publishing")
+    assert not lease.alive(spark, f"{lake.area}/publishing")
 
 
 def scattered(lake):
@@ -282,19 +411,38 @@ def test_backfill_of_a_tree_without_day_folders(spark, lake):
     folder.mkdir(parents=True)
     lines = [event("a"), event("far", "2025-06-01T00:00:00Z"), event("bad", "unreadable")]
     (folder / "f.json").write_text("\n".join(map(json.dumps, lines)))
-    done = jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS)
-    assert ids(spark, lake) == ["a"]
-    assert (done.bronze_rows, done.bad_rows) == (2, 1)
+    for start in (JUNE[0], date(2026, 5, 15)):
+        done = jobs.run_backfill(spark, lake, start, JUNE[1], run_ts=RUN_TS)
+        assert ids(spark, lake) == ["a"]
+        assert (done.bronze_rows, done.bad_rows) == (2, 1)
+        assert done.strays == [f"file:{lake.bronze}/export"]
+        # Without any date, it is filed under none and replaced by the next full read.
+        assert rejects(spark, lake) == [("bad", "backfill")]
 
 
-def test_batch_starts():
-    start, end = date(2025, 11, 15), date(2026, 2, 1)
-    assert [str(d) for d in jobs.batch_starts(start, end, "month")] == [
-        "2025-11-15", "2025-12-01", "2026-01-01", "2026-02-01",
-    ]
-    assert [str(d) for d in jobs.batch_starts(start, end, "year")] == ["2025-11-15", "2026-01-01"]
-    assert jobs.batch_starts(start, end, None) == [start]
-    assert jobs.batch_starts(start, start, "week") == [start]
+def test_a_stray_file_changes_nothing_else(spark, lake):
+    scattered(lake)
+    jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    before = state(spark, lake)
+    folder = Path(lake.bronze) / "year=2026" / "month=06" / "day=31"
+    folder.mkdir(parents=True)
+    (folder / "f.json").write_text(json.dumps(event("stray", "2026-06-05T00:00:00Z")))
+    (Path(lake.bronze) / "year=2026" / "month=06" / "day=__HIVE_DEFAULT_PARTITION__").mkdir()
+    daily(spark, lake, "2026-06-01")
+    assert state(spark, lake) == before
+    jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
+    after = state(spark, lake)
+    assert after[1] == before[1] and len(after[0]) == len(before[0]) + 1
+
+
+@pytest.mark.parametrize(
+    ("batch", "first"),
+    [("week", "2026-02-23"), ("month", "2026-03-01"), ("year", "2026-01-01"), (None, "all")],
+)
+def test_groups_begin_with_their_week_month_or_year(spark, batch, first):
+    days = spark.sql("select explode(array(date '2026-03-01', null)) as event_date")
+    found = [r[0] for r in days.select(publish.label_of("event_date", batch)).collect()]
+    assert found == [first, publish.UNDATED if batch else first]
 
 
 EVENTS = st.builds(
@@ -380,7 +528,7 @@ def test_catalog_follows_new_and_vanished_partitions(spark, lake):
     assert spark.table("followed.silver").count() == 1
     file_events(lake, "2026-06-01", event("a", event_type="signup"), event("b"))
     daily(spark, lake, "2026-06-01")
-    jobs.register_tables(spark, lake, "followed")
+    jobs.register_tables(spark, lake, "followed", ["2026-06-01"])
     types = [r.event_type for r in spark.table("followed.silver").collect()]
     assert sorted(types) == ["search", "signup"]
     assert spark.sql("show partitions followed.silver").count() == 2
@@ -411,27 +559,47 @@ def test_erased_users_leave_silver_and_models(spark, lake):
         "event_date=2026-06-03/event_type=search",
     ]
     assert sorted(Path(lake.silver).rglob("event_date=2026-06-03/*/*.parquet")) == untouched
-    jobs.build_models(spark, lake, dates)
     staged = jobs.read_staging(spark, lake.staging).collect()
     assert sorted(r.event_id for r in staged) == ["c", "e"]
     counted = jobs.read_summary(spark, lake.summary).collect()
     assert sorted(str(r.event_date) for r in counted) == ["2026-06-01", "2026-06-03"]
 
 
+def test_erased_users_do_not_come_back(spark, lake):
+    file_events(
+        lake, "2026-06-01",
+        event("a", user_id="gone"), event("b"), event("c", "soon", user_id="gone"),
+        event("d", "soon"), '{"user_id": "gone", "event_id": "cut', '{"event_id": "cut',
+    )
+    daily(spark, lake, "2026-06-01")
+    users = spark.createDataFrame([("gone",), (None,)], "user_id string")
+    assert jobs.erase_users(spark, lake, users) == ["2026-06-01"]
+    for again in (False, True):
+        if again:
+            done = daily(spark, lake, "2026-06-01")
+            assert (done.bronze_rows, done.good_rows, done.bad_rows) == (3, 1, 2)
+        assert ids(spark, lake) == ["b"]
+        rows = read_rejected(spark, lake.rejected).collect()
+        assert sorted((r.event_id or "", r._corrupt_record or "") for r in rows) == [
+            ("", '{"event_id": "cut'), ("d", ""),
+        ]
+    assert jobs.erase_users(spark, lake, users) == []
+
+
 def test_erasing_goes_month_by_month(spark, lake, monkeypatch):
     scattered(lake)
     jobs.run_backfill(spark, lake, *RANGE, run_ts=RUN_TS)
     seen = []
     whole = publish.replace
 
-    def noted(spark, silver, batch, replaced):
-        seen.append(batch.rsplit("=", 1)[1])
-        whole(spark, silver, batch, replaced)
+    def noted(spark, silver, folder, label):
+        seen.append(label)
+        whole(spark, silver, folder, label)
 
     monkeypatch.setattr(publish, "replace", noted)
     users = spark.createDataFrame([("user_1",)], "user_id string")
     jobs.erase_users(spark, lake, users)
-    assert seen == ["erase-2026-05", "erase-2026-06"]
+    assert seen == ["2026-05", "2026-06"]
     assert ids(spark, lake) == []
 
 
@@ -446,18 +614,64 @@ def test_erasing_nobody_and_everybody(spark, lake):
     assert partitions(lake) == []
 
 
-def test_a_broken_erasure_is_finished_by_the_next_run(spark, lake, monkeypatch):
+@pytest.mark.parametrize("months", [0, 1])
+def test_a_broken_erasure_is_finished_by_the_next_run(spark, lake, monkeypatch, months):
     file_events(lake, "2026-06-01", event("a", user_id="gone", event_type="login"), event("b"))
-    daily(spark, lake, "2026-06-01")
+    file_events(lake, "2026-07-01", event("c", "2026-07-01T00:00:00Z", user_id="gone"))
+    file_events(lake, "2026-07-01", event("d", "soon", user_id="gone"), name="bad.json")
+    for day in ("2026-06-01", "2026-07-01"):
+        daily(spark, lake, day)
+    jobs.build_models(spark, lake)
+    whole, calls = publish.write_partitions, []
 
     def broken(rows, silver):
-        raise RuntimeError("lost")
+        calls.append(1)
+        if len(calls) > months:
+            raise RuntimeError("lost")
+        whole(rows, silver)
 
     monkeypatch.setattr(publish, "write_partitions", broken)
     users = spark.createDataFrame([("gone",)], "user_id string")
     with pytest.raises(RuntimeError):
         jobs.erase_users(spark, lake, users)
     monkeypatch.undo()
-    daily(spark, lake, "2026-07-01")
-    assert ids(spark, lake) == ["b"]
+    assert daily(spark, lake, "2026-08-01").dates == ["2026-06-01", "2026-07-01"]
+    assert ids(spark, lake) == ["b"] and rejects(spark, lake) == []
     assert partitions(lake) == ["event_date=2026-06-01/event_type=search"]
+    staged = jobs.read_staging(spark, lake.staging).collect()
+    assert [r.event_id for r in staged] == ["b"]
+    assert left_over(lake) == []
+
+
+# Compaction
+
+
+def test_only_partitions_of_many_files_are_rewritten(spark, lake, monkeypatch):
+    spill(lake)
+    for day in ("2026-06-01", "2026-06-02"):
+        daily(spark, lake, day)
+    whole = read_silver(spark, lake.silver)
+    before = sorted(map(str, whole.collect()))
+    first = whole.where("event_date = date '2026-06-01'").repartition(3)
+    publish.set_aside(spark, f"{lake.area}/run=x", "x", [], first)
+    rows = read_silver(spark, f"{lake.area}/run=x/group=x/survivors").repartition(3)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "event_date", "event_type"
+    ).parquet(lake.silver)
+    untouched = sorted(Path(lake.silver).rglob("event_date=2026-06-02/*/*.parquet"))
+
+    def broken(rows, silver):
+        for path in Path(silver).rglob("event_date=2026-06-01/*/*"):
+            path.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(publish, "write_partitions", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.compact(spark, lake)
+    monkeypatch.undo()
+    # Broken off half way, it is finished like a load; then there is nothing left to do.
+    daily(spark, lake, "2026-08-01")
+    assert sorted(map(str, read_silver(spark, lake.silver).collect())) == before
+    assert len(list(Path(lake.silver).rglob("event_date=2026-06-01/*/*.parquet"))) == 1
+    assert sorted(Path(lake.silver).rglob("event_date=2026-06-02/*/*.parquet")) == untouched
+    assert jobs.compact(spark, lake) == []

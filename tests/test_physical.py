@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from checks import fixture
 from conftest import RUN_TS, event, file_events, plan
+from eventlake.operators import quality
 from eventlake.operators.enrich import enrich
 from eventlake.operators.transform import event_date_range
 from eventlake.plans import jobs
 from eventlake.plans.models import daily_event_summary, stg_events
 from eventlake.sinks import publish
-from eventlake.sources import bronze
 from eventlake.sources.silver import read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,11 +45,26 @@ def test_a_date_range_prunes_silver_partitions(spark):
     assert len(read) <= 3
 
 
-def test_a_filter_on_the_folder_date_prunes_bronze_folders(spark):
-    rows = bronze.scan(spark, fixture.bronze_tree(spark, SF_DIR))
-    some = rows.where(bronze.folder_date(rows) == F.lit("2024-01-05").cast("date"))
-    assert "PartitionFilters: [" in plan(some) and "make_date(year" in plan(some)
-    assert some.select(F.col("_metadata.file_path")).distinct().count() == 1
+def test_daily_checks_do_not_shuffle_the_ids_of_all_days(spark):
+    silver = read_silver(spark, fixture.full_lake(spark, SF_DIR).silver)
+    unique = tuple(c for c in quality.SOURCE_CHECKS if c.kind == quality.UNIQUE)
+    shape = plan(quality.report_dates({"silver": silver}, unique, ["2024-01-05"]))
+    others = shape.split("LeftSemi")
+    assert "BroadcastHashJoin" in shape and len(others) > 1
+    # The rest of silver reads one column and meets the day's ids before any shuffle.
+    assert shape.count("ReadSchema: struct<event_id:string>") >= 2
+    assert "SortMergeJoin" not in shape
+
+
+def test_one_scan_for_the_checks_by_row(spark):
+    silver = read_silver(spark, fixture.full_lake(spark, SF_DIR).silver)
+    by_row = tuple(c for c in quality.SOURCE_CHECKS if c.kind != quality.UNIQUE)
+    assert plan(quality.report({"silver": silver}, by_row)).split("(1) Scan")[0].count("Scan") == 1
+
+
+def test_stored_anomalies_read_no_bronze(spark):
+    shape = plan(jobs.stored_anomalies(spark, fixture.full_lake(spark, SF_DIR)))
+    assert "bronze" not in shape and "ReadSchema: struct<>" in shape
 
 
 def test_a_hot_user_is_split_in_a_row_by_row_join(spark, tmp_path, tight):

@@ -31,7 +31,10 @@ DURATIONS = {
     "2147483647": 2147483647,
     "12.5": None,
     "12.": None,
-    "1.0": None,
+    "1.0": 1,
+    " -7.000 ": -7,
+    ".0": None,
+    "2147483648.0": None,
     "1e3": None,
     "2147483648": None,
     "": None,

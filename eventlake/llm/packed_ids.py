@@ -162,7 +162,9 @@ class Reader:
 
 
 #: Chunks encoded in one call.
-CALL = 2000
+CALL = 500
+#: A blank in the spelling of byte-level vocabularies.
+BLANK = "\u0120"
 #: ASCII signs but the apostrophe, which can start a contraction; letters up to here are Latin,
 #: and letters by any version of Unicode.
 SIGNS, LATIN_END = string.punctuation.replace("'", ""), "\u0250"
@@ -176,8 +178,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer)
-        mark = self.library.encode("\n", add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        #: Whether an id begins with a blank, as byte-level vocabularies write it.
+        self.blank = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.blank[[i for x, i in vocabulary.items() if x.startswith(BLANK)]] = True
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         if any(len(x.split()) != 1 or x.strip() != x for x in self.special):
             raise ValueError("added tokens with white space cannot be found in chunks of text")
@@ -189,33 +193,40 @@ class Encoder:
     def _chunks(self, chunks: list[str]) -> Ids:
         """A word and the signs behind it are always tokens apart, so they are encoded apart,
         and each only once; but for the added tokens, which may be made of both."""
-        stems = [x if any(t in x for t in self.special) else x.rstrip(SIGNS) for x in chunks]
-        stems = [s if s and s[-1].isalpha() and s[-1] < LATIN_END else x for s, x in zip(stems, chunks, strict=True)]
-        tails = [x[len(s) :] for s, x in zip(stems, chunks, strict=True)]
-        numbers = {x: i for i, x in enumerate(dict.fromkeys(chain(stems, tails)))}
+        text = "\n".join(chunks)
+        whole = [t for t in self.special if t in text]
+        stems, tails = chunks.copy(), [""] * len(chunks)
+        for i, x in enumerate(chunks):
+            if x[-1:] in SIGNS and not any(t in x for t in whole):
+                stem = x.rstrip(SIGNS)
+                if stem and stem[-1].isalpha() and stem[-1] < LATIN_END:
+                    stems[i], tails[i] = stem, x[len(stem) :]
+        numbers = dict.fromkeys(chain(stems, tails))
         pieces = self._pieces(list(numbers))
-        code = np.array([[numbers[s] for s in stems], [numbers[t] for t in tails]]).T
+        numbers = dict(zip(numbers, range(len(numbers)), strict=True))
+        get = numbers.__getitem__
+        code = np.array([list(map(get, stems)), list(map(get, tails))]).T
         return Ids(pieces.gather(code.reshape(-1)), pieces.lengths[code].sum(axis=1))
 
     def _pieces(self, pieces: list[str]) -> Ids:
-        """Words go to the library in lines, which costs half: a line end before a word, or before
-        a blank and a word, is a token of its own, so ids between two line ends are one word's."""
-        word = np.array([(x[1:] if x[:1] == " " else x).isalpha() for x in pieces], dtype=bool)
+        """Words behind a blank go to the library many at a time, which costs a third: each is
+        tokens of its own, of which the first, and no other, begins with the blank."""
+        word = np.array([x[:1] == " " and x[1:].isalpha() for x in pieces], dtype=bool)
         order, found = [], []
-        for kind, encode in ((True, self._lines), (False, self._alone)):
+        for kind, encode in ((True, self._words), (False, self._alone)):
             rows = np.flatnonzero(word == kind)
             order.append(rows)
             for first in range(0, len(rows), CALL):
                 found.append(encode([pieces[i] for i in rows[first : first + CALL]]))
         return Ids.joined(found).reordered(np.argsort(np.concatenate(order)))
 
-    def _lines(self, words: list[str]) -> Ids:
-        text = "\n".join(words) + "\n"
-        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
-        end = ids == self.mark
-        if self.mark is None or end.sum() != len(words):
+    def _words(self, words: list[str]) -> Ids:
+        encoded = self.library.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, dtype=np.uint32)
+        first = np.flatnonzero(self.blank[ids])
+        if len(first) != len(words):
             return self._alone(words)
-        return Ids(ids[~end], np.diff(np.flatnonzero(end), prepend=-1) - 1)
+        return Ids(ids, np.diff(first, append=len(ids)))
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         return self.table.ids(blank_lists(texts))

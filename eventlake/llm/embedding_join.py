@@ -211,14 +211,15 @@ class _Resident:
             x, y = x[at], y[at]
             step = other.turned[x].astype(np.float64) - self.turned[y]
             step *= step
-            within = []
+            earlier = np.zeros(len(at), dtype=bool)
             for block in range(self.block + 1):
                 total = np.zeros(len(at))
                 for j in range(block * BLOCK, (block + 1) * BLOCK):
                     total += step[:, j]
-                within.append(total <= self.budget + SLACK / 10)
-            earlier = np.any(within[:-1], axis=0) if len(within) > 1 else False
-            out[i + at[within[-1] & ~earlier]] = True
+                within = total <= self.budget + SLACK / 10
+                if block < self.block:
+                    earlier |= within
+            out[i + at[within & ~earlier]] = True
         return out
 
     def meet(self, other: _Resident, own: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -270,9 +271,9 @@ def _found(assigned: DataFrame, width: int, threshold: float, budget: float) ->
         for frame in frames:
             for now, group in frame.groupby(["block", "chunk"], sort=True):
                 if now != key:
-                    if home and not settled:
-                        yield from settle()
-                    if home:
+                    if home and home.parts:
+                        if not settled:
+                            yield from settle()
                         yield from counts()
                     key, home, settled = now, _Resident(threshold, budget), False
                 mine, visiting = group[group.visitor == 0], group[group.visitor == 1]

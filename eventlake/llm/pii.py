@@ -129,11 +129,20 @@ def of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
-def _base(rows: DataFrame, text: str) -> DataFrame:
+def _free_prefix(columns: Iterable[str]) -> str:
+    """Names that begin with it are no column's yet."""
+    prefix = "_pii_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
+def _base(rows: DataFrame, prefix: str) -> DataFrame:
     """Adds a column per base kind with the spans that pass its test."""
     for kind, needs in (("email", "@"), ("ip", "."), ("card", None), ("phone", "+")):
-        rows = _with_matches(rows, text, PATTERNS[kind], f"_{kind}", needs)
-        rows = rows.withColumn(f"_{kind}", F.filter(f"_{kind}", _test(kind)))
+        name = prefix + kind
+        rows = _with_matches(rows, f"{prefix}text", PATTERNS[kind], name, needs)
+        rows = rows.withColumn(name, F.filter(name, _test(kind)))
     return rows
 
 
@@ -181,14 +190,14 @@ def _labeled(text: Column, span: Column) -> Column:
     )
 
 
-def _candidates(rows: DataFrame, text: str) -> DataFrame:
-    """Adds the labeled candidates that touch no base span."""
-    rows = _with_matches(rows, text, CANDIDATES, "_found")
-    taken = F.concat(*(F.col(f"_{k}") for k in BASE))
-    free = F.filter(
-        "_found", lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    )
-    return rows.withColumn("_found", F.transform(free, lambda x: _labeled(F.col(text), x)))
+def _candidates(documents: DataFrame, text: str, prefix: str) -> DataFrame:
+    """Adds the base spans and the labeled candidates that touch none of them."""
+    rows = _base(documents.withColumn(f"{prefix}text", F.coalesce(F.col(text), F.lit(""))), prefix)
+    found = f"{prefix}found"
+    rows = _with_matches(rows, f"{prefix}text", CANDIDATES, found)
+    taken = F.concat(*(F.col(prefix + k) for k in BASE))
+    free = F.filter(found, lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    return rows.withColumn(found, F.transform(free, lambda x: _labeled(F.col(f"{prefix}text"), x)))
 
 
 def reliabilities(counts: Iterable[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict], dict]:
@@ -227,8 +236,8 @@ def features(kind: str, length: int, votes: tuple[int, ...]) -> list[float]:
 def fitted(documents: DataFrame, text: str = "text") -> list[float]:
     """Weights of the span classifier, trained on the posteriors over all candidates of the table.
     Without candidates all weights are zero but for the first, which rejects."""
-    rows = _candidates(_base(documents.select(F.coalesce(F.col(text), F.lit("")).alias("text")), "text"), "text")
-    seen = rows.where(F.size("_found") > 0).select(F.explode("_found").alias("c")).select("c.*")
+    rows = _candidates(documents.select(F.col(text).alias("text")), "text", "_pii_")
+    seen = rows.where(F.size("_pii_found") > 0).select(F.explode("_pii_found").alias("c")).select("c.*")
     seen = seen.groupBy("kind", "length", *LABELERS).agg(F.count("*").alias("n")).collect()
     data = [(r.kind, r.length, tuple(r[x] for x in LABELERS), r.n) for r in sorted(seen)]
     by_votes: dict = {}
@@ -266,17 +275,17 @@ def with_spans(documents: DataFrame, weights: list[float], text: str = "text", n
     listed in KINDS (place) and then by start; positions count code points, ends are exclusive.
 
     A null or empty text has none. Rows, repeated ones too, and all other columns stay as they
-    are, but for columns that begin with an underscore and a kind's name, which are replaced."""
+    are; a column of the new name is replaced."""
     own = [c for c in documents.columns if c != name]
-    rows = documents.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    rows = _candidates(_base(rows, "_text"), "_text")
+    prefix = _free_prefix(documents.columns)
+    rows = _candidates(documents, text, prefix)
 
     def placed(spans: Column, kind: str, base: bool) -> Column:
         fields = F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"), F.lit(base).alias("base")
         return F.transform(spans, lambda x: F.struct(fields[0], x["start"], x["end"], *fields[1:]))
 
-    added = F.filter("_found", lambda x: _accepted(x, weights))
-    spans = [placed(F.col(f"_{k}"), k, True) for k in BASE]
+    added = F.filter(f"{prefix}found", lambda x: _accepted(x, weights))
+    spans = [placed(F.col(prefix + k), k, True) for k in BASE]
     spans += [placed(F.filter(added, of_kind(k)), k, False) for k in ADDED]
     return rows.select(*(F.col(f"`{c}`") for c in own), F.array_sort(F.concat(*spans)).alias(name))
 

@@ -12,7 +12,7 @@ PLAIN = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-SCHEMA = "doc_id long, text string, spans string, _email string"
+SCHEMA = "doc_id long, text string, spans string, _pii_email string"
 
 
 def luhn(digits):
@@ -65,7 +65,7 @@ def test_base_spans_are_those_of_the_plain_patterns(spark):
     assert len(got) == len(rows())
     for r in got:
         assert r.b == ",".join(plain(r.text)), r.text
-        assert r._email == "y"
+        assert r._pii_email == "y"
 
 
 def test_added_spans(spark):

@@ -11,7 +11,7 @@ SCHEMA = "doc_id long, text string, bucket int"
 
 def plain_marks(text, gram, window):
     hashes = w.gram_hashes(w.points(text), gram) >> np.uint64(32)
-    window = min(window, len(hashes))
+    window = max(1, min(window, len(hashes)))
     out = []
     for i in range(len(hashes) - window + 1):
         part = hashes[i : i + window]

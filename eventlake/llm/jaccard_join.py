@@ -19,6 +19,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import parts, stored
+from eventlake.llm.tables import parts, settle, stored
 from eventlake.llm.words import mix, shingle_sets
 
 #: Counters of the sketch and of one of its blocks; the sketch is 4 MB whatever the input.
@@ -49,9 +50,9 @@ def shingle_sketch(texts: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, dtype=np.uint32)
         for batch in batches:
-            found = list(shingle_sets(batch.column("text"), k))
-            if found:
-                slots = (np.concatenate(found) & np.uint64(SKETCH - 1)).astype(np.int64)
+            found = shingle_sets(batch.column("text"), k)
+            while some := list(islice(found, 500)):
+                slots = (np.concatenate(some) & np.uint64(SKETCH - 1)).astype(np.int64)
                 total += np.bincount(slots, minlength=SKETCH).astype(np.uint32)
         blocks = [row.tobytes() for row in total.reshape(-1, BLOCK)]
         yield pa.RecordBatch.from_arrays(
@@ -332,6 +333,7 @@ def jaccard_links(
     no links. Rows with a null doc_id are members of their set but represent nothing; a set that
     only they have gets a null doc and no links. Repeated rows are members of the same set. Other
     columns of the table are not looked at."""
+    settle(documents.sparkSession)
     texts = _texts(documents, doc_id, text)
     sketch = shingle_sketch(texts, k)
     sets = stored(shingled(texts, k, percent, sketch), "shingled")

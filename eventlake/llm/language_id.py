@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from eventlake.llm.tables import settle
 from eventlake.llm.words import BASE, mix
 
 #: Longest piece and longest stretch of a word, in letters; longer words are scored in stretches.
@@ -261,6 +262,7 @@ def identified(
             kept = [batch.column(c) for c in others]
             yield pa.RecordBatch.from_arrays([*kept, *added], [*others, lang_pred, score])
 
+    settle(documents.sparkSession)
     others = [c for c in documents.columns if c not in (lang_pred, score)]
     rows = documents.select(*(F.col(f"`{c}`") for c in others))
     schema = StructType(rows.schema.fields + [StructField(lang_pred, StringType()), StructField(score, DoubleType())])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm.chunks import ChunkTable, Ids, blank_lists, slices
-from eventlake.llm.tables import parts, stored
+from eventlake.llm.tables import parts, settle, stored
 
 BLOCK = 4096
 MAGIC = b"PACKIDS1"
@@ -254,6 +254,7 @@ def write_packed(
     stand beside each other, ordered by text; rows with a null doc_id are left out, as they have
     no place in the order. tokenizer is a path that every machine has."""
     width = bits_for(vocabulary)
+    settle(documents.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)

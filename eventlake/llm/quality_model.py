@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.llm.tables import settle
 from eventlake.llm.words import buffers
 
 WIDTH, STRIDE, VECTOR, FILTERS, HIDDEN = 8, 2, 4, 32, 16
@@ -71,17 +72,23 @@ class Network:
 
     def _slice(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         half = PIECE * STRIDE
-        # every text gets a whole number of pieces, two at least
-        pieces = np.maximum(2, -(-np.diff(offsets) // half))
+        # every text gets a whole number of pieces, two at least, and zeros at its end: windows
+        # that would reach into the next text begin in the zeros and are left out
+        over = WIDTH - STRIDE
+        pieces = np.maximum(2, -(-(np.diff(offsets) + over) // half))
         end = np.cumsum(pieces)
-        padded = np.zeros(int(end[-1]) * half + WIDTH - STRIDE, dtype=np.uint8)
+        last = np.zeros(int(end[-1]), dtype=bool)
+        last[end - 1] = True
+        padded = np.zeros(int(end[-1]) * half + over, dtype=np.uint8)
         where = np.arange(len(data)) + np.repeat((end - pieces) * half - offsets[:-1], np.diff(offsets))
         padded[where] = data
         pooled = np.empty((int(end[-1]), FILTERS), np.float32)
         for at in range(0, len(pooled), 512):
             upto = min(at + 512, len(pooled))
-            part = self.responses(padded[at * half : upto * half + WIDTH - STRIDE])
-            pooled[at:upto] = part.reshape(-1, PIECE, FILTERS).max(axis=1)
+            part = self.responses(padded[at * half : upto * half + over])
+            part = part.reshape(-1, PIECE, FILTERS)
+            part[last[at:upto], -over // STRIDE :] = -np.inf
+            pooled[at:upto] = part.max(axis=1)
         chunk = np.maximum(pooled[:-1], pooled[1:])
         logits = np.append(self.logits(chunk), 0.0)
         # the last piece of a text starts no chunk of its own
@@ -188,6 +195,7 @@ def scored(documents: DataFrame, model: Network, doc_id: str = "doc_id", text: s
             found = model.score(offsets - offsets[0], data[offsets[0] : offsets[-1]])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
 
+    settle(documents.sparkSession)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     return rows.mapInArrow(run, f"doc_id {kind}, score double")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from eventlake.llm.chunks import ChunkTable, Ids, marked_lists, slices
+from eventlake.llm.tables import settle
 
 def splits_at_markers(model: str) -> bool:
     """Whether words can be segmented one by one with the same result."""
@@ -90,6 +91,7 @@ def encode_decode(
                 yield pa.RecordBatch.from_arrays([*part, *added], [*others, ids, decoded])
                 done += len(group)
 
+    settle(documents.sparkSession)
     others = [c for c in documents.columns if c not in (text, ids, decoded)]
     fields = [documents.schema[c] for c in others]
     schema = StructType(fields + [StructField(ids, BinaryType()), StructField(decoded, StringType())])

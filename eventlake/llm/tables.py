@@ -13,15 +13,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-#: Spark then deletes what an execution has shuffled when it ends; results are in written tables.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What the operators rely on. Spark deletes what an execution has shuffled when it ends, as
+#: results are in written tables; batches of long texts stay small in Python workers.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
+
+
+def settle(spark: SparkSession) -> None:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
 
 
 def stored(rows: DataFrame, name: str = "table") -> DataFrame:
     """Writes rows as Parquet and reads them back: lineage ends here, a lost executor loses nothing."""
     spark = rows.sparkSession
     path = new_path(spark, name)
-    spark.conf.set(CLEANUP, "true")
+    settle(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

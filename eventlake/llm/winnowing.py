@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import parts
+from eventlake.llm.tables import parts, settle
 from eventlake.llm.words import BASE, mix
 
 GRAM, WINDOW = 24, 64
@@ -160,6 +160,7 @@ def edit_likeness(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
         if held and not held[1]:
             yield _rows([_compared(held, first)])
 
+    settle(documents.sparkSession)
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = ["bucket", "copy", F.col("doc_id").desc(), "text"]
     spread = _neighbour_buckets(rows).repartition(parts(documents.sparkSession), "bucket")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import jaccard_join, language_id, mixing, pii, sentence_pieces
-from eventlake.llm.tables import stored
+from eventlake.llm.tables import free_names, stored
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Lowest probability of the language found.
@@ -18,50 +18,63 @@ SURE = 0.5
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is one of the corpus and clear; their lang is what was found.
-    Documents without letters have none and go."""
+    Null and empty texts and those without letters have no language and go."""
+    lang, score = free_names(docs, "_lang", "_score")
     model = language_id.trained(docs, PIECES)
-    found = language_id.identified(docs, model, lang_pred="_found", score="_score")
-    sure = found.where((F.col("_found") != language_id.UNDETERMINED) & (F.col("_score") >= SURE))
-    return sure.withColumn("lang", F.col("_found")).select(docs.columns)
+    found = language_id.identified(docs, model, lang_pred=lang, score=score)
+    sure = found.where((F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= SURE))
+    return _like(sure.withColumn("lang", F.col(lang)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that links connect, the document with the smallest id stays; documents
-    without an id stay."""
+    without an id stay, as do null texts and those without words, which link with nothing. Rows
+    that repeat a doc_id stay or go together."""
+    (name,) = free_names(docs, "_surplus")
     groups = jaccard_join.jaccard_components(docs)
-    surplus = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stored(surplus, "surplus"), "doc_id", "left_anti").select(docs.columns)
+    surplus = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stored(surplus, "surplus"), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with each span of personal data replaced by its kind in brackets."""
-    found = pii.with_spans(docs, pii.fitted(docs), name="_spans")
-    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("_spans")))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Every document, with each span of personal data replaced by its kind in brackets. A null
+    text stays null."""
+    (name,) = free_names(docs, "_spans")
+    found = pii.with_spans(docs, pii.fitted(docs), name=name)
+    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col(name)))
+    return _like(clean.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it. Rows that repeat a doc_id share its copies."""
-    copies = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    copies = stored(copies.withColumnRenamed("doc_id", "_id"), "copies")
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+    """Every document as often as the mix takes it. Rows that repeat a doc_id, or have none,
+    share the most copies that one of them gets."""
+    id_, copies, copy = free_names(docs, "_id", "_copies", "_copy")
+    mixed = mixing.mix(docs).where("copies > 0")
+    most = mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").alias(copies))
+    joined = docs.join(stored(most, "copies"), F.col("doc_id").eqNullSafe(F.col(id_)))
+    return _like(joined.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token ids: doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit
-    integers) and whether they decode to the text."""
-    found = sentence_pieces.encode_decode(docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), PIECES)
+    integers) and whether they decode to the text. A null text is encoded as empty."""
+    rows = docs.select("doc_id", "lang", "source", "text")
+    rows = rows.withColumn("sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    found = sentence_pieces.encode_decode(rows, PIECES)
     return found.select(
         "doc_id",
         "lang",
         "source",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
-        (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("_text")).alias("decodes"),
+        (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("sha256")).alias("decodes"),
     )
 
 
+def _like(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", known_language),
     ("near_duplicates", near_duplicates),

@@ -35,5 +35,16 @@ def stored(rows: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def free_names(rows: DataFrame, *names: str) -> list[str]:
+    """The names, longer where a column of the table has one of them already."""
+    taken, out = {c.lower() for c in rows.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

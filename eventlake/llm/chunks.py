@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once, and chunks kept; both bound memory, neither changes results.
-SLICE, KEPT = 6 << 20, 800_000
+SLICE, KEPT = 1 << 20, 100_000
 
 #: White space by any Unicode table, twice in a row.
 _WHITE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -52,11 +52,11 @@ class Ids:
 
 
 class ChunkTable:
-    """The first KEPT distinct chunks, mostly the frequent ones, stay; others are encoded once
-    for each slice of text that has them."""
+    """The first distinct chunks, mostly the frequent ones, stay; others are encoded once for
+    each slice of text that has them."""
 
-    def __init__(self, encode: Callable[[list[str]], Ids]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], Ids], kept: int | None = None) -> None:
+        self.encode, self.kept = encode, KEPT if kept is None else kept
         self.codes: dict[str, int] = {}
         self.known = Ids.of([])
 
@@ -75,17 +75,17 @@ class ChunkTable:
         ends = np.concatenate([[0], np.cumsum(every.lengths[each])])[documents.offsets.to_numpy() - documents.offsets[0].as_py()]
         for start, end in zip(ends[:-1], ends[1:], strict=True):
             yield ids[start:end]
-        room = max(0, min(KEPT - base, len(new)))
+        room = max(0, min(self.kept - base, len(new)))
         if room:
             self.codes.update(islice(zip(new, range(base, base + room), strict=False), room))
             self.known = every.upto(base + room)
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """A column in runs of about SLICE bytes; a null text is empty."""
+def slices(texts: pa.Array, most: int | None = None) -> Iterator[pa.Array]:
+    """A column in runs of about SLICE or so many bytes; a null text is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    run = np.cumsum(size) // SLICE
+    run = np.cumsum(size) // (most or SLICE)
     cuts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else np.empty(0, int)
     for first, last in zip(cuts, np.append(cuts[1:], len(texts)), strict=True):
         yield texts.slice(first, last - first).cast(pa.string())

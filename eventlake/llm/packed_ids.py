@@ -161,8 +161,9 @@ class Reader:
             done = upto
 
 
-#: Chunks encoded in one call.
-CALL = 500
+#: Chunks encoded in one call. The library is slow on a word it has not seen, so a worker keeps
+#: many words, and looks up many bytes of text at once.
+CALL, KEPT, SLICE = 500, 700_000, 5 << 20
 #: A blank in the spelling of byte-level vocabularies.
 BLANK = "\u0120"
 #: ASCII signs but the apostrophe, which can start a contraction; letters up to here are Latin,
@@ -185,7 +186,7 @@ class Encoder:
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         if any(len(x.split()) != 1 or x.strip() != x for x in self.special):
             raise ValueError("added tokens with white space cannot be found in chunks of text")
-        self.table = ChunkTable(self._chunks)
+        self.table = ChunkTable(self._chunks, KEPT)
 
     def _alone(self, chunks: list[str]) -> Ids:
         return Ids.of([x.ids for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)])
@@ -269,7 +270,7 @@ def write_packed(
                 system.create_dir(os.path.dirname(place), recursive=True)
                 writer = Writer(system.open_output_stream(place), width)
             done = 0
-            for group in slices(batch.column("text")):
+            for group in slices(batch.column("text"), SLICE):
                 for ids in encoder.encode(group):
                     writer.add(names[done], np.concatenate([ids, end]))
                     done += 1

@@ -9,7 +9,7 @@ import pyarrow as pa
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Bytes hashed at once; bounds the working memory whatever a batch holds.
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 #: Fixed values of the contract: bytes that separate words, and the ASCII capitals.
 SEPARATORS = b" \t\n\x0b\x0c\r"

@@ -49,7 +49,7 @@ def test_real_texts_and_slices(monkeypatch):
     texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
     texts = [x for (x,) in texts] + ODD
     monkeypatch.setattr(chunks, "SLICE", 5000)
-    monkeypatch.setattr(chunks, "KEPT", 700)
+    monkeypatch.setattr(packed_ids, "KEPT", 700)
     encoder = packed_ids.Encoder(MODEL)
     got = [x.tolist() for part in slices(pa.array(texts)) for x in encoder.encode(part)]
     assert got == [LIBRARY.encode(x or "", add_special_tokens=False).ids for x in texts]

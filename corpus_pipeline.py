@@ -33,7 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     (name,) = free_names(docs, "_surplus")
     groups = jaccard_join.jaccard_components(docs)
     surplus = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stored(surplus, "surplus"), F.col("doc_id") == F.col(name), "left_anti")
+    # the same plan at every size: a broadcast would only do for small tables
+    return docs.hint("merge").join(stored(surplus, "surplus"), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     id_, copies, copy = free_names(docs, "_id", "_copies", "_copy")
     mixed = mixing.mix(docs).where("copies > 0")
     most = mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").alias(copies))
-    joined = docs.join(stored(most, "copies"), F.col("doc_id").eqNullSafe(F.col(id_)))
+    joined = docs.hint("merge").join(stored(most, "copies"), F.col("doc_id").eqNullSafe(F.col(id_)))
     return _like(joined.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))), docs)
 
 

@@ -8,7 +8,9 @@ exclusively, two jobs that start in the same moment may both get one.
 import threading
 import time
 import uuid
+from contextlib import suppress
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from eventlake.sources.folders import create, read_text, remove, seconds_old, touch
@@ -47,7 +49,9 @@ class Lease:
 
     def _renew(self) -> None:
         while not self.over.wait(TTL / 5):
-            touch(self.spark, self.path)
+            # A run that ends removes its folder, and the lease with it.
+            with suppress(Py4JJavaError):
+                touch(self.spark, self.path)
 
     def __exit__(self, *_) -> None:
         self.over.set()

@@ -3,6 +3,13 @@
 Every run of GRAM code points is hashed; of every WINDOW consecutive hashes the smallest is
 chosen, the rightmost among equals; what several windows choose counts once. Two texts that
 share GRAM + WINDOW - 1 code points in a row therefore share a mark, whose positions say where.
+
+Short texts would get one mark or none that an edit leaves. So a text has, beside the marks of
+that scale, those of each finer one in SCALES that starts above its length: under 130 code points
+those of grams of 8 in windows of 16, under 34 every pair of code points. Grams of more code
+points than the text has are left out. The scales depend on the length alone, so equal texts have
+equal fingerprints. The first two thirds of a text, which its edit keeps, always leave a mark that
+both have.
 """
 
 from __future__ import annotations
@@ -20,6 +27,9 @@ from eventlake.llm.tables import parts, settle
 from eventlake.llm.words import BASE, mix
 
 GRAM, WINDOW = 24, 64
+#: (gram, window, length): texts of fewer code points have marks of the scale. A text as long as
+#: the length keeps gram + window - 1 code points of itself in its edit.
+SCALES = ((GRAM, WINDOW, None), (8, 16, 130), (2, 1, 34))
 #: Buckets of neighbours per shuffle partition; more even out partitions.
 BUCKETS = 3
 
@@ -50,8 +60,21 @@ def gram_hashes(values: np.ndarray, gram: int = GRAM) -> np.ndarray:
         size, base = size * 2, base * base % (1 << 64)
 
 
-def marks(values: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
-    """(hash, position) of the chosen grams, in order of position; hashes have 32 bits."""
+def marks(values: np.ndarray, gram: int | None = None, window: int = WINDOW) -> np.ndarray:
+    """(hash, position) of the chosen grams, in order of position; hashes have 32 bits. All scales
+    of a text of this length, coarse before fine at a position, unless a gram is given."""
+    if gram is not None:
+        return _chosen(values, gram, window)
+    n = len(values)
+    if n >= SCALES[1][2]:
+        return _chosen(values, GRAM, WINDOW)
+    finest = SCALES[-1][0]
+    fit = [(g, w) for g, w, length in SCALES if (length is None or n < length) and (g <= n or g == finest)]
+    found = np.concatenate([_chosen(values, g, w) for g, w in fit])
+    return found[np.argsort(found[:, 1], kind="stable")]
+
+
+def _chosen(values: np.ndarray, gram: int, window: int) -> np.ndarray:
     hashes = gram_hashes(values, gram)
     n = len(hashes)
     if not n:

@@ -105,3 +105,26 @@ def test_empty_table_and_plain_fingerprints(spark):
 def test_a_very_long_text():
     text = "".join(random.Random(4).choices("abcdef", k=2_000_000))
     assert w.likeness(w.marks(w.points(text)), w.marks(w.points(text[: len(text) * 9 // 10]))) > 0.85
+
+
+@pytest.mark.parametrize("following", ["", "x", "another text that has nothing in it of the first " * 9])
+def test_short_texts_keep_likeness_to_their_edit(following):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for n in range(1, 400):
+        for _ in range(5):
+            text = "".join(rng.choices(letters, k=n))
+            own, changed = (w.marks(w.points(x)) for x in (text, w.edited(text, following)))
+            assert w.likeness(own, changed) > 0, n
+            assert np.array_equal(own, w.marks(w.points(text)))
+            assert (np.diff(own[:, 1].astype(int)) >= 0).all()
+
+
+def test_scales_of_short_texts():
+    text = "".join(random.Random(6).choices("abcdefghijkl ", k=200))
+    coarse, middle, fine = [24, 64], [8, 16], [2, 1]
+    for n, scales in ((200, [coarse]), (130, [coarse]), (129, [coarse, middle]), (34, [coarse, middle]),
+                      (33, [coarse, middle, fine]), (23, [middle, fine]), (7, [fine]), (1, [fine])):
+        want = [x for g, v in scales for x in plain_marks(text[:n], g, v)]
+        assert sorted(map(tuple, w.marks(w.points(text[:n])).tolist())) == sorted(want)
+    assert len(w.marks(w.points(""))) == 0

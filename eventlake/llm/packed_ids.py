@@ -5,8 +5,9 @@ A file holds, in this order:
                  bit first; ids are padded with zeros to a multiple of 64, so that a block is a
                  whole number of 64-bit words and 64 ids always fill `width` of them;
   block offsets  of all blocks and of their end, unsigned 64-bit;
-  document ids   signed 64-bit;
+  document ids   signed 64-bit, 0 for a document without an id;
   start of ids   of all documents and of their end, unsigned 64-bit, counted in ids;
+  named          a bit for every document, lowest first: whether it has an id;
   trailer        magic, width, ids in a block, number of blocks, documents and ids.
 All numbers are little-endian. Any range of ids is read by two offsets and one range read.
 
@@ -35,7 +36,7 @@ from eventlake.llm.chunks import ChunkTable, Ids, blank_lists, slices
 from eventlake.llm.tables import parts, settle, stored
 
 BLOCK = 4096
-MAGIC = b"PACKIDS1"
+MAGIC = b"PACKIDS2"
 TRAILER = struct.Struct("<8sIIQQQ")
 #: Ids read at once.
 RUN = 1 << 20
@@ -101,7 +102,7 @@ class Writer:
             self.offsets.append(self.at)
         self.held, self.n_held = [ids[upto:]], len(ids) - upto
 
-    def add(self, document: int, ids: np.ndarray) -> None:
+    def add(self, document: int | None, ids: np.ndarray) -> None:
         self.documents.append(document)
         self.starts.append(self.starts[-1] + len(ids))
         self.held.append(ids)
@@ -111,8 +112,11 @@ class Writer:
 
     def close(self) -> None:
         self._flush(True)
-        for values, kind in ((self.offsets, "<u8"), (self.documents, "<i8"), (self.starts, "<u8")):
+        named = np.array([x is not None for x in self.documents], dtype=bool)
+        documents = [x or 0 for x in self.documents]
+        for values, kind in ((self.offsets, "<u8"), (documents, "<i8"), (self.starts, "<u8")):
             self.file.write(np.array(values, dtype=kind).tobytes())
+        self.file.write(np.packbits(named, bitorder="little").tobytes())
         sizes = len(self.offsets) - 1, len(self.documents), self.starts[-1]
         self.file.write(TRAILER.pack(MAGIC, self.width, BLOCK, *sizes))
         self.file.close()
@@ -131,11 +135,14 @@ class Reader:
         if magic != MAGIC:
             raise ValueError(f"{uri} is not a file of packed ids")
         counts = blocks + 1, documents, documents + 1
-        index = self.file.read_at(8 * sum(counts), size - TRAILER.size - 8 * sum(counts))
+        length = 8 * sum(counts) + -(-documents // 8)
+        index = self.file.read_at(length, size - TRAILER.size - length)
         cut = np.cumsum([0, *counts]) * 8
         self.offsets = np.frombuffer(index[: cut[1]], dtype="<u8").astype(np.int64)
         self.documents = np.frombuffer(index[cut[1] : cut[2]], dtype="<i8")
-        self.starts = np.frombuffer(index[cut[2] :], dtype="<u8").astype(np.int64)
+        self.starts = np.frombuffer(index[cut[2] : cut[3]], dtype="<u8").astype(np.int64)
+        bits = np.frombuffer(index[cut[3] :], dtype=np.uint8)
+        self.named = np.unpackbits(bits, count=documents, bitorder="little").astype(bool)
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids start to stop (exclusive) of the file."""
@@ -148,8 +155,9 @@ class Reader:
     def document(self, position: int) -> np.ndarray:
         return self.ids(int(self.starts[position]), int(self.starts[position + 1]))
 
-    def __iter__(self) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(document id, its first id, its ids) in the order written, read in runs of blocks."""
+    def __iter__(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """(document id or None, its first id, its ids) in the order written, read in runs of
+        blocks."""
         done = 0
         while done < len(self.documents):
             upto = max(done + 1, int(np.searchsorted(self.starts, self.starts[done] + RUN, side="right")) - 1)
@@ -157,7 +165,8 @@ class Reader:
             run = self.ids(base, int(self.starts[upto]))
             for i in range(done, upto):
                 start = int(self.starts[i])
-                yield int(self.documents[i]), start, run[start - base : int(self.starts[i + 1]) - base]
+                name = int(self.documents[i]) if self.named[i] else None
+                yield name, start, run[start - base : int(self.starts[i + 1]) - base]
             done = upto
 
 
@@ -252,8 +261,9 @@ def write_packed(
 
     Returns the files (part, path, n_ids): the ids of all files, taken by part, are the ids of
     all documents by doc_id. A null or empty text is its end_id alone. Rows that repeat a doc_id
-    stand beside each other, ordered by text; rows with a null doc_id are left out, as they have
-    no place in the order. tokenizer is a path that every machine has."""
+    stand beside each other, ordered by text. Rows with a null doc_id come after all others, by a
+    hash of their text, which deals them over files; copies of one text are also dealt by the
+    partition they come from, as they are alike. tokenizer is a path that every machine has."""
     width = bits_for(vocabulary)
     settle(documents.sparkSession)
 
@@ -281,18 +291,22 @@ def write_packed(
             )
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    unnamed, name = F.col("doc_id").isNull(), F.col("doc_id").asc_nulls_last()
+    rows = rows.withColumn("place", F.when(unnamed, F.xxhash64("text")))
+    rows = rows.withColumn("origin", F.when(unnamed, F.spark_partition_id()))
     ordered = (
-        rows.where("doc_id is not null")
-        .repartitionByRange(parts(documents.sparkSession), "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        rows.repartitionByRange(parts(documents.sparkSession), name, "place", "origin")
+        .sortWithinPartitions(name, "place", "text")
+        .select("doc_id", "text")
     )
     return stored(ordered.mapInArrow(write, "part long, path string, n_ids long"), "files")
 
 
-def read_packed(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """(doc_id, start, ids) of every document in the files; start counts the ids of all documents
-    before it, ids are little-endian unsigned 32-bit integers. No files give no rows. The driver
-    sees one row per file."""
+def read_packed(spark: SparkSession, files: DataFrame, unnamed: bool = False) -> DataFrame:
+    """(doc_id, start, ids) of every document in the files that has an id, and with unnamed of
+    those without one too, which come last; start counts the ids of all documents before it, ids
+    are little-endian unsigned 32-bit integers. No files give no rows. The driver sees one row
+    per file."""
     before, listed = 0, []
     for file in files.orderBy("part").collect():
         listed.append((file.path, before))
@@ -303,6 +317,8 @@ def read_packed(spark: SparkSession, files: DataFrame) -> DataFrame:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 rows, n = [], 0
                 for document, start, ids in Reader(path):
+                    if document is None and not unnamed:
+                        continue
                     rows.append((document, base + start, ids.astype("<u4").tobytes()))
                     n += len(ids)
                     if n > RUN:
@@ -317,7 +333,7 @@ def read_packed(spark: SparkSession, files: DataFrame) -> DataFrame:
     return places.mapInArrow(read, "doc_id long, start long, ids binary")
 
 
-def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def _rows(rows: list[tuple[int | None, int, bytes]]) -> pa.RecordBatch:
     doc, start, ids = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays(
         [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"]

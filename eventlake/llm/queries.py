@@ -42,7 +42,7 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     files = packed_ids.write_packed(documents, new_path(spark, "ids"), BYTE_BPE, BYTE_BPE_IDS, END_ID)
-    read = packed_ids.read_packed(spark, files)
+    read = packed_ids.read_packed(spark, files, unnamed=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     return read.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from eventlake.llm import chunks, packed_ids
+from eventlake.llm import chunks, packed_ids, queries
 from eventlake.llm.chunks import blank_lists, slices
 from eventlake.llm.packed_ids import Reader, bits_for, pack, read_packed, unpack, write_packed
 
@@ -100,3 +100,23 @@ def test_many_blocks(tmp_path):
     assert np.array_equal(np.concatenate([x for _, _, x in reader]), ids)
     for start, stop in ((0, 1), (4095, 4097), (1_234_567, 1_300_001), (2_999_999, 3_000_000)):
         assert np.array_equal(reader.ids(start, stop), ids[start:stop])
+
+
+def test_documents_without_an_id_come_last(spark, tmp_path):
+    texts = ["copied", None, "", *(f"text {i}" for i in range(40))]
+    table = [(None, t) for t in texts for _ in range(50 if t == "copied" else 2)] + [(i, f"named {i}") for i in range(-40, 60)]
+    frame = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
+    frame.write.parquet(f"{tmp_path}/sf/documents.parquet")
+    rows = queries.op3_packed_token_ids(spark, f"{tmp_path}/sf").collect()
+    crc = {t: zlib.crc32(np.array(LIBRARY.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes()) for _, t in table}
+    assert sorted((str(r.doc_id), r.ids_crc32) for r in rows) == sorted((str(i), crc[t]) for i, t in table)
+    # start counts every document, those without an id behind all others and over several files
+    rows = sorted(rows, key=lambda r: r.start)
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
+    assert [r.doc_id for r in rows] == sorted(i for i, _ in table if i is not None) + [None] * (len(texts) * 2 + 48)
+    files = write_packed(frame, f"{tmp_path}/ids", MODEL, 50257, 0)
+    readers = [Reader(f.path) for f in files.orderBy("part").collect()]
+    assert sum((~r.named).any() for r in readers) > 1
+    order = [r.ids_crc32 for r in rows if r.doc_id is None]
+    ids = [x for r in readers for name, _, x in r if name is None]
+    assert order == [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import jaccard_join, language_id, mixing, pii, sentence_pieces
-from eventlake.llm.tables import free_names, stored
+from eventlake.llm.tables import free_names, numbered, stored
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Lowest probability of the language found.
@@ -27,14 +27,23 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links connect, the document with the smallest id stays; documents
-    without an id stay, as do null texts and those without words, which link with nothing. Rows
-    that repeat a doc_id stay or go together."""
-    (name,) = free_names(docs, "_surplus")
-    groups = jaccard_join.jaccard_components(docs)
-    surplus = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    # the same plan at every size: a broadcast would only do for small tables
-    return docs.hint("merge").join(stored(surplus, "surplus"), F.col("doc_id") == F.col(name), "left_anti")
+    """Of each group that links connect, one row stays: that with the smallest doc_id, or one
+    without an id if no other is in the group. Rows are told apart by where they are stored, so
+    rows that repeat a doc_id or have none are rows like any other. Null texts and those without
+    words link with nothing and stay."""
+    row, head, name = free_names(docs, "_row", "_head", "_id")
+    rows = numbered(docs, row)
+    groups = jaccard_join.jaccard_components(rows, doc_id=row).where("doc_id <> component_id")
+    linked = stored(groups.select(F.col("doc_id").alias(row), F.col("component_id").alias(head)), "linked")
+    # written, as the join below would be pushed under distinct() and meet all rows of a group
+    heads = stored(linked.select(head).distinct(), "heads")
+    linked = linked.union(heads.select(F.col(head), head))
+    # the same plans at every size: a broadcast would only do for small tables
+    ids = rows.select(row, F.col("doc_id").alias(name)).hint("merge").join(linked, row)
+    first = F.min(F.struct(F.col(name).isNull().alias("unnamed"), name, row))
+    first = stored(ids.groupBy(head).agg(first.alias("first")).select(f"first.{row}"), "first")
+    surplus = stored(linked.hint("merge").join(first, row, "left_anti").select(row), "surplus")
+    return _like(rows.hint("merge").join(surplus, row, "left_anti"), docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +56,12 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it. Rows that repeat a doc_id, or have none,
-    share the most copies that one of them gets."""
-    id_, copies, copy = free_names(docs, "_id", "_copies", "_copy")
-    mixed = mixing.mix(docs).where("copies > 0")
-    most = mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").alias(copies))
-    joined = docs.hint("merge").join(stored(most, "copies"), F.col("doc_id").eqNullSafe(F.col(id_)))
+    """Every document as often as the mix takes it. Rows are told apart by where they are stored,
+    so each that repeats a doc_id, or has none, is taken as often as the mix takes this row."""
+    row, copies, copy = free_names(docs, "_row", "_copies", "_copy")
+    rows = numbered(docs, row)
+    mixed = mixing.mix(rows, row=row).where("copies > 0")
+    joined = rows.hint("merge").join(stored(mixed.select(row, F.col("copies").alias(copies)), "copies"), row)
     return _like(joined.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))), docs)
 
 

@@ -84,6 +84,7 @@ def mix(
     text: str = "text",
     source: str = "source",
     seed: str = SEED,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target (of its source), copies
     (how often the mix takes it: 0, 1 or 2) and taken (words taken, copies * size).
@@ -91,9 +92,14 @@ def mix(
     A null text has size 0; documents of size 0 are in every complete epoch and cost nothing. A
     null source is a source. Rows that repeat a doc_id, or have none, are documents of their own
     with equal keys, in order of size. An empty table gives no rows. A source's taken words
-    differ from its target by at most half of one document's size, plus rounding."""
+    differ from its target by at most half of one document's size, plus rounding.
+
+    row is a column that tells rows apart: it decides between documents with equal keys and sizes
+    and is a further column of the result, under its own name."""
+    own = [row] if row else []
     sizes = stored(
         documents.select(
+            *own,
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             size_of(F.col(text)).alias("size"),
@@ -103,7 +109,7 @@ def mix(
     )
     targets = stored(source_targets(sizes), "targets").withColumnRenamed("quality", "mean")
     keyed = sizes.join(F.broadcast(targets) if _few(targets) else targets, _same("source", sizes, targets)).select(
-        "doc_id", sizes.source, "size", "source_size", "target", "quality", "mean", "n"
+        *own, "doc_id", sizes.source, "size", "source_size", "target", "quality", "mean", "n"
     )
     key = -F.log(uniform(F.col("doc_id"), seed)) / F.col("quality")
     ranges = F.ceil(F.col("n") / RANGE)
@@ -114,7 +120,7 @@ def mix(
     held = keyed.groupBy("group", "range").agg(F.sum("size").alias("held"))
     below = F.sum("held").over(Window.partitionBy("group").orderBy("range")) - F.col("held")
     starts = held.select("group", "range", below.alias("below"))
-    order = Window.partitionBy("group", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
+    order = Window.partitionBy("group", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", *own)
     inside = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = keyed.withColumn("inside", inside).join(starts, ["group", "range"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1)
@@ -123,9 +129,8 @@ def mix(
     chosen = summed.withColumn("epochs", epochs).withColumn(
         "copies", (F.col("epochs") + F.when(drawn & (remainder > 0) & (F.col("size") > 0), 1).otherwise(0)).cast("int")
     )
-    return chosen.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return chosen.select(*own, "doc_id", "source", "size", "source_size", "target", "copies", taken)
 
 
 def _same(column: str, a: DataFrame, b: DataFrame) -> Column:

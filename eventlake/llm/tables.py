@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from eventlake.session import shared_folder
 
@@ -35,6 +37,33 @@ def stored(rows: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+#: Rows that a file has at most, for numbers of rows.
+MOST_ROWS = 1 << 40
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with a column of this name: a number of each row's own, the same whenever the rows are
+    read. It is made of the number of its Parquet file and its place there; other rows than those
+    of a plain read of such files are stored first. Files are few beside rows, and the driver
+    lists them to read them: their numbers are a window in one task, and broadcast."""
+    file, files, place = free_names(rows, "_file", "_files", "_place")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        data = rows.metadataColumn("_metadata")
+        return rows.select("*", data["file_path"].alias(file), data["row_index"].alias(place))
+
+    try:
+        # behind a join or an explode, several rows would have the same place
+        plain = rows._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation"
+        found = placed(rows if plain else stored(rows, "rows"))
+    except AnalysisException:
+        found = placed(stored(rows, "rows"))
+    number = (F.row_number().over(Window.orderBy(file)) * MOST_ROWS).alias(name)
+    numbers = stored(found.select(file).distinct().select(F.col(file).alias(files), number), "files")
+    joined = found.join(F.broadcast(numbers), F.col(file) == F.col(files))
+    return joined.withColumn(name, F.col(name) + F.col(place)).drop(file, files, place)
+
+
 def free_names(rows: DataFrame, *names: str) -> list[str]:
     """The names, longer where a column of the table has one of them already."""
     taken, out = {c.lower() for c in rows.columns}, []

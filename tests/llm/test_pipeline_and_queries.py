@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from eventlake.llm import language_id, pii
+from eventlake.llm import language_id, mixing, pii
 from eventlake.llm.queries import ORACLES, QUERIES
-from eventlake.llm.tables import stored
+from eventlake.llm.tables import numbered, stored
 
 from .test_jaccard_join import plain_components
 from .test_mixing import plain as plain_mix
@@ -168,6 +168,55 @@ def test_stages_take_odd_tables(spark, n):
         assert bool(got) == bool(n)
 
 
+def _without_ids(tmp_path, spark):
+    """Copies and near copies with ids, repeated ids and none, in two forms: read and made."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i * 9 % 300 :][: 40 + i]) for i in range(12)] + ["of its own " * 3, None, ""]
+    rows = []
+    for i, text in enumerate(texts):
+        near = f"{text} more" if text else text
+        rows += [(None, text), (None, text), (None, near), (7, text)]
+        rows += [(100 - i, text), (50 + i, near), (50 + i, near)] if i % 2 else []
+    rows = [(a, b, "en", f"s{i % 3}", 0) for i, (a, b) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(5).write.parquet(f"{tmp_path}/docs")
+    return rows, [spark.read.parquet(f"{tmp_path}/docs"), docs.repartition(3)]
+
+
+def test_one_row_of_a_group_stays_whatever_its_id(spark, tmp_path):
+    rows, tables = _without_ids(tmp_path, spark)
+    least = plain_components([(i, r[1]) for i, r in enumerate(rows)])
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(least[i], []).append((r[0] is None, r[0] or 0, r[1]))
+    for docs in tables:
+        got = [(r.doc_id is None, r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+        assert len(got) == len(groups) and set(got) <= {x for g in groups.values() for x in g}
+        assert sorted(x[:2] for x in got) == sorted(min(g, key=lambda x: x[:2])[:2] for g in groups.values())
+
+
+def test_rows_without_ids_are_taken_on_their_own(spark, tmp_path):
+    rows, tables = _without_ids(tmp_path, spark)
+    for docs in tables:
+        want = {r.source: r for r in mixing.mix(docs).collect()}
+        total = {s: sum(r.taken for r in mixing.mix(docs).where(F.col("source") == s).collect()) for s in want}
+        got = corpus_pipeline.mixed_sources(spark, docs, SF).collect()
+        for s, r in want.items():
+            sizes = [len((x.text or "").split()) for x in got if x.source == s]
+            assert abs(sum(sizes) - r.target) <= max(sizes) and sum(sizes) == total[s]
+
+
+def test_rows_are_numbered_where_they_are_stored(spark, tmp_path):
+    _, tables = _without_ids(tmp_path, spark)
+    exploded = tables[0].select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_file"))
+    for docs in (*tables, exploded):
+        rows = numbered(docs, "at")
+        assert rows.columns == [*docs.columns, "at"]
+        first = sorted(map(str, rows.collect()))
+        assert rows.select("at").distinct().count() == len(first) == docs.count()
+        assert sorted(map(str, rows.where("at > 0").repartition(2).collect())) == first
+
+
 def test_run_is_the_stages_in_a_row(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.where(F.col("decodes")).count() == out.count() > 0

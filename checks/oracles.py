@@ -238,6 +238,23 @@ ORACLES = {
       ('across', 'silver', 'event_id', 'unique', 1),
       ('across', 'stg_events', 'event_id', 'unique', 1)) t("lake", "table", "column", "check", f)
       """,
+    "dq_report_incremental_whole": f"""{CHAIN},
+      lakes as (select unnest(['none', 'inside', 'near', 'far']) as lake),
+      days as (select date '2024-01-05' as day
+        union select cast(ts as date) from events where event_id = 17),
+      held as (select lake, event_id, event_date from lakes, silver
+        union all select lake,
+          (select min(event_id) from silver where event_date = date '2024-01-05'),
+          case lake when 'inside' then date '2024-01-05' when 'near' then date '2024-01-06'
+            else (select max(event_date) from silver) end
+        from lakes where lake <> 'none'),
+      repeated as (select lake, event_id from held group by lake, event_id having count(*) > 1),
+      found as (select lake, event_date, count(distinct event_id) as f
+        from held semi join repeated using (lake, event_id) group by lake, event_date)
+      select lakes.lake, cast(day as varchar) as day, "table", cast(coalesce(f, 0) as int) as f
+      from lakes cross join days
+        cross join (select unnest(['silver', 'stg_events']) as "table") names
+        left join found on found.lake = lakes.lake and found.event_date = day""",
     "erase_users_lasting": f"""{CHAIN},
       gone as (select concat('u', cast(c_custkey as varchar)) as g from customer
         where c_mktsegment = 'BUILDING'),

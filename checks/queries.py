@@ -433,6 +433,33 @@ def dq_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def dq_report_incremental_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a day that are not unique in all of silver, by the dated checks: a clean day and one
+    of repeated events, over lakes with a copy of an id inside the day, on the next day, on the
+    last date and with none. The full suite over the rows with an id of the day finds the same."""
+    silver = fixture.silver(spark, sf_dir)
+    twice = fixture.events(spark, sf_dir).where("event_id = 17").select(F.to_date("ts")).first()[0]
+    one = silver.where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date")).orderBy("event_id").limit(1)
+    last = silver.agg(F.max("event_date")).first()[0]
+    parts = []
+    for name, planted in {"none": None, "inside": SLICE_DAY, "near": NEXT_DAY, "far": last}.items():
+        copy = one.withColumn("event_date", F.lit(str(planted)).cast("date")) if planted else one.limit(0)
+        rows = silver.unionByName(copy)
+        tables = {"silver": rows, "stg_events": models.stg_events(rows)}
+        checks = tuple(
+            c for c in quality.SOURCE_CHECKS + quality.MODEL_CHECKS if c.table in tables and c.kind == quality.UNIQUE
+        )
+        for day in {SLICE_DAY, twice}:
+            inside = F.col("event_date") == F.lit(str(day)).cast("date")
+            own = {n: t.join(t.where(inside).select("event_id"), "event_id", "left_semi") for n, t in tables.items()}
+            full = quality.report(own, checks).withColumnRenamed("failures", "full")
+            both = quality.report_dates(tables, checks, [str(day)]).join(full, ["table", "column", "check"])
+            found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
+            where = F.lit(name).alias("lake"), F.lit(str(day)).alias("day")
+            parts.append(both.select(*where, "table", found.cast("int").alias("f")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def erase_users_lasting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of one market segment are erased and one day is loaded again: rows by layer,
     and how many of them are still theirs."""
@@ -502,5 +529,6 @@ QUERIES = {
     "silver_compacted": silver_compacted,
     "anomaly_rate_stored": anomaly_rate_stored,
     "dq_report_incremental": dq_report_incremental,
+    "dq_report_incremental_whole": dq_report_incremental_whole,
     "erase_users_lasting": erase_users_lasting,
 }

@@ -1,0 +1,85 @@
+import math
+
+import numpy as np
+import pytest
+
+from eventlake.llm import impact_search
+from eventlake.llm.impact_search import ImpactIndex, top_scores
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def plain(rows, k=20, every=20):
+    """The answer of every row that asks, compared with all others one by one."""
+    codes = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows if usable(v)]
+    out = []
+    for at, (i, q) in enumerate(codes):
+        if i is None or i % every:
+            continue
+        others = [(j, sum(a * b for a, b in zip(q, c, strict=True))) for n, (j, c) in enumerate(codes) if n != at and len(c) == len(q)]
+        others.sort(key=lambda x: (-x[1], x[0] is None, x[0] or 0))
+        out += [(i, rank + 1, j, s) for rank, (j, s) in enumerate(others[:k])]
+    return sorted(out, key=str)
+
+
+def answered(spark, rows, **options):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    return sorted((tuple(r) for r in top_scores(table, **options).collect()), key=str)
+
+
+@pytest.mark.parametrize("n, size, spread", [(5, 3, 4), (700, 8, 3), (3000, 64, 9), (100, 1, 2), (50, 0, 1), (400, 5, 10**6), (400, 6, 2**28)])
+def test_index_leaves_out_none(n, size, spread):
+    """Whatever level work stops at, those left out are below the k-th best."""
+    rng = np.random.default_rng(n)
+    codes = rng.normal(0, spread, (n, size)).round().astype(np.int64)
+    index = ImpactIndex(codes)
+    for query in codes[:40]:
+        at, score = index.best(query, 11)
+        exact = codes @ query
+        assert (exact[at] == score).all()
+        assert set(np.flatnonzero(exact >= np.sort(exact)[-min(11, n)])) <= set(at.tolist())
+
+
+def test_stops_before_the_end():
+    """Copies of the query prove early that others are out."""
+    rng = np.random.default_rng(3)
+    codes = rng.normal(0, 8, (4000, 64)).round().astype(np.int64)
+    codes[:30] = codes[0]
+    assert len(ImpactIndex(codes).best(codes[0], 21)[0]) < 0.3 * 4000
+
+
+def test_many_tiles_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(impact_search, "ENTRIES", 6 * 40)
+    monkeypatch.setattr(impact_search, "BLOCK", 7)
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(0, 0.1, (400, 6)).round(1).astype(np.float32)
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(800)[:400], vectors, strict=True)]
+    assert answered(spark, rows) == plain(rows)
+
+
+def test_odd_vectors(spark):
+    """Null, empty, non-finite, huge and short vectors, ties, and ids that are null or negative."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(20 * i - 60, [0.5, -0.5, i / 64]) for i in range(12)]
+    rows += [(i, [0.25, 0.25, 0.0]) for i in (7, 3, 5, 40, 1000)]
+    rows += [(None, [0.5, -0.5, 0.1]), (None, [0.5, -0.5, 0.1]), (100, None), (120, [None, 1.0, 1.0]), (140, [nan, 0.0, 0.0])]
+    rows += [(160, [inf, 0.0, 0.0]), (180, [1e30, 0.0, 0.0]), (200, [1.0]), (201, [2.0]), (220, []), (221, []), (240, [1.0, 2.0])]
+    fit = [r for r in rows if r[0] != 180]
+    assert answered(spark, rows) == plain(fit)
+    assert answered(spark, rows, k=3, every=7) == plain(fit, 3, 7)
+    assert answered(spark, [(20, None), (40, [nan])]) == [] and answered(spark, []) == []
+
+
+def test_repeated_rows(spark):
+    """Equal rows ask each for itself and are found as often as they are there, also hundreds."""
+    rows = [(40, [0.5, 0.1])] * 300 + [(60, [0.5, 0.1])] * 3 + [(41, [0.5, 0.2]), (60, [0.1, 0.9])]
+    got = answered(spark, rows)
+    assert got == plain(rows) and len(got) == 304 * 20
+
+
+def test_other_columns(spark):
+    rows = [(i, [i / 100, 0.3]) for i in range(45)]
+    table = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "vec_id long, embedding array<double>, node string, size int, rank int")
+    assert sorted((tuple(r) for r in top_scores(table, k=4).collect()), key=str) == plain(rows, 4)

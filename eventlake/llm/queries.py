@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import (
+    collocations,
     embedding_join,
+    fill_middle,
+    impact_search,
     jaccard_join,
     language_id,
     mixing,
@@ -99,6 +102,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", quality_model.held_out("doc_id").alias("held_out"), "score", predicted)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fill_middle.restored(fill_middle.transformed(documents))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_impact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.top_scores(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_sentencepiece,
         op10_quality_classifier,
+        op11_fill_in_middle,
+        op12_impact_top_k,
+        op13_phrase_collocations,
     )
 }
 
@@ -214,5 +235,92 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
   (size * (epochs + CASE WHEN upto - size / 2 <= target - epochs * source_size
     AND target - epochs * source_size > 0 THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM keyed
+""",
+    "op11_fill_in_middle": """
+WITH tokens AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+    sha256('1:' || doc_id) AS h
+  FROM documents
+),
+draws AS (
+  SELECT doc_id, text, t, len(t) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM tokens
+),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+),
+parts AS (
+  SELECT *, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m, array_to_string(t[b + 1:n], '') AS s
+  FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op12_impact_top_k": """
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)) AS v FROM embeddings
+),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op13_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+places AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS m)
+),
+phrases AS (
+  SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM places GROUP BY ALL HAVING count(*) >= 100
+),
+inner_phrases AS (
+  SELECT lang, f, unnest(list_transform(range(1, m - k + 2),
+    lambda i: array_to_string(string_split(phrase, ' ')[i:i + k - 1], ' '))) AS phrase
+  FROM phrases, (SELECT unnest([2, 3, 4]) AS k) WHERE k < m
+),
+covered AS (SELECT lang, phrase, max(f) AS cover FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT p.* FROM phrases p LEFT JOIN covered c USING (lang, phrase)
+  WHERE m >= 2 AND (cover IS NULL OR 100 * cover < 100 * f)
+),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS tail
+  FROM kept, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < m
+),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN phrases y ON y.lang = c.lang AND y.phrase = c.tail JOIN totals t ON t.lang = c.lang
+),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
 """,
 }

@@ -35,12 +35,13 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 class Words:
     """Hashes the words of byte strings; keeps the tables of powers between calls."""
 
-    def __init__(self) -> None:
+    def __init__(self, is_word: np.ndarray = IS_WORD) -> None:
+        self.is_word = is_word
         self.up = self.down = np.empty(0, dtype=np.uint64)
 
     def hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and hash of every word: runs of bytes other than ASCII blanks, A-Z lowered."""
-        word = IS_WORD[data]
+        """Start and hash of every word: runs of word bytes (other than ASCII blanks), A-Z lowered."""
+        word = self.is_word[data]
         edge = np.diff(word.astype(np.int8), prepend=0, append=0)
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if not len(start):

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from eventlake.llm.tables import numbered, parts, stored
 
 #: Components of a tile, queries of a block: the size of a group's tables, the streams to it.
-ENTRIES, BLOCK = 1 << 19, 1024
+ENTRIES, BLOCK = 1 << 21, 512
 #: First level as a share of the highest impact, and each further one of the one before.
-FIRST, STEP = 0.12, 0.5
+FIRST, STEP = 0.1, 0.5
 #: Rescoring starts when at most this share of a tile can still be among the best.
-FEW = 0.3
+FEW = 0.25
 
 
 class ImpactIndex:
@@ -77,7 +77,11 @@ class ImpactIndex:
                 if done[d] < upto[d]:
                     part = slice(done[d], upto[d])
                     # a list names a vector once, so no addition is lost
-                    sums[self.ids[d, part]] += factor[d] * self.values[d, part] + kind(1)
+                    ids = self.ids[d, part]
+                    moved = sums.take(ids, mode="clip")
+                    moved += factor[d] * self.values[d, part]
+                    moved += kind(1)
+                    sums[ids] = moved
             done = upto
             score, slack = sums >> self.bits, (len(used) - (sums & (1 << self.bits) - 1)) * np.int64(level - 1)
             first = np.argpartition(score, n - k)[n - k :]

@@ -130,7 +130,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def write_bronze(
-    spark: SparkSession, sf_dir: str, root: str, day_folders: bool = True, change=lambda rows: rows
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    day_folders: bool = True,
+    change=lambda rows: rows,
+    mode: str = "error",
 ) -> str:
     """The events as NDJSON; NULL fields are left out of a line.
 
@@ -148,7 +153,7 @@ def write_bronze(
         *(value.alias(name) for name, value in parts.items()),
     )
     if day_folders:
-        lines.hint("rebalance", *parts).write.partitionBy(*parts).text(root)
+        lines.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).text(root)
     else:
         lines.select("value").write.text(f"{root}/export/all")
     return root

@@ -163,6 +163,10 @@ from v where validation_error is not null
 """
 
 PUBLISHED = f"{CHAIN} select {UNSTAMPED} from silver"
+LEFT = (
+    f"{PUBLISHED} where user_id not in (select concat('u', cast(c_custkey as varchar)) from customer "
+    "where c_mktsegment = 'BUILDING')"
+)
 
 ORACLES = {
     "bronze_scan": f"{CHAIN} select {RAW} from bronze",
@@ -231,13 +235,6 @@ ORACLES = {
     "from silver s group by s.event_date, event_type) select strftime(p.event_date, '%Y-%m-%d') "
     "as event_date, event_type, n as rows, cast(1 as bigint) as files from per p",
     "anomaly_rate_stored": ANOMALIES,
-    "dq_report_incremental": """select * from (values
-      ('none', 'silver', 'event_id', 'unique', 0), ('none', 'stg_events', 'event_id', 'unique', 0),
-      ('inside', 'silver', 'event_id', 'unique', 1),
-      ('inside', 'stg_events', 'event_id', 'unique', 1),
-      ('across', 'silver', 'event_id', 'unique', 1),
-      ('across', 'stg_events', 'event_id', 'unique', 1)) t("lake", "table", "column", "check", f)
-      """,
     "dq_report_incremental_whole": f"""{CHAIN},
       lakes as (select unnest(['none', 'inside', 'near', 'far']) as lake),
       days as (select date '2024-01-05' as day
@@ -265,7 +262,7 @@ ORACLES = {
       union all select 'rejected', count(*), 0 from bad
       union all select 'stg_events', count(*), 0 from stays
       union all select 'daily_event_summary', count(*), 0 from stays""",
-    "erase_users": f"{CHAIN} select {UNSTAMPED} from silver where user_id not in "
-    "(select concat('u', cast(c_custkey as varchar)) from customer "
-    "where c_mktsegment = 'BUILDING')",
+    "erase_users": LEFT,
+    "erase_users_beside_load": LEFT,
+    "daily_resumed_after_new_file": f"{PUBLISHED} where folder_date = date '2024-01-05'",
 }

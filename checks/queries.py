@@ -407,59 +407,71 @@ def anomaly_rate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(jobs.stored_anomalies(spark, fixture.full_lake(spark, sf_dir)))
 
 
-def dq_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The unique checks of one day over lakes with an id twice inside the day, on two days, and
-    with none; the full suite finds the same."""
-    day = fixture.silver(spark, sf_dir).where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date"))
-    silver = event_date_range(fixture.silver(spark, sf_dir), date(2024, 1, 4), date(2024, 1, 8))
-    one = day.orderBy("event_id").limit(1)
-    copies = {
-        "none": silver.limit(0),
-        "inside": one,
-        "across": one.withColumn("event_date", F.lit(str(NEXT_DAY)).cast("date")),
-    }
-    parts = []
-    for name, extra in copies.items():
-        rows = silver.unionByName(extra)
-        tables = {"silver": rows, "stg_events": models.stg_events(rows)}
-        checks = tuple(
-            c for c in quality.SOURCE_CHECKS + quality.MODEL_CHECKS if c.table in tables
-        )
-        full = quality.report(tables, checks).withColumnRenamed("failures", "full")
-        dated = quality.report_dates(tables, checks, [str(SLICE_DAY)])
-        both = dated.join(full, ["table", "column", "check"]).where("check = 'unique' or failures <> full")
-        found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
-        parts.append(both.select(F.lit(name).alias("lake"), "table", "column", "check", found.cast("int").alias("f")))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def dq_report_incremental_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of a day that are not unique in all of silver, by the dated checks: a clean day and one
-    of repeated events, over lakes with a copy of an id inside the day, on the next day, on the
-    last date and with none. The full suite over the rows with an id of the day finds the same."""
-    silver = fixture.silver(spark, sf_dir)
+    """Ids of a day that are not unique in all of silver, by the dated checks through the id index:
+    a clean day and one of repeated events, over lakes with a copy of an id inside the day, on the
+    next day, on the last date and with none. The full suite over the rows with an id of the day
+    finds the same."""
+    rows = fixture.silver(spark, sf_dir)
     twice = fixture.events(spark, sf_dir).where("event_id = 17").select(F.to_date("ts")).first()[0]
-    one = silver.where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date")).orderBy("event_id").limit(1)
-    last = silver.agg(F.max("event_date")).first()[0]
+    last = fixture.date_bounds(spark, sf_dir)[1]
+    unique = {
+        "silver": tuple(c for c in quality.SOURCE_CHECKS if c.kind == quality.UNIQUE),
+        "stg_events": tuple(c for c in quality.MODEL_CHECKS if c.kind == quality.UNIQUE),
+    }
     parts = []
     for name, planted in {"none": None, "inside": SLICE_DAY, "near": NEXT_DAY, "far": last}.items():
-        copy = one.withColumn("event_date", F.lit(str(planted)).cast("date")) if planted else one.limit(0)
-        rows = silver.unionByName(copy)
-        tables = {"silver": rows, "stg_events": models.stg_events(rows)}
-        checks = tuple(
-            c for c in quality.SOURCE_CHECKS + quality.MODEL_CHECKS if c.table in tables and c.kind == quality.UNIQUE
-        )
+        lake = fixture.empty_lake(spark, sf_dir)
+        publish.write_partitions(rows, lake.silver)
+        silver = read_silver(spark, lake.silver)
+        if planted:
+            one = silver.where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date")).orderBy("event_id").limit(1)
+            copy = one.withColumn("event_date", F.lit(str(planted)).cast("date"))
+            copy.write.mode("append").partitionBy(*publish.SILVER_PARTITIONS).parquet(lake.silver)
+            silver = read_silver(spark, lake.silver)
+        jobs.build_models(spark, lake)
+        jobs.reindex(spark, lake)
         for day in {SLICE_DAY, twice}:
             inside = F.col("event_date") == F.lit(str(day)).cast("date")
-            own = {n: t.join(t.where(inside).select("event_id"), "event_id", "left_semi") for n, t in tables.items()}
-            full = quality.report(own, checks).withColumnRenamed("failures", "full")
-            both = quality.report_dates(tables, checks, [str(day)]).join(full, ["table", "column", "check"])
-            found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
-            where = F.lit(name).alias("lake"), F.lit(str(day)).alias("day")
-            parts.append(both.select(*where, "table", found.cast("int").alias("f")))
+            for table, report in {"silver": jobs.source_report, "stg_events": jobs.model_report}.items():
+                held = silver if table == "silver" else jobs.read_staging(spark, lake.staging)
+                own = held.join(held.where(inside).select("event_id"), "event_id", "left_semi")
+                full = quality.report({table: own}, unique[table]).withColumnRenamed("failures", "full")
+                both = report(spark, lake, [str(day)]).join(full, ["table", "column", "check"])
+                found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
+                where = F.lit(name).alias("lake"), F.lit(str(day)).alias("day")
+                parts.append(both.select(*where, "table", found.cast("int").alias("f")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def erase_users_beside_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of one market segment are erased, from the request to its end, while a load has
+    staged their rows and has not published them."""
+    lake = fixture.empty_lake(spark, sf_dir)
+    users = _customers(spark, sf_dir).where(F.col("c_mktsegment") == "BUILDING")
+    _between_staging_and_publishing(lambda: jobs.erase_users(spark, lake, users))
+    fixture.backfill(spark, sf_dir, lake)
+    return unstamped(read_silver(spark, lake.silver))
+
+
+def daily_resumed_after_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's run is broken off after staging, the rest of the day's rows come in a second file,
+    and the run is asked for again."""
+    late = (F.col("folder_date") == F.lit(str(SLICE_DAY)).cast("date")) & (F.xxhash64("event_id") % 2 == 0)
+    lake = fixture.own_bronze(spark, sf_dir, lambda rows: rows.where(~F.coalesce(late, F.lit(False))))
+
+    def broken():
+        raise _BrokenOff
+
+    _between_staging_and_publishing(broken)
+    try:
+        jobs.run_daily(spark, lake, SLICE_DAY, RUN_TS)
+    except _BrokenOff:
+        fixture.write_bronze(spark, sf_dir, lake.bronze, change=lambda rows: rows.where(late), mode="append")
+        jobs.run_daily(spark, lake, SLICE_DAY, RUN_TS)
+    return unstamped(read_silver(spark, lake.silver))
+
+
 def erase_users_lasting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of one market segment are erased and one day is loaded again: rows by layer,
     and how many of them are still theirs."""
@@ -528,7 +540,8 @@ QUERIES = {
     "silver_corrections": silver_corrections,
     "silver_compacted": silver_compacted,
     "anomaly_rate_stored": anomaly_rate_stored,
-    "dq_report_incremental": dq_report_incremental,
     "dq_report_incremental_whole": dq_report_incremental_whole,
     "erase_users_lasting": erase_users_lasting,
+    "erase_users_beside_load": erase_users_beside_load,
+    "daily_resumed_after_new_file": daily_resumed_after_new_file,
 }

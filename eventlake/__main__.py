@@ -53,6 +53,8 @@ def arguments(argv=None) -> argparse.Namespace:
     compact.add_argument("--target_mb", type=int, default=jobs.TARGET_FILE >> 20)
     compact.add_argument("--dates", nargs="*", help="only these event dates")
 
+    command("reindex", "build the id index beside silver anew", "silver")
+
     catalog = command("catalog", "register all tables and partitions", "silver", "rejected")
     catalog.add_argument("--gold_path")
     catalog.add_argument("--database", required=True)
@@ -89,6 +91,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     if args.job == "compact":
         dates = jobs.compact(spark, lake, args.target_mb << 20, args.dates)
         return [f"compacted dates: {' '.join(dates) or 'none'}"]
+    if args.job == "reindex":
+        return [f"entries: {jobs.reindex(spark, lake)}"]
     if args.job == "catalog":
         jobs.register_tables(spark, lake, args.database)
         return []

@@ -54,18 +54,24 @@ def report(tables: dict[str, DataFrame], checks: tuple[Check, ...]) -> DataFrame
 
 
 def report_dates(
-    tables: dict[str, DataFrame], checks: tuple[Check, ...], dates: list[str]
+    tables: dict[str, DataFrame],
+    checks: tuple[Check, ...],
+    dates: list[str],
+    among: list[str] | None = None,
 ) -> DataFrame:
     """The report on some event dates, exact as long as the rest was checked before.
 
     Values that must be unique are grouped within these dates and looked up in the others: the
-    few ids of the dates filter that column of the rest, which is not grouped.
+    few ids of the dates filter that column of the rest, which is not grouped. ``among`` names
+    the other dates that may hold them, if that is known; no other is read then.
     """
-    inside = F.col("event_date").cast("string").isin(*dates)
+    day = F.col("event_date").cast("string")
+    inside = day.isin(*dates)
     touched = {name: table.where(inside) for name, table in tables.items()}
 
     def unique(table: DataFrame, check: Check) -> DataFrame:
-        others = tables[check.table].where(~inside)
+        elsewhere = ~inside if among is None else day.isin(*among) & ~inside
+        others = tables[check.table].where(elsewhere)
         return _unique_against(table, others, check)
 
     return _report(touched, checks, unique)

@@ -30,8 +30,8 @@ from eventlake.operators.quality import MODEL_CHECKS, SOURCE_CHECKS, enforce
 from eventlake.operators.transform import silver_columns
 from eventlake.operators.validate import classify
 from eventlake.plans.models import daily_event_summary, stg_events
-from eventlake.session import prepare, prepared
-from eventlake.sinks import publish, quarantine, workarea
+from eventlake.session import empty, prepare, prepared
+from eventlake.sinks import id_index, publish, quarantine, workarea
 from eventlake.sinks.tables import keep_dates, refresh_catalog, write_dates
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import exists, matching, remove, sizes
@@ -117,12 +117,20 @@ def _job(work: Callable) -> Callable:
 def run_daily(
     spark: SparkSession, lake: Lake, run_date: date, run_ts: datetime | None = None
 ) -> RunReport:
-    """Load the folder of one day, whatever dates its events carry."""
+    """Load the folder of one day, whatever dates its events carry.
+
+    If an equal run was broken off after it had staged its rows, they are published, and the
+    folder is read again only if its files are no longer those that were staged."""
     tree = bronze_source.folders(spark, lake.bronze)
-    rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date, tree))
     scope = {"folders": [str(run_date)] * 2, "dates": None}
     request = {"run": "daily", "scope": scope, "batch": None}
-    return _load(spark, lake, [rows.withColumn("filed", _filed())], request, run_ts)
+
+    def parts(days: list[str] | None) -> Iterable[DataFrame]:
+        rows = classify(bronze_source.scan_days(spark, lake.bronze, run_date, run_date, tree))
+        return [rows.withColumn("filed", _filed())]
+
+    paths = [path for path, filed in tree[0] if filed == run_date]
+    return _load(spark, lake, paths, parts, request, run_ts)
 
 
 @_job
@@ -144,26 +152,36 @@ def run_backfill(
     folders that near the range are read. When it is not (None), rows may be filed anywhere:
     all of bronze is read, once.
 
-    If an equal backfill was broken off after it had staged its rows, this finishes it instead
-    of reading bronze again.
+    If an equal backfill was broken off after it had staged its rows, they are published, and
+    only day folders whose files are no longer those that were staged are read again; the
+    report counts the rows of both.
     """
     if end < start:
         raise ValueError(f"the range ends on {end}, before it starts on {start}")
     dates = [str(start), str(end)]
-    tree = bronze_source.folders(spark, lake.bronze)
-    folders = None
+    every = bronze_source.folders(spark, lake.bronze)
+    tree, folders = every, None
     if slack_days is not None:
         slack = timedelta(days=slack_days)
         folders = [str(start - slack), str(end + slack)]
-        parts = [bronze_source.scan_days(spark, lake.bronze, start - slack, end + slack, tree)]
-    else:
-        parts = bronze_source.scan_in_parts(spark, lake.bronze, tree)
+        tree = [x for x in every[0] if start - slack <= x[1] <= end + slack], []
     scope = {"folders": folders, "dates": dates}
     request = {"run": "backfill", "scope": scope, "batch": batch}
-    rows = (_dated(part, start, end) for part in parts)
-    done = _load(spark, lake, rows, request, run_ts)
+
+    def parts(days: list[str] | None) -> Iterable[DataFrame]:
+        days_, strays = tree
+        if days is not None:
+            days_ = [x for x in days_ if str(x[1]) in days]
+            strays = strays if quarantine.NO_DATE in days else []
+        if slack_days is not None:
+            found = [bronze_source.scan_days(spark, lake.bronze, start - slack, end + slack, (days_, []))]
+        else:
+            found = bronze_source.scan_in_parts(spark, lake.bronze, (days_, strays))
+        return (_dated(part, start, end) for part in found)
+
+    done = _load(spark, lake, [*(path for path, _ in tree[0]), *tree[1]], parts, request, run_ts)
     if slack_days is None:
-        done.strays = sorted(tree[1])
+        done.strays = sorted(every[1])
     return done
 
 
@@ -180,50 +198,86 @@ def _dated(bronze: DataFrame, start: date, end: date) -> DataFrame:
 def _load(
     spark: SparkSession,
     lake: Lake,
-    parts: Iterable[DataFrame],
+    paths: list[str],
+    parts: Callable[[list[str] | None], Iterable[DataFrame]],
     request: dict,
     run_ts: datetime | None,
 ) -> RunReport:
-    """Stage classified rows, then publish them."""
+    """Stage classified rows of some paths, then publish them. ``parts`` gives the rows, of all
+    paths or of some days' folders."""
+    # Listed before the rows are, so a file that comes in between is taken for a new one.
+    inputs = bronze_source.files(spark, paths)
+
+    def compared(folder: str, finished: dict) -> list[str] | None:
+        if any(finished.get(name) != value for name, value in request.items()):
+            return None
+        before = spark.read.schema(bronze_source.FILES_SCHEMA).parquet(f"{folder}/{workarea.INPUT}")
+        return [x or quarantine.NO_DATE for x in bronze_source.changed(before, inputs)]
+
+    done, days = RunReport(), None
     with workarea.exclusive(spark, lake.area):
-        done = RunReport()
-        for finished, report in _recover(spark, lake):
-            if all(finished.get(name) == value for name, value in request.items()):
+        for _, report, changed in _recover(spark, lake, compared):
+            if changed == []:
                 return report
+            if changed is not None:
+                done.add(report)
+                days = changed
             done.dates = sorted({*done.dates, *report.dates})
+    if days is not None and request["run"] == "backfill":
+        request = {**request, "scope": {**request["scope"], "days": days}}
+    elif days is not None:
+        done, days = RunReport(dates=done.dates), None
     run_ts = run_ts or datetime.now(timezone.utc)
     with workarea.run_folder(spark, lake.area) as folder:
-        erased = _erased(spark, lake)
-        for part in parts:
-            done.add(_stage(spark, part, erased, request, folder, run_ts))
-        counts = {name: asdict(done)[name] for name in ("bronze_rows", "good_rows", "bad_rows")}
-        marked = {**request, **counts, "run_ts": run_ts.isoformat()}
+        inputs.write.parquet(f"{folder}/{workarea.INPUT}")
+        counts = RunReport()
+        for part in parts(days):
+            counts.add(_stage(spark, part, request, folder, run_ts))
+        staged = {name: asdict(counts)[name] for name in ("bronze_rows", "good_rows", "bad_rows")}
+        marked = {**request, **staged, "run_ts": run_ts.isoformat()}
         workarea.mark_staged(spark, folder, marked)
+        # Mostly done here, where no other job waits; users erased since are left to publishing.
+        _leave_out(spark, lake, folder)
         with workarea.exclusive(spark, lake.area):
-            for _, report in _recover(spark, lake):
+            for _, report, _ in _recover(spark, lake):
                 done.dates = sorted({*done.dates, *report.dates})
-            done.dates = sorted({*done.dates, *_publish(spark, lake, folder, marked).dates})
+            done.add(_publish(spark, lake, folder, marked))
     return done
 
 
+def _leave_out(spark: SparkSession, lake: Lake, folder: str) -> None:
+    """Note which users of the staged rows were erased, up to the last epoch of the lake's list.
+
+    Only the rows' user_id is read and compared with the list; whoever reads staged rows leaves
+    out the few users noted here."""
+    listed, noted = _epochs(spark, lake), workarea.epochs(spark, f"{folder}/gone")
+    paths = [path for epoch, path in listed.items() if epoch > max(noted, default=-1)]
+    if not paths:
+        return
+    staged = empty(spark, "user_id string")
+    if exists(spark, f"{folder}/{workarea.ACCEPTED}"):
+        staged = staged.union(read_silver(spark, f"{folder}/{workarea.ACCEPTED}").select("user_id"))
+    raw = _raw_rejects(spark, folder)
+    if raw is not None:
+        staged = staged.union(raw.select(_user_of()))
+    hits = spark.read.schema("user_id string").parquet(*paths).join(staged, "user_id", "left_semi")
+    hits.write.mode("overwrite").parquet(f"{folder}/gone/epoch={max(listed)}")
+
+
 def _stage(
     spark: SparkSession,
     classified: DataFrame,
-    erased: DataFrame | None,
     request: dict,
     folder: str,
     run_ts: datetime,
 ) -> RunReport:
     """Cut classified rows into a written table that feeds both sinks.
 
-    This is the only pass over bronze text. Rows of erased users are left out before they are
-    counted. The write has no shuffle, so its Observation counts each row once even when tasks
-    are repeated elsewhere.
+    This is the only pass over bronze text. The write has no shuffle, so its Observation counts
+    each row once even when tasks are repeated elsewhere.
     """
     counts = Observation()
     rejected = F.isnotnull(ERROR)
-    if erased is not None:
-        classified = without_users(classified.withColumn("_user", _user_of()), erased, "_user")
     kept = F.struct(
         *RAW_REJECT_SCHEMA.names,
         stamp(run_ts).alias("rejected_at"),
@@ -256,12 +310,22 @@ def _user_of() -> Column:
 
 
 def _publish(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
-    """Bring a staged run into the tables; may be repeated until it is through."""
+    """Bring a staged run into the tables; may be repeated until it is through.
+
+    Users erased since the run was staged are left out: the list may have grown while the run
+    waited for its lease, or lay broken off."""
     counts = RunReport(*(request[name] for name in ("bronze_rows", "good_rows", "bad_rows")))
-    accepted, raw = workarea.accepted(spark, folder), _staged_rejects(spark, folder)
-    found = [0 if rows is None else rows.count() for rows in (accepted, raw)]
+    path = f"{folder}/{workarea.ACCEPTED}"
+    whole = read_silver(spark, path) if exists(spark, path) else None
+    found = [0 if rows is None else rows.count() for rows in (whole, _raw_rejects(spark, folder))]
     if found != [counts.good_rows, counts.bad_rows]:
         raise StagingLost(f"{folder}: {found} rows instead of {counts.good_rows}, {counts.bad_rows}")
+    _leave_out(spark, lake, folder)
+    raw = _staged_rejects(spark, folder)
+    if workarea.gone(spark, folder) is not None:
+        accepted = workarea.accepted(spark, folder)
+        left = [0 if rows is None else rows.count() for rows in (accepted, raw)]
+        counts = RunReport(sum(left), *left)
     slices = quarantine.slices(spark, lake.rejected)
     stale = [x for x, *dates in slices if quarantine.in_scope(request["scope"], *dates)]
     quarantine.replace_slices(spark, lake.rejected, raw, stale)
@@ -269,7 +333,7 @@ def _publish(spark: SparkSession, lake: Lake, folder: str, request: dict) -> Run
     return counts
 
 
-def _staged_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
+def _raw_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
     path = f"{folder}/{workarea.REJECTED}"
     if not exists(spark, path):
         return None
@@ -279,20 +343,31 @@ def _staged_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
     return spark.read.schema(f"raw {fields.simpleString()}").parquet(path).select("raw.*")
 
 
-def _recover(spark: SparkSession, lake: Lake) -> list[tuple[dict, RunReport]]:
-    """Finish runs that were broken off after staging, drop those that were before."""
+def _staged_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The staged rejected rows of a run, but for those of users to leave out."""
+    raw, users = _raw_rejects(spark, folder), workarea.gone(spark, folder)
+    if raw is None or users is None:
+        return raw
+    return without_users(raw.withColumn("_user", _user_of()), users, "_user").drop("_user")
+
+
+def _recover(
+    spark: SparkSession, lake: Lake, compared: Callable[[str, dict], list | None] = lambda *_: None
+) -> list[tuple[dict, RunReport, list | None]]:
+    """Finish runs that were broken off after staging, drop those that were before. Beside each
+    request and report, what ``compared`` says of the run's folder."""
     finished = []
     for folder in workarea.broken_off(spark, lake.area):
         request = workarea.staged(spark, folder)
         if request is not None:
             work = {"erase": _erase, "compact": _compacted}.get(request["run"], _publish)
-            finished.append((request, work(spark, lake, folder, request)))
+            finished.append((request, work(spark, lake, folder, request), compared(folder, request)))
         remove(spark, folder)
     return finished
 
 
 def _recovered_dates(spark: SparkSession, lake: Lake) -> list[str]:
-    return sorted({d for _, report in _recover(spark, lake) for d in report.dates})
+    return sorted({d for _, report, _ in _recover(spark, lake) for d in report.dates})
 
 
 # Models
@@ -345,8 +420,10 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
     """Remove all rows of the given ``user_id``s for good; return the dates that changed.
 
-    The users are first added to the lake's list of erased users, which every load leaves out,
-    so bronze need not be rewritten. Then they leave silver, month after month, the rejected
+    The users are first added to the lake's list of erased users under a number of their own.
+    Every load notes up to which number it has left users out, and compares under the lease it
+    publishes with, so bronze need not be rewritten and a load beside the erasure brings nobody
+    back. Then they leave silver, month after month, the rejected
     rows, and, if the lake has them, the models of the dates that changed. A request that is
     broken off is finished by the next job.
     """
@@ -360,17 +437,20 @@ def erase_users(spark: SparkSession, lake: Lake, users: DataFrame) -> list[str]:
             return sorted({*recovered, *_erase(spark, lake, folder, request).dates})
 
 
-def _erased(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    if not matching(spark, f"{lake.erased}/part-*"):
-        return None
-    return spark.read.schema("user_id string").parquet(lake.erased)
+def _epochs(spark: SparkSession, lake: Lake) -> dict[int, str]:
+    """The list of erased users by the number of the erasure that added them."""
+    before = {0: f"{lake.erased}/part-*"} if matching(spark, f"{lake.erased}/part-*") else {}
+    return before | workarea.epochs(spark, lake.erased)
 
 
 def _erase(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
     users = spark.read.schema("user_id string").parquet(f"{folder}/users")
-    known = _erased(spark, lake)
-    new = users if known is None else without_users(users, known)
-    new.write.mode("append").parquet(lake.erased)
+    listed, own = _epochs(spark, lake), f"{folder}/epoch"
+    # Written first: an erasure that is finished later keeps its number.
+    if not exists(spark, own):
+        workarea.write_text(spark, own, str(1 + max(listed, default=0)))
+    epoch = int(workarea.read_text(spark, own))
+    users.write.mode("overwrite").parquet(f"{lake.erased}/epoch={epoch}")
     dates = _erase_rejected(spark, lake, folder, users)
     dates |= _erase_silver(spark, lake, folder, users)
     if lake.gold and dates:
@@ -522,26 +602,51 @@ def run_day(
 
 def check_source(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> list:
     """Report rows of the checks on silver; raises QualityError when one fails."""
-    return enforce(_report(spark, {"silver": _silver(spark, lake)}, SOURCE_CHECKS, dates))
+    return enforce(source_report(spark, lake, dates))
 
 
 def check_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> list:
+    return enforce(model_report(spark, lake, dates))
+
+
+def source_report(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
+    return _report(spark, lake, {"silver": _silver(spark, lake)}, SOURCE_CHECKS, dates)
+
+
+def model_report(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
     tables = {
         "stg_events": read_staging(spark, lake.staging),
         "daily_event_summary": read_summary(spark, lake.summary),
     }
-    return enforce(_report(spark, tables, MODEL_CHECKS, dates))
+    return _report(spark, lake, tables, MODEL_CHECKS, dates)
+
+
+@_job
+def reindex(spark: SparkSession, lake: Lake) -> int:
+    """Build the id index anew from silver; the number of its entries."""
+    with workarea.exclusive(spark, lake.area):
+        _recover(spark, lake)
+        return id_index.rebuild(spark, lake.silver)
 
 
-def _report(spark: SparkSession, tables: dict, checks: tuple, dates: list[str] | None) -> DataFrame:
+def _report(
+    spark: SparkSession, lake: Lake, tables: dict, checks: tuple, dates: list[str] | None
+) -> DataFrame:
+    """The report on all or some dates; the id index says which others may hold their ids."""
     if dates is None:
         return quality.report(tables, checks)
-    return quality.report_dates(tables, checks, dates)
+    among = None
+    if id_index.current(spark, lake.silver):
+        ids = read_silver(spark, lake.silver).where(F.col("event_date").cast("string").isin(*dates))
+        ids = ids.where("event_id is not null").select(id_index.hashed()).distinct()
+        hinted = id_index.hints(spark, lake.silver, ids).select(F.col("event_date").cast("string"))
+        among = sorted(r.event_date for r in hinted.distinct().collect())
+    return quality.report_dates(tables, checks, dates, among)
 
 
 def _silver(spark: SparkSession, lake: Lake) -> DataFrame:
     if not matching(spark, f"{lake.silver}/event_date=*"):
-        return spark.createDataFrame([], SILVER_SCHEMA)
+        return empty(spark, SILVER_SCHEMA)
     return read_silver(spark, lake.silver)
 
 
@@ -555,5 +660,5 @@ def drift(spark: SparkSession, lake: Lake, contract: tuple[str, ...], start: dat
     """Fields seen in some days' folders against the contract."""
     days, _ = bronze_source.folders(prepare(spark), lake.bronze)
     paths = [path for path, filed in days if start <= filed <= end]
-    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    lines = spark.read.text(paths) if paths else empty(spark, "value string")
     return monitor.schema_drift(lines, "value", contract)

@@ -4,7 +4,8 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     # event_date is the UTC date of the event's instant.
@@ -43,6 +44,13 @@ def prepared(spark: SparkSession) -> Iterator[SparkSession]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def empty(spark: SparkSession, schema: str | StructType) -> DataFrame:
+    """No rows of a schema, as a plan that Spark cuts away in unions and joins."""
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    columns = ", ".join(f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in fields)
+    return spark.sql(f"select {columns} where false")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -6,13 +6,15 @@ repeated from there.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.contract import SILVER_COLUMNS, SILVER_PARTITIONS
-from eventlake.sinks import workarea
+from eventlake.session import empty
+from eventlake.sinks import id_index, workarea
 from eventlake.sources.folders import exists, matching, partition_values, read_text, remove, write_text
 from eventlake.sources.silver import read_silver
 
@@ -49,32 +51,43 @@ def upsert(spark: SparkSession, silver: str, folder: str, batch: str | None) ->
                 gone = written_distinct(gone, f"{folder}/group={name}/gone")
                 current = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
                 set_aside(spark, folder, name, replaced, current.join(gone, "event_id", "left_anti"))
-        replace(spark, silver, folder, name)
+        replace(spark, silver, folder, name, keys)
     return sorted({event_date for keys in touched.values() for event_date, _ in keys})
 
 
 def _old_copies(spark: SparkSession, silver: str, folder: str, label: Column) -> DataFrame:
     """Where silver holds the ids of a run: event_id, event_date and event_type, before anything
-    of the run is published. One pass over three columns of silver."""
-    ids, old = f"{folder}/ids", f"{folder}/old"
-    if not workarea.complete(spark, old):
-        parts = []
-        if exists(spark, f"{folder}/{workarea.ACCEPTED}"):
-            parts.append(spark.read.schema("event_id string").parquet(f"{folder}/{workarea.ACCEPTED}"))
-        if exists(spark, f"{folder}/{workarea.REJECTED}"):
-            raw = spark.read.schema("raw struct<event_id:string>").parquet(f"{folder}/{workarea.REJECTED}")
-            parts.append(raw.select("raw.event_id"))
-        keys = spark.createDataFrame([], "event_id string")
-        for part in parts:
-            keys = keys.union(part.select("event_id"))
-        columns = ["event_id", *SILVER_PARTITIONS]
-        if matching(spark, f"{silver}/event_date=*"):
-            keys = written_distinct(keys.where("event_id is not null"), ids)
-            found = read_silver(spark, silver).select(*columns).join(keys, "event_id", "left_semi")
-        else:
-            found = spark.createDataFrame([], "event_id string, event_date date, event_type string")
-        found.write.mode("overwrite").parquet(old)
-    return spark.read.schema("event_id string, event_date date, event_type string").parquet(old)
+    of the run is published. The id index names the partitions to look in."""
+    ids, named, old = f"{folder}/ids", f"{folder}/hints", f"{folder}/old"
+    schema = "event_id string, event_date date, event_type string"
+    if workarea.complete(spark, old):
+        return spark.read.schema(schema).parquet(old)
+    id_index.heal(spark, silver)
+    rows = workarea.accepted(spark, folder)
+    parts = [] if rows is None else [rows.select("event_id")]
+    if exists(spark, f"{folder}/{workarea.REJECTED}"):
+        raw = spark.read.schema("raw struct<event_id:string>").parquet(f"{folder}/{workarea.REJECTED}")
+        parts.append(raw.select("raw.event_id"))
+    found, entries = empty(spark, schema), None
+    if rows is not None:
+        entries = rows.select(id_index.hashed(), *SILVER_PARTITIONS)
+    if parts and id_index.state(spark, silver)["generations"]:
+        keys = reduce(DataFrame.union, parts).where("event_id is not null")
+        keys = written_distinct(keys.select("event_id", id_index.hashed()), ids)
+        id_index.hints(spark, silver, keys.select("id_hash")).write.mode("overwrite").parquet(named)
+        hints = spark.read.schema(id_index.SCHEMA).parquet(named)
+        hinted = keys_of(hints)
+        if hinted and entries is not None:
+            entries = entries.join(hints, hints.columns, "left_anti")
+        replaced = _among(spark, silver, hinted)
+        if replaced:
+            held = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
+            held = held.select("event_id", *SILVER_PARTITIONS)
+            found = held.join(keys.select("event_id"), "event_id", "left_semi")
+    if entries is not None:
+        id_index.add(spark, silver, entries, rows.count())
+    found.write.mode("overwrite").parquet(old)
+    return spark.read.schema(schema).parquet(old)
 
 
 def _among(spark: SparkSession, silver: str, keys: set) -> list[str]:
@@ -134,8 +147,9 @@ def set_aside(
     write_text(spark, f"{group}/replaced", "\n".join(replaced))
 
 
-def replace(spark: SparkSession, silver: str, folder: str, label: str) -> None:
-    """Put a group's rows in place of the partitions it lists, once."""
+def replace(spark: SparkSession, silver: str, folder: str, label: str, keys: set | None = None) -> None:
+    """Put a group's rows in place of the partitions it lists, once. The id index must have the
+    rows' entries; ``keys`` are the (date, type) pairs that change, if others than those listed."""
     replaced = replaced_by(spark, folder, label)
     rows = workarea.replacement(spark, folder, label)
     if rows is not None:
@@ -145,6 +159,7 @@ def replace(spark: SparkSession, silver: str, folder: str, label: str) -> None:
         # Dynamic overwrite leaves a partition nobody writes to as it was.
         if key_of(path) not in filled:
             remove(spark, path)
+    id_index.settled(spark, silver, (keys or filled) | {key_of(path) for path in replaced})
     workarea.mark_done(spark, folder, label)
 
 

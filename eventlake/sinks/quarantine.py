@@ -23,6 +23,8 @@ def slices(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
 
 def in_scope(scope: dict, folder_date: str, filed: str) -> bool:
     """Whether a load of this scope reads a slice whole."""
+    if folder_date not in (scope.get("days") or [folder_date]):
+        return False
     first, last = scope["folders"] or ("", "~")
     if folder_date == NO_DATE:
         inside = scope["folders"] is None

@@ -7,7 +7,9 @@ Layout, beside silver, one folder per run, so that runs do not touch each other'
     run=<id>/rows/outcome=accepted/batch=<label>    silver rows to publish
     run=<id>/rows/outcome=rejected    the raw text of the others, in struct ``raw``
     run=<id>/staged.json              the request and the rows written: staging is complete
-    run=<id>/ids, old, users          keys of joins, and where silver holds them
+    run=<id>/input                    the files the run read: names, lengths and times
+    run=<id>/gone/epoch=<n>           users to leave out of the staged rows, up to this epoch
+    run=<id>/ids, hints, old, users   keys of joins, and where silver holds them
     run=<id>/group=<label>/survivors  rows that must stay of partitions about to be replaced
     run=<id>/group=<label>/replaced   names of these partitions: the replacement may begin
     run=<id>/group=<label>/done       the replacement is complete
@@ -24,11 +26,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventlake.operators.erase import without_users
 from eventlake.sinks.lease import Lease, alive
 from eventlake.sources.folders import create, exists, matching, read_text, remove, write_text
 from eventlake.sources.silver import read_silver
 
 ROWS, ACCEPTED, REJECTED = "rows", "rows/outcome=accepted", "rows/outcome=rejected"
+INPUT = "input"
 
 
 @contextmanager
@@ -64,8 +68,24 @@ def staged(spark: SparkSession, folder: str) -> dict | None:
 
 
 def accepted(spark: SparkSession, folder: str, label: str | None = None) -> DataFrame | None:
+    """The staged silver rows of a run, or of one of its groups, but for users to leave out."""
     path = f"{folder}/{ACCEPTED}" + (f"/batch={label}" if label else "")
-    return read_silver(spark, path) if exists(spark, path) else None
+    if not exists(spark, path):
+        return None
+    users = gone(spark, folder)
+    rows = read_silver(spark, path)
+    return rows if users is None else without_users(rows, users)
+
+
+def epochs(spark: SparkSession, path: str) -> dict[int, str]:
+    """The numbered folders below a path that were written to their end."""
+    found = {int(x.rsplit("=", 1)[1]): x for x in matching(spark, f"{path}/epoch=*")}
+    return {number: x for number, x in sorted(found.items()) if complete(spark, x)}
+
+
+def gone(spark: SparkSession, folder: str) -> DataFrame | None:
+    paths = epochs(spark, f"{folder}/gone").values()
+    return spark.read.schema("user_id string").parquet(*paths) if paths else None
 
 
 def replacement(spark: SparkSession, folder: str, label: str) -> DataFrame | None:

@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.contract import BRONZE_SCHEMA, CORRUPT
+from eventlake.session import empty
 from eventlake.sources.folders import names, partition_values
 
 #: The column that says under which day's folder a row lies.
 FOLDER_DATE = "folder_date"
+FILES_SCHEMA = "path string, length long, modificationTime timestamp"
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
@@ -38,7 +40,7 @@ def scan_days(spark: SparkSession, root: str, start: date, end: date, tree=None)
     Of a tree that has been listed before nothing is listed again.
     """
     days, _ = tree or folders(spark, root)
-    return _filed(spark, [path for path, filed in days if start <= filed <= end])
+    return _filed(spark, [path for path, filed in days if start <= filed <= end], dated=True)
 
 
 def scan_in_parts(spark: SparkSession, root: str, tree=None) -> Iterator[DataFrame]:
@@ -49,7 +51,7 @@ def scan_in_parts(spark: SparkSession, root: str, tree=None) -> Iterator[DataFra
     for path, filed in days:
         months.setdefault((filed.year, filed.month), []).append(path)
     for _, paths in sorted(months.items()):
-        yield _filed(spark, paths)
+        yield _filed(spark, paths, dated=True)
     if strays:
         yield _filed(spark, strays)
 
@@ -83,12 +85,37 @@ def _date_of(path: str) -> date | None:
         return None
 
 
-def _filed(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows with the date in the name of the day folder they lie in, whatever else is read."""
+def files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files below some paths: path, length and modificationTime. Their content is not read."""
     if not paths:
-        return spark.createDataFrame([], BRONZE_SCHEMA).withColumn(FOLDER_DATE, F.lit(None).cast("date"))
+        return empty(spark, FILES_SCHEMA)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return listed.select("path", "length", "modificationTime")
+
+
+def changed(before: DataFrame, now: DataFrame) -> list[str | None]:
+    """The dates in the folders of files that came, went or changed between two listings; None
+    stands for files outside of day folders."""
+    old, new = (x.select("path", "length", "modificationTime") for x in (before, now))
+    either = old.exceptAll(new).union(new.exceptAll(old)).select(folder_date(F.col("path")).alias("d"))
+    return [str(r.d) if r.d else None for r in either.distinct().collect()]
+
+
+def _filed(spark: SparkSession, paths: list[str], dated: bool = False) -> DataFrame:
+    """Rows with the date in the name of the day folder they lie in, whatever else is read. Paths
+    that are ``dated`` are such folders, so the names need no test."""
+    if not paths:
+        return empty(spark, BRONZE_SCHEMA).withColumn(FOLDER_DATE, F.lit(None).cast("date"))
     rows = _reader(spark).option("recursiveFileLookup", "true").json(paths)
-    return rows.select("*", folder_date(F.col("_metadata.file_path")).alias(FOLDER_DATE))
+    file = F.col("_metadata.file_path")
+    return rows.select("*", (_named_date(file) if dated else folder_date(file)).alias(FOLDER_DATE))
+
+
+def _named_date(file: Column) -> Column:
+    """The date in the path of a file below a day folder, by cutting strings only."""
+    tail = F.substring_index(file, "/year=", -1)
+    month, day = (F.substring_index(F.substring_index(tail, f"/{x}=", -1), "/", 1) for x in ("month", "day"))
+    return F.make_date(*(x.cast("int") for x in (F.substring_index(tail, "/", 1), month, day)))
 
 
 def folder_date(file: Column) -> Column:

@@ -15,6 +15,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
 
 
+def modified(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """When the paths that match a glob were changed, in milliseconds."""
+    fs, path = _open(spark, pattern)
+    return {x.getPath().toString(): x.getModificationTime() for x in fs.globStatus(path) or []}
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, path = _open(spark, path)
     return fs.exists(path)

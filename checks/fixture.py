@@ -83,6 +83,33 @@ select {_LINE}, folder_date, cut from (
   select * from ({FIELDS_SQL}) f union all select * from ({FIELDS_SQL}) f where twice) g
 """
 
+# One line of nested JSON per event, whose fields change in the course of the table: a number
+# becomes text, an object gets a field, an array is missing for a day; one line in 700 is cut off.
+# Braces are written as parentheses, which both engines translate.
+NESTED_SQL = """
+select event_id, cast(ts as date) as day, translate(
+  case when event_id % 700 = 9 then '("id": 1, "user": ('
+  else concat('("id": ', cast(event_id as varchar(20)),
+    ', "user": ("id": "u', cast(user_id as varchar(20)), '", "plan": ',
+    case when user_id % 5 = 0 then '"premium"' else 'null' end,
+    case when cast(ts as date) < date '2024-01-20' then ''
+         else concat(', "age": ', cast(user_id % 90 as varchar(20))) end,
+    '), "value": ',
+    case when cast(ts as date) < date '2024-01-12' then cast(cast(floor(value) as int) as varchar(20))
+         when event_id % 2 = 0 then concat('"', cast(cast(floor(value) as int) as varchar(20)), '"')
+         else '"a lot"' end,
+    case when cast(ts as date) = date '2024-01-08' then ''
+         else concat(', "tags": [("name": "', event_type, '", "weight": ', cast({k} as varchar(20)), ')]') end,
+    ')') end, '()', concat(chr(123), chr(125))) as line
+from events
+"""
+
+
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, day, line) of the nested lines."""
+    sql = NESTED_SQL.format(**SPARK_SLOTS).replace("from events", "from {events}")
+    return spark.sql(sql, events=events(spark, sf_dir))
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/events.parquet")

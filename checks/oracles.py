@@ -1,6 +1,6 @@
 """The same results as plain DuckDB SQL over the given tables."""
 
-from checks.fixture import BRONZE_SQL, DUCKDB_SLOTS
+from checks.fixture import BRONZE_SQL, DUCKDB_SLOTS, NESTED_SQL
 from checks.queries import DRIFT_CONTRACT
 
 # Lists of its own, so that a value or column lost in the engine shows as a difference.
@@ -162,6 +162,45 @@ select {RAW}, validation_error, '2024-02-01 02:00:00.000000' as rejected_at, 'ba
 from v where validation_error is not null
 """
 
+# Text that is cut off is no JSON; names are those of the other engine's types.
+NESTED = f"""
+with lines as (select event_id, day, case when json_valid(line) then line end as line
+  from ({NESTED_SQL.format(**DUCKDB_SLOTS)}) n)
+"""
+DYNAMIC_PATHS = f"""{NESTED}
+select l.event_id, json_extract_string(line, '$.user.id') as user_id,
+  json_extract_string(line, '$.user.plan') as plan,
+  try_cast(json_extract_string(line, '$.user.age') as int) as age,
+  try_cast(json_extract_string(line, '$.value') as int) as value,
+  json_extract_string(line, '$.tags[0].name') as tag,
+  try_cast(json_extract_string(line, '$.tags[0].weight') as double) as weight,
+  try_cast(json_extract_string(line, '$.tags[0].name') as int) as name_as_number,
+  json_extract_string(line, '$.tags[1].name') as beyond,
+  try_cast(json_extract_string(props, '$.k') as int) as k
+from lines l join events e on e.event_id = l.event_id
+"""
+TYPE_CHANGES = f"""{NESTED},
+paths as (select unnest(['id', 'user.id', 'user.plan', 'user.age', 'value', 'tags[].name', 'tags[].weight']) as path),
+seen as (
+  select day, path, json_type(line, '$.' || replace(path, '[]', '[0]')) as t
+  from lines, paths where line is not null),
+kinds as (
+  select day, path,
+    case when count(distinct t) filter (where t <> 'NULL') > 1 then 'variant'
+      when max(t) filter (where t <> 'NULL') is null then 'void'
+      else case max(t) filter (where t <> 'NULL') when 'VARCHAR' then 'string' else 'bigint' end end as type
+  from seen where t is not null group by day, path),
+days as (select day, lead(day) over (order by day) as next_day from (select distinct day from lines where line is not null)),
+old as (select next_day as day, path, type from kinds join days using (day) where next_day is not null),
+new as (select day, path, type from kinds where day > (select min(day) from days)),
+changes as (
+  select coalesce(n.day, o.day) as day, coalesce(n.path, o.path) as path, n.type as type, o.type as type_before
+  from old o full join new n on n.day = o.day and n.path = o.path where n.type is distinct from o.type)
+select strftime(c.day, '%Y-%m-%d') as day, path, type, type_before,
+  case when type_before is null then 'new' when type is null then 'gone' else 'changed' end as status
+from changes c
+"""
+
 PUBLISHED = f"{CHAIN} select {UNSTAMPED} from silver"
 LEFT = (
     f"{PUBLISHED} where user_id not in (select concat('u', cast(c_custkey as varchar)) from customer "
@@ -221,6 +260,8 @@ ORACLES = {
     "events_with_customer": WITH_CUSTOMER,
     "schema_drift": DRIFT,
     "dynamic_fields": "select event_id, json_extract_string(props, '$.k') as k from events",
+    "dynamic_paths": DYNAMIC_PATHS,
+    "schema_drift_types": TYPE_CHANGES,
     "backfill_batches": PUBLISHED,
     "backfill_single_scan": PUBLISHED,
     "backfill_beside_daily": PUBLISHED,

@@ -18,6 +18,7 @@ from eventlake.operators.validate import bad, good
 from eventlake.plans import jobs, models
 from eventlake.sinks import publish
 from eventlake.sources import bronze as bronze_source
+from eventlake.sources.folders import matching, remove
 from eventlake.sources.silver import SLICES, read_rejected, read_silver
 
 SLICE_DAY, NEXT_DAY = date(2024, 1, 5), date(2024, 1, 6)
@@ -230,6 +231,32 @@ def dynamic_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.dynamic_fields(lines, "props", ("k",))
 
 
+DYNAMIC_PATHS = {
+    "user_id": ("$.user.id", "string"),
+    "plan": ("$.user.plan", "string"),
+    "age": ("$.user.age", "int"),
+    "value": ("$.value", "int"),
+    "tag": ("$.tags[0].name", "string"),
+    "weight": ("$.tags[0].weight", "double"),
+    "name_as_number": ("$.tags[0].name", "int"),
+    "beyond": ("$.tags[1].name", "string"),
+}
+
+
+def dynamic_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of nested lines by path and type, beside one of props."""
+    lines = fixture.nested(spark, sf_dir).select("event_id", "line")
+    found = monitor.dynamic_paths(lines, "line", DYNAMIC_PATHS)
+    props = fixture.events(spark, sf_dir).select(F.col("event_id").alias("id"), "props")
+    read = monitor.dynamic_paths(props, "props", {"k": ("$.k", "int")})
+    return found.join(read, F.col("event_id") == F.col("id")).drop("id")
+
+
+def schema_drift_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fixture.nested(spark, sf_dir)
+    return shown(monitor.type_changes(monitor.field_types(lines, "line", "day")))
+
+
 # Quality checks, on clean tables and on dirty ones
 
 
@@ -409,39 +436,38 @@ def anomaly_rate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_report_incremental_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of a day that are not unique in all of silver, by the dated checks through the id index:
-    a clean day and one of repeated events, over lakes with a copy of an id inside the day, on the
-    next day, on the last date and with none. The full suite over the rows with an id of the day
+    a clean day and one of repeated events, with a copy of an id planted inside the day, on the
+    next day, on the last date and nowhere. The full suite over the rows with an id of the day
     finds the same."""
-    rows = fixture.silver(spark, sf_dir)
+    lake = fixture.empty_lake(spark, sf_dir)
+    publish.write_partitions(fixture.silver(spark, sf_dir), lake.silver)
+    jobs.build_models(spark, lake)
+    clean = F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date")
+    one = read_silver(spark, lake.silver).where(clean).orderBy("event_id").limit(1).collect()
     twice = fixture.events(spark, sf_dir).where("event_id = 17").select(F.to_date("ts")).first()[0]
     last = fixture.date_bounds(spark, sf_dir)[1]
-    unique = {
-        "silver": tuple(c for c in quality.SOURCE_CHECKS if c.kind == quality.UNIQUE),
-        "stg_events": tuple(c for c in quality.MODEL_CHECKS if c.kind == quality.UNIQUE),
-    }
-    parts = []
+    unique = tuple(c for c in quality.SOURCE_CHECKS + quality.MODEL_CHECKS if c.kind == quality.UNIQUE)
+    found = []
     for name, planted in {"none": None, "inside": SLICE_DAY, "near": NEXT_DAY, "far": last}.items():
-        lake = fixture.empty_lake(spark, sf_dir)
-        publish.write_partitions(rows, lake.silver)
-        silver = read_silver(spark, lake.silver)
+        before = set(matching(spark, f"{lake.silver}/*/*/*.parquet"))
         if planted:
-            one = silver.where(F.col("event_date") == F.lit(str(SLICE_DAY)).cast("date")).orderBy("event_id").limit(1)
-            copy = one.withColumn("event_date", F.lit(str(planted)).cast("date"))
+            copy = spark.createDataFrame(one, read_silver(spark, lake.silver).schema)
+            copy = copy.withColumn("event_date", F.lit(str(planted)).cast("date"))
             copy.write.mode("append").partitionBy(*publish.SILVER_PARTITIONS).parquet(lake.silver)
-            silver = read_silver(spark, lake.silver)
-        jobs.build_models(spark, lake)
+            jobs.build_models(spark, lake, [str(planted)])
         jobs.reindex(spark, lake)
+        held = {"silver": read_silver(spark, lake.silver), "stg_events": jobs.read_staging(spark, lake.staging)}
         for day in {SLICE_DAY, twice}:
             inside = F.col("event_date") == F.lit(str(day)).cast("date")
-            for table, report in {"silver": jobs.source_report, "stg_events": jobs.model_report}.items():
-                held = silver if table == "silver" else jobs.read_staging(spark, lake.staging)
-                own = held.join(held.where(inside).select("event_id"), "event_id", "left_semi")
-                full = quality.report({table: own}, unique[table]).withColumnRenamed("failures", "full")
-                both = report(spark, lake, [str(day)]).join(full, ["table", "column", "check"])
-                found = F.when(F.col("failures") == F.col("full"), F.col("failures")).otherwise(-1)
-                where = F.lit(name).alias("lake"), F.lit(str(day)).alias("day")
-                parts.append(both.select(*where, "table", found.cast("int").alias("f")))
-    return reduce(DataFrame.unionByName, parts)
+            own = {n: t.join(t.where(inside).select("event_id"), "event_id", "left_semi") for n, t in held.items()}
+            full = {r.table: r.failures for r in quality.report(own, unique).collect()}
+            dated = jobs.source_report(spark, lake, [str(day)]).unionByName(jobs.model_report(spark, lake, [str(day)]))
+            for r in dated.where(F.col("check") == quality.UNIQUE).collect():
+                found.append((name, str(day), r.table, r.failures if r.failures == full[r.table] else -1))
+        for path in set(matching(spark, f"{lake.silver}/*/*/*.parquet")) - before:
+            remove(spark, path)
+            jobs.build_models(spark, lake, [str(planted)])
+    return spark.createDataFrame(found, "lake string, day string, table string, f int")
 
 
 def erase_users_beside_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,6 +557,8 @@ QUERIES = {
     "events_with_customer": events_with_customer,
     "schema_drift": schema_drift,
     "dynamic_fields": dynamic_fields,
+    "dynamic_paths": dynamic_paths,
+    "schema_drift_types": schema_drift_types,
     "backfill_batches": backfill_batches,
     "backfill_single_scan": backfill_single_scan,
     "erase_users": erase_users,

@@ -65,6 +65,10 @@ def arguments(argv=None) -> argparse.Namespace:
     drift.add_argument("--start_date", type=date.fromisoformat, required=True)
     drift.add_argument("--end_date", type=date.fromisoformat, required=True)
 
+    types = command("type-drift", "fields whose type changes between days' folders", "source")
+    types.add_argument("--start_date", type=date.fromisoformat, required=True)
+    types.add_argument("--end_date", type=date.fromisoformat, required=True)
+
     for added in commands.choices.values():
         added.add_argument("--work_path", help="work area; beside silver if not given")
     return parser.parse_args(argv)
@@ -102,6 +106,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     if args.job == "drift":
         rows = jobs.drift(spark, lake, EVENT_COLUMNS, args.start_date, args.end_date)
         return [f"{r.field} {r.status}: {r['rows']}" for r in rows.orderBy("field").collect()]
+    if args.job == "type-drift":
+        rows = jobs.type_drift(spark, lake, args.start_date, args.end_date).orderBy("day", "path").collect()
+        return [f"{r.day} {r.path} {r.status}: {r.type_before} -> {r.type}" for r in rows]
     dates = jobs.erase_users(spark, lake, spark.read.parquet(args.users_path))
     return [f"changed dates: {' '.join(dates) or 'none'}"]
 

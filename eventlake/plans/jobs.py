@@ -662,3 +662,12 @@ def drift(spark: SparkSession, lake: Lake, contract: tuple[str, ...], start: dat
     paths = [path for path, filed in days if start <= filed <= end]
     lines = spark.read.text(paths) if paths else empty(spark, "value string")
     return monitor.schema_drift(lines, "value", contract)
+
+
+def type_drift(spark: SparkSession, lake: Lake, start: date, end: date) -> DataFrame:
+    """Fields, at any depth, whose type changed between the days' folders of a range."""
+    days, _ = bronze_source.folders(prepare(spark), lake.bronze)
+    paths = [path for path, filed in days if start <= filed <= end]
+    lines = spark.read.text(paths) if paths else empty(spark, "value string")
+    dated = lines.withColumn("day", bronze_source.folder_date(F.col("_metadata.file_path")) if paths else F.lit(None).cast("date"))
+    return monitor.type_changes(monitor.field_types(dated, "value", "day"))

@@ -144,3 +144,36 @@ def test_enrich_keeps_events_without_a_dimension_row(spark):
     assert {r.plan: (r.events, r.users) for r in counted.collect()} == {
         None: (1, 1), "pro": (2, 1),
     }
+
+
+def test_fields_by_path_and_type(spark):
+    rows = [
+        ('{"a": {"b": [1, {"c": "x"}]}, "n": "12", "t": true}', 1),
+        ('{"a": {"b": "none"}, "n": 1.5}', 2),
+        ("{cut", 3), ("", 4), (None, 5), ("[1]", 6), ('{"a": null}', 7),
+    ]
+    lines = spark.createDataFrame(rows, "line string, _json int")
+    fields = {"c": ("$.a.b[1].c", "string"), "n": ("$.n", "int"), "t": ("$.t", "boolean"), "b0": ("$.a.b[0]", "int")}
+    found = monitor.dynamic_paths(lines, "line", fields)
+    assert found.columns == ["_json", "c", "n", "t", "b0"]
+    nothing = (None, None, None, None)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, "x", 12, True, 1), (2, None, 1, None, None), *((i, *nothing) for i in range(3, 8)),
+    ]
+
+
+def test_types_of_fields_by_day(spark):
+    rows = [
+        (1, '{"a": 1, "b": {"c": "x"}, "l": [1, 2]}'), (1, '{"a": 2, "l": []}'), (1, "{cut"), (1, None),
+        (2, '{"a": "2", "b": {"c": null}}'), (2, '{"a": 3}'), (3, "{cut"), (4, '{"a": "x", "b": {}, "d": 1.5}'), (4, "7"),
+    ]
+    lines = spark.createDataFrame(rows, "day int, line string")
+    types = monitor.field_types(lines, "line", "day")
+    assert sorted(tuple(r) for r in types.where("day < 3").collect()) == [
+        (1, "a", "bigint", 2), (1, "b.c", "string", 2), (1, "l[]", "bigint", 2),
+        (2, "a", "variant", 2), (2, "b.c", "void", 2),
+    ]
+    changes = {tuple(r)[1:] for r in monitor.type_changes(types).where("day = 2").collect()}
+    assert changes == {("a", "variant", "bigint", "changed"), ("b.c", "void", "string", "changed"), ("l[]", None, "bigint", "gone")}
+    assert monitor.type_changes(types).where("day = 1 or day = 3").count() == 0
+    assert monitor.field_types(lines.limit(0), "line", "day").count() == 0

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,10 +22,26 @@ def new_path(spark: SparkSession, name: str) -> str:
 #: results are in written tables; batches of long texts stay small in Python workers.
 SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
+def freed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives its memory back when it ends. Python workers live on for later
+    tasks, beside other operators' workers and the executor's heap."""
+
+    def runs(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return runs
+
+
 def settle(spark: SparkSession) -> None:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)

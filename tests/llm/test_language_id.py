@@ -19,7 +19,7 @@ def piece_numbers(pieces):
 
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = {library.id_to_piece(i).lower() for i in range(library.get_piece_size())}
-    return {x for x in texts if regex.fullmatch(r"▁?\p{L}+", x) and len(x) <= li.PIECE}
+    return {x for x in texts if regex.fullmatch(r"▁?\p{L}+", x)}
 
 
 def small_model():
@@ -57,6 +57,63 @@ def test_forward_sums_all_segmentations(word):
     assert np.allclose(model.log_scores([word], pieces)[0], want)
 
 
+def plain_sums(model, numbers, word):
+    """The forward sums of a marked word of any length, by logarithms and one piece at a time."""
+    marked, sums = "▁" + word, [np.zeros(len(model.languages))]
+    for end in range(1, len(marked) + 1):
+        ways = [sums[end - 1] + np.log(li.UNKNOWN)]
+        for start in range(max(0, end - 40), end):
+            if marked[start:end] in numbers:
+                ways.append(sums[start] + np.log(model.share[numbers[marked[start:end]]]))
+        sums.append(np.logaddexp.reduce(ways))
+    return sums[-1]
+
+
+@pytest.fixture(scope="module")
+def numbers():
+    """The number of every piece."""
+    pieces, known = li.Pieces(PIECES), piece_numbers(None)
+    out = {}
+    for x in known:
+        points = li._points([x.replace("▁", "")])
+        found = dict(pieces.at(points if x[0] == "▁" else points[:, 1:]))
+        out[x] = found[len(x)][0, 0]
+    return out
+
+
+def test_no_length_is_cut(numbers, monkeypatch):
+    """Words of 30 letters and more, texts without blanks over several stretches, every piece."""
+    model, pieces = small_model(), li.Pieces(PIECES)
+    assert pieces.longest == max(map(len, numbers)) > 8
+    rng = np.random.default_rng(4)
+    words = ["donaudampfschifffahrtsgesellschaftskapitän", "日本語の文章には空白がない" * 60, "a" * 700, "ñ"]
+    words += ["".join(rng.choice(list("etaoinshrdlu"), n)) for n in (30, 40, 41, 256, 255, 257, 600)]
+    words += [max(numbers, key=len).strip("▁") * 5]
+    got = model.log_scores(words, pieces)
+    want = np.array([plain_sums(model, numbers, w) for w in words])
+    assert np.allclose(got, want, rtol=1e-9)
+    for name, value in (("LETTERS", 100), ("SPAN", 17)):
+        monkeypatch.setattr(li, name, value)
+        assert np.allclose(model.log_scores(words, pieces), want, rtol=1e-9)
+
+
+def test_whole_texts(numbers, monkeypatch):
+    """Texts against the plain sums of their words, whatever is kept and taken at once."""
+    model = small_model()
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["Haus", "the", "donaudampfschiff" * 4, "été", "日本" * 30, "x", "of"], n)) for n in (1, 7, 40, 3)]
+    want = []
+    for text in texts:
+        total = sum(plain_sums(model, numbers, w) for w in li.words_of(text))
+        best = int(total.argmax())
+        want.append((model.languages[best], 1 / np.exp(total - total[best]).sum()))
+    for kept in (1 << 17, 4):
+        monkeypatch.setattr(li, "KEPT", kept)
+        got = list(li.Scorer(model)([*texts, None, "12"]))
+        assert [g[0] for g in got] == [w[0] for w in want] + ["und"] * 2
+        assert np.allclose([g[1] for g in got[:-2]], [w[1] for w in want], rtol=1e-6)
+
+
 def test_fit_raises_the_likelihood():
     model, pieces = li.Model(PIECES, ["a"]), li.Pieces(PIECES)
     words, counts = ["the", "nation", "then", "other"], np.array([5.0, 2.0, 3.0, 1.0])
@@ -68,7 +125,7 @@ def test_fit_raises_the_likelihood():
 
 def test_words():
     assert li.words_of("Éa1b_c d-E 日本 ²½") == ["éa", "b", "c", "d", "e", "日本"]
-    assert [len(x) for x in li.words_of("x" * 60)] == [24, 24, 12]
+    assert [len(x) for x in li.words_of("x" * 60)] == [60]
     assert li.words_of(None) == li.words_of("12 .") == []
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.session import shared_folder
@@ -57,14 +57,14 @@ def stored(rows: DataFrame, name: str = "table") -> DataFrame:
 
 
 #: Rows that a file has at most, for numbers of rows.
-MOST_ROWS = 1 << 40
+MOST_ROWS = 1 << 34
 
 
 def numbered(rows: DataFrame, name: str) -> DataFrame:
     """Rows with a column of this name: a number of each row's own, the same whenever the rows are
     read. It is made of the number of its Parquet file and its place there; other rows than those
-    of a plain read of such files are stored first. Files are few beside rows, and the driver
-    lists them to read them: their numbers are a window in one task, and broadcast."""
+    of a plain read of such files are stored first. Files are numbered in ranges of their paths:
+    the driver sees how many each range has."""
     file, files, place = free_names(rows, "_file", "_files", "_place")
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -77,9 +77,16 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
         found = placed(rows if plain else stored(rows, "rows"))
     except AnalysisException:
         found = placed(stored(rows, "rows"))
-    number = (F.row_number().over(Window.orderBy(file)) * MOST_ROWS).alias(name)
-    numbers = stored(found.select(file).distinct().select(F.col(file).alias(files), number), "files")
-    joined = found.join(F.broadcast(numbers), F.col(file) == F.col(files))
+    paths = found.select(F.col(file).alias("path")).distinct().repartitionByRange(parts(rows.sparkSession), "path")
+    listed = stored(paths.withColumn("range", F.spark_partition_id()), "files")
+    listed = listed.withColumn("at", listed.metadataColumn("_metadata")["row_index"])
+    before, total = {}, 1
+    for r in sorted(listed.groupBy("range").agg(F.count("*").alias("n")).collect()):
+        before[r.range], total = total, total + r.n
+    starts = [F.lit(x) for pair in before.items() for x in pair] or [F.lit(0), F.lit(0)]
+    number = (F.create_map(*starts)[F.col("range")].cast("long") + F.col("at")) * MOST_ROWS
+    numbers = stored(listed.select(F.col("path").alias(files), number.alias(name)), "numbers")
+    joined = found.join(numbers, F.col(file) == F.col(files))
     return joined.withColumn(name, F.col(name) + F.col(place)).drop(file, files, place)
 
 

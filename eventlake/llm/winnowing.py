@@ -4,12 +4,12 @@ Every run of GRAM code points is hashed; of every WINDOW consecutive hashes the
 chosen, the rightmost among equals; what several windows choose counts once. Two texts that
 share GRAM + WINDOW - 1 code points in a row therefore share a mark, whose positions say where.
 
-Short texts would get one mark or none that an edit leaves. So a text has, beside the marks of
-that scale, those of each finer one in SCALES that starts above its length: under 130 code points
-those of grams of 8 in windows of 16, under 34 every pair of code points. Grams of more code
-points than the text has are left out. The scales depend on the length alone, so equal texts have
-equal fingerprints. The first two thirds of a text, which its edit keeps, always leave a mark that
-both have.
+Short texts would get few marks or none that an edit leaves. So a text under a length of SCALES has
+marks of that scale too: under 1,000 code points those of grams of 8 in windows of 16, under 260
+every pair of code points. Scales are kept apart in the fingerprint, and two texts are compared by
+the scales that both have, so a text on one side of a length is alike to one on the other. Each
+length is far above those at which the scale before it has too few marks. The scales depend on the
+length alone, so equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -23,15 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import parts, settle
+from eventlake.llm.tables import freed, parts, settle
 from eventlake.llm.words import BASE, mix
 
 GRAM, WINDOW = 24, 64
-#: (gram, window, length): texts of fewer code points have marks of the scale. A text as long as
-#: the length keeps gram + window - 1 code points of itself in its edit.
-SCALES = ((GRAM, WINDOW, None), (8, 16, 130), (2, 1, 34))
-#: Buckets of neighbours per shuffle partition; more even out partitions.
-BUCKETS = 3
+#: (gram, window, length): texts of fewer code points have marks of the scale; coarse to fine.
+SCALES = ((GRAM, WINDOW, None), (8, 16, 1000), (2, 1, 260))
+#: Buckets of neighbours per shuffle partition, more even out partitions; keys sampled per bucket.
+BUCKETS, SAMPLED = 3, 20
 
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -60,18 +59,18 @@ def gram_hashes(values: np.ndarray, gram: int = GRAM) -> np.ndarray:
         size, base = size * 2, base * base % (1 << 64)
 
 
-def marks(values: np.ndarray, gram: int | None = None, window: int = WINDOW) -> np.ndarray:
-    """(hash, position) of the chosen grams, in order of position; hashes have 32 bits. All scales
-    of a text of this length, coarse before fine at a position, unless a gram is given."""
-    if gram is not None:
-        return _chosen(values, gram, window)
-    n = len(values)
-    if n >= SCALES[1][2]:
-        return _chosen(values, GRAM, WINDOW)
-    finest = SCALES[-1][0]
-    fit = [(g, w) for g, w, length in SCALES if (length is None or n < length) and (g <= n or g == finest)]
-    found = np.concatenate([_chosen(values, g, w) for g, w in fit])
-    return found[np.argsort(found[:, 1], kind="stable")]
+def marks(values: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
+    """(hash, position) of the chosen grams, in order of position; hashes have 32 bits."""
+    return _chosen(values, gram, window)
+
+
+def scaled(values: np.ndarray) -> list[np.ndarray]:
+    """The marks of each scale that a text of this length has, coarse to fine. Grams of more code
+    points than the text has leave none, but for those of the finest scale."""
+    n, finest = len(values), SCALES[-1][0]
+    have = [(g, w) for g, w, length in SCALES if length is None or n < length]
+    none = np.empty((0, 2), dtype=np.uint32)
+    return [_chosen(values, g, w) if g <= n or g == finest else none for g, w in have]
 
 
 def _chosen(values: np.ndarray, gram: int, window: int) -> np.ndarray:
@@ -93,22 +92,29 @@ def _chosen(values: np.ndarray, gram: int, window: int) -> np.ndarray:
     return np.stack([chosen >> np.uint64(32), LOW - (chosen & LOW)], axis=1).astype(np.uint32)
 
 
-def written(found: np.ndarray) -> str:
-    """Sixteen hexadecimal digits per mark: eight of its hash, eight of its position."""
-    return found.astype(">u4").tobytes().hex()
+def written(found: list[np.ndarray]) -> str:
+    """Sixteen hexadecimal digits per mark, eight of its hash and eight of its position; scales in
+    order with colons between. Nothing for the empty text."""
+    if not any(len(x) for x in found):
+        return ""
+    return ":".join(x.astype(">u4").tobytes().hex() for x in found)
 
 
-def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), dtype=">u4").reshape(-1, 2).astype(np.uint32)
+def read(fingerprint: str) -> list[np.ndarray]:
+    parts = fingerprint.split(":") if fingerprint else [""] * len(SCALES)
+    return [np.frombuffer(bytes.fromhex(x), dtype=">u4").reshape(-1, 2).astype(np.uint32) for x in parts]
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of the sets of hashes; 1 if both are empty."""
-    a, b = np.unique(a[:, 0]), np.unique(b[:, 0])
-    if not len(a) and not len(b):
-        return 1.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
+def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
+    """Jaccard similarity of the hashes of the scales that both have; 1 if neither has a mark of
+    any, as for two empty texts."""
+    both = either = 0
+    for x, y in zip(a, b, strict=False):
+        x, y = np.unique(x[:, 0]), np.unique(y[:, 0])
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        both += common
+        either += len(x) + len(y) - common
+    return both / either if either else float(sum(map(len, a)) == sum(map(len, b)))
 
 
 def edited(text: str, following: str) -> str:
@@ -122,7 +128,7 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [written(marks(points(x or ""))) for x in batch.column("text").to_pylist()]
+            found = [written(scaled(points(x or ""))) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.string())], ["doc_id", "fingerprint"]
             )
@@ -131,26 +137,59 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     return rows.mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def _neighbour_buckets(rows: DataFrame) -> DataFrame:
-    """Rows in buckets of consecutive doc_ids, each bucket followed by a copy of the first row of
-    the next one (of the first bucket, after the last). Bucket bounds are doc_ids that occur."""
+#: The order of documents: rows without an id last, ids descending, then the text's hash and text.
+PLACE = ("unnamed", "first", "second")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with whole numbers that sort them: ids descending, those that repeat one by their
+    text's hash; rows without an id by their text's hash alone."""
+    unnamed, hashed = F.isnull("doc_id"), F.xxhash64("text")
+    return rows.withColumns(
+        {
+            "unnamed": unnamed.cast("long"),
+            "first": F.when(unnamed, hashed).otherwise(F.bitwise_not("doc_id")),
+            "second": F.when(unnamed, F.lit(0)).otherwise(hashed).cast("long"),
+        }
+    )
+
+
+def _bounds(rows: DataFrame) -> np.ndarray:
+    """Places, of rows that occur, at which buckets begin: the first one, and others at even steps
+    of a sample of distinct places by their hash, of bounded size."""
     n = parts(rows.sparkSession) * BUCKETS
-    shares = [i / n for i in range(1, n)] + [1.0]
-    found = rows.select(F.percentile_approx("doc_id", shares, 20 * n).alias("b")).first().b
-    bounds = np.unique(np.array(found or [], dtype=np.int64))
+    lowest, total = rows.agg(F.min(F.struct(*PLACE)), F.count("*")).first()
+    if not total:
+        return np.empty((0, 3), dtype=np.int64)
+    keep = F.pmod(F.xxhash64(*PLACE), F.lit(max(1, total // (SAMPLED * n)))) == 0
+    sample = sorted(tuple(r) for r in rows.where(keep).select(*PLACE).distinct().collect())
+    steps = [sample[i * len(sample) // n] for i in range(n)] if sample else []
+    return np.array(sorted({tuple(lowest), *steps}), dtype=np.int64)
+
+
+def _among(bounds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each place, and whether a bucket begins with it."""
+    order = np.lexsort(np.concatenate([bounds, places])[:, ::-1].T)
+    # a bound sorts before places equal to it, as lexsort keeps the order of equals
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.cumsum(order < len(bounds)) - 1
+    own = rank[len(bounds) :]
+    return own, (bounds[own] == places).all(axis=1)
+
+
+def _neighbour_buckets(rows: DataFrame) -> DataFrame:
+    """Rows in buckets of consecutive places, each bucket followed by a copy of the first row of
+    the next one (of the first bucket, after the last)."""
+    rows = _placed(rows)
+    bounds = _bounds(rows)
 
     @F.pandas_udf("array<int>")
-    def buckets(ids: pd.Series) -> pd.Series:
-        # a bucket holds the ids up to its bound; its first row in descending order is the bound,
-        # which also ends the bucket above it. Null ids come last, in the lowest bucket.
-        values = ids.fillna(-1).astype("int64").to_numpy()
-        own = np.searchsorted(bounds, values, side="left")
-        own[ids.isna().to_numpy()] = 0
-        first = np.isin(values, bounds) & ids.notna().to_numpy()
-        above = (own + 1) % max(1, len(bounds))
-        return pd.Series([[a, b] if f else [a] for a, b, f in zip(own, above, first, strict=True)])
-
-    spread = rows.withColumn("buckets", buckets("doc_id"))
+    def buckets(*place: pd.Series) -> pd.Series:
+        own, begins = _among(bounds, np.stack([x.to_numpy() for x in place], axis=1))
+        before = (own - 1) % max(1, len(bounds))
+        return pd.Series([[a, b] if f else [a] for a, b, f in zip(own, before, begins, strict=True)])
+
+    spread = rows.withColumn("buckets", buckets(*PLACE))
     return spread.select("*", F.posexplode("buckets").alias("copy", "bucket")).drop("buckets")
 
 
@@ -159,9 +198,9 @@ def edit_likeness(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     first one after the last), and how alike they are: doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next.
 
-    A null text is empty. Rows that repeat a doc_id follow each other, ordered by text; rows
-    with a null doc_id come after all others. A single row is its own next document. Other
-    columns are not looked at."""
+    A null text is empty. Rows that repeat a doc_id follow each other, ordered by their text's
+    hash, then text; rows with a null doc_id come after all others, in that order too. A single row
+    is its own next document. Equal rows lie in one bucket. Other columns are not looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = held = None
@@ -169,8 +208,7 @@ def edit_likeness(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
             out = []
             columns = [batch.column(c).to_pylist() for c in ("bucket", "copy", "doc_id", "text")]
             for bucket, copy, name, value in zip(*columns, strict=True):
-                value = value or ""
-                now = (bucket, copy, name, value, marks(points(value)))
+                now = (bucket, copy, name, value, scaled(points(value)))
                 if held and held[0] == bucket and not held[1]:
                     out.append(_compared(held, now))
                 elif held and not held[1]:
@@ -184,10 +222,11 @@ def edit_likeness(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
             yield _rows([_compared(held, first)])
 
     settle(documents.sparkSession)
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    order = ["bucket", "copy", F.col("doc_id").desc(), "text"]
+    whole = F.coalesce(F.col(text), F.lit("")).alias("text")
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), whole)
+    order = ["bucket", "copy", *PLACE, "text"]
     spread = _neighbour_buckets(rows).repartition(parts(documents.sparkSession), "bucket")
-    return spread.sortWithinPartitions(*order).mapInArrow(run, SCHEMA)
+    return spread.sortWithinPartitions(*order).drop(*PLACE).mapInArrow(freed(run), SCHEMA)
 
 
 SCHEMA = (
@@ -210,7 +249,7 @@ _ARROW = pa.schema(
 def _compared(now: tuple, following: tuple) -> tuple:
     _, _, name, text, own = now
     other = edited(text, following[3])
-    changed = marks(points(other))
+    changed = scaled(points(other))
     digest = hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest()
     near = likeness(own, changed), likeness(own, following[4])
     return (name, len(text), digest, written(own), written(changed), *near)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.chunks import slices
-from eventlake.llm.tables import settle, stored
+from eventlake.llm.tables import freed, settle, stored
 from eventlake.llm.words import BASE, LOWER, Words, buffers, mix
 
 #: Fixed values of the contract: bytes that separate pieces and words, words of a phrase, least
@@ -133,7 +133,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent(rows: DataFrame, least: int) -> np.ndarray:
     """A bitmap of the keys of words and pairs that occur at least so often."""
-    counts = rows.mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(freed(_counted), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     place = F.pmod("key", F.lit(BITS)) + 1
     marks = counts.where(F.col("n") >= least).groupBy(F.bitmap_bucket_number(place).alias("bucket"))
     size = 8 * 4096
@@ -212,7 +212,7 @@ def stripes(
     rows = documents.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(undetermined)).alias("lang"), F.col(text).alias("text")
     ).where("text <> ''")
-    found = rows.mapInArrow(_filled(frequent(rows, least), longest), "lang string, prefix string, next string, n long")
+    found = rows.mapInArrow(freed(_filled(frequent(rows, least), longest)), "lang string, prefix string, next string, n long")
     merged = found.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
     return stored(merged.where((F.col("prefix") == "") | (F.col("n") >= least)), "stripes")
 

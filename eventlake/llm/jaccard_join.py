@@ -27,15 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import parts, settle, stored
+from eventlake.llm.tables import freed, parts, settle, stored
 from eventlake.llm.words import mix, shingle_sets
 
 #: Counters of the sketch and of one of its blocks; the sketch is 4 MB whatever the input.
 SKETCH, BLOCK = 1 << 20, 1 << 14
 #: 64-bit words of the narrowest and the widest signature.
 NARROW, WIDE = 8, 1 << 14
-#: Nodes in a tile of signatures, pairs listed and 64-bit words compared at once in one.
-TILE, PAIRS, WORDS = 4096, 1 << 18, 1 << 21
+#: Weight of a chunk of a tile of signatures: a node counts 1, and 1 more for every KB of its
+#: signature. Pairs listed and 64-bit words compared at once in a tile.
+TILE, PAIRS, WORDS = 1024, 1 << 18, 1 << 21
 #: Shingles in a chunk of a tile of sets.
 CHUNK_SHINGLES = 1 << 20
 
@@ -71,8 +72,8 @@ def shingle_sketch(texts: DataFrame, k: int) -> np.ndarray:
         )
 
     schema = "block int, counts binary"
-    counted = texts.select("text").mapInArrow(count, schema)
-    summed = counted.repartition(SKETCH // BLOCK, "block").mapInArrow(add, schema)
+    counted = texts.select("text").mapInArrow(freed(count), schema)
+    summed = counted.repartition(SKETCH // BLOCK, "block").mapInArrow(freed(add), schema)
     sketch = np.zeros(SKETCH, dtype=np.uint64)
     for row in summed.collect():
         sketch[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.counts, dtype=np.uint64)
@@ -168,7 +169,7 @@ def shingled(texts: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Data
                 ["doc_id", "n", "node", "bits", "prefix"],
             )
 
-    return texts.mapInArrow(build, "doc_id long, n long, node long, bits binary, prefix array<long>")
+    return texts.mapInArrow(freed(build), "doc_id long, n long, node long, bits binary, prefix array<long>")
 
 
 def _tiles(groups: DataFrame, weight: str, most: int) -> DataFrame:
@@ -259,7 +260,7 @@ def close_members(tiles: DataFrame, percent: int) -> DataFrame:
                 kept[a] = kept[b] = True
             yield from table.filter(pa.array(kept)).to_batches()
 
-    return _by_tile(tiles).mapInArrow(keep, tiles.schema)
+    return _by_tile(tiles).mapInArrow(freed(keep), tiles.schema)
 
 
 def _overlaps(sets: list[np.ndarray], a: int, others: np.ndarray) -> np.ndarray:
@@ -298,12 +299,12 @@ def verified_links(tiles: DataFrame, percent: int, every_link: bool) -> DataFram
                         root[np.isin(root, root[linked])] = root[first]
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return _by_tile(tiles).mapInArrow(link, "u long, v long")
+    return _by_tile(tiles).mapInArrow(freed(link), "u long, v long")
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Sorted shingle arrays, as bytes, of the documents wanted. Where rows repeat a doc_id, only
-    those with the text that is wanted."""
+    """The sorted shingle array, as bytes, of each node wanted. Where rows repeat a doc_id, only
+    those with the text that is wanted; where they repeat that too, one of them."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,7 +316,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     # the same plan at every size: a broadcast would only do for small tables
     rows = texts.hint("merge").join(wanted, texts.doc_id == wanted.doc).select("node", "text")
-    return rows.mapInArrow(build, "node long, shingles binary")
+    return rows.mapInArrow(freed(build), "node long, shingles binary").dropDuplicates(["node"])
 
 
 def jaccard_links(
@@ -347,7 +348,7 @@ def jaccard_links(
     lists = postings.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("most"))
     lists = stored(lists.where("pivot <> most").drop("most"), "lists")
     groups = postings.join(lists, "shingle").select("pivot", "node").distinct()
-    tiles = _tiles(stored(groups.join(nodes, "node"), "groups").withColumn("one", F.lit(1)), "one", TILE)
+    tiles = _tiles(stored(groups.join(nodes, "node"), "groups").withColumn("weight", 1 + F.octet_length("bits") / 1024), "weight", TILE)
     close = stored(close_members(tiles, percent).select("pivot", "node", "n", "bits", "doc").distinct(), "close")
     arrays = stored(_sets(texts, stored(close.select("node", "doc").distinct(), "wanted"), k), "arrays")
     tiles = _tiles(close, "n", CHUNK_SHINGLES).join(arrays, "node")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from eventlake.llm.chunks import ChunkTable, Ids, marked_lists, slices
-from eventlake.llm.tables import settle
+from eventlake.llm.tables import freed, settle
 
 def splits_at_markers(model: str) -> bool:
     """Whether words can be segmented one by one with the same result."""
@@ -88,4 +88,4 @@ def encode_decode(
     others = [c for c in documents.columns if c not in (text, ids, decoded)]
     fields = [documents.schema[c] for c in others]
     schema = StructType(fields + [StructField(ids, BinaryType()), StructField(decoded, StringType())])
-    return documents.select(*(F.col(f"`{c}`") for c in [*others, text])).mapInArrow(run, schema)
+    return documents.select(*(F.col(f"`{c}`") for c in [*others, text])).mapInArrow(freed(run), schema)

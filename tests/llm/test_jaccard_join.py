@@ -140,3 +140,12 @@ def test_signature_bounds_overlap():
         for x, y, less_x, less_y in zip(a, b, *bits.lacking(a, b), strict=True):
             both = len(np.intersect1d(sets[x], sets[y]))
             assert both <= min(len(sets[x]) - less_x, len(sets[y]) - less_y)
+
+
+def test_rows_that_repeat_make_one_array(spark):
+    """Two linked sets of 400 repeated rows each: one link, and all rows in one component."""
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base), " ".join([*base, "more"])]
+    rows = [(i % 2, texts[i % 2]) for i in range(800)]
+    links, members = jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), every_link=True)
+    assert [tuple(sorted(r)) for r in links.collect()] == [(0, 1)] and members.count() == 800

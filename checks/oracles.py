@@ -275,6 +275,11 @@ ORACLES = {
     "silver_compacted": f"{CHAIN}, per as (select s.event_date, event_type, count(*) as n "
     "from silver s group by s.event_date, event_type) select strftime(p.event_date, '%Y-%m-%d') "
     "as event_date, event_type, n as rows, cast(1 as bigint) as files from per p",
+    "rejected_compacted": f"""{CHAIN},
+      slices as (select folder_date, coalesce(cast(instant as date), folder_date) as filed_date, count(*) as n
+        from v where validation_error is not null group by all)
+      select strftime(s.folder_date, '%Y-%m-%d') as folder_date,
+        strftime(s.filed_date, '%Y-%m-%d') as filed_date, n as rows, cast(1 as bigint) as files from slices s""",
     "anomaly_rate_stored": ANOMALIES,
     "dq_report_incremental_whole": f"""{CHAIN},
       lakes as (select unnest(['none', 'inside', 'near', 'far']) as lake),

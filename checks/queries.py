@@ -19,7 +19,7 @@ from eventlake.plans import jobs, models
 from eventlake.sinks import publish
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import matching, remove
-from eventlake.sources.silver import SLICES, read_rejected, read_silver
+from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, read_rejected, read_silver
 
 SLICE_DAY, NEXT_DAY = date(2024, 1, 5), date(2024, 1, 6)
 RANGE = (date(2024, 1, 10), date(2024, 1, 20))
@@ -430,6 +430,19 @@ def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _files_per_partition(spark, lake.silver)
 
 
+def rejected_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows written again by 20 tasks with their own file each slice, then compacted:
+    rows and files of each slice."""
+    lake = fixture.empty_lake(spark, sf_dir)
+    rejected = read_rejected(spark, fixture.full_lake(spark, sf_dir).rejected)
+    slices = rejected.repartition(20).write.partitionBy(*SLICES).options(**REJECTED_OPTIONS)
+    slices.json(lake.rejected)
+    jobs.compact_rejected(spark, lake)
+    file = F.col("_metadata.file_path").alias("file")
+    rows = read_rejected(spark, lake.rejected).select(*SLICES, file).groupBy(*SLICES)
+    return shown(rows.agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files")))
+
+
 def anomaly_rate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(jobs.stored_anomalies(spark, fixture.full_lake(spark, sf_dir)))
 
@@ -567,6 +580,7 @@ QUERIES = {
     "backfill_with_stray_file": backfill_with_stray_file,
     "silver_corrections": silver_corrections,
     "silver_compacted": silver_compacted,
+    "rejected_compacted": rejected_compacted,
     "anomaly_rate_stored": anomaly_rate_stored,
     "dq_report_incremental_whole": dq_report_incremental_whole,
     "erase_users_lasting": erase_users_lasting,

@@ -49,7 +49,9 @@ def arguments(argv=None) -> argparse.Namespace:
     erase.add_argument("--gold_path", help="rebuild the models of the dates that changed")
     erase.add_argument("--users_path", required=True, help="Parquet with a user_id column")
 
-    compact = command("compact", "rewrite silver partitions of many small files", "silver")
+    compact = command("compact", "rewrite partitions of many small files", "silver")
+    compact.add_argument("--rejected_path", help="slices of rejected rows too")
+    compact.add_argument("--gold_path", help="dates of the models too")
     compact.add_argument("--target_mb", type=int, default=jobs.TARGET_FILE >> 20)
     compact.add_argument("--dates", nargs="*", help="only these event dates")
 
@@ -93,8 +95,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         loaded, checks = jobs.run_day(spark, lake, args.date, args.database)
         return [_loaded(loaded), *_checked(checks)]
     if args.job == "compact":
-        dates = jobs.compact(spark, lake, args.target_mb << 20, args.dates)
-        return [f"compacted dates: {' '.join(dates) or 'none'}"]
+        target = args.target_mb << 20
+        done = {"dates": jobs.compact(spark, lake, target, args.dates)}
+        if args.rejected_path:
+            done["slices"] = jobs.compact_rejected(spark, lake, target)
+        if args.gold_path:
+            done["model dates"] = jobs.compact_models(spark, lake, target)
+        return [f"compacted {name}: {' '.join(found) or 'none'}" for name, found in done.items()]
     if args.job == "reindex":
         return [f"entries: {jobs.reindex(spark, lake)}"]
     if args.job == "catalog":

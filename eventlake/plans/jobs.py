@@ -30,7 +30,7 @@ from eventlake.operators.quality import MODEL_CHECKS, SOURCE_CHECKS, enforce
 from eventlake.operators.transform import silver_columns
 from eventlake.operators.validate import classify
 from eventlake.plans.models import daily_event_summary, stg_events
-from eventlake.session import empty, prepare, prepared
+from eventlake.session import empty, prepare, prepared, split_for
 from eventlake.sinks import id_index, publish, quarantine, workarea
 from eventlake.sinks.tables import keep_dates, refresh_catalog, write_dates
 from eventlake.sources import bronze as bronze_source
@@ -229,10 +229,12 @@ def _load(
         done, days = RunReport(dates=done.dates), None
     run_ts = run_ts or datetime.now(timezone.utc)
     with workarea.run_folder(spark, lake.area) as folder:
-        inputs.write.parquet(f"{folder}/{workarea.INPUT}")
-        counts = RunReport()
-        for part in parts(days):
-            counts.add(_stage(spark, part, request, folder, run_ts))
+        listed, counts = Observation(), RunReport()
+        measures = F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")
+        inputs.observe(listed, *measures).write.parquet(f"{folder}/{workarea.INPUT}")
+        with split_for(spark, **listed.get):
+            for part in parts(days):
+                counts.add(_stage(spark, part, request, folder, run_ts))
         staged = {name: asdict(counts)[name] for name in ("bronze_rows", "good_rows", "bad_rows")}
         marked = {**request, **staged, "run_ts": run_ts.isoformat()}
         workarea.mark_staged(spark, folder, marked)
@@ -487,27 +489,42 @@ def _finish_groups(spark: SparkSession, lake: Lake, folder: str) -> set[str]:
 
 def _erase_rejected(spark: SparkSession, lake: Lake, folder: str, users: DataFrame) -> set[str]:
     """Rewrite the slices that hold rows of the users; changes no event dates."""
-    kept, marker = f"{folder}/rejected", f"{folder}/slices"
-    slices = quarantine.slices(spark, lake.rejected)
-    if not workarea.complete(spark, marker):
-        if not slices:
+    if not workarea.complete(spark, f"{folder}/{workarea.SLICES}"):
+        if not quarantine.slices(spark, lake.rejected):
             return set()
-        rows = read_rejected(spark, lake.rejected).withColumn("_user", _user_of())
-        file = F.col("_metadata.file_path")
-        slice_ = F.regexp_extract(file, rf"({SLICES[0]}=[^/]+/{SLICES[1]}=[^/]+)/[^/]+$", 1)
-        rows = rows.withColumn("_slice", slice_)
+        rows = _sliced(read_rejected(spark, lake.rejected)).withColumn("_user", _user_of())
         hit = events_of(rows, users, "_user").select("_slice").distinct()
         names = [r._slice for r in hit.collect()]
         touched = rows.where(F.col("_slice").isin(names))
-        without_users(touched, users, "_user").drop("_user", "_slice").write.mode("overwrite").parquet(kept)
-        found = spark.createDataFrame([(name,) for name in names], "name string")
-        found.write.mode("overwrite").parquet(marker)
-    names = {r.name for r in spark.read.schema("name string").parquet(marker).collect()}
-    paths = [path for path, *_ in slices if "/".join(path.rsplit("/", 2)[1:]) in names]
-    quarantine.replace_slices(spark, lake.rejected, spark.read.parquet(kept) if names else None, paths)
+        _set_slices_aside(spark, folder, without_users(touched, users, "_user").drop("_user"), names)
+    _replace_slices(spark, lake, folder)
     return set()
 
 
+def _sliced(rejected: DataFrame) -> DataFrame:
+    """Rejected rows with the name of the slice they lie in."""
+    pattern = rf"({SLICES[0]}=[^/]+/{SLICES[1]}=[^/]+)/[^/]+$"
+    return rejected.withColumn("_slice", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+
+
+def _set_slices_aside(spark: SparkSession, folder: str, rows: DataFrame, names: list[str]) -> None:
+    """Write the rows that some slices are to hold; their list, which comes last, says that the
+    replacement may begin."""
+    rows.drop("_slice").write.mode("overwrite").parquet(f"{folder}/{workarea.ASIDE}")
+    found = spark.createDataFrame([(name,) for name in names], "name string")
+    found.write.mode("overwrite").parquet(f"{folder}/{workarea.SLICES}")
+
+
+def _replace_slices(spark: SparkSession, lake: Lake, folder: str) -> None:
+    """Put the rows set aside in place of their slices; may be repeated."""
+    listed = spark.read.schema("name string").parquet(f"{folder}/{workarea.SLICES}").collect()
+    names = {r.name for r in listed}
+    slices = quarantine.slices(spark, lake.rejected)
+    paths = [path for path, *_ in slices if "/".join(path.rsplit("/", 2)[1:]) in names]
+    aside = spark.read.parquet(f"{folder}/{workarea.ASIDE}") if names else None
+    quarantine.replace_slices(spark, lake.rejected, aside, paths)
+
+
 #: Bytes of a silver file that compaction aims at, and how many files too many a partition may have.
 TARGET_FILE, SPARE_FILES = 128 << 20, 1
 
@@ -534,9 +551,40 @@ def compact(
         return sorted({publish.key_of(path)[0] for path in small})
 
 
+@_job
+def compact_rejected(spark: SparkSession, lake: Lake, target: int = TARGET_FILE) -> list[str]:
+    """Rewrite slices of rejected rows with more files than their bytes need; return their names."""
+    with workarea.run_folder(spark, lake.area) as folder, workarea.exclusive(spark, lake.area):
+        _recover(spark, lake)
+        found = [path for path, *_ in quarantine.slices(spark, lake.rejected)]
+        names = ["/".join(p.rsplit("/", 2)[1:]) for p in found if _too_many(sizes(spark, p), target)]
+        if names:
+            rows = _sliced(read_rejected(spark, lake.rejected))
+            _set_slices_aside(spark, folder, rows.where(F.col("_slice").isin(names)), names)
+            workarea.mark_staged(spark, folder, {"run": "compact"})
+            _replace_slices(spark, lake, folder)
+        return sorted(names)
+
+
+@_job
+def compact_models(spark: SparkSession, lake: Lake, target: int = TARGET_FILE) -> list[str]:
+    """Build the dates anew whose staging or summary has more files than its bytes need."""
+    with workarea.exclusive(spark, lake.area):
+        dates = set(_recovered_dates(spark, lake))
+        for table in (lake.staging, lake.summary):
+            folders = matching(spark, f"{table}/event_date=*")
+            small = (path for path in folders if _too_many(sizes(spark, path), target))
+            dates |= {path.rsplit("=", 1)[1] for path in small}
+        if dates:
+            _build(spark, lake, sorted(dates))
+        return sorted(dates)
+
+
 def _compacted(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunReport:
     """Finish a compaction; no rows and no dates change by it."""
     _finish_groups(spark, lake, folder)
+    if workarea.complete(spark, f"{folder}/{workarea.SLICES}"):
+        _replace_slices(spark, lake, folder)
     return RunReport()
 
 

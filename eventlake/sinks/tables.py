@@ -17,6 +17,18 @@ def write_dates(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_bucketed(rows: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Keep rows as a table of so many buckets by a key, sorted within, and return the table.
+
+    Two such tables of one key and number of buckets join without moving a row of either. All
+    rows of a key lie in one bucket: a key that holds a large part of the rows belongs in a join
+    that AQE can split instead. One shuffle writes one file per bucket."""
+    where = {"path": path} if path else {}
+    spread = rows.repartition(buckets, key)
+    spread.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).options(**where).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 def keep_dates(spark: SparkSession, path: str, among: set[str] | None, filled: set[str]) -> None:
     """Remove dates of a table that its source has lost: all, or those ``among`` some."""
     for folder in matching(spark, f"{path}/event_date=*"):

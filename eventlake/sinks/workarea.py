@@ -10,6 +10,7 @@ Layout, beside silver, one folder per run, so that runs do not touch each other'
     run=<id>/input                    the files the run read: names, lengths and times
     run=<id>/gone/epoch=<n>           users to leave out of the staged rows, up to this epoch
     run=<id>/ids, hints, old, users   keys of joins, and where silver holds them
+    run=<id>/rejected, slices         rows that slices are to hold, and the slices' names
     run=<id>/group=<label>/survivors  rows that must stay of partitions about to be replaced
     run=<id>/group=<label>/replaced   names of these partitions: the replacement may begin
     run=<id>/group=<label>/done       the replacement is complete
@@ -32,7 +33,7 @@ from eventlake.sources.folders import create, exists, matching, read_text, remov
 from eventlake.sources.silver import read_silver
 
 ROWS, ACCEPTED, REJECTED = "rows", "rows/outcome=accepted", "rows/outcome=rejected"
-INPUT = "input"
+INPUT, ASIDE, SLICES = "input", "rejected", "slices"
 
 
 @contextmanager

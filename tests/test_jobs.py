@@ -675,3 +675,38 @@ def test_only_partitions_of_many_files_are_rewritten(spark, lake, monkeypatch):
     assert len(list(Path(lake.silver).rglob("event_date=2026-06-01/*/*.parquet"))) == 1
     assert sorted(Path(lake.silver).rglob("event_date=2026-06-02/*/*.parquet")) == untouched
     assert jobs.compact(spark, lake) == []
+
+
+def test_rejected_rows_and_models_of_many_files(spark, lake, monkeypatch):
+    """Compacted, also by the next job after a compaction that was broken off; rows stay."""
+    for name in "abc":
+        file_events(lake, "2026-06-01", event(name), event(f"bad{name}", "soon"), name=f"{name}.json")
+    daily(spark, lake, "2026-06-01")
+    jobs.build_models(spark, lake)
+    rows = read_rejected(spark, lake.rejected)
+    before = sorted(map(str, rows.collect()))
+    folder = next(Path(lake.rejected).glob("*/*"))
+    line = next(folder.glob("*.json")).read_text().splitlines()
+    for path in folder.glob("*.json"):
+        path.unlink()
+    for i, one in enumerate(line):
+        (folder / f"part-{i}.json").write_text(one + "\n")
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(quarantine, "replace_slices", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.compact_rejected(spark, lake)
+    monkeypatch.undo()
+    assert jobs.compact(spark, lake) == []
+    assert len(list(folder.glob("*.json"))) == 1 and jobs.compact_rejected(spark, lake) == []
+    assert sorted(map(str, read_rejected(spark, lake.rejected).collect())) == before
+    staged = read_rows(spark, lake)
+    jobs.read_staging(spark, lake.staging).repartition(3).write.mode("append").partitionBy("event_date").parquet(lake.staging)
+    assert jobs.compact_models(spark, lake) == ["2026-06-01"]
+    assert read_rows(spark, lake) == staged and jobs.compact_models(spark, lake) == []
+
+
+def read_rows(spark, lake):
+    return sorted(map(str, jobs.read_staging(spark, lake.staging).collect()))

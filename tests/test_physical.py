@@ -1,5 +1,6 @@
 """What Spark makes of the plans: passes, pruning, shuffles."""
 
+import json
 from datetime import date
 
 import pytest
@@ -12,7 +13,10 @@ from eventlake.operators.enrich import enrich
 from eventlake.operators.transform import event_date_range
 from eventlake.plans import jobs
 from eventlake.plans.models import daily_event_summary, stg_events
+from eventlake.session import split_for, split_settings
 from eventlake.sinks import publish
+from eventlake.sinks.tables import write_bucketed
+from eventlake.sources import bronze as bronze_source
 from eventlake.sources.silver import read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -139,3 +143,40 @@ def test_a_hot_id_is_split_in_the_upsert_join(spark, tmp_path, tight):
     survivors = silver.join(ids, "event_id", "left_anti")
     assert len(survivors.collect()) > 100_000
     assert "SortMergeJoin(skew=true)" in plan(survivors)
+
+
+def test_bucketed_tables_join_without_moving_events(spark, tight):
+    """A core table too large to broadcast: both sides are read where they lie, and sorted."""
+    silver = fixture.silver(spark, SF_DIR)
+    users = silver.select("user_id").distinct().withColumn("plan", F.length("user_id"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    events = write_bucketed(stg_events(silver), "bucketed.events", "user_id", 8)
+    core = write_bucketed(users, "bucketed.users", "user_id", 8)
+    joined = enrich(events, core, "user_id")
+    shape = plan(joined)
+    assert "SortMergeJoin" in shape and "Exchange" not in shape and "SelectedBucketsCount: 8 out of 8" in shape
+    want = enrich(stg_events(silver), users, "user_id")
+    assert "Exchange" in plan(want)
+    columns = ["event_id", "user_id", "plan", "event_date"]
+    assert sorted(map(str, joined.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_five_thousand_small_files_are_few_tasks(spark, lake):
+    folder = file_events(lake, "2026-06-01", event("0")).parent
+    for i in range(1, 5000):
+        (folder / f"part-{i}.json").write_text(json.dumps(event(str(i))) + "\n")
+    size = sum(p.stat().st_size for p in folder.iterdir())
+
+    def tasks():
+        return bronze_source.scan_days(spark, lake.bronze, date(2026, 6, 1), date(2026, 6, 1)).rdd.getNumPartitions()
+
+    before = tasks()
+    with split_for(spark, 5000, size):
+        assert tasks() <= 10 < 100 < before
+    assert tasks() == before
+    assert jobs.run_daily(spark, lake, date(2026, 6, 1), RUN_TS).good_rows == 5000
+
+
+def test_large_files_are_split_as_ever():
+    assert split_settings(10, 10 << 30) == split_settings(0, 0) == {"spark.sql.files.openCostInBytes": str(4 << 20)}

@@ -9,6 +9,9 @@
    stays nearest the remainder.
 3. The running sum is taken in two levels, so that no source has to fit into one task: keys fall
    into ranges of about RANGE documents, ranges are summed, and documents are summed within one.
+   A key of quality w is below x with a probability of 1 - exp(-w x); the mean of that over the
+   qualities a source has, counted in BINS, says in which range a key lies. Documents without
+   words take no part: they cost nothing and change no sum.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from eventlake.llm.tables import stored
 
 #: Fixed values of the contract: weights in turn, share of all sizes, most copies of a source.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-#: Documents in a range of keys.
-RANGE = 2048
+#: Documents in a range of keys; steps of quality that are counted for one source.
+RANGE, BINS = 2048, 40
 #: Characters that speak against a document; lowest quality weight.
 SYMBOLS, LEAST = "0123456789#$%&*!|<>{}[]\\/=_~^@+", 0.05
 SEED = "mix"
@@ -90,8 +93,8 @@ def mix(
     (how often the mix takes it: 0, 1 or 2) and taken (words taken, copies * size).
 
     A null text has size 0; documents of size 0 are in every complete epoch and cost nothing. A
-    null source is a source. Rows that repeat a doc_id, or have none, are documents of their own
-    with equal keys, in order of size. An empty table gives no rows. A source's taken words
+    null source is a source. Rows that repeat a doc_id are documents of their own with equal keys, in
+    order of size; those without an id draw by their text's hash (and row, if given). An empty table gives no rows. A source's taken words
     differ from its target by at most half of one document's size, plus rounding.
 
     row is a column that tells rows apart: it decides between documents with equal keys and sizes
@@ -104,25 +107,36 @@ def mix(
             F.col(source).alias("source"),
             size_of(F.col(text)).alias("size"),
             quality_of(F.col(text)).alias("quality"),
+            F.when(F.isnull(doc_id), F.xxhash64(text, *own)).alias("salt"),
         ),
         "sizes",
     )
-    targets = stored(source_targets(sizes), "targets").withColumnRenamed("quality", "mean")
+    targets = stored(source_targets(sizes), "targets").drop("quality", "n")
     keyed = sizes.join(F.broadcast(targets) if _few(targets) else targets, _same("source", sizes, targets)).select(
-        *own, "doc_id", sizes.source, "size", "source_size", "target", "quality", "mean", "n"
+        *own, "doc_id", sizes.source, "size", "source_size", "target", "quality", "salt"
     )
-    key = -F.log(uniform(F.col("doc_id"), seed)) / F.col("quality")
-    ranges = F.ceil(F.col("n") / RANGE)
-    # about evenly filled: the key's distribution at the source's mean quality
-    place = F.floor((1 - F.exp(-F.col("key") * F.col("mean"))) * ranges)
-    keyed = keyed.withColumn("key", key).withColumn("range", F.least(place, ranges - 1))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("?"), F.col("salt").cast("string")))
+    keyed = keyed.withColumn("key", -F.log(uniform(name, seed)) / F.col("quality"))
     keyed = keyed.withColumn("group", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
-    held = keyed.groupBy("group", "range").agg(F.sum("size").alias("held"))
+    held = F.col("size") > 0
+    bins = keyed.where(held).groupBy("group", F.floor(F.col("quality") * BINS).alias("bin"))
+    bins = bins.agg(F.count("*").alias("n"), F.avg("quality").alias("w")).groupBy("group")
+    bins = stored(bins.agg(F.sum("n").alias("n"), F.collect_list(F.struct("n", "w")).alias("bins")), "bins")
+    placed = keyed.where(held).join(F.broadcast(bins) if _few(bins) else bins, "group")
+    below_key = F.aggregate("bins", F.lit(0.0), lambda sum_, b: sum_ + b["n"] * (1 - F.exp(-F.col("key") * b["w"])))
+    ranges = F.ceil(F.col("n") / RANGE)
+    place = F.floor(below_key / F.col("n") * ranges)
+    placed = stored(placed.withColumn("range", F.least(place, ranges - 1)).drop("bins", "n"), "placed")
+    sums = placed.groupBy("group", "range").agg(F.sum("size").alias("held"))
     below = F.sum("held").over(Window.partitionBy("group").orderBy("range")) - F.col("held")
-    starts = held.select("group", "range", below.alias("below"))
+    starts = sums.select("group", "range", below.alias("below"))
     order = Window.partitionBy("group", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", *own)
     inside = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = keyed.withColumn("inside", inside).join(starts, ["group", "range"])
+    summed = placed.withColumn("inside", inside).join(starts, ["group", "range"])
+    none = F.lit(0).cast("long")
+    free = keyed.where(~held).withColumn("inside", none).withColumn("below", none)
+    columns = [*own, "doc_id", "source", "size", "source_size", "target", "inside", "below"]
+    summed = summed.select(columns).unionByName(free.select(columns))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1)
     remainder = F.col("target") - F.col("epochs") * F.col("source_size")
     drawn = (F.col("below") + F.col("inside") - F.col("size") / 2) <= remainder

@@ -101,3 +101,27 @@ def test_better_documents_are_drawn_more_often(spark):
     best = max(r.copies for r in drawn)
     good, bad = (sum(r.copies == best for r in drawn if r.doc_id % 2 == x) for x in (1, 0))
     assert good > 1.5 * bad
+
+
+def test_ranges_are_even_whatever_the_qualities(spark, monkeypatch):
+    """A third of the texts empty, a third of the rows without an id, qualities far apart: no window
+    holds more than three times what is aimed at."""
+    monkeypatch.setattr(mixing, "RANGE", 64)
+    rows = []
+    for i in range(6000):
+        text = "" if i % 3 == 0 else ["good words", "# 1 # 2", "a1b2 c3", "x" * (i % 90)][i % 4] + f" {i}"
+        rows.append((None if i % 3 == 1 else i, text, "a" if i % 10 else "b", "", 0))
+    sizes, whole = [], mixing.stored
+
+    def kept(table, name="table"):
+        out = whole(table, name)
+        if name == "placed":
+            sizes.extend(r["count"] for r in out.groupBy("group", "range").count().collect())
+        return out
+
+    monkeypatch.setattr(mixing, "stored", kept)
+    got = mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(rows) and max(sizes) <= 3 * 64 and len(sizes) > 40
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import settle
+from eventlake.llm.tables import freed, settle
 from eventlake.llm.words import buffers
 
 WIDTH, STRIDE, VECTOR, FILTERS, HIDDEN = 8, 2, 4, 32, 16
@@ -27,6 +27,8 @@ PIECE = CHUNK // 2 // STRIDE
 SLICE = 1 << 18
 #: Labelled documents of each class used for training, steps and chunks of a step.
 PER_CLASS, STEPS, BATCH = 1500, 2500, 64
+#: Chunks of a text that training draws from.
+CHUNKS = 8
 RATE = 3e-3
 
 
@@ -96,8 +98,8 @@ class Network:
         mean = np.add.reduceat(logits, end - pieces) / (pieces - 1)
         return 1 / (1 + np.exp(-mean.astype(np.float64)))
 
-    def train(self, texts: list[bytes], labels: np.ndarray, seed: int = 1) -> None:
-        """Adam on the logistic loss of chunks at random places; classes are drawn evenly and the
+    def train(self, texts: list[list[bytes]], labels: np.ndarray, seed: int = 1) -> None:
+        """Adam on the logistic loss of texts' chunks, drawn at random; classes are drawn evenly and the
         prior is put right at the end."""
         rng = np.random.default_rng(seed)
         classes = [np.flatnonzero(labels == c) for c in (0, 1)]
@@ -114,10 +116,9 @@ class Network:
             data = np.zeros((BATCH, length), np.uint8)
             for row, label in zip(data, truth, strict=True):
                 text = texts[rng.choice(classes[label])]
-                at = rng.integers(0, max(1, len(text) - CHUNK // 2))
                 # some chunks are short, as short documents are
                 upto = length if rng.random() < 0.75 else rng.integers(8, CHUNK)
-                piece = text[at : at + upto]
+                piece = text[rng.integers(0, len(text))][:upto]
                 row[: len(piece)] = np.frombuffer(piece, np.uint8)
             rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
             for k, g in self._gradient(data, truth).items():
@@ -166,9 +167,12 @@ def trained(
     documents: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text"
 ) -> Network:
     """A network fitted on about PER_CLASS documents of each class, chosen by a hash of their id
-    among the labelled ones that are not held out. Null texts, labels and ids do not train."""
+    among the labelled ones that are not held out; of each, CHUNKS chunks reach the driver. Null
+    texts, labels and ids do not train, nor do ids with labels of both classes."""
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-    known = known.where((F.col("label").isin(0, 1)) & ~held_out("id")).dropDuplicates(["id"])
+    known = known.where((F.col("label").isin(0, 1)) & ~held_out("id"))
+    known = known.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
+    known = known.where("label = most").drop("most")
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
     share = F.lit(0.0)
@@ -177,14 +181,29 @@ def trained(
     # a sample of bounded size, so it may be broadcast: documents are not shuffled for it
     picked = known.where(draw < share).withColumn("draw", draw).orderBy("draw", "id").limit(3 * PER_CLASS)
     rows = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    sample = rows.join(F.broadcast(picked), "id").orderBy("draw", "id").limit(3 * PER_CLASS).collect()
+    kind = rows.schema["id"].dataType.simpleString()
+    found = rows.join(F.broadcast(picked), "id").mapInArrow(freed(_cut), f"id {kind}, label int, draw double, chunks array<binary>")
+    sample = found.orderBy("draw", "id", "chunks").limit(3 * PER_CLASS).collect()
     model = Network()
-    model.train([r.text.encode() for r in sample], np.array([r.label for r in sample], dtype=np.int64))
+    model.train([[bytes(x) for x in r.chunks] for r in sample], np.array([r.label for r in sample], dtype=np.int64))
     if len(counts) == 2 and sample:
         model.values["prior"] += np.float32(np.log(counts[1] / counts[0]))
     return model
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CHUNKS chunks of each text at places drawn by its own number: a few KB of a text of any size."""
+    for batch in batches:
+        chunks = []
+        for text, draw in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist(), strict=True):
+            data = text.encode("utf-8", "surrogatepass")
+            rng = np.random.default_rng(int(draw * (1 << 20)))
+            places = rng.integers(0, max(1, len(data) - CHUNK // 2), CHUNKS)
+            chunks.append([data[at : at + CHUNK + WIDTH - STRIDE] for at in places])
+        columns = [batch.column(c) for c in ("id", "label", "draw")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(chunks, pa.list_(pa.binary()))], ["id", "label", "draw", "chunks"])
+
+
 def scored(documents: DataFrame, model: Network, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score) for every row; a null or empty text is scored as zeros. Repeated rows and
     null ids are kept; other columns are not looked at."""
@@ -198,4 +217,4 @@ def scored(documents: DataFrame, model: Network, doc_id: str = "doc_id", text: s
     settle(documents.sparkSession)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    return rows.mapInArrow(freed(run), f"doc_id {kind}, score double")

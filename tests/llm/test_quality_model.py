@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventlake.llm import quality_model as q
@@ -100,3 +101,24 @@ def test_odd_rows(spark, monkeypatch):
         same = {r.score for r in q.scored(documents, q.trained(documents, known)).collect()}
         assert len(same) == 1 and same.pop() >= want - 1e-6
     assert q.scored(documents.limit(0), q.Network()).collect() == []
+
+
+def test_clashing_labels_do_not_train(spark, monkeypatch):
+    """The same network whatever order the label rows are in; ids of both classes are left out."""
+    monkeypatch.setattr(q, "STEPS", 3)
+    documents = spark.createDataFrame([(i, f"text {i} " * (1 + i % 7)) for i in range(60)], "doc_id long, text string")
+    pairs = [(i, i % 2) for i in range(60)] + [(i, 1 - i % 2) for i in range(0, 60, 5)]
+    models = [
+        q.trained(documents.repartition(n), spark.createDataFrame(order, "doc_id long, quality int").repartition(n))
+        for n, order in ((1, pairs), (4, pairs[::-1]), (2, [p for p in pairs if p[0] % 5]))
+    ]
+    for other in models[1:]:
+        assert all(np.array_equal(x, other.values[name]) for name, x in models[0].values.items())
+
+
+def test_a_long_text_sends_a_few_chunks(spark):
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "label": [0, 1, 1], "draw": [0.1, 0.2, 0.2], "text": ["x" * 10**6, "", "é"]})
+    (cut,) = q._cut(iter([batch]))
+    chunks = cut.column("chunks").to_pylist()
+    assert [len(c) for c in chunks] == [q.CHUNKS] * 3
+    assert all(len(x) == q.CHUNK + q.WIDTH - q.STRIDE for x in chunks[0]) and set(chunks[1]) == {b""}

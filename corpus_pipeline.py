@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import jaccard_join, language_id, mixing, pii, sentence_pieces
 from eventlake.llm.tables import free_names, numbered, stored
 
+import public_tokenizers  # after the operators: without them nothing here is wanted
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Lowest probability of the language found.
 SURE = 0.5

@@ -94,7 +94,7 @@ def mix(
 
     A null text has size 0; documents of size 0 are in every complete epoch and cost nothing. A
     null source is a source. Rows that repeat a doc_id are documents of their own with equal keys, in
-    order of size; those without an id draw by their text's hash (and row, if given). An empty table gives no rows. A source's taken words
+    order of size; those without an id draw by their text's hash. Rows with one key share a range. An empty table gives no rows. A source's taken words
     differ from its target by at most half of one document's size, plus rounding.
 
     row is a column that tells rows apart: it decides between documents with equal keys and sizes
@@ -107,7 +107,7 @@ def mix(
             F.col(source).alias("source"),
             size_of(F.col(text)).alias("size"),
             quality_of(F.col(text)).alias("quality"),
-            F.when(F.isnull(doc_id), F.xxhash64(text, *own)).alias("salt"),
+            F.when(F.isnull(doc_id), F.xxhash64(text)).alias("salt"),
         ),
         "sizes",
     )

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from eventlake.llm.tables import numbered, parts, stored
 
 #: Components of a tile, queries of a block: the size of a group's tables, the streams to it.
-ENTRIES, BLOCK = 1 << 21, 512
+ENTRIES, BLOCK = 1 << 22, 512
 #: First level as a share of the highest impact, and each further one of the one before.
-FIRST, STEP = 0.06, 0.5
+FIRST, STEP = 0.04, 0.5
 #: Rescoring starts when at most this share of a tile can still be among the best.
-FEW = 0.4
+FEW = 0.5
 
 
 class ImpactIndex:

@@ -3,8 +3,10 @@
 Archives hold one gzip member per record. Equal payloads are stored once: the page with the
 largest page_id has the response, the others are revisits that name it. The index has a line per
 record, sorted by reversed-host URL key, in gzip blocks of LINES lines; a directory holds the
-first key and the byte range of each block. A lookup searches the directory by bisection, reads
-the blocks that can hold the key, and then the records' byte ranges.
+first and last key and the byte range of each block, beside its file of blocks. A lookup takes a
+table of URLs: by the key ranges of the files, one row per task that wrote the index, each distinct
+key goes to the files that can hold it; tasks search these files' directories by bisection, read
+the blocks that can hold their keys, and then the records' byte ranges.
 
 Tasks write files of their own names into the shared folder; the tables of index lines and of
 blocks say which files count.
@@ -32,9 +34,13 @@ from eventlake.llm.tables import new_path, parts, stored
 
 #: Bytes after which a task starts another archive; index lines in a block; bytes read at once.
 ARCHIVE, LINES, READ = 1 << 30, 1000, 1 << 23
+DIRECTORY = ".directory"
 DATE = "2024-01-01T00:00:00Z"
+#: Characters of keys that the bounds of a file's keys have at most.
+BOUND = 256
 LINE = "key string, page_id long, path string, offset long, length long"
 BLOCK = "first_key string, last_key string, path string, offset long, length long, lines long"
+WANTED = "key string, path string, offset long, length long"
 RECORD = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
     " refers_to long, payload binary"
@@ -161,11 +167,13 @@ def write_archives(
 
 
 def write_index(lines: DataFrame, folder: str) -> DataFrame:
-    """Writes index lines in key order as compressed blocks; returns the block directory."""
+    """Writes index lines in key order as compressed blocks, and beside each file of blocks its
+    directory; returns the directory of all blocks."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, out, at = f"{folder}/{uuid.uuid4().hex}.cdx.gz", None, 0
         held: list[tuple] = []
+        entries: list[tuple] = []
 
         def flush() -> tuple:
             nonlocal out, at
@@ -177,6 +185,7 @@ def write_index(lines: DataFrame, folder: str) -> DataFrame:
             block = gzip.compress(text.encode(), 6, mtime=0)
             out.write(block)
             at += len(block)
+            entries.append((held[0][0], held[-1][0], at - len(block), len(block)))
             return (held[0][0], held[-1][0], path, at - len(block), len(block), len(held))
 
         for batch in batches:
@@ -188,16 +197,26 @@ def write_index(lines: DataFrame, folder: str) -> DataFrame:
                     blocks.append(flush())
                     held = []
             yield _batch(blocks, BLOCK)
-        if held:
-            yield _batch([flush()], BLOCK)
+        last = [flush()] if held else []
         if out:
             out.close()
+            system, place = open_folder(path + DIRECTORY)
+            with system.open_output_stream(place, compression=None) as file:
+                file.write(gzip.compress("".join(f"{json.dumps(x)}\n" for x in entries).encode(), 6, mtime=0))
+        yield _batch(last, BLOCK)
 
     order = ["key", "page_id", "path", "offset"]
     ordered = lines.repartitionByRange(parts(lines.sparkSession), *order).sortWithinPartitions(*order)
     return stored(ordered.mapInArrow(write, BLOCK), "blocks")
 
 
+def file_directory(path: str) -> list[list]:
+    """[first_key, last_key, offset, length] of the blocks of a file, in key order."""
+    system, place = open_folder(path + DIRECTORY)
+    with system.open_input_file(place) as file:
+        return [json.loads(line) for line in gzip.decompress(file.read()).decode().splitlines()]
+
+
 def block_lines(path: str, offset: int, length: int) -> list[tuple]:
     """(key, page_id, path, offset, length) of a block's lines."""
     system, place = open_folder(path)
@@ -207,15 +226,80 @@ def block_lines(path: str, offset: int, length: int) -> list[tuple]:
     return [(key, *json.loads(rest)) for key, rest in split]
 
 
-def index_lines(directory: DataFrame) -> DataFrame:
-    """All index lines, read from the blocks."""
+def _keys(urls: DataFrame, url: str) -> DataFrame:
+    """The distinct keys of URLs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batch([(url_key(x),) for x in batch.column(0).to_pylist()], "key string")
+
+    return urls.select(F.col(url).cast("string").alias("url")).distinct().mapInArrow(run, "key string").distinct()
+
+
+def _file_ranges(directory: DataFrame) -> list[tuple[str, str, str]]:
+    """(low, high, path) of every file of blocks, in key order: bounds of its keys of at most BOUND
+    characters. There are no more files than shuffle partitions when the index was written."""
+    low = F.substring(F.min("first_key"), 1, BOUND).alias("low")
+    high = F.concat(F.substring(F.max("last_key"), 1, BOUND), F.lit("\x7f")).alias("high")
+    return sorted(tuple(r) for r in directory.groupBy("path").agg(low, high).select("low", "high", "path").collect())
+
+
+def find_blocks(urls: DataFrame, directory: DataFrame, url: str = "url") -> DataFrame:
+    """(key, path, offset, length): the blocks that can hold the captures of each distinct key of
+    the URLs, by key within a file. Blocks are found by bisection in the directory of the file;
+    a key that lies between two blocks has none."""
+    ranges = _file_ranges(directory)
+    highs = [x[1] for x in ranges]
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for key in batch.column(0).to_pylist():
+                at = bisect.bisect_left(highs, key)
+                while at < len(ranges) and ranges[at][0] <= key:
+                    found.append((ranges[at][2], key))
+                    at += 1
+            yield _batch(found, "path string, key string")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, entries, last = None, [], []
+        for batch in batches:
+            found = []
+            for where, key in zip(batch.column("path").to_pylist(), batch.column("key").to_pylist(), strict=True):
+                if where != path:
+                    path, entries = where, file_directory(where)
+                    last = [x[1] for x in entries]
+                at = bisect.bisect_left(last, key)
+                while at < len(entries) and entries[at][0] <= key:
+                    found.append((key, path, entries[at][2], entries[at][3]))
+                    at += 1
+            yield _batch(found, WANTED)
+
+    wanted = _keys(urls, url).mapInArrow(files, "path string, key string")
+    placed = wanted.repartitionByRange(parts(urls.sparkSession), "path", "key").sortWithinPartitions("path", "key")
+    return placed.mapInArrow(blocks, WANTED)
+
+
+def lookup(urls: DataFrame, directory: DataFrame, url: str = "url") -> DataFrame:
+    """The index lines of all captures of the URLs, each once however often a URL occurs. Null and
+    empty URLs have the empty key; URLs without captures have no line."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, lines, keys = None, [], []
         for batch in batches:
+            found: list[tuple] = []
             for row in batch.to_pylist():
-                yield _batch(block_lines(row["path"], row["offset"], row["length"]), LINE)
+                key, *now = row.values()
+                if now != block:
+                    block, lines = now, block_lines(*now)
+                    keys = [x[0] for x in lines]
+                found += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
+                if len(found) >= 10 * LINES:
+                    yield _batch(found, LINE)
+                    found = []
+            yield _batch(found, LINE)
 
-    return directory.repartition("path", "offset").mapInArrow(read, LINE)
+    return find_blocks(urls, directory, url).mapInArrow(read, LINE)
 
 
 def _ranges(lines: Iterable[dict]) -> Iterator[list[dict]]:
@@ -256,38 +340,12 @@ def read_records(lines: DataFrame, payloads: bool = False) -> DataFrame:
     return by_file.mapInArrow(read, RECORD)
 
 
-class CaptureIndex:
-    """Lookups of URLs in a directory that has been read into memory, one row per LINES records."""
-
-    def __init__(self, directory: list[tuple]) -> None:
-        self.blocks = sorted(tuple(x) for x in directory)
-        self.last = [x[1] for x in self.blocks]
-
-    def find(self, url: str) -> list[tuple]:
-        """Index lines of a URL's captures."""
-        key = url_key(url)
-        at, found = bisect.bisect_left(self.last, key), []
-        while at < len(self.blocks) and self.blocks[at][0] <= key:
-            _, _, path, offset, length, _ = self.blocks[at]
-            found += [line for line in block_lines(path, offset, length) if line[0] == key]
-            at += 1
-        return found
-
-    @staticmethod
-    def read(line: tuple) -> dict:
-        """The record of an index line."""
-        _, _, path, offset, length = line
-        system, place = open_folder(path)
-        with system.open_input_file(place) as file:
-            return parsed(file.read_at(length, offset))
-
-
-def archive_round_trip(spark: SparkSession, pages: DataFrame, revisit_from: int = 0) -> DataFrame:
-    """Writes the pages' archives and index into the shared folder and reads all records back
-    through the index."""
+def archive_round_trip(spark: SparkSession, pages: DataFrame, revisit_from: int = 0, url: str = "url") -> DataFrame:
+    """Writes the pages' archives and index into the shared folder, looks all pages' URLs up in the
+    index and reads the records it names."""
     folder = new_path(spark, "warc")
-    directory = write_index(write_archives(pages, f"{folder}/archives", revisit_from), f"{folder}/index")
-    return read_records(index_lines(directory)).drop("payload")
+    directory = write_index(write_archives(pages, f"{folder}/archives", revisit_from, url=url), f"{folder}/index")
+    return read_records(lookup(pages, directory, url)).drop("payload")
 
 
 _ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}

@@ -52,20 +52,50 @@ def test_payloads_come_back_and_files_are_gzip_members(spark, tmp_path):
     assert whole.count(b"WARC/1.1\r\n") == len(rows) and b"\r\nInjected" not in whole
 
 
+def by_key(rows, urls):
+    wanted = {warc.url_key(u) for u in urls}
+    return sorted(i for i, u, *_ in rows if warc.url_key(u) in wanted)
+
+
+def looked_up(spark, tmp_path, rows, urls):
+    """The page ids found, the blocks that were read, and all blocks."""
+    lines = warc.write_archives(spark.createDataFrame(rows, SCHEMA), f"{tmp_path}/a")
+    directory = warc.write_index(lines, f"{tmp_path}/i")
+    asked = spark.createDataFrame([(u, "x") for u in urls], "url string, path string").repartition(3)
+    read = {(r.path, r.offset) for r in warc.find_blocks(asked, directory).collect()}
+    found = warc.read_records(warc.lookup(asked, directory)).collect()
+    return sorted(r.page_id for r in found), read, directory.collect()
+
+
 def test_lookup_by_directory_and_range_reads(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "LINES", 10)
     rows = [(i, f"http://h{i % 50}.example.com/p", f"<p>{i}</p>", "x") for i in range(400)]
-    lines = warc.write_archives(spark.createDataFrame(rows, SCHEMA), f"{tmp_path}/a")
-    blocks = warc.write_index(lines, f"{tmp_path}/i").collect()
-    index = warc.CaptureIndex(blocks)
-    for h in (0, 7, 49):
-        found = index.find(f"https://h{h}.EXAMPLE.com/p")
-        assert sorted(index.read(x)["page_id"] for x in found) == list(range(h, 400, 50))
-    assert index.find("http://nowhere.example.com/") == []
+    urls = ["https://h0.EXAMPLE.com/p", "http://h7.example.com:80/p#x", "http://h49.example.com/p", "http://nowhere.example.com/",
+            "http://h7.example.com/p", "", None]
+    got, read, blocks = looked_up(spark, tmp_path, rows, urls)
+    assert got == by_key(rows, urls) and len(got) == 24
+    # a key of eight lines lies in three blocks at most (two, or the ends of two files)
+    assert 3 <= len(read) <= 9 < len(blocks)
     keys = [k for b in sorted(blocks) for k in (b.first_key, b.last_key)]
     assert keys == sorted(keys)
 
 
+def test_lookup_of_a_key_that_fills_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 10)
+    long_ = "http://long.example.com/" + "y" * 5000
+    rows = [(i, "http://hot.example.com/" if i % 3 else f"http://h{i}.example.com/", f"{i}", "x") for i in range(600)]
+    rows += [(1000 + i, long_ + str(i % 3), "long", "x") for i in range(60)] + [(2000 + i, None, "none", "x") for i in range(30)]
+    urls = ["http://hot.example.com/"] * 50 + [long_ + "1", long_ + "7", None, "http://h3.example.com/", "http://[bad"]
+    got, read, blocks = looked_up(spark, tmp_path, rows, urls)
+    assert got == by_key(rows, urls) and len(got) == 400 + 20 + 30 + 1
+    assert len({path for path, _ in read}) > 2 and len(read) < len(blocks)
+
+
+def test_lookup_in_an_empty_index_and_of_no_urls(spark, tmp_path):
+    assert looked_up(spark, tmp_path / "e", [], ["http://a/", None])[0] == []
+    assert looked_up(spark, tmp_path / "n", odd_rows(), [])[:2] == ([], set())
+
+
 def test_a_changed_payload_is_noticed():
     member = gzip.decompress(warc.record(1, "http://a/", b"payload", "A" * 32, 7, None))
     with pytest.raises(ValueError):

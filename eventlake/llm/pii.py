@@ -2,8 +2,10 @@
 
 Base spans are what four fixed patterns and their tests find; they always stay. Beside them,
 looser patterns propose candidates: local phone numbers, social security numbers, e-mail
-addresses written out, and names of persons. Labelers vote on each candidate for (1), against
-(-1) or not at all (0): a strict pattern, a gazetteer, the words before it, and its edges.
+addresses written out, names of persons, secrets (runs of 16 or more letters and digits, both of
+them), and numbers of 13 to 19 digits that are no base card. Labelers vote on each candidate for
+(1), against (-1) or not at all (0): a strict pattern, a gazetteer (for secrets: a key word and an
+assignment right before), the words before it, its edges, and the entropy of its characters.
 Expectation maximisation over the counts of vote patterns estimates how reliable each labeler
 is; its posteriors train a logistic classifier over votes, kind and length, which decides on
 every candidate. What reaches the driver is one row per pattern of votes and features, at most a
@@ -22,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Kinds of base spans in the order of the contract, and of added spans.
-BASE, ADDED = ("email", "ip", "card", "phone"), ("email_text", "phone_local", "ssn", "person")
+BASE = ("email", "ip", "card", "phone")
+ADDED = ("email_text", "phone_local", "ssn", "person", "secret", "number")
 KINDS = (*BASE, *ADDED)
 
 #: The base patterns, fixed by the contract. A match can only start where the run of characters
@@ -49,9 +52,16 @@ FOR = {
     "phone_local": r"call|phone|tel|fax|mobile|cell|dial",
     "ssn": r"ssn|social|security",
     "person": r"name|dear|contact|regards|signed|sincerely|mr|mrs|ms|dr",
+    "secret": r"token|secret|password|passwd|credential|bearer|auth|api.?key|access.?key|private.?key",
+    "number": r"card|credit|visa|account|iban|konto",
 }
+#: Strict secrets: hexadecimal digits of a usual length, or capitals, small letters and digits.
+SECRET = r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9]).{20,})$"
+ASSIGNED = rf"(?:{FOR['secret']})[a-z_]*[\"']? ?(?:=|:|=>) ?[\"']?$"
 AGAINST = r"version|order|invoice|isbn|item|page|chapter|model|part|serial|token"
 CONTEXT = 40
+#: Bits a character from which on characters look drawn at random, and below which they do not.
+RANDOM, REGULAR = 3.0, 2.5
 
 _NAME = "|".join(NAMES)
 CANDIDATES = (
@@ -59,9 +69,11 @@ CANDIDATES = (
     r"|(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
     r"|(?<![0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
     rf"|(?<![A-Za-z])(?=[A-Z])(?:(?:Mr|Mrs|Ms|Dr|Prof)\.? |(?:{_NAME}) )[A-Z][a-z]++"
+    r"|(?<![A-Za-z0-9_+/.%@=-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,}+=*+(?![A-Za-z0-9@])"
+    r"|(?<![0-9.+-])(?<![0-9]\x20)[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 )
 
-LABELERS = ("strict", "gazetteer", "context", "edges")
+LABELERS = ("strict", "gazetteer", "context", "edges", "entropy")
 #: Votes expected of a good labeler before any is seen (for, none, against), by class.
 EXPECTED = {1: {1: 4.0, 0: 3.0, -1: 1.0}, 0: {1: 1.0, 0: 3.0, -1: 4.0}}
 ROUNDS, STEPS, KEEP = 30, 200, 0.5
@@ -125,6 +137,17 @@ def _test(kind: str) -> Callable[[Column], Column]:
     return lambda span: _passes(kind, span["value"])
 
 
+def _entropy(value: Column) -> Column:
+    """Bits a character."""
+    size = F.length(value)
+
+    def add(total: Column, char: Column) -> Column:
+        share = (size - F.length(F.replace(value, char, F.lit("")))) / size
+        return total - share * F.log2(share)
+
+    return F.aggregate(F.array_distinct(F.split(value, "")), F.lit(0.0), add)
+
+
 def of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
@@ -151,6 +174,8 @@ def _labeled(text: Column, span: Column) -> Column:
     value = span["value"]
     kind = (
         F.when(F.rlike(value, F.lit(r"[(\[]at[)\]]")), "email_text")
+        .when(F.rlike(value, F.lit(r"^(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_+/-]{16,}=*$")), "secret")
+        .when(F.rlike(value, F.lit(r"^[0-9](?:[\x20-]?[0-9]){12,18}$")), "number")
         .when(F.rlike(value, F.lit(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$")), "ssn")
         .when(F.rlike(value, F.lit(r"^[(0-9]")), "phone_local")
         .otherwise("person")
@@ -165,11 +190,15 @@ def _labeled(text: Column, span: Column) -> Column:
         F.when(kind == "email_text", F.rlike(value, F.lit(r"[(\[](?:dot)[)\]]|\.[A-Za-z]{2,}$")))
         .when(kind == "ssn", F.rlike(value, F.lit(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")))
         .when(kind == "phone_local", F.rlike(value, F.lit(r"^\(?[2-9][0-9]{2}\)?([ .-])[2-9][0-9]{2}[ .-][0-9]{4}$")))
+        .when(kind == "secret", F.rlike(value, F.lit(SECRET)))
+        .when(kind == "number", F.when(F.length(_digits(value)) < 16, _luhn(_digits(value))).otherwise(False))
         .otherwise(F.rlike(value, F.lit(r" [A-Z][a-z]{2,}$")))
     )
     gazetteer = (
         F.when(kind == "email_text", F.when(F.rlike(value, F.lit(rf"(?:{'|'.join(DOMAINS)})$")), 1).otherwise(-1))
         .when(kind == "person", F.when(F.rlike(value, F.lit(rf"^(?:{_NAME}) ")), 1).otherwise(0))
+        .when(kind == "secret", F.when(F.rlike(before, F.lit(ASSIGNED)), 1).otherwise(-1))
+        .when(kind == "number", F.when(F.rlike(value, F.lit("^[3-6]")), 0).otherwise(-1))
         .otherwise(0)
     )
     speaks = F.lit(False)
@@ -178,6 +207,7 @@ def _labeled(text: Column, span: Column) -> Column:
     context = F.when(speaks, 1).when(F.rlike(before, F.lit(rf"\b(?:{AGAINST})")), -1).otherwise(0)
     apart = ~F.rlike(left, F.lit(r"[\p{L}0-9]")) & ~F.rlike(right, F.lit(r"[\p{L}0-9]"))
     length = span["end"] - start
+    bits = F.when(kind == "secret", _entropy(value))
     return F.struct(
         start.alias("start"),
         span["end"].alias("end"),
@@ -187,6 +217,7 @@ def _labeled(text: Column, span: Column) -> Column:
         gazetteer.alias("gazetteer"),
         context.alias("context"),
         F.when(apart, 0).otherwise(-1).alias("edges"),
+        F.when(bits >= RANDOM, 1).when(bits < REGULAR, -1).otherwise(0).alias("entropy"),
     )
 
 
@@ -205,7 +236,9 @@ def reliabilities(counts: Iterable[tuple[tuple[int, ...], int]]) -> tuple[float,
     labeler's vote probabilities by class, and the posterior of every pattern."""
     counts = list(counts)
     share = 0.5
-    table = [{c: {v: n / sum(e.values()) for v, n in e.items()} for c, e in EXPECTED.items()} for _ in LABELERS]
+    labelers = len(counts[0][0]) if counts else 0
+    start = {c: {v: n / sum(e.values()) for v, n in e.items()} for c, e in EXPECTED.items()}
+    table = [dict(start) for _ in range(labelers)]
     posterior: dict = {}
     for _ in range(ROUNDS):
         for votes, _n in counts:

@@ -63,7 +63,12 @@ def op5_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
         for k in pii.BASE
     )
     return found.select(
-        "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")
+        "doc_id",
+        *counts,
+        F.size("spans").cast("long").alias("n_spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
     )
 
 

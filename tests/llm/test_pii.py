@@ -84,6 +84,36 @@ def test_added_spans(spark):
             assert not s.base and s.start < s.end <= len(r.text)
 
 
+def test_secrets_and_numbers(spark):
+    hex_, mixed = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "wJalrXUtnFEMI/K7MDENG+bPxRfiCYEX"
+    texts = [
+        f'token = "{hex_}" and API_KEY: {mixed}==, 𝔘',
+        f"TOKEN = '{hex_.upper()}'",
+        "aaaaaaaaaaaaaaa1 page 1111111111111111a donaudampfschifffahrtsgesellschaft",
+        "ids 9807915762804490 and 1219538112535716",
+        "a@b.cc, see http://example.com/some/long-path-of-words-2024/index7",
+    ]
+    data = [(i, texts[i % 5] + " x" * (i % 5), "", "") for i in range(100)]
+    for r in found(spark, spark.createDataFrame(data, SCHEMA)):
+        added = [(s.kind, r.text[s.start : s.end]) for s in r.spans if not s.base]
+        want = {0: [("secret", hex_), ("secret", mixed + "==")], 1: [("secret", hex_.upper())]}
+        assert added == want.get(r.doc_id % 5, []), r.text
+
+
+def test_on_documents_that_were_not_seen(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = pii.fitted(documents.where("doc_id % 2 = 0"))
+    got = pii.with_spans(documents.where("doc_id % 2 = 1"), weights).collect()
+    hits = 0
+    for r in got:
+        text = r.text or ""
+        want = [m.span(1) for m in re.finditer('token = "([0-9a-f]{40})"', text, re.IGNORECASE)]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "secret"] == want, text
+        assert want or all(s.base for s in r.spans), text
+        hits += len(want)
+    assert hits >= 3
+
+
 def test_no_candidates_and_no_rows(spark):
     quiet = spark.createDataFrame([(1, "nothing", "", ""), (2, None, "", ""), (2, None, "", "")], SCHEMA)
     assert [r.a for r in found(spark, quiet)] == ["", "", ""]

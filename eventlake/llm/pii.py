@@ -226,8 +226,14 @@ def _candidates(documents: DataFrame, text: str, prefix: str) -> DataFrame:
     rows = _base(documents.withColumn(f"{prefix}text", F.coalesce(F.col(text), F.lit(""))), prefix)
     found = f"{prefix}found"
     rows = _with_matches(rows, f"{prefix}text", CANDIDATES, found)
-    taken = F.concat(*(F.col(prefix + k) for k in BASE))
-    free = F.filter(found, lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    taken = f"{prefix}taken"
+    rows = rows.withColumn(taken, F.concat(*(F.col(prefix + k) for k in BASE)))
+
+    def apart(x: Column) -> Column:
+        return ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+
+    # named twice, so that the base spans are found once a text and not once a candidate
+    free = F.when(F.size(taken) == 0, F.col(found)).otherwise(F.filter(found, apart))
     return rows.withColumn(found, F.transform(free, lambda x: _labeled(F.col(f"{prefix}text"), x)))
 
 
@@ -270,7 +276,8 @@ def fitted(documents: DataFrame, text: str = "text") -> list[float]:
     """Weights of the span classifier, trained on the posteriors over all candidates of the table.
     Without candidates all weights are zero but for the first, which rejects."""
     rows = _candidates(documents.select(F.col(text).alias("text")), "text", "_pii_")
-    seen = rows.where(F.size("_pii_found") > 0).select(F.explode("_pii_found").alias("c")).select("c.*")
+    # an inner explode infers a filter on the array, which would find all spans a second time
+    seen = rows.select(F.explode_outer("_pii_found").alias("c")).where("c is not null").select("c.*")
     seen = seen.groupBy("kind", "length", *LABELERS).agg(F.count("*").alias("n")).collect()
     data = [(r.kind, r.length, tuple(r[x] for x in LABELERS), r.n) for r in sorted(seen)]
     by_votes: dict = {}

@@ -233,6 +233,13 @@ ORACLES = {
     "daily_event_summary_table": SUMMARY.format(where=""),
     "daily_load": f"{PUBLISHED} where folder_date between date '2024-01-05' and date '2024-01-06'",
     "whole_day": SUMMARY.format(where="where folder_date = date '2024-01-05'"),
+    "models_between_versions": f"""{CHAIN}
+      select phase, reader, strftime(event_date, '%Y-%m-%d') as event_date, count(*) as events
+      from silver cross join (select unnest(['between', 'after']) as phase) phases
+        cross join (select unnest(['summary', 'catalog']) as reader) readers
+      where folder_date = date '2024-01-05'
+        or (folder_date = date '2024-01-06' and phase = 'after')
+      group by phase, reader, event_date""",
     "catalog_refresh": f"{CHAIN} select strftime(s.event_date, '%Y-%m-%d') as event_date, "
     "count(*) as events from silver s group by s.event_date",
     "rejected_table": f"{CHAIN} select 'backfill' as run, validation_error, count(*) as rows from v "

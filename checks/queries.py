@@ -16,7 +16,7 @@ from eventlake.operators import enrich, monitor, quality
 from eventlake.operators.transform import event_date_range, raw_events
 from eventlake.operators.validate import bad, good
 from eventlake.plans import jobs, models
-from eventlake.sinks import publish
+from eventlake.sinks import publish, versions
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import matching, remove
 from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, read_rejected, read_silver
@@ -198,6 +198,37 @@ def whole_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.table(f"{database}.daily_event_summary"))
 
 
+def models_between_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by date as readers of the summary's path and of the catalog's staging count them:
+    after a second day's models are written and before their list is switched, and at the end."""
+    lake = fixture.own_gold(spark, fixture.empty_lake(spark, sf_dir))
+    database, read = f"lake_{uuid.uuid4().hex}", fixture.new_folder(spark, "read")
+
+    def look(phase: str) -> None:
+        summary = jobs.read_summary(spark, lake.summary).groupBy("event_date")
+        staged = spark.table(f"{database}.stg_events").groupBy("event_date")
+        found = summary.agg(F.sum("event_count").alias("events")).withColumn("reader", F.lit("summary"))
+        by_name = staged.agg(F.count("*").alias("events")).withColumn("reader", F.lit("catalog"))
+        found.unionByName(by_name).write.parquet(f"{read}/phase={phase}")
+
+    def looked(*args) -> None:
+        versions.switch = switch
+        look("between")
+        switch(*args)
+
+    jobs.build_models(spark, lake, jobs.run_daily(spark, lake, SLICE_DAY, RUN_TS).dates)
+    jobs.register_tables(spark, lake, database)
+    dates = jobs.run_daily(spark, lake, NEXT_DAY, RUN_TS).dates
+    switch, versions.switch = versions.switch, looked
+    try:
+        jobs.build_models(spark, lake, dates)
+    finally:
+        versions.switch = switch
+    jobs.register_tables(spark, lake, database, dates)
+    look("after")
+    return shown(spark.read.parquet(read).select("phase", "reader", "event_date", "events"))
+
+
 # Models
 
 
@@ -559,6 +590,7 @@ QUERIES = {
     "rejected_table": rejected_table,
     "daily_load": daily_load,
     "whole_day": whole_day,
+    "models_between_versions": models_between_versions,
     "run_counts": run_counts,
     "rejection_rate": rejection_rate,
     "dq_not_null": dq_not_null,

@@ -31,8 +31,8 @@ from eventlake.operators.transform import silver_columns
 from eventlake.operators.validate import classify
 from eventlake.plans.models import daily_event_summary, stg_events
 from eventlake.session import empty, prepare, prepared, split_for
-from eventlake.sinks import id_index, publish, quarantine, workarea
-from eventlake.sinks.tables import keep_dates, refresh_catalog, write_dates
+from eventlake.sinks import id_index, publish, quarantine, versions, workarea
+from eventlake.sinks.tables import refresh_catalog, refresh_versions
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import exists, matching, remove, sizes
 from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, read_rejected, read_silver
@@ -382,6 +382,10 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
     All of it, or only some event dates: a date is a group key, so rebuilding the
     dates that changed gives the same tables. Either way it goes month after month,
     which bounds the summary's shuffle.
+
+    Readers of a table see it as the build before left it until all dates are written, then as
+    this one does, in one step; staging switches before the summary. Catalog tables follow with
+    ``register_tables``.
     """
     _ = lake.staging
     with workarea.exclusive(spark, lake.area):
@@ -390,29 +394,35 @@ def build_models(spark: SparkSession, lake: Lake, dates: list[str] | None = None
         _build(spark, lake, None if dates is None else sorted({*dates, *recovered}))
 
 
-def _build(spark: SparkSession, lake: Lake, dates: list[str] | None) -> None:
-    partitions = publish.partitions_of(spark, lake.silver, dates)
-    for _, month in publish.by_month(partitions):
+def _build(
+    spark: SparkSession, lake: Lake, dates: list[str] | None, keep_previous: bool = True
+) -> None:
+    tables = (lake.staging, lake.summary)
+    if dates == [] and (keep_previous or not versions.numbers(spark, lake.staging)):
+        return
+    if any(versions.unversioned(spark, table) for table in tables):
+        dates = None
+    version = versions.new_version()
+    for _, month in publish.by_month(publish.partitions_of(spark, lake.silver, dates)):
         # Silver files hold one date each, so staging is written without a shuffle.
         folders = publish.date_folders(month)
-        write_dates(stg_events(read_silver(spark, lake.silver, folders)), lake.staging)
-        staged = [f"{lake.staging}/{folder.rsplit('/', 1)[1]}" for folder in folders]
+        rows = stg_events(read_silver(spark, lake.silver, folders))
+        versions.write_version(rows, lake.staging, version)
+        days = [folder.rsplit("=", 1)[1] for folder in folders]
+        staged = versions.read_version(spark, lake.staging, STAGING_SCHEMA, version, days)
         # Groups come out spread by all four keys; a date's few rows belong in one file.
-        summary = daily_event_summary(read_staging(spark, lake.staging, staged))
-        write_dates(summary.hint("rebalance", "event_date"), lake.summary)
-    among = None if dates is None else set(dates)
-    filled = {publish.key_of(path)[0] for path in partitions}
-    keep_dates(spark, lake.staging, among, filled)
-    keep_dates(spark, lake.summary, among, filled)
+        summary = daily_event_summary(staged).hint("rebalance", "event_date")
+        versions.write_version(summary, lake.summary, version)
+    for table in tables:
+        versions.switch(spark, table, version, dates, keep_previous)
 
 
-def read_staging(spark: SparkSession, path: str, partitions: list[str] | None = None) -> DataFrame:
-    reader = spark.read.schema(STAGING_SCHEMA).option("basePath", path)
-    return reader.parquet(*(partitions or [path]))
+def read_staging(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read_current(spark, path, STAGING_SCHEMA)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
+    return versions.read_current(spark, path, SUMMARY_SCHEMA)
 
 
 # Erasure and compaction
@@ -455,8 +465,9 @@ def _erase(spark: SparkSession, lake: Lake, folder: str, request: dict) -> RunRe
     users.write.mode("overwrite").parquet(f"{lake.erased}/epoch={epoch}")
     dates = _erase_rejected(spark, lake, folder, users)
     dates |= _erase_silver(spark, lake, folder, users)
-    if lake.gold and dates:
-        _build(spark, lake, sorted(dates))
+    if lake.gold:
+        # Versions that earlier readers might still read can hold the users' rows: none is kept.
+        _build(spark, lake, sorted(dates), keep_previous=False)
     return RunReport(dates=sorted(dates))
 
 
@@ -572,9 +583,8 @@ def compact_models(spark: SparkSession, lake: Lake, target: int = TARGET_FILE) -
     with workarea.exclusive(spark, lake.area):
         dates = set(_recovered_dates(spark, lake))
         for table in (lake.staging, lake.summary):
-            folders = matching(spark, f"{table}/event_date=*")
-            small = (path for path in folders if _too_many(sizes(spark, path), target))
-            dates |= {path.rsplit("=", 1)[1] for path in small}
+            listed = versions.current(spark, table) or {}
+            dates |= {d for d, x in listed.items() if _too_many(sizes(spark, f"{table}/{x}"), target)}
         if dates:
             _build(spark, lake, sorted(dates))
         return sorted(dates)
@@ -601,8 +611,9 @@ def register_tables(
 ) -> None:
     """Show silver, rejected, staging and summary, with their partitions, to SQL users.
 
-    With ``dates`` only partitions of these event dates are brought up to date in tables the
-    catalog has already. Whether the tables outlive the session is up to its catalog.
+    With ``dates`` only partitions of these event dates are brought up to date in silver if the
+    catalog has it already. The partitions of staging and summary are pointed to the versions
+    that the last build lists, one date after the other. Whether the tables outlive the session is up to its catalog.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_date = {"event_date": "date"}
@@ -619,12 +630,8 @@ def register_tables(
         REJECTED_OPTIONS,
     )
     if lake.gold:
-        refresh_catalog(
-            spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA, by_date, dates=dates
-        )
-        refresh_catalog(
-            spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA, by_date, dates=dates
-        )
+        refresh_versions(spark, f"{database}.stg_events", lake.staging, STAGING_SCHEMA)
+        refresh_versions(spark, f"{database}.daily_event_summary", lake.summary, SUMMARY_SCHEMA)
 
 
 @_job

@@ -3,18 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from eventlake.sources.folders import exists, matching, partition_values, remove
+from eventlake.sinks import versions
+from eventlake.sources.folders import exists, matching
 
-
-def write_dates(rows: DataFrame, path: str) -> None:
-    """Replace the event dates the rows have, and no others."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+#: Table property: the number of the list of versions that a catalog table shows.
+LIST_PROPERTY = "eventlake.list"
 
 
 def write_bucketed(rows: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
@@ -29,14 +22,6 @@ def write_bucketed(rows: DataFrame, name: str, key: str, buckets: int, path: str
     return rows.sparkSession.table(name)
 
 
-def keep_dates(spark: SparkSession, path: str, among: set[str] | None, filled: set[str]) -> None:
-    """Remove dates of a table that its source has lost: all, or those ``among`` some."""
-    for folder in matching(spark, f"{path}/event_date=*"):
-        value = partition_values(folder)["event_date"]
-        if value not in filled and (among is None or value in among):
-            remove(spark, folder)
-
-
 def refresh_catalog(
     spark: SparkSession,
     name: str,
@@ -54,18 +39,55 @@ def refresh_catalog(
     if dates is not None and spark.catalog.tableExists(name):
         _refresh_dates(spark, name, path, dates)
     else:
-        data = {f.name: f.dataType.simpleString() for f in schema.fields}
-        columns = ", ".join(f"`{column}` {kind}" for column, kind in {**data, **partitions}.items())
-        settings = ", ".join(f"'{key}' = \"{value}\"" for key, value in (options or {}).items())
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} "
-            + (f"OPTIONS ({settings}) " if settings else "")
-            + f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
-        )
+        _create(spark, name, path, schema, partitions, source, options)
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
+def refresh_versions(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """Point the table's partitions to the versions that the last list names. A partition is
+    switched in one step, one date after the other; only dates that differ from the list the
+    catalog shows are touched, or all if that list is no longer there."""
+    lists = versions.numbers(spark, path)
+    if not lists:
+        return
+    _create(spark, name, path, schema, {"event_date": "date"})
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    shown = int(properties.get(LIST_PROPERTY, 0))
+    before = versions.folders_of(spark, path, shown) if shown in lists else None
+    after = versions.folders_of(spark, path, lists[-1])
+    known = {r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [f"PARTITION (event_date='{d}') LOCATION '{path}/{after[d]}'" for d in sorted(after.keys() - known)]
+    for day in sorted(known & after.keys()):
+        if before is None or before.get(day) != after[day]:
+            spark.sql(f"ALTER TABLE {name} PARTITION (event_date='{day}') SET LOCATION '{path}/{after[day]}'")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")
+    for day in sorted(known - after.keys()):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (event_date='{day}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LIST_PROPERTY}' = '{lists[-1]}')")
+    spark.catalog.refreshTable(name)
+
+
+def _create(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    partitions: dict[str, str],
+    source: str = "parquet",
+    options: dict[str, str] | None = None,
+) -> None:
+    data = {f.name: f.dataType.simpleString() for f in schema.fields}
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in {**data, **partitions}.items())
+    settings = ", ".join(f"'{key}' = \"{value}\"" for key, value in (options or {}).items())
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} "
+        + (f"OPTIONS ({settings}) " if settings else "")
+        + f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
+    )
+
+
 def _refresh_dates(spark: SparkSession, name: str, path: str, dates: list[str]) -> None:
     """Add partitions that have come and drop those that have gone, on some event dates."""
     known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}

@@ -2,6 +2,7 @@
 
 import json
 import time
+import uuid
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -15,7 +16,7 @@ from eventlake.contract import EVENT_TYPES
 from eventlake.operators.quality import QualityError
 from eventlake.plans import jobs
 from eventlake.plans.jobs import Lake
-from eventlake.sinks import lease, publish, quarantine, workarea
+from eventlake.sinks import lease, publish, quarantine, versions, workarea
 from eventlake.sources.silver import read_rejected, read_silver
 
 JUNE = date(2026, 6, 1), date(2026, 6, 30)
@@ -703,10 +704,110 @@ def test_rejected_rows_and_models_of_many_files(spark, lake, monkeypatch):
     assert len(list(folder.glob("*.json"))) == 1 and jobs.compact_rejected(spark, lake) == []
     assert sorted(map(str, read_rejected(spark, lake.rejected).collect())) == before
     staged = read_rows(spark, lake)
-    jobs.read_staging(spark, lake.staging).repartition(3).write.mode("append").partitionBy("event_date").parquet(lake.staging)
+    (version,) = Path(lake.staging).glob("event_date=*/version=*")
+    small = jobs.read_staging(spark, lake.staging).drop("event_date")
+    small.repartition(3).write.mode("append").parquet(str(version))
     assert jobs.compact_models(spark, lake) == ["2026-06-01"]
     assert read_rows(spark, lake) == staged and jobs.compact_models(spark, lake) == []
 
 
 def read_rows(spark, lake):
     return sorted(map(str, jobs.read_staging(spark, lake.staging).collect()))
+
+
+# Versions of the models
+
+
+def test_readers_see_one_build_or_the_other(spark, lake, monkeypatch):
+    database = f"lake_{uuid.uuid4().hex}"
+    spill(lake)
+    daily(spark, lake, "2026-06-01")
+    jobs.build_models(spark, lake)
+    jobs.register_tables(spark, lake, database)
+    before, seen = (read_rows(spark, lake), summary(spark, lake)), []
+    opened = jobs.read_staging(spark, lake.staging)
+    by_name = spark.table(f"{database}.stg_events")
+    changed = daily(spark, lake, "2026-06-02").dates
+    switch = versions.switch
+
+    def looked(*args):
+        seen.append((read_rows(spark, lake), summary(spark, lake), by_name.count()))
+        switch(*args)
+
+    monkeypatch.setattr(versions, "switch", looked)
+    jobs.build_models(spark, lake, changed)
+    monkeypatch.undo()
+    after = read_rows(spark, lake), summary(spark, lake)
+    assert after != before and len(after[0]) > len(before[0])
+    # before the first switch both tables are old; before the second, staging alone is new
+    assert seen == [(*before, len(before[0])), (after[0], before[1], len(before[0]))]
+    # who began before the switch reads on, by path and by name
+    assert sorted(map(str, opened.collect())) == before[0] and by_name.count() == len(before[0])
+    jobs.register_tables(spark, lake, database, changed)
+    assert spark.table(f"{database}.stg_events").count() == len(after[0])
+    full = Lake(lake.bronze, lake.silver, lake.rejected, f"{lake.gold}_full")
+    jobs.build_models(spark, full)
+    assert after == (read_rows(spark, full), summary(spark, full))
+
+
+def test_a_broken_build_changes_nothing_and_leaves_nothing(spark, lake, monkeypatch):
+    spill(lake)
+    daily(spark, lake, "2026-06-01")
+    jobs.build_models(spark, lake)
+    before = read_rows(spark, lake), summary(spark, lake)
+    changed = daily(spark, lake, "2026-06-02").dates
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    for step in ("read_version", "switch"):
+        monkeypatch.setattr(versions, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.build_models(spark, lake, changed)
+        monkeypatch.undo()
+        assert (read_rows(spark, lake), summary(spark, lake)) == before
+    jobs.build_models(spark, lake, changed)
+    for table in (lake.staging, lake.summary):
+        numbers = versions.numbers(spark, table)
+        listed = {x for n in numbers for x in versions.folders_of(spark, table, n).values()}
+        assert len(numbers) == 2 and {f"{p.parent.name}/{p.name}" for p in Path(table).glob("*/version=*")} == listed
+    # the folders of the build before last go with the next list, and no others
+    for _ in range(3):
+        jobs.build_models(spark, lake)
+    days = len(versions.current(spark, lake.staging))
+    assert len(list(Path(lake.staging).glob("*/version=*"))) == 2 * days
+
+
+def test_erasure_keeps_no_earlier_version(spark, lake):
+    file_events(lake, "2026-06-01", event("a", user_id="gone"), event("b", user_id="stays"))
+    daily(spark, lake, "2026-06-01")
+    jobs.build_models(spark, lake)
+    # moved and built anew: the list before still has the user's row on the first day
+    file_events(lake, "2026-06-01", event("a", user_id="stays"), event("b", user_id="stays"))
+    jobs.build_models(spark, lake, daily(spark, lake, "2026-06-01").dates)
+    assert len(list(Path(lake.staging).rglob("*.parquet"))) == 2
+    assert jobs.erase_users(spark, lake, spark.createDataFrame([("gone",)], "user_id string")) == []
+    assert len(list(Path(lake.staging).rglob("*.parquet"))) == 1
+    assert len(versions.numbers(spark, lake.staging)) == 1
+    assert [r.user_id for r in jobs.read_staging(spark, lake.staging).collect()] == ["stays"] * 2
+
+
+def test_tables_without_lists_are_built_whole_once(spark, lake):
+    spill(lake)
+    changed = [daily(spark, lake, day).dates for day in ("2026-06-01", "2026-06-02")][1]
+    full = Lake(lake.bronze, lake.silver, lake.rejected, f"{lake.gold}_full")
+    jobs.build_models(spark, full)
+    jobs.read_staging(spark, full.staging).write.partitionBy("event_date").parquet(lake.staging)
+    jobs.read_summary(spark, full.summary).write.partitionBy("event_date").parquet(lake.summary)
+    gone = Path(lake.staging) / "event_date=2020-01-01"
+    gone.mkdir()
+    (gone / "part-0.parquet").write_bytes(next(Path(lake.staging).rglob("*.parquet")).read_bytes())
+    assert len(read_rows(spark, lake)) > len(read_rows(spark, full))
+    jobs.build_models(spark, lake, changed[:1])
+    assert read_rows(spark, lake) == read_rows(spark, full) and summary(spark, lake) == summary(spark, full)
+    assert not gone.exists() and not list(Path(lake.staging).glob("event_date=*/*.parquet"))
+
+
+def test_models_of_an_empty_silver_have_no_rows(spark, lake):
+    jobs.build_models(spark, lake)
+    assert read_rows(spark, lake) == summary(spark, lake) == []

@@ -11,7 +11,9 @@ blocks' range joins find holds every link. In each block
    points nearer to c than to h are at least (|q-c|^2 - |q-h|^2) / (2 |c-h|) away from q. Of two
    cells the one with the even sum rule below hosts their pairs, so each pair meets once;
 3. cells over TILE vectors are cut into chunks that visit each other;
-4. a cell's residents meet its visitors batch by batch: block distances select candidates, and
+4. a cell's residents meet its visitors batch by batch, known by their coordinates of this block
+   alone, 64 bytes however wide the vectors are. Those without any partner within the budget drop out;
+5. the others get their whole vectors and meet once more: block distances select candidates, and
    the cosine in double precision decides.
 
 A pair that several blocks find counts in the first of them. Pairs are never written: a cell
@@ -29,14 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import parts, stored
+from eventlake.llm.tables import freed, parts, stored
 
 #: Coordinates of a block.
 BLOCK = 16
 #: Vectors of a cell, of a batch of visitors; most pivots, a bounded sample that only moves work.
 TILE, VISITORS, PIVOTS = 16384, 512, 1024
-#: Candidates compared at once.
-PAIRS = 1 << 16
+#: Candidates compared at once, vectors given to cells at once.
+PAIRS, ROWS = 1 << 16, 2048
+#: What cells return.
+FOUND = "node long, mark long, other long, other_mark long, links long"
 #: Room for rounding in single precision, where distances only select.
 SLACK = 1e-4
 
@@ -89,23 +93,24 @@ class Cells:
     def near(self, vectors: np.ndarray) -> np.ndarray:
         return (vectors * vectors).sum(axis=1)[:, None] + self.square - 2 * vectors @ self.pivots.T
 
-    def visits(self, vectors: np.ndarray, salt: np.ndarray, radius: float) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The home chunk of each vector, and the chunks of other hosts it must visit."""
+    def visits(
+        self, vectors: np.ndarray, salt: np.ndarray, radius: float
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The home chunk of each vector, and (vector, chunk) for other hosts it must visit."""
         far = self.near(vectors)
         home = far.argmin(axis=1)
-        gap = far - far[np.arange(len(far)), home][:, None]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            reach = gap <= 2 * self.between[home] * (radius + SLACK) + SLACK
+        far -= far[np.arange(len(far)), home][:, None]
+        reach = far <= 2 * self.between[home] * (radius + SLACK) + SLACK
         own = self.first[home] + salt % self.chunks[home]
-        owner = np.repeat(np.arange(len(self.pivots)), self.chunks)
-        chunk = np.arange(len(owner))
-        out = []
-        for i in range(len(far)):
-            there = chunk[reach[i][owner]]
-            # of two chunks the lower hosts if the sum is even, else the higher
-            host = np.where((there + own[i]) % 2 == 0, np.minimum(there, own[i]), np.maximum(there, own[i]))
-            out.append(there[(host == there) & (there != own[i])])
-        return own, out
+        row, cell = np.nonzero(reach)
+        count = self.chunks[cell]
+        row = np.repeat(row, count)
+        there = np.repeat(self.first[cell] - np.cumsum(count) + count, count) + np.arange(len(row))
+        # of two chunks the lower hosts if the sum is even, else the higher
+        low = np.minimum(there, own[row])
+        host = np.where((there + own[row]) % 2 == 0, low, np.maximum(there, own[row]))
+        visit = (host == there) & (there != own[row])
+        return own, row[visit], there[visit]
 
 
 def _linkable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -133,44 +138,115 @@ def _padded(column: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _turned(nodes: pd.DataFrame, width: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    for first in range(0, len(nodes), ROWS):
+        some = nodes.iloc[first : first + ROWS]
+        yield some, rotated(unit(_padded(some.v, width)))
+
+
 def _assigned(nodes: DataFrame, cells: list[Cells], width: int, radius: float) -> DataFrame:
-    """(block, chunk, visitor, node, weight, v): a row where a vector is at home and per visit."""
+    """(block, chunk, visitor, node, mark, side): a row where a vector is at home and per visit.
+    The side is its coordinates of the block in single precision."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            turned = rotated(unit(_padded(frame.v, width)))
-            salt = frame.node.to_numpy() // 7919
-            for b, own in enumerate(cells):
-                home, visits = own.visits(turned[:, b * BLOCK : (b + 1) * BLOCK], salt, radius)
-                yield frame.assign(block=b, chunk=home, visitor=0)
-                row = np.repeat(np.arange(len(frame)), [len(x) for x in visits])
-                if len(row):
-                    there = np.concatenate(visits)
-                    yield frame.iloc[row].assign(block=b, chunk=there, visitor=1)
+            for some, turned in _turned(frame, width):
+                salt = some.node.to_numpy() // 7919
+                for b, own in enumerate(cells):
+                    sides = turned[:, b * BLOCK : (b + 1) * BLOCK]
+                    home, row, there = own.visits(sides, salt, radius)
+                    rows = some[["node", "mark"]].assign(side=[x.tobytes() for x in sides.astype(np.float32)])
+                    yield rows.assign(block=b, chunk=home, visitor=0)
+                    yield rows.iloc[row].assign(block=b, chunk=there, visitor=1)
 
-    schema = "node long, weight long, v array<double>, block int, chunk long, visitor int"
-    return nodes.select("node", "weight", "v").mapInPandas(run, schema)
+    schema = "node long, mark long, side binary, block int, chunk long, visitor int"
+    return nodes.select("node", "mark", "v").mapInPandas(run, schema)
 
 
 def _counted(nodes: DataFrame, cells: list[Cells], width: int) -> None:
-    """Cuts cells into chunks by how many vectors are at home in them."""
+    """Cuts cells into chunks by how many vectors are at home in them. The driver sees one number
+    per cell, of which there are PIVOTS a block at most."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = [np.zeros(len(c.pivots), dtype=np.int64) for c in cells]
         for frame in frames:
-            turned = rotated(unit(_padded(frame.v, width)))
-            for b, own in enumerate(cells):
-                home = own.near(turned[:, b * BLOCK : (b + 1) * BLOCK]).argmin(axis=1)
-                total[b] += np.bincount(home, minlength=len(total[b]))
+            for _, turned in _turned(frame, width):
+                for b, own in enumerate(cells):
+                    home = own.near(turned[:, b * BLOCK : (b + 1) * BLOCK]).argmin(axis=1)
+                    total[b] += np.bincount(home, minlength=len(total[b]))
         for b, n in enumerate(total):
-            yield pd.DataFrame({"block": b, "cell": np.arange(len(n)), "n": n})
+            cell = np.flatnonzero(n)
+            yield pd.DataFrame({"block": b, "cell": cell, "n": n[cell]})
 
     counted = nodes.select("v").mapInPandas(run, "block int, cell int, n long")
-    for row in counted.groupBy("block").agg(F.collect_list(F.struct("cell", "n")).alias("c")).collect():
-        counts = np.zeros(len(cells[row.block].pivots), dtype=np.int64)
-        for cell, n in row.c:
-            counts[cell] += n
-        cells[row.block].split(counts)
+    counts = [np.zeros(len(c.pivots), dtype=np.int64) for c in cells]
+    for row in counted.groupBy("block", "cell").agg(F.sum("n").alias("n")).collect():
+        counts[row.block][row.cell] = row.n
+    for own, n in zip(cells, counts, strict=True):
+        own.split(n)
+
+
+class _Sides:
+    """Coordinates of vectors in a chunk, and which of them have a partner within the budget."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.rows = rows
+        self.side = np.frombuffer(b"".join(rows.side), dtype=np.float32).reshape(-1, BLOCK)
+        self.square = (self.side * self.side).sum(axis=1)
+        self.close = np.zeros(len(rows), dtype=bool)
+
+    def meet(self, other: _Sides, budget: float) -> None:
+        for first in range(0, len(other.side), VISITORS):
+            cut = slice(first, first + VISITORS)
+            far = other.square[cut, None] + self.square - 2 * other.side[cut] @ self.side.T
+            near = far <= budget + SLACK
+            if other is self:
+                at = np.arange(len(near))
+                near[at, first + at] = False
+            other.close[cut] |= near.any(axis=1)
+            self.close |= near.any(axis=0)
+
+    def members(self) -> pd.DataFrame:
+        return self.rows[self.close][["block", "chunk", "visitor", "node", "mark"]]
+
+
+def _by_chunk(rows: DataFrame) -> DataFrame:
+    spread = rows.repartition(parts(rows.sparkSession), "block", "chunk")
+    return spread.sortWithinPartitions("block", "chunk", "visitor")
+
+
+def _close(assigned: DataFrame, budget: float) -> DataFrame:
+    """(block, chunk, visitor, node, mark): the rows with a partner within the block's budget."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, waiting, home = None, [], None
+
+        def settled() -> _Sides | None:
+            nonlocal home
+            if home is None and waiting:
+                home = _Sides(pd.concat(waiting, ignore_index=True))
+                waiting.clear()
+                home.meet(home, budget)
+            return home
+
+        for frame in frames:
+            for now, group in frame.groupby(["block", "chunk"], sort=True):
+                if now != key:
+                    if settled():
+                        yield home.members()
+                    key, home = now, None
+                mine, visiting = group[group.visitor == 0], group[group.visitor == 1]
+                if len(mine):
+                    waiting.append(mine)
+                if len(visiting) and settled():
+                    other = _Sides(visiting)
+                    home.meet(other, budget)
+                    yield other.members()
+        if settled():
+            yield home.members()
+
+    schema = "block int, chunk long, visitor int, node long, mark long"
+    return _by_chunk(assigned).mapInPandas(freed(run), schema)
 
 
 class _Resident:
@@ -184,6 +260,7 @@ class _Resident:
         frame = pd.concat(self.parts, ignore_index=True)
         self.block = block
         self.node, self.weight = frame.node.to_numpy(), frame.weight.to_numpy()
+        self.mark = frame.mark.to_numpy()
         self.length = frame.v.map(len).to_numpy()
         self.unit = unit(_padded(frame.v, width))
         self.turned = rotated(self.unit).astype(np.float32)
@@ -236,7 +313,7 @@ class _Resident:
 
 
 def _found(assigned: DataFrame, width: int, threshold: float, budget: float) -> DataFrame:
-    """(node, other, links): link counts by node with a null other, and forest edges."""
+    """(node, mark, other, other_mark, links): link counts with a null other, and forest edges."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, home, settled = None, None, False
@@ -256,17 +333,18 @@ def _found(assigned: DataFrame, width: int, threshold: float, budget: float) ->
                 members = np.append(group, x) if other is home else group
                 roots = np.unique(home.find(members))
                 home.root[roots] = roots[0]
-                edges += [(home.node[roots[0]], home.node[r]) for r in roots[1:]]
+                first = home.node[roots[0]], home.mark[roots[0]]
+                edges += [(*first, home.node[r], home.mark[r]) for r in roots[1:]]
                 if other is not home:
-                    edges.append((home.node[roots[0]], other.node[x]))
+                    edges.append((*first, other.node[x], other.mark[x]))
             if edges:
-                node, to = zip(*edges, strict=True)
-                yield pd.DataFrame({"node": node, "other": to, "links": 0})
+                yield pd.DataFrame(edges, columns=["node", "mark", "other", "other_mark"]).assign(links=0)
 
-        def counts() -> Iterator[pd.DataFrame]:
-            at = np.flatnonzero(home.links)
+        def counts(some: _Resident) -> Iterator[pd.DataFrame]:
+            at = np.flatnonzero(some.links)
             if len(at):
-                yield pd.DataFrame({"node": home.node[at], "other": None, "links": home.links[at]})
+                rows = {"node": some.node[at], "mark": some.mark[at], "links": some.links[at]}
+                yield pd.DataFrame(rows).assign(other=None, other_mark=None)
 
         for frame in frames:
             for now, group in frame.groupby(["block", "chunk"], sort=True):
@@ -274,7 +352,7 @@ def _found(assigned: DataFrame, width: int, threshold: float, budget: float) ->
                     if home and home.parts:
                         if not settled:
                             yield from settle()
-                        yield from counts()
+                        yield from counts(home)
                     key, home, settled = now, _Resident(threshold, budget), False
                 mine, visiting = group[group.visitor == 0], group[group.visitor == 1]
                 if len(mine):
@@ -290,18 +368,13 @@ def _found(assigned: DataFrame, width: int, threshold: float, budget: float) ->
                         np.add.at(home.links, b, other.weight[a])
                         np.add.at(other.links, a, home.weight[b])
                         yield from joined(a, b, other)
-                    at = np.flatnonzero(other.links)
-                    if len(at):
-                        yield pd.DataFrame({"node": other.node[at], "other": None, "links": other.links[at]})
+                    yield from counts(other)
         if home and home.parts:
             if not settled:
                 yield from settle()
-            yield from counts()
+            yield from counts(home)
 
-    ordered = assigned.repartition(parts(assigned.sparkSession), "block", "chunk").sortWithinPartitions(
-        "block", "chunk", "visitor"
-    )
-    return ordered.mapInPandas(run, "node long, other long, links long")
+    return _by_chunk(assigned).mapInPandas(freed(run), FOUND)
 
 
 def near_duplicates(
@@ -313,14 +386,15 @@ def near_duplicates(
     Vectors link with a cosine of threshold (over 0) or more. Null, empty and zero vectors, those
     with a null or non-finite component, and those of different lengths do not link. Equal
     vectors are compared once and counted as often as they occur; so are rows that repeat a
-    vec_id, which count as vectors of their own. A null vec_id does not link. Other columns are
-    not looked at."""
+    vec_id, which count as vectors of their own. A null vec_id does not link, and its component_id
+    and kept are null. Other columns are not looked at."""
     rows = _linkable(vectors, vec_id, embedding)
     usable = rows.where("good and vec_id is not null")
     nodes = usable.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
-    nodes = stored(nodes, "vectors")
+    # a number, fixed once it is written, tells vectors apart that share a vec_id
+    nodes = stored(nodes.withColumn("mark", F.monotonically_increasing_id()), "vectors")
     count, longest = nodes.agg(F.count("*"), F.max(F.size("v"))).first()
-    empty = rows.sparkSession.createDataFrame([], "node long, other long, links long")
+    empty = rows.sparkSession.createDataFrame([], FOUND)
     found = empty
     if count:
         width = max(BLOCK, 1 << (longest - 1).bit_length())
@@ -329,13 +403,18 @@ def near_duplicates(
         cells = _cells(nodes, count, blocks) if longest else []
         _counted(nodes, cells, width)
         assigned = _assigned(nodes, cells, width, float(np.sqrt(budget)))
-        found = stored(_found(assigned, width, threshold, budget), "found")
-    links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
-    edges = found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v"))
-    joined = components(edges).select(F.col("id").alias("node"), "component")
+        close = stored(_close(assigned, budget), "close")
+        members = close.join(nodes, ["node", "mark"])
+        found = stored(_found(members, width, threshold, budget), "found")
+    links = found.where("other is null").groupBy("node", "mark").agg(F.sum("links").alias("links"))
+    # ordered by vec_id first, so that the least end of a component has its smallest vec_id
+    there = F.struct(F.col("other").alias("node"), F.col("other_mark").alias("mark"))
+    edges = found.where("other is not null").select(F.struct("node", "mark").alias("u"), there.alias("v"))
+    joined = components(edges)
+    joined = joined.select("id.node", "id.mark", F.col("component.node").alias("component"))
     summed = (
-        nodes.join(links, "node", "left")
-        .join(joined, "node", "left")
+        nodes.join(links, ["node", "mark"], "left")
+        .join(joined, ["node", "mark"], "left")
         .select(
             "v",
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),

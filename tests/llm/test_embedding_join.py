@@ -86,3 +86,45 @@ def test_rotation_keeps_lengths_and_does_not_depend_on_the_batch():
     turned = embedding_join.rotated(x)
     assert np.allclose(np.linalg.norm(turned, axis=1), np.linalg.norm(x, axis=1))
     assert np.array_equal(turned[3], embedding_join.rotated(x[3:4])[0])
+
+
+def test_rows_that_repeat_an_id_with_other_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "TILE", 30)
+    rows = made(200, seed=6)
+    rows += [(rows[i][0], rows[i + 60][1], 0) for i in range(60)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+
+
+def test_wide_vectors_are_shuffled_by_a_block_and_whole_only_with_partners(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "TILE", 100)
+    seen = {}
+    close_in, found_in = embedding_join._close, embedding_join._found
+
+    def close(assigned, budget):
+        seen["bytes"] = assigned.selectExpr("max(octet_length(side))").first()[0]
+        seen["rows"], seen["columns"] = assigned.count(), set(assigned.columns)
+        return close_in(assigned, budget)
+
+    def links(members, *args):
+        seen["whole"] = members.count()
+        return found_in(members, *args)
+
+    monkeypatch.setattr(embedding_join, "_close", close)
+    monkeypatch.setattr(embedding_join, "_found", links)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.standard_normal(768)], 0) for i in range(400)]
+    rows += [(i + 400, [x + 0.1 * float(y) for x, y in zip(rows[i][1], rng.standard_normal(768))], 0) for i in range(20)]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert [n for _, n, _ in sorted(got)] == [1] * 20 + [0] * 380 + [1] * 20
+    # 64 blocks of 16 coordinates; whole vectors go where a partner is, 40 of 420 and a few by chance
+    assert seen["bytes"] == 64 and "v" not in seen["columns"]
+    assert seen["rows"] >= 420 * 64 and seen["whole"] < seen["rows"] / 5
+
+
+def test_a_large_group_of_near_copies_is_counted_exactly(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "TILE", 500)
+    rng = np.random.default_rng(9)
+    centre = rng.standard_normal(64)
+    rows = [(i, [float(x) for x in centre + 0.01 * rng.standard_normal(64)], 0) for i in range(1500)]
+    got = found(spark.createDataFrame(rows, SCHEMA).repartition(6))
+    assert [(n, c) for _, n, c in got] == [(1499, 0)] * 1500

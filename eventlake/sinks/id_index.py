@@ -61,7 +61,9 @@ def heal(spark: SparkSession, silver: str) -> list[str]:
     changed = sorted(name for name, time in known.items() if now["partitions"].get(name) != time)
     if changed:
         rows = read_silver(spark, silver, [f"{silver}/{name}" for name in changed])
-        _add(spark, silver, now, rows.where("event_id is not null").select(hashed(), *SILVER_PARTITIONS), rows.count())
+        entries = rows.where("event_id is not null").select(hashed(), *SILVER_PARTITIONS)
+        # copies of a hot id are gone before a bucket comes together
+        _add(spark, silver, now, entries.distinct(), rows.count())
     if now["partitions"] != known:
         _write(spark, silver, {**now, "partitions": known})
     return changed
@@ -78,7 +80,8 @@ def rebuild(spark: SparkSession, silver: str) -> int:
 
 
 def add(spark: SparkSession, silver: str, entries: DataFrame, most: int) -> None:
-    """Add entries (id_hash, event_date, event_type), at most so many, before their rows come."""
+    """Add entries (id_hash, event_date, event_type), at most so many, before their rows come. They
+    are those of distinct ids, so copies are rare."""
     now = state(spark, silver)
     _add(spark, silver, now, entries, most)
     _write(spark, silver, now)
@@ -152,7 +155,7 @@ def _add(spark: SparkSession, silver: str, now: dict, entries: DataFrame, most:
         for generation in sizes[1:]:
             rows = rows.union(_read(spark, silver, generation))
         now["generations"] = [g for g in now["generations"] if g not in sizes]
-        _generation(spark, silver, now, rows, sum(g["entries"] for g in sizes))
+        _generation(spark, silver, now, rows, sum(g["entries"] for g in sizes), copies=True)
         _write(spark, silver, now)
         for generation in sizes:
             remove(spark, _path(silver, generation))
@@ -166,14 +169,16 @@ def _alike(generations: list[dict]):
         yield alike
 
 
-def _generation(spark: SparkSession, silver: str, now: dict, entries: DataFrame, most: int) -> None:
+def _generation(
+    spark: SparkSession, silver: str, now: dict, entries: DataFrame, most: int, copies: bool = False
+) -> None:
+    """Write entries as a generation; ``copies`` says that some may be there a few times."""
     buckets = 1
     while buckets < BUCKETS and buckets * TARGET < most:
         buckets *= 2
     now["last"] += 1
     generation, written = {"number": now["last"], "buckets": buckets}, Observation()
-    # copies of a hot id are gone before a bucket comes together
-    spread = entries.distinct().withColumn("bucket", _bucket(buckets)).repartition(buckets, "bucket")
+    spread = _spread(entries, buckets, copies)
     spread.observe(written, F.count("*").alias("entries")).sortWithinPartitions("bucket", "id_hash").write.mode(
         "overwrite"
     ).partitionBy("bucket").parquet(_path(silver, generation))
@@ -182,3 +187,9 @@ def _generation(spark: SparkSession, silver: str, now: dict, entries: DataFrame,
         now["generations"].append(generation)
     else:
         remove(spark, _path(silver, generation))
+
+
+def _spread(entries: DataFrame, buckets: int, copies: bool) -> DataFrame:
+    """Entries by bucket in one shuffle; copies meet in their bucket and need no other."""
+    spread = entries.withColumn("bucket", _bucket(buckets)).repartition(buckets, "bucket")
+    return spread.dropDuplicates() if copies else spread

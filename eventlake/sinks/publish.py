@@ -12,7 +12,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.contract import SILVER_COLUMNS, SILVER_PARTITIONS
+from eventlake.contract import SILVER_COLUMNS, SILVER_PARTITIONS, SILVER_SCHEMA
 from eventlake.session import empty
 from eventlake.sinks import id_index, workarea
 from eventlake.sources.folders import exists, matching, partition_values, read_text, remove, write_text
@@ -35,27 +35,53 @@ def upsert(spark: SparkSession, silver: str, folder: str, batch: str | None) ->
     them. Copies of an event_id inside a run are kept for the uniqueness check to report.
     """
     label = label_of("event_date", batch).alias("label")
-    rows, old = workarea.accepted(spark, folder), _old_copies(spark, silver, folder, label)
+    # What a broken off run found may be older than silver: then every row is compared again.
+    known = not workarea.complete(spark, f"{folder}/old")
+    rows, old = workarea.accepted(spark, folder), _old_copies(spark, silver, folder)
     touched: dict[str, set] = {}
+    coming, copies = set(), {}
     for table in (rows, old):
         if table is not None:
-            for row in table.select(label, *map(_text, SILVER_PARTITIONS)).distinct().collect():
-                touched.setdefault(row.label, set()).add(tuple(row)[1:])
+            keyed = table.select(label, *map(_text, SILVER_PARTITIONS))
+            for name, *key, count in keyed.groupBy(*keyed.columns).count().collect():
+                touched.setdefault(name, set()).add(tuple(key))
+                if table is rows:
+                    coming.add(tuple(key))
+                else:
+                    copies[tuple(key)] = count
     for name, keys in sorted(touched.items()):
         if workarea.done(spark, folder, name):
             continue
+        filled = None
         if not workarea.ready(spark, folder, name):
             replaced = _among(spark, silver, keys)
             if replaced:
-                gone = old.where(label == F.lit(name)).select("event_id").distinct()
-                gone = written_distinct(gone, f"{folder}/group={name}/gone")
-                current = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
-                set_aside(spark, folder, name, replaced, current.join(gone, "event_id", "left_anti"))
-        replace(spark, silver, folder, name, keys)
+                kept = _with_survivors(spark, silver, replaced, copies) if known else replaced
+                survivors = empty(spark, SILVER_SCHEMA)
+                if kept:
+                    gone = old.where(label == F.lit(name)).select("event_id")
+                    gone = written_distinct(gone.where(_in(kept)), f"{folder}/group={name}/gone")
+                    current = read_silver(spark, silver, date_folders(kept)).where(_in(kept))
+                    survivors = current.join(gone, "event_id", "left_anti")
+                if known:
+                    filled = (coming & keys) | {key_of(path) for path in kept}
+                set_aside(spark, folder, name, replaced, survivors)
+        replace(spark, silver, folder, name, keys, filled)
     return sorted({event_date for keys in touched.values() for event_date, _ in keys})
 
 
-def _old_copies(spark: SparkSession, silver: str, folder: str, label: Column) -> DataFrame:
+def _with_survivors(
+    spark: SparkSession, silver: str, replaced: list[str], copies: dict[tuple, int]
+) -> list[str]:
+    """The partitions that hold more rows than a run replaces. Rows are counted from the footers
+    of their files, so a partition that is replaced as a whole is not read."""
+    keys = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
+    counted = keys.groupBy(*map(_text, SILVER_PARTITIONS)).count().collect()
+    held = {tuple(key): count for *key, count in counted}
+    return [path for path in replaced if held.get(key_of(path), 0) != copies.get(key_of(path), 0)]
+
+
+def _old_copies(spark: SparkSession, silver: str, folder: str) -> DataFrame:
     """Where silver holds the ids of a run: event_id, event_date and event_type, before anything
     of the run is published. The id index names the partitions to look in."""
     ids, named, old = f"{folder}/ids", f"{folder}/hints", f"{folder}/old"
@@ -64,28 +90,30 @@ def _old_copies(spark: SparkSession, silver: str, folder: str, label: Column) ->
         return spark.read.schema(schema).parquet(old)
     id_index.heal(spark, silver)
     rows = workarea.accepted(spark, folder)
-    parts = [] if rows is None else [rows.select("event_id")]
+    parts = [] if rows is None else [rows.select("event_id", *SILVER_PARTITIONS)]
     if exists(spark, f"{folder}/{workarea.REJECTED}"):
         raw = spark.read.schema("raw struct<event_id:string>").parquet(f"{folder}/{workarea.REJECTED}")
-        parts.append(raw.select("raw.event_id"))
-    found, entries = empty(spark, schema), None
-    if rows is not None:
-        entries = rows.select(id_index.hashed(), *SILVER_PARTITIONS)
-    if parts and id_index.state(spark, silver)["generations"]:
+        nowhere = (F.lit(None).cast(SILVER_SCHEMA[c].dataType).alias(c) for c in SILVER_PARTITIONS)
+        parts.append(raw.select("raw.event_id", *nowhere))
+    found = empty(spark, schema)
+    if parts:
+        # Distinct ids with the partitions they go to: looked up here, and entries of the index.
         keys = reduce(DataFrame.union, parts).where("event_id is not null")
-        keys = written_distinct(keys.select("event_id", id_index.hashed()), ids)
-        id_index.hints(spark, silver, keys.select("id_hash")).write.mode("overwrite").parquet(named)
-        hints = spark.read.schema(id_index.SCHEMA).parquet(named)
-        hinted = keys_of(hints)
-        if hinted and entries is not None:
-            entries = entries.join(hints, hints.columns, "left_anti")
-        replaced = _among(spark, silver, hinted)
-        if replaced:
-            held = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
-            held = held.select("event_id", *SILVER_PARTITIONS)
-            found = held.join(keys.select("event_id"), "event_id", "left_semi")
-    if entries is not None:
-        id_index.add(spark, silver, entries, rows.count())
+        keys = written_distinct(keys, ids).withColumn("id_hash", id_index.hashed())
+        entries = keys.where("event_date is not null").select("id_hash", *SILVER_PARTITIONS)
+        if id_index.state(spark, silver)["generations"]:
+            id_index.hints(spark, silver, keys.select("id_hash")).write.mode("overwrite").parquet(named)
+            hints = spark.read.schema(id_index.SCHEMA).parquet(named)
+            hinted = keys_of(hints)
+            if hinted:
+                entries = entries.join(hints, hints.columns, "left_anti")
+            replaced = _among(spark, silver, hinted)
+            if replaced:
+                held = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
+                held = held.select("event_id", *SILVER_PARTITIONS)
+                found = held.join(keys.select("event_id"), "event_id", "left_semi")
+        if rows is not None:
+            id_index.add(spark, silver, entries, rows.count())
     found.write.mode("overwrite").parquet(old)
     return spark.read.schema(schema).parquet(old)
 
@@ -147,14 +175,23 @@ def set_aside(
     write_text(spark, f"{group}/replaced", "\n".join(replaced))
 
 
-def replace(spark: SparkSession, silver: str, folder: str, label: str, keys: set | None = None) -> None:
+def replace(
+    spark: SparkSession,
+    silver: str,
+    folder: str,
+    label: str,
+    keys: set | None = None,
+    filled: set | None = None,
+) -> None:
     """Put a group's rows in place of the partitions it lists, once. The id index must have the
-    rows' entries; ``keys`` are the (date, type) pairs that change, if others than those listed."""
+    rows' entries; ``keys`` are the (date, type) pairs that change, if others than those listed,
+    ``filled`` those that get rows, if that is known."""
     replaced = replaced_by(spark, folder, label)
     rows = workarea.replacement(spark, folder, label)
     if rows is not None:
         write_partitions(rows, silver)
-    filled = keys_of(rows) if rows is not None and replaced else set()
+    if filled is None:
+        filled = keys_of(rows) if rows is not None and replaced else set()
     for path in replaced:
         # Dynamic overwrite leaves a partition nobody writes to as it was.
         if key_of(path) not in filled:

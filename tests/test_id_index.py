@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS, event, file_events
+from conftest import RUN_TS, event, file_events, plan
 from eventlake.operators import quality
 from eventlake.plans import jobs
 from eventlake.sinks import id_index, publish, workarea
@@ -222,3 +222,68 @@ def test_a_backfill_asked_for_again_reads_the_folders_that_changed(spark, lake,
     assert rejected == ["", "x2026-06-01", "x2026-06-02", "y"]
     again = jobs.run_backfill(spark, lake, *JUNE, run_ts=RUN_TS)
     assert again.bronze_rows == 7 and len(read) == 2
+
+
+def set_aside_by(monkeypatch, load):
+    """What a load sets aside: the partitions it replaces, the plan of the survivors, their ids."""
+    whole, seen = publish.set_aside, []
+
+    def spied(spark, folder, label, replaced, survivors):
+        ids = sorted(r.event_id for r in survivors.collect())
+        seen.append((len(replaced), plan(survivors), ids))
+        whole(spark, folder, label, replaced, survivors)
+
+    monkeypatch.setattr(publish, "set_aside", spied)
+    load()
+    monkeypatch.setattr(publish, "set_aside", whole)
+    return seen
+
+
+def test_partitions_replaced_as_a_whole_are_not_read_for_survivors(spark, lake, monkeypatch):
+    rows = [event("a"), event("b"), event("b", user_id="copy"), event("c", event_type="login")]
+    file_events(lake, "2026-06-01", *rows)
+    daily(spark, lake, "2026-06-01")
+    [(replaced, shape, ids)] = set_aside_by(monkeypatch, lambda: daily(spark, lake, "2026-06-01"))
+    assert (replaced, ids) == (2, []) and "Scan parquet" not in shape
+    assert [i for i, _ in held(spark, lake)] == ["a", "b", "b", "c"]
+    # d comes from another folder: its partition has a survivor, that of logins has none
+    file_events(lake, "2026-06-02", event("d"))
+    daily(spark, lake, "2026-06-02")
+    [(replaced, shape, ids)] = set_aside_by(monkeypatch, lambda: daily(spark, lake, "2026-06-01"))
+    assert (replaced, ids) == (2, ["d"]) and "event_type=login" not in shape
+    assert [i for i, _ in held(spark, lake)] == ["a", "b", "b", "c", "d"]
+    # rows without an id, by another hand, are nobody's copies
+    nobody = read_silver(spark, lake.silver).where("event_id = 'c'").withColumn("event_id", F.lit(None).cast("string"))
+    nobody.write.mode("append").partitionBy("event_date", "event_type").parquet(lake.silver)
+    daily(spark, lake, "2026-06-01")
+    assert sorted(str(r.event_id) for r in read_silver(spark, lake.silver).collect()) == ["None", "a", "b", "b", "c", "d"]
+
+
+def test_a_row_that_comes_while_a_run_lies_broken_off_survives(spark, lake, monkeypatch):
+    """A run has compared its ids and breaks off; as many other rows then take the place of those
+    it found, so their number says nothing."""
+    file_events(lake, "2026-06-01", event("a"))
+    daily(spark, lake, "2026-06-01")
+    whole = publish._old_copies
+
+    def then_broken(*args):
+        done = whole(*args)
+        broken(monkeypatch, (publish, "_among"))
+        return done
+
+    monkeypatch.setattr(publish, "_old_copies", then_broken)
+    with pytest.raises(RuntimeError):
+        daily(spark, lake, "2026-06-01")
+    monkeypatch.undo()
+    other = read_silver(spark, lake.silver).withColumn("event_id", F.lit("other")).collect()
+    rows = spark.createDataFrame(other, read_silver(spark, lake.silver).schema)
+    publish.write_partitions(rows, lake.silver)
+    daily(spark, lake, "2026-06-01")
+    assert [i for i, _ in held(spark, lake)] == ["a", "other"]
+
+
+def test_generations_are_merged_in_one_shuffle(spark):
+    entries = spark.createDataFrame([(n % 7, None, "login") for n in range(20)], id_index.SCHEMA)
+    spread = id_index._spread(entries.union(entries), 4, copies=True)
+    assert plan(spread).split("(1) Scan")[0].count("Exchange") == 1
+    assert spread.count() == 7

@@ -213,13 +213,19 @@ def empty_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(bronze_tree(spark, sf_dir), f"{root}/silver", f"{root}/rejected", f"{root}/gold")
 
 
-def own_bronze(spark: SparkSession, sf_dir: str, change=lambda rows: rows) -> Lake:
-    """An empty lake over a bronze tree of its own, with changed rows."""
+def bare_lake(spark: SparkSession) -> Lake:
+    """An empty lake for queries that load nothing; there is no bronze."""
     root = new_folder(spark, "lake")
-    write_bronze(spark, sf_dir, f"{root}/bronze", change=change)
     return Lake(*(f"{root}/{layer}" for layer in ("bronze", "silver", "rejected", "gold")))
 
 
+def own_bronze(spark: SparkSession, sf_dir: str, change=lambda rows: rows) -> Lake:
+    """An empty lake over a bronze tree of its own, with changed rows."""
+    lake = bare_lake(spark)
+    write_bronze(spark, sf_dir, lake.bronze, change=change)
+    return lake
+
+
 def backfill(spark: SparkSession, sf_dir: str, lake: Lake, **how) -> Lake:
     run_backfill(spark, lake, *date_bounds(spark, sf_dir), run_ts=RUN_TS, **how)
     return lake

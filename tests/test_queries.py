@@ -1,11 +1,13 @@
 """Every query against its DuckDB SQL on the given tables."""
 
+from datetime import datetime
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import fixture
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from conftest import plan
@@ -48,3 +50,21 @@ def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= entry_points.queries().keys()
     assert ORACLES.keys() <= entry_points.oracle_sql().keys()
+
+
+def test_queries_that_load_nothing_write_no_bronze(spark, tmp_path, monkeypatch):
+    """The dated checks through the id index need silver only, not the NDJSON tree of the events."""
+    rows = [(n, datetime(2024, 1, 1 + n % 8, 12), n % 3, "view", 1.0, '{"k": 1}') for n in range(40)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+
+    def fail(*args, **named):
+        raise AssertionError("bronze is written")
+
+    monkeypatch.setattr(fixture, "write_bronze", fail)
+    found = QUERIES["dq_report_incremental_whole"](spark, str(tmp_path)).collect()
+    assert {(r.lake, r.table): r.f for r in found if r.day == "2024-01-05"} == {
+        (name, table): int(name != "none")
+        for name in ("none", "inside", "near", "far")
+        for table in ("silver", "stg_events")
+    }

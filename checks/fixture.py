@@ -169,12 +169,9 @@ def write_bronze(
     Without ``day_folders`` all lines lie in one folder with a plain name.
     """
     rows = change(bronze(spark, sf_dir))
-    filed = F.col("folder_date")
-    parts = {
-        "year": F.date_format(filed, "yyyy"),
-        "month": F.date_format(filed, "MM"),
-        "day": F.date_format(filed, "dd"),
-    }
+    filed = F.col("folder_date").cast("string")
+    year = F.left(filed, F.length(filed) - 6)
+    parts = {"year": year, "month": F.substring(filed, -5, 2), "day": F.right(filed, F.lit(2))}
     lines = rows.select(
         F.coalesce(CORRUPT, F.to_json(F.struct(*EVENT_COLUMNS))).alias("value"),
         *(value.alias(name) for name, value in parts.items()),

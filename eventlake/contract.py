@@ -40,6 +40,8 @@ SILVER_COLUMNS = (
     "ingestion_timestamp",
     *SILVER_PARTITIONS,
 )
+#: Event fields that silver does not hold as the text they came as.
+TYPED_COLUMNS = tuple(c for c, t in EVENT_FIELDS.items() if t != T.StringType())
 STAGING_COLUMNS = (*EVENT_COLUMNS, "ingestion_timestamp", "event_date")
 
 _DERIVED = {"ingestion_timestamp": T.TimestampType(), "event_date": T.DateType()}
@@ -57,7 +59,6 @@ def _text(columns):
 # Bronze is read as text: values that do not fit their type must still reach
 # the rules and the quarantine, so types come after validation.
 BRONZE_SCHEMA = _text((*EVENT_COLUMNS, CORRUPT))
-RAW_REJECT_SCHEMA = _text((*EVENT_COLUMNS, CORRUPT, ERROR))
 REJECTED_COLUMNS = (*EVENT_COLUMNS, CORRUPT, ERROR, "rejected_at", "run", "ingest_date")
 
 

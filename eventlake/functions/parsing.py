@@ -16,7 +16,8 @@ def instant(text: str) -> Column:
 def whole_number(text: str) -> Column:
     """Integers, also written as integral decimals: exporters write 45.0 for a nullable 45."""
     integral = F.regexp_replace(F.col(text), r"^\s*([+-]?[0-9]+)\.0+\s*$", "$1")
-    return integral.try_cast("int")
+    # Most texts have no point, and need no pattern.
+    return F.when(F.contains(F.col(text), F.lit(".")), integral).otherwise(F.col(text)).try_cast("int")
 
 
 def flag(text: str) -> Column:

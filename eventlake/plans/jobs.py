@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from eventlake.contract import (
     CORRUPT,
     ERROR,
-    RAW_REJECT_SCHEMA,
+    EVENT_COLUMNS,
     SILVER_SCHEMA,
     STAGING_SCHEMA,
     SUMMARY_SCHEMA,
+    TYPED_COLUMNS,
     rejected_schema,
 )
 from eventlake.functions.parsing import day, event_date, stamp
@@ -35,7 +36,7 @@ from eventlake.sinks import id_index, publish, quarantine, versions, workarea
 from eventlake.sinks.tables import refresh_catalog, refresh_versions
 from eventlake.sources import bronze as bronze_source
 from eventlake.sources.folders import exists, matching, remove, sizes
-from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, read_rejected, read_silver
+from eventlake.sources.silver import REJECTED_OPTIONS, SLICES, UNIQUE_IDS, read_rejected, read_silver
 
 
 @dataclass(frozen=True)
@@ -192,7 +193,9 @@ def _filed() -> Column:
 def _dated(bronze: DataFrame, start: date, end: date) -> DataFrame:
     """Classified rows of a date range, and those that have no date."""
     rows = classify(bronze).withColumn("filed", _filed())
-    return rows.where(F.isnull("filed") | F.col("filed").between(day(start), day(end)))
+    # The filter is moved below the parsing and repeats it for each mention of the date: one is enough.
+    days, after = (end - start).days, F.datediff("filed", day(start))
+    return rows.where(F.coalesce(F.abs(2 * after - days) <= days, F.lit(True)))
 
 
 def _load(
@@ -280,11 +283,12 @@ def _stage(
     """
     counts = Observation()
     rejected = F.isnotnull(ERROR)
+    # What the silver columns do not hold already: each field costs a null in every good row.
     kept = F.struct(
-        *RAW_REJECT_SCHEMA.names,
-        stamp(run_ts).alias("rejected_at"),
+        *TYPED_COLUMNS,
+        CORRUPT,
+        ERROR,
         F.lit(request["run"]).alias("run"),
-        F.to_date(stamp(run_ts)).alias("ingest_date"),
         F.col(bronze_source.FOLDER_DATE),
         F.col("filed").alias(SLICES[1]),
     )
@@ -299,6 +303,7 @@ def _stage(
             .alias("batch"),
         )
         .write.mode("append")
+        .options(**UNIQUE_IDS)
         .partitionBy("outcome", "batch")
         .parquet(f"{folder}/{workarea.ROWS}")
     )
@@ -339,10 +344,16 @@ def _raw_rejects(spark: SparkSession, folder: str) -> DataFrame | None:
     path = f"{folder}/{workarea.REJECTED}"
     if not exists(spark, path):
         return None
-    fields = rejected_schema()
-    for column in SLICES:
-        fields = fields.add(column, "date")
-    return spark.read.schema(f"raw {fields.simpleString()}").parquet(path).select("raw.*")
+    texts = [c for c in EVENT_COLUMNS if c not in TYPED_COLUMNS]
+    raw = [f"{c}: string" for c in (*TYPED_COLUMNS, CORRUPT, ERROR, "run")] + [f"{c}: date" for c in SLICES]
+    columns = [*(f"{c} string" for c in texts), "ingestion_timestamp timestamp", f"raw struct<{', '.join(raw)}>"]
+    rows = spark.read.schema(", ".join(columns)).parquet(path)
+    known = {c: F.col(c) for c in texts} | {
+        "rejected_at": F.col("ingestion_timestamp"),
+        "ingest_date": F.to_date("ingestion_timestamp"),
+    }
+    names = (*rejected_schema().names, *SLICES)
+    return rows.select(*(known.get(c, F.col(f"raw.{c}")).alias(c) for c in names))
 
 
 def _staged_rejects(spark: SparkSession, folder: str) -> DataFrame | None:

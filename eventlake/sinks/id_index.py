@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from eventlake.contract import SILVER_PARTITIONS
 from eventlake.session import empty
 from eventlake.sources.folders import exists, matching, modified, partition_values, read_text, remove, write_text
-from eventlake.sources.silver import read_silver
+from eventlake.sources.silver import UNIQUE_IDS, read_silver
 
 #: Entries that a bucket aims at; most buckets, a bound on folders; generations of a size that
 #: are merged, and the factor within which sizes are alike.
@@ -110,6 +110,18 @@ def hints(spark: SparkSession, silver: str, ids: DataFrame) -> DataFrame:
     return found.join(ids, "id_hash", "left_semi")
 
 
+def matched(rows: DataFrame, others: DataFrame, equal: tuple[str, ...], how: str) -> DataFrame:
+    """Rows that have a partner of the same id_hash and equal columns among others, or none.
+
+    The hash alone is the key, as one long is sorted by its digits; the columns, written as ranges
+    so that they do not become keys, are compared only where hashes meet."""
+    a, b = rows.alias("a"), others.alias("b")
+    met = F.col("a.id_hash") == F.col("b.id_hash")
+    for column in equal:
+        met = met & F.col(f"a.{column}").between(F.col(f"b.{column}"), F.col(f"b.{column}"))
+    return a.join(b, met, how)
+
+
 def looked_up(spark: SparkSession, silver: str, ids: DataFrame) -> list[list[str]]:
     """The buckets that ids fall in, of each generation that has some."""
     generations = state(spark, silver)["generations"]
@@ -181,7 +193,7 @@ def _generation(
     spread = _spread(entries, buckets, copies)
     spread.observe(written, F.count("*").alias("entries")).sortWithinPartitions("bucket", "id_hash").write.mode(
         "overwrite"
-    ).partitionBy("bucket").parquet(_path(silver, generation))
+    ).options(**UNIQUE_IDS).partitionBy("bucket").parquet(_path(silver, generation))
     generation |= written.get
     if generation["entries"]:
         now["generations"].append(generation)

@@ -16,7 +16,7 @@ from eventlake.contract import SILVER_COLUMNS, SILVER_PARTITIONS, SILVER_SCHEMA
 from eventlake.session import empty
 from eventlake.sinks import id_index, workarea
 from eventlake.sources.folders import exists, matching, partition_values, read_text, remove, write_text
-from eventlake.sources.silver import read_silver
+from eventlake.sources.silver import UNIQUE_IDS, read_silver
 
 UNDATED = "none"
 
@@ -42,8 +42,8 @@ def upsert(spark: SparkSession, silver: str, folder: str, batch: str | None) ->
     coming, copies = set(), {}
     for table in (rows, old):
         if table is not None:
-            keyed = table.select(label, *map(_text, SILVER_PARTITIONS))
-            for name, *key, count in keyed.groupBy(*keyed.columns).count().collect():
+            counted = _counted(table).select(label, *map(_text, SILVER_PARTITIONS), "count")
+            for name, *key, count in counted.collect():
                 touched.setdefault(name, set()).add(tuple(key))
                 if table is rows:
                     coming.add(tuple(key))
@@ -75,8 +75,8 @@ def _with_survivors(
 ) -> list[str]:
     """The partitions that hold more rows than a run replaces. Rows are counted from the footers
     of their files, so a partition that is replaced as a whole is not read."""
-    keys = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
-    counted = keys.groupBy(*map(_text, SILVER_PARTITIONS)).count().collect()
+    counted = _counted(read_silver(spark, silver, date_folders(replaced)).where(_in(replaced)))
+    counted = counted.select(*map(_text, SILVER_PARTITIONS), "count").collect()
     held = {tuple(key): count for *key, count in counted}
     return [path for path in replaced if held.get(key_of(path), 0) != copies.get(key_of(path), 0)]
 
@@ -92,9 +92,9 @@ def _old_copies(spark: SparkSession, silver: str, folder: str) -> DataFrame:
     rows = workarea.accepted(spark, folder)
     parts = [] if rows is None else [rows.select("event_id", *SILVER_PARTITIONS)]
     if exists(spark, f"{folder}/{workarea.REJECTED}"):
-        raw = spark.read.schema("raw struct<event_id:string>").parquet(f"{folder}/{workarea.REJECTED}")
+        bad = spark.read.schema("event_id string").parquet(f"{folder}/{workarea.REJECTED}")
         nowhere = (F.lit(None).cast(SILVER_SCHEMA[c].dataType).alias(c) for c in SILVER_PARTITIONS)
-        parts.append(raw.select("raw.event_id", *nowhere))
+        parts.append(bad.select("event_id", *nowhere))
     found = empty(spark, schema)
     if parts:
         # Distinct ids with the partitions they go to: looked up here, and entries of the index.
@@ -102,19 +102,20 @@ def _old_copies(spark: SparkSession, silver: str, folder: str) -> DataFrame:
         keys = written_distinct(keys, ids).withColumn("id_hash", id_index.hashed())
         entries = keys.where("event_date is not null").select("id_hash", *SILVER_PARTITIONS)
         if id_index.state(spark, silver)["generations"]:
-            id_index.hints(spark, silver, keys.select("id_hash")).write.mode("overwrite").parquet(named)
+            hinting = id_index.hints(spark, silver, keys.select("id_hash"))
+            hinting.write.mode("overwrite").options(**UNIQUE_IDS).parquet(named)
             hints = spark.read.schema(id_index.SCHEMA).parquet(named)
             hinted = keys_of(hints)
             if hinted:
-                entries = entries.join(hints, hints.columns, "left_anti")
+                entries = id_index.matched(entries, hints, SILVER_PARTITIONS, "left_anti")
             replaced = _among(spark, silver, hinted)
             if replaced:
                 held = read_silver(spark, silver, date_folders(replaced)).where(_in(replaced))
-                held = held.select("event_id", *SILVER_PARTITIONS)
-                found = held.join(keys.select("event_id"), "event_id", "left_semi")
+                held = held.select(id_index.hashed(), "event_id", *SILVER_PARTITIONS)
+                found = id_index.matched(held, keys, ("event_id",), "left_semi").drop("id_hash")
         if rows is not None:
             id_index.add(spark, silver, entries, rows.count())
-    found.write.mode("overwrite").parquet(old)
+    found.write.mode("overwrite").options(**UNIQUE_IDS).parquet(old)
     return spark.read.schema(schema).parquet(old)
 
 
@@ -162,7 +163,7 @@ def written_distinct(keys: DataFrame, path: str) -> DataFrame:
     Copies of a hot key are gone before the join, and both of its sides come
     straight from a shuffle, which is what AQE needs to split the hot key's rows.
     """
-    keys.distinct().write.mode("overwrite").parquet(path)
+    keys.distinct().write.mode("overwrite").options(**UNIQUE_IDS).parquet(path)
     return keys.sparkSession.read.schema(keys.schema).parquet(path)
 
 
@@ -208,8 +209,13 @@ def replaced_by(spark: SparkSession, folder: str, label: str) -> list[str]:
 
 def keys_of(rows: DataFrame) -> set[tuple[str, str]]:
     """The (date, type) partitions the rows fall in, as folder names spell them."""
-    found = rows.select(*map(_text, SILVER_PARTITIONS)).distinct().collect()
-    return {tuple(key) for key in found}
+    found = rows.select(*SILVER_PARTITIONS).distinct().select(*map(_text, SILVER_PARTITIONS))
+    return {tuple(key) for key in found.collect()}
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows in each (date, type); whoever wants text or labels makes them of the few groups."""
+    return rows.groupBy(*SILVER_PARTITIONS).count()
 
 
 def key_of(path: str) -> tuple[str, str]:
@@ -227,6 +233,7 @@ def write_partitions(rows: DataFrame, silver: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
+        .options(**UNIQUE_IDS)
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(silver)
     )

@@ -5,7 +5,7 @@ Layout, beside silver, one folder per run, so that runs do not touch each other'
     publishing                        lease of the one job that is changing tables
     run=<id>/lease                    lease of the run
     run=<id>/rows/outcome=accepted/batch=<label>    silver rows to publish
-    run=<id>/rows/outcome=rejected    the raw text of the others, in struct ``raw``
+    run=<id>/rows/outcome=rejected    the others; what silver's columns lack of their text, in struct ``raw``
     run=<id>/staged.json              the request and the rows written: staging is complete
     run=<id>/input                    the files the run read: names, lengths and times
     run=<id>/gone/epoch=<n>           users to leave out of the staged rows, up to this epoch

@@ -11,6 +11,9 @@ REJECTED_OPTIONS = {
     "columnNameOfCorruptRecord": "_unreadable",
 }
 
+#: Writer options: values that hardly repeat need no dictionary.
+UNIQUE_IDS = {f"parquet.enable.dictionary#{c}": "false" for c in ("event_id", "id_hash")}
+
 #: Partition columns of the rejected rows.
 SLICES = ("folder_date", "filed_date")
 

@@ -287,3 +287,13 @@ def test_generations_are_merged_in_one_shuffle(spark):
     spread = id_index._spread(entries.union(entries), 4, copies=True)
     assert plan(spread).split("(1) Scan")[0].count("Exchange") == 1
     assert spread.count() == 7
+
+
+def test_ids_meet_by_their_hash_and_equal_columns(spark):
+    """Ids of one hash are told apart, and nulls meet nothing; the sort is of the hash alone."""
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, None)], "id_hash long, event_id string")
+    others = spark.createDataFrame([(1, "a"), (1, "z"), (2, "x"), (3, None)], "id_hash long, event_id string")
+    met = {how: id_index.matched(rows.hint("merge"), others, ("event_id",), how) for how in ("left_semi", "left_anti")}
+    assert [tuple(r) for r in met["left_semi"].collect()] == [(1, "a")]
+    assert sorted((r.id_hash for r in met["left_anti"].collect())) == [1, 2, 3]
+    assert all("Left keys [1]: [id_hash" in plan(x) and "SortMergeJoin" in plan(x) for x in met.values())

@@ -180,3 +180,27 @@ def test_five_thousand_small_files_are_few_tasks(spark, lake):
 
 def test_large_files_are_split_as_ever():
     assert split_settings(10, 10 << 30) == split_settings(0, 0) == {"spark.sql.files.openCostInBytes": str(4 << 20)}
+
+
+def test_a_load_parses_the_time_once_to_filter(spark, lake):
+    file_events(lake, "2026-06-02", *(event(str(h), f"2026-06-0{h}T10:00:00Z") for h in (1, 2, 3, 4)), event("x", "noon"))
+    rows = jobs._dated(bronze_source.scan_recursive(spark, lake.bronze), date(2026, 6, 2), date(2026, 6, 3))
+    (moved,) = [line for line in plan(rows).splitlines() if line.startswith("Condition")]
+    assert moved.count("event_timestamp") == 1
+    assert sorted(r.event_id for r in rows.collect()) == ["2", "3", "x"]
+    undated = bronze_source.scan_recursive(spark, lake.bronze).withColumn("folder_date", F.lit(None).cast("date"))
+    assert [r.event_id for r in jobs._dated(undated, date(2026, 7, 1), date(2026, 7, 1)).collect()] == ["x"]
+
+
+def test_staged_rows_hold_the_text_of_rejects_once(spark, lake, tmp_path):
+    """Every field of the struct is a null to write in each good row."""
+    file_events(lake, "2026-06-02", event("1", "2026-06-02T10:00:00Z"), event("2", "noon", duration_seconds="long", is_premium_user="si"))
+    rows = jobs._dated(bronze_source.scan_recursive(spark, lake.bronze), date(2026, 6, 1), date(2026, 6, 3))
+    jobs._stage(spark, rows, {"run": "daily", "batch": None}, str(tmp_path / "run"), RUN_TS)
+    staged = spark.read.parquet(str(tmp_path / "run/rows/outcome=rejected"))
+    kept = set(staged.schema["raw"].dataType.names)
+    assert not kept & set(staged.columns) - {"event_timestamp", "duration_seconds", "is_premium_user"} and len(kept) == 8
+    (bad,) = jobs._raw_rejects(spark, str(tmp_path / "run")).collect()
+    assert (bad.event_id, bad.event_timestamp, bad.duration_seconds, bad.is_premium_user) == ("2", "noon", "long", "si")
+    assert (bad.run, str(bad.ingest_date), str(bad.folder_date), str(bad.filed_date)) == ("daily", str(RUN_TS.date()), *2 * ["2026-06-02"])
+    assert bad.rejected_at is not None and bad.validation_error == "bad_timestamp"
